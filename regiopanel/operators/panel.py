@@ -29,11 +29,13 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> None:
 
 
 def merge_panel(sources: Mapping[str, DataFrame], keys: Sequence[str] = ("code", "year"),
-                check_unique: bool = True) -> DataFrame:
+                check_unique: bool = True, numeric_as_double: bool = True) -> DataFrame:
     """Full outer merge of keyed sources into one wide frame, keys coalesced.
 
     Measure names must be distinct across sources (a clash raises instead of
     producing ``_x/_y`` suffixes). Null keys group together, like pandas merge.
+    With ``numeric_as_double`` numeric measures become double, as pandas makes
+    any integer column that the outer merge fills with missing values.
     """
     keys = list(keys)
     seen: dict[str, str] = {}
@@ -63,7 +65,12 @@ def merge_panel(sources: Mapping[str, DataFrame], keys: Sequence[str] = ("code",
             for i, n in enumerate(names)
         ], F.lit(True))
         merged = merged.filter(guard).drop(*[f"_n{i}" for i in range(len(names))])
-    return merged.select(*keys, *measures)
+    out_cols = []
+    for c in measures:
+        dtype = dict(stacked.dtypes)[c]
+        is_num = dtype in ("tinyint", "smallint", "int", "bigint", "float") or dtype.startswith("decimal")
+        out_cols.append(F.col(c).cast("double").alias(c) if numeric_as_double and is_num else F.col(c))
+    return merged.select(*keys, *out_cols)
 
 
 def source_profile(sources: Mapping[str, DataFrame], code: str = "code", year: str = "year") -> DataFrame:
