@@ -1 +1,222 @@
-"""placeholder"""
+"""Modelling-stage queries: k-means, PCA, sensitivity, isolation forest, classification.
+
+Fitted models are checked by row count only (their random draws differ from
+any other library's); the operators with an exact SQL form (label attachment,
+split, folds, report) have DuckDB oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regiopanel.operators.anomaly import isolation_forest, leave_one_out_importance
+from regiopanel.operators.classify import (classification_report, coefficient_table, cross_validate,
+                                           fit_logit, predict_logit, stratified_folds, stratified_split,
+                                           weighted_scores, zscore_array)
+from regiopanel.operators.cluster import (attach_labels, elbow_sweep, fit_pca, kmeans_labels,
+                                          pair_kmeans, pca_scores, pca_sensitivity, subset_sensitivity)
+from regiopanel.operators.geometry import nearest_centroid
+from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
+from regiopanel.plans.registry import register
+from regiopanel.plans.stats_q import _emb_centres, user_panel_z
+
+# The six variable pairs of the pairwise k-means study, as
+# positions in the feature list (the reference's pairs of its six variables).
+PAIR_POSITIONS = [(1, 5), (1, 0), (2, 3), (4, 5), (2, 4), (3, 0)]
+
+
+@register("kmeans_labels", stage="model")
+def q_kmeans_labels(spark, sf_dir):
+    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42)
+    return labelled.select("user_id", "cluster")
+
+
+@register("elbow_sweep", stage="model")
+def q_elbow_sweep(spark, sf_dir):
+    rows = elbow_sweep(user_panel_z(spark, sf_dir), UP_FEATURES, ks=range(1, 11), seed=42)
+    return spark.createDataFrame([(k, float(v)) for k, v in rows], "k int, inertia double")
+
+
+def _up_pca(spark, sf_dir, k):
+    z = user_panel_z(spark, sf_dir)
+    return z, fit_pca(z, UP_FEATURES, k)
+
+
+@register("pca_scores", stage="model")
+def q_pca_scores(spark, sf_dir):
+    z, pca = _up_pca(spark, sf_dir, 2)
+    return pca_scores(z, pca, keep=["user_id"])
+
+
+@register("pca_variance", stage="model")
+def q_pca_variance(spark, sf_dir):
+    _, pca = _up_pca(spark, sf_dir, len(UP_FEATURES))
+    ratio = [float(v) for v in pca["ratio"]]
+    cum = [float(sum(ratio[:i + 1])) for i in range(len(ratio))]
+    return spark.createDataFrame([(i + 1, r, c) for i, (r, c) in enumerate(zip(ratio, cum))],
+                                 "component int, explained_variance_ratio double, cumulative double")
+
+
+@register("loadings_table", stage="model")
+def q_loadings_table(spark, sf_dir):
+    _, pca = _up_pca(spark, sf_dir, 2)
+    comps = pca["components"]
+    rows = [(name, j + 1, float(comps[i, j])) for i, name in enumerate(UP_FEATURES) for j in range(comps.shape[1])]
+    df = spark.createDataFrame(rows, "variable string, component int, loading double")
+    # Variable names shortened to 10 characters, as in the reference's tables.
+    return df.withColumn("variable", F.left(F.col("variable"), F.lit(10)))
+
+
+@register("pca_sensitivity", stage="model")
+def q_pca_sensitivity(spark, sf_dir):
+    res = pca_sensitivity(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ns=(2, 3, 4, 5), k=6, seed=0)
+    best = max(res, key=lambda t: t[1])[0]
+    return spark.createDataFrame([(n, s, n == best) for n, s in res],
+                                 "n_components int, silhouette double, is_best boolean")
+
+
+@register("subset_sensitivity", stage="model")
+def q_subset_sensitivity(spark, sf_dir):
+    res = subset_sensitivity(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, size=4, n_components=2,
+                             k=4, seed=42)
+    return spark.createDataFrame([(",".join(sub), s, i + 1) for i, (sub, s) in enumerate(res)],
+                                 "subset string, silhouette double, rank int")
+
+
+@register("pair_kmeans", stage="model")
+def q_pair_kmeans(spark, sf_dir):
+    pairs = [(UP_FEATURES[a], UP_FEATURES[b]) for a, b in PAIR_POSITIONS]
+    res = pair_kmeans(user_panel_z(spark, sf_dir), pairs, k=3, seed=42)
+    rows = [(f"{x}|{y}", c, float(cen[c][0]), float(cen[c][1])) for (x, y), cen in res for c in range(len(cen))]
+    return spark.createDataFrame(rows, "pair string, cluster int, cx double, cy double")
+
+
+@register("iforest_scores", stage="model")
+def q_iforest_scores(spark, sf_dir):
+    out = isolation_forest(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, contamination=0.05, seed=42)
+    return out.select("user_id", "score", "decision")
+
+
+@register("iforest_flag", stage="model")
+def q_iforest_flag(spark, sf_dir):
+    out = isolation_forest(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, contamination=0.05, seed=42)
+    return out.select("user_id", "decision", "is_anomalous")
+
+
+@register("loo_importance", stage="model")
+def q_loo_importance(spark, sf_dir):
+    imp = leave_one_out_importance(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, seed=42)
+    return imp.orderBy(F.col("importance").desc(), "feature")
+
+
+@register("exclude_and_label", stage="model", sql="""
+SELECT vec_id, CASE WHEN label < 8 THEN CAST(label AS VARCHAR) ELSE 'Anomalo' END AS cluster_label
+FROM embeddings
+""")
+def q_exclude_and_label(spark, sf_dir):
+    emb = tables(spark, sf_dir)["embeddings"]
+    kept = emb.filter(F.col("label") < 8).select("vec_id", F.col("label").cast("string").alias("cluster_label"))
+    return attach_labels(emb.select("vec_id"), kept, "vec_id", "cluster_label", default="Anomalo")
+
+
+@register("stratified_split", stage="model", sql="""
+SELECT vec_id, label,
+       CASE WHEN row_number() OVER (PARTITION BY label ORDER BY vec_id)
+                 <= ROUND(COUNT(*) OVER (PARTITION BY label) * 0.2) THEN 1 ELSE 0 END AS is_test
+FROM embeddings
+""")
+def q_stratified_split(spark, sf_dir):
+    emb = tables(spark, sf_dir)["embeddings"].select("vec_id", "label")
+    return stratified_split(emb, "vec_id", "label", 0.2, seed=None)
+
+
+@register("stratified_folds", stage="model", sql="""
+SELECT vec_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) % 5 AS INTEGER) AS fold
+FROM embeddings
+""")
+def q_stratified_folds(spark, sf_dir):
+    emb = tables(spark, sf_dir)["embeddings"].select("vec_id", "label")
+    return stratified_folds(emb, "vec_id", "label", 5, seed=None)
+
+
+_REPORT_SQL = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+u AS (SELECT vec_id, label, unnest(range(1, len(f) + 1)) AS i, unnest(f) AS v FROM e),
+c AS (SELECT label AS cl, i, AVG(v) AS m FROM u GROUP BY 1, 2),
+d AS (SELECT u.vec_id, u.label, c.cl, SUM((u.v - c.m) * (u.v - c.m)) AS d2
+      FROM u JOIN c ON u.i = c.i GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cl) AS rn FROM d),
+p AS (SELECT CAST(label AS VARCHAR) AS label, CAST(cl AS VARCHAR) AS pred FROM r WHERE rn = 1),
+cls AS (SELECT label AS c FROM p UNION SELECT pred FROM p),
+cnt AS (SELECT c, COUNT(*) FILTER (WHERE label = c AND pred = c) AS tp,
+               COUNT(*) FILTER (WHERE label = c) AS support,
+               COUNT(*) FILTER (WHERE pred = c) AS npred
+        FROM cls, p GROUP BY c),
+pr AS (SELECT c, tp, support,
+              COALESCE(tp::DOUBLE / NULLIF(npred, 0), 0) AS precision,
+              COALESCE(tp::DOUBLE / NULLIF(support, 0), 0) AS recall FROM cnt),
+per AS (SELECT c AS class, precision, recall,
+               COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1, support, tp FROM pr)
+SELECT class, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1, support FROM per
+UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6), ROUND(AVG(recall), 6), ROUND(AVG(f1), 6), SUM(support)
+          FROM per
+UNION ALL SELECT 'weighted avg', ROUND(SUM(precision * support) / SUM(support), 6),
+                 ROUND(SUM(recall * support) / SUM(support), 6), ROUND(SUM(f1 * support) / SUM(support), 6),
+                 SUM(support) FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp)::DOUBLE / SUM(support), 6), SUM(support) FROM per
+"""
+
+
+@register("classification_report", stage="model", sql=_REPORT_SQL)
+def q_classification_report(spark, sf_dir):
+    emb = embeddings(spark, sf_dir)
+    pred = nearest_centroid(emb, "features", _emb_centres(spark, sf_dir), "label", "centre", out="nearest",
+                            id_col="vec_id")
+    rep = classification_report(pred, "label", "nearest")
+    return rep.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
+                      F.col("support").cast("long").alias("support"))
+
+
+def _emb_z(spark, sf_dir):
+    return zscore_array(embeddings(spark, sf_dir), "features")
+
+
+def _emb_feature_names(spark, sf_dir):
+    dim = tables(spark, sf_dir)["embeddings"].select(F.size("embedding").alias("d")).first()["d"]
+    return [f"e{i}" for i in range(dim)]
+
+
+@register("logit_fit", stage="model")
+def q_logit_fit(spark, sf_dir):
+    z = _emb_z(spark, sf_dir)
+    model, classes = fit_logit(z, "features", "label")
+    return predict_logit(z, model, classes, "features").select("vec_id", "label", "prediction")
+
+
+@register("logit_coefficients", stage="model")
+def q_logit_coefficients(spark, sf_dir):
+    model, classes = fit_logit(_emb_z(spark, sf_dir), "features", "label")
+    return coefficient_table(spark, model, classes, _emb_feature_names(spark, sf_dir))
+
+
+@register("odds_ratios", stage="model")
+def q_odds_ratios(spark, sf_dir):
+    model, classes = fit_logit(_emb_z(spark, sf_dir), "features", "label")
+    coef = coefficient_table(spark, model, classes, _emb_feature_names(spark, sf_dir))
+    return coef.select("class", "feature", F.exp("coefficient").alias("odds_ratio"))
+
+
+@register("cv_accuracy", stage="model")
+def q_cv_accuracy(spark, sf_dir):
+    accs, oof = cross_validate(_emb_z(spark, sf_dir), "vec_id", "features", "label", k=5, seed=42)
+    oof.unpersist()
+    import statistics
+    rows = [(str(i), a) for i, a in enumerate(accs)]
+    rows += [("mean", float(statistics.fmean(accs))), ("std", float(statistics.pstdev(accs)))]
+    return spark.createDataFrame(rows, "fold string, accuracy double")
+
+
+@register("oof_weighted", stage="model")
+def q_oof_weighted(spark, sf_dir):
+    _, oof = cross_validate(_emb_z(spark, sf_dir), "vec_id", "features", "label", k=5, seed=42)
+    return weighted_scores(oof, "label", "prediction")
