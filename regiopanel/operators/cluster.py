@@ -43,9 +43,13 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, m
                tol: float = 1e-4):
     """Fit k-means on the given columns; return (model, centres in canonical order, cost)."""
     from pyspark.ml.clustering import KMeans
-    data = assemble(df.select(*features), features)
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features",
-                   predictionCol="_pred").fit(data)
+    # k-means iterates over its input: keep the assembled vectors for the fit only.
+    data = assemble(df.select(*features), features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features",
+                       predictionCol="_pred").fit(data)
+    finally:
+        data.unpersist()
     centres = np.array([np.asarray(c) for c in model.clusterCenters()])
     order = canonical_order(centres)
     return model, centres[order], float(model.summary.trainingCost), order
