@@ -165,7 +165,7 @@ def coefficient_table(spark, model, classes: Sequence[str], feature_names: Seque
 
 
 def cross_validate(df: DataFrame, id_col: str, features: str | Sequence[str], label_col: str, k: int = 5,
-                   seed: int | None = 42, max_iter: int = 1000, parallelism: int = 4):
+                   seed: int | None = 42, max_iter: int = 1000, parallelism: int | None = None):
     """Stratified k-fold: fit on k-1 folds, predict the held-out fold.
 
     Returns (per-fold accuracy list, out-of-fold predictions DataFrame).
@@ -181,7 +181,7 @@ def cross_validate(df: DataFrame, id_col: str, features: str | Sequence[str], la
         return held.select(id_col, F.col(label_col).cast("string").alias(label_col), "prediction",
                            F.lit(f).alias("fold"))
     try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or max(1, min(k, df.sparkSession.sparkContext.defaultParallelism))) as pool:
             parts = list(pool.map(one, range(k)))
         oof = parts[0]
         for p in parts[1:]:

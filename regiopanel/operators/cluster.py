@@ -11,6 +11,7 @@ independent fits from a small thread pool.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -39,14 +40,31 @@ def relabel(pred: Column, mapping: dict[int, int]) -> Column:
     return expr
 
 
+def sweep_parallelism(spark, n_fits: int) -> int:
+    """Threads for independent fits: the cluster's default parallelism, at most one per fit."""
+    return max(1, min(n_fits, spark.sparkContext.defaultParallelism))
+
+
 def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, max_iter: int = 300,
                tol: float = 1e-4):
-    """Fit k-means on the given columns; return (model, centres in canonical order, cost)."""
+    """Fit k-means on the given columns; return (model, centres in canonical order, cost, order).
+
+    ``tol`` has sklearn's meaning: relative to the mean feature variance, on
+    the summed squared centre shift. Spark stops when every centre moves less
+    than its (absolute) tol, so it gets ``sqrt(tol * mean_var / k)``, which
+    implies the sklearn criterion.
+    """
     from pyspark.ml.clustering import KMeans
     # k-means iterates over its input: keep the assembled vectors for the fit only.
     data = assemble(df.select(*features), features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features",
+        from pyspark.ml.stat import Summarizer
+        var = data.agg(Summarizer.variance(F.col("features")).alias("v"),
+                       F.count(F.lit(1)).alias("n")).first()
+        n = max(int(var["n"]), 1)
+        mean_var = float(np.mean(np.asarray(var["v"]))) * (n - 1) / n if n > 1 else 0.0
+        eps = math.sqrt(tol * mean_var / k) if mean_var > 0 else 1e-12
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="features",
                        predictionCol="_pred").fit(data)
     finally:
         data.unpersist()
@@ -66,7 +84,7 @@ def kmeans_labels(df: DataFrame, features: Sequence[str], k: int, seed: int = 42
 
 
 def elbow_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int] = tuple(range(1, 11)),
-                seed: int = 42, parallelism: int = 4) -> list[tuple[int, float]]:
+                seed: int = 42, parallelism: int | None = None) -> list[tuple[int, float]]:
     """Inertia for each k. k = 1 is ``n * sum var_pop`` (Spark's KMeans needs k >= 2)."""
     data = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -74,7 +92,7 @@ def elbow_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int] = tupl
             if k == 1:
                 return 1, float(total_inertia(data, features).first()["inertia"])
             return k, fit_kmeans(data, features, k, seed)[2]
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(ks))) as pool:
             return sorted(pool.map(one, ks))
     finally:
         data.unpersist()
@@ -144,7 +162,7 @@ def pca_scores(df: DataFrame, pca: dict, prefix: str = "pc", keep: Sequence[str]
 
 
 def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Sequence[int] = (2, 3, 4, 5),
-                    k: int = 6, seed: int = 0, parallelism: int = 4) -> list[tuple[int, float]]:
+                    k: int = 6, seed: int = 0, parallelism: int | None = None) -> list[tuple[int, float]]:
     """Silhouette of k-means on the first n components, for each n (exact silhouette).
 
     All candidate labellings are scored by ONE silhouette job, grouped by n.
@@ -161,7 +179,7 @@ def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Seq
             labelled, _, _ = kmeans_labels(sc, pcs, k, seed)
             return labelled.select(F.lit(n).alias("n_components"), id_col, "cluster",
                                    F.array(*pcs).alias("f"))
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(ns))) as pool:
             parts = list(pool.map(one, ns))
         allp = parts[0]
         for p in parts[1:]:
@@ -175,7 +193,7 @@ def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Seq
 
 def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size: int = 4,
                        n_components: int = 2, k: int = 4, seed: int = 42,
-                       parallelism: int = 4) -> list[tuple[tuple[str, ...], float]]:
+                       parallelism: int | None = None) -> list[tuple[tuple[str, ...], float]]:
     """PCA + k-means silhouette for every ``size``-subset of the features.
 
     One covariance pass serves all subsets (a PCA of a subset is the eigen-
@@ -195,7 +213,7 @@ def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size
             pcs = [f"pc{j + 1}" for j in range(n_components)]
             labelled, _, _ = kmeans_labels(sc, pcs, k, seed)
             return labelled.select(F.lit(sid).alias("subset_id"), id_col, "cluster", F.array(*pcs).alias("f"))
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(subsets))) as pool:
             parts = list(pool.map(one, enumerate(subsets)))
         allp = parts[0]
         for p in parts[1:]:
@@ -209,14 +227,14 @@ def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size
 
 
 def pair_kmeans(df: DataFrame, pairs: Sequence[tuple[str, str]], k: int = 3, seed: int = 42,
-                parallelism: int = 4) -> list[tuple[tuple[str, str], np.ndarray]]:
+                parallelism: int | None = None) -> list[tuple[tuple[str, str], np.ndarray]]:
     """k-means on each pair of variables; canonical centres per pair."""
     cols = sorted({c for p in pairs for c in p})
     data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def one(pair):
             return pair, fit_kmeans(data, list(pair), k, seed)[1]
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(pairs))) as pool:
             return list(pool.map(one, pairs))
     finally:
         data.unpersist()

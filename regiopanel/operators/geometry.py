@@ -98,7 +98,7 @@ def nearest_centroid(points: DataFrame, feats: str, centres: DataFrame, cid: str
     blocks = (centres.select(F.pmod(F.xxhash64(cid), F.lit(nb)).alias("_blk"),
                              F.struct(F.col(cid).cast("int").alias("cid"), F.col(cfeats).alias("c")).alias("_ct"))
               .groupBy("_blk").agg(F.collect_list("_ct").alias("_cents")))
-    pts = points.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).cast("long"))
+    pts = points.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
     j = pts.join(blocks, "_blk", "inner").withColumn(
         "_best", F.array_min(F.transform("_cents", lambda ct: F.struct(_sqdist(F.col(feats), ct["c"]).alias("d"),
                                                                         ct["cid"].alias("cid")))))
