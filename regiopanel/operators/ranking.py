@@ -7,6 +7,11 @@ is split over many partitions, each partition ranks its slice locally, and
 a tiny per-(partition, group) count table turns local positions into exact
 global ranks. Only that count table (at most partitions + groups rows) is
 windowed; it is joined back by key (AQE broadcasts it when it is small).
+
+The range-partitioned rows are written once with a reliable ``checkpoint()``
+(to the cluster's ``spark.checkpoint.dir``): both the count pass and the
+ranking pass read that copy, so there is exactly one shuffle of the data, the
+position columns are fixed, and a lost executor does not force a re-shuffle.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regiopanel.session import ensure_checkpoint_dir
+
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -41,6 +48,8 @@ def group_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
     s = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id())
          .withColumn("_pid", F.spark_partition_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    s = s.checkpoint(eager=True)
     stats = s.groupBy("_pid", *group_cols).agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group_cols).orderBy("_pid")
     stats = stats.withColumn(
