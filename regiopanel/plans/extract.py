@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from regiopanel.functions.expr import (code_prefix_filter, count_when, flag_sum, guarded_ratio,
                                        padded_code, recode, rounded, year_range_filter)
-from regiopanel.operators.reshape import (carry_forward, replicate_date_series, replicate_years,
-                                          union_distinct, unpivot_columns)
+from regiopanel.operators.reshape import (carry_forward, replicate_date_series, replicate_values,
+                                          replicate_years, union_distinct, unpivot_columns)
 from regiopanel.operators.rollup import (conditional_counts, conditional_sums, keyed_rollup,
                                          max_pivot, yearly_sum)
 from regiopanel.plans.fixtures import (CODE_PREFIX, FIRST_YEAR, LAST_YEAR, lineitem_keyed,
@@ -176,16 +176,22 @@ def q_max_pivot_coalesce(spark, sf_dir):
 
 
 @register("group_by_prefix", sql=f"""
-SELECT left({CODE_SQL}, 4) AS code_prefix, COUNT(*) AS n_rows, SUM(l_quantity) AS total_qty,
-       ROUND(SUM(l_extendedprice), 6) AS total_price
-FROM lineitem GROUP BY 1
+WITH g AS (
+  SELECT left({CODE_SQL}, 4) AS code_prefix, COUNT(*) AS n_rows, SUM(l_quantity) AS total_qty,
+         ROUND(SUM(l_extendedprice), 6) AS total_price
+  FROM lineitem GROUP BY 1)
+SELECT code_prefix, CAST(y.year AS INTEGER) AS year, n_rows, total_qty, total_price
+FROM g, LATERAL (VALUES (1996), (1997), (1998), (1999), (2000)) y(year)
 """)
 def q_group_by_prefix(spark, sf_dir):
     li = tables(spark, sf_dir)["lineitem"]
     out = keyed_rollup(li, [F.left(padded_code("l_suppkey"), F.lit(4)).alias("code_prefix")], {
         "n_rows": F.count(F.lit(1)), "total_qty": F.sum("l_quantity"),
         "total_price": F.sum("l_extendedprice")})
-    return out.withColumn("total_price", rounded("total_price"))
+    out = out.withColumn("total_price", rounded("total_price"))
+    # The static total is repeated for each study year (the reference's LATERAL VALUES list).
+    years = replicate_values(out, list(range(FIRST_YEAR, LAST_YEAR + 1)), "year")
+    return years.select("code_prefix", "year", "n_rows", "total_qty", "total_price")
 
 
 def _asia_suppliers(spark, sf_dir):

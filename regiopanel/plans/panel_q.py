@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regiopanel.functions.expr import padded_code, year_range_filter
-from regiopanel.operators.panel import column_profile, merge_panel, source_profile
+from regiopanel.operators.panel import column_profile, merge_panel, rename_columns, source_profile
 from regiopanel.operators.rollup import yearly_sum
 from regiopanel.plans.fixtures import FIRST_YEAR, LAST_YEAR, tables
 from regiopanel.plans.registry import QUERIES, STAGE, register
@@ -30,6 +30,14 @@ d AS (SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year, COUNT(*) AS n_sparse
 """
 
 
+# Per-source rename map to the panel vocabulary (the reference keeps
+# one such map per source because each names its code and year columns differently).
+RENAME = {
+    "orders": {"dane_code": "code", "anio": "year", "conteo": "n_orders"},
+    "sparse": {"cod_mpio": "code", "year_of_incident": "year"},
+}
+
+
 def panel_sources(spark, sf_dir):
     """Four (code, year) sources of different density, each unique on its keys."""
     t = tables(spark, sf_dir)
@@ -39,11 +47,13 @@ def panel_sources(spark, sf_dir):
     return {
         "qty_all": yearly_sum(li, code, year, "l_quantity", out="qty_all"),
         "qty_r": yearly_sum(li, code, year, "l_quantity", where=F.col("l_returnflag") == "R", out="qty_r"),
-        "orders": od.groupBy(padded_code("o_custkey").alias("code"), F.year("o_orderdate").alias("year"))
-                    .agg(F.count(F.lit(1)).alias("n_orders")),
-        "sparse": li.filter((F.col("l_quantity") == 50) & (F.col("l_discount") >= 0.09))
-                    .groupBy(code.alias("code"), year.alias("year"))
-                    .agg(F.count(F.lit(1)).alias("n_sparse")),
+        "orders": rename_columns(
+            od.groupBy(padded_code("o_custkey").alias("dane_code"), F.year("o_orderdate").alias("anio"))
+              .agg(F.count(F.lit(1)).alias("conteo")), RENAME["orders"]),
+        "sparse": rename_columns(
+            li.filter((F.col("l_quantity") == 50) & (F.col("l_discount") >= 0.09))
+              .groupBy(code.alias("cod_mpio"), year.alias("year_of_incident"))
+              .agg(F.count(F.lit(1)).alias("n_sparse")), RENAME["sparse"]),
     }
 
 
@@ -102,4 +112,8 @@ def q_csv_roundtrip(spark, sf_dir):
 @register("export_status", stage="panel")
 def q_export_status(spark, sf_dir):
     builders = {n: (lambda fn=fn: fn(spark, sf_dir)) for n, fn in QUERIES.items() if STAGE[n] == "extract"}
-    return run_export(spark, builders, scratch_path(spark, "export")).drop("path")
+    # Every result is exported ordered by its leading key columns, like the reference's ORDER BY.
+    keys = {n: [c for c in ("code", "code_prefix", "custkey", "nationkey", "user_id", "year")]
+            for n in builders}
+    return run_export(spark, builders, scratch_path(spark, "export"), sort_keys=keys,
+                      sort_keys_present_only=True).drop("path")

@@ -38,3 +38,16 @@ def test_export_reports_failures_and_goes_on(spark):
     status = {r.name: r for r in run_export(spark, {"good": good, "bad": bad}, scratch_path(spark, "exp")).collect()}
     assert status["good"].ok and status["good"].row_count == 3
     assert not status["bad"].ok and "boom" in status["bad"].error
+
+
+def test_saved_labels_reload_as_strings(spark):
+    """A saved model result is re-read as the next stage's input; labels stay text ('Anomalo')."""
+    from regiopanel.operators.cluster import attach_labels
+    full = spark.createDataFrame([(1, 0.5), (2, 1.5), (3, 9.0)], "id long, x double")
+    kept = spark.createDataFrame([(1, 0), (2, 1)], "id long, cluster int")
+    labelled = attach_labels(full, kept, "id", "cluster")
+    path = scratch_path(spark, "labels-csv")
+    write_csv(labelled, path)
+    back = read_csv(spark, path, schema_of(labelled))
+    assert dict(back.dtypes)["cluster"] == "string"
+    assert {r.id: r.cluster for r in back.collect()} == {1: "0", 2: "1", 3: "Anomalo"}
