@@ -158,12 +158,13 @@ pr AS (SELECT c, tp, support,
 per AS (SELECT c AS class, precision, recall,
                COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1, support, tp FROM pr)
 SELECT class, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1, support FROM per
-UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6), ROUND(AVG(recall), 6), ROUND(AVG(f1), 6), SUM(support)
-          FROM per
+UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6), ROUND(AVG(recall), 6), ROUND(AVG(f1), 6),
+                 CAST(SUM(support) AS BIGINT) FROM per
 UNION ALL SELECT 'weighted avg', ROUND(SUM(precision * support) / SUM(support), 6),
                  ROUND(SUM(recall * support) / SUM(support), 6), ROUND(SUM(f1 * support) / SUM(support), 6),
-                 SUM(support) FROM per
-UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp)::DOUBLE / SUM(support), 6), SUM(support) FROM per
+                 CAST(SUM(support) AS BIGINT) FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp)::DOUBLE / SUM(support), 6), CAST(SUM(support) AS BIGINT)
+          FROM per
 """
 
 
