@@ -13,9 +13,9 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +40,6 @@ def relabel(pred: Column, mapping: dict[int, int]) -> Column:
     return expr
 
 
-def sweep_parallelism(spark, n_fits: int) -> int:
-    """Threads for independent fits: the cluster's default parallelism, at most one per fit."""
-    return max(1, min(n_fits, spark.sparkContext.defaultParallelism))
-
-
 def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, max_iter: int = 300,
                tol: float = 1e-4):
     """Fit k-means on the given columns; return (model, centres in canonical order, cost, order).
@@ -83,19 +78,20 @@ def kmeans_labels(df: DataFrame, features: Sequence[str], k: int, seed: int = 42
     return labelled, centres, cost
 
 
-def elbow_sweep(df: DataFrame, features: Sequence[str], ks: Sequence[int] = tuple(range(1, 11)),
-                seed: int = 42, parallelism: int | None = None) -> list[tuple[int, float]]:
-    """Inertia for each k. k = 1 is ``n * sum var_pop`` (Spark's KMeans needs k >= 2)."""
-    data = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def one(k: int) -> tuple[int, float]:
-            if k == 1:
-                return 1, float(total_inertia(data, features).first()["inertia"])
-            return k, fit_kmeans(data, features, k, seed)[2]
-        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(ks))) as pool:
-            return sorted(pool.map(one, ks))
-    finally:
-        data.unpersist()
+def elbow_sweep(df: DataFrame, id_col: str, features: Sequence[str], ks: Sequence[int] = tuple(range(1, 11)),
+                seed: int = 42) -> list[tuple[int, float]]:
+    """Inertia for each k; all k >= 2 fitted together (one data pass per iteration).
+
+    k = 1 is ``n * sum var_pop`` (the one-cluster inertia, no fit needed).
+    """
+    out = []
+    fit_ks = [k for k in ks if k >= 2]
+    if fit_ks:
+        res = kmeans_sweep(df, id_col, [SweepModel(k, features, k) for k in fit_ks], seed)
+        out += [(k, res[k]["cost"]) for k in fit_ks]
+    if 1 in ks:
+        out.append((1, float(total_inertia(df, features).first()["inertia"])))
+    return sorted(out)
 
 
 # ---------------------------------------------------------------------------
@@ -148,8 +144,8 @@ def fit_pca(df: DataFrame, features: Sequence[str], k: int) -> dict:
             "features": list(features)}
 
 
-def pca_scores(df: DataFrame, pca: dict, prefix: str = "pc", keep: Sequence[str] = ()) -> DataFrame:
-    """Centred scores as a narrow projection with the loadings inlined as literals."""
+def pca_exprs(pca: dict) -> list[Column]:
+    """Centred score expressions ``(x - mean) . V[:, j]`` with the loadings as literals."""
     comps, mean, feats = pca["components"], pca["mean"], pca["features"]
     cols = []
     for j in range(comps.shape[1]):
@@ -157,87 +153,79 @@ def pca_scores(df: DataFrame, pca: dict, prefix: str = "pc", keep: Sequence[str]
         for i, c in enumerate(feats):
             term = (F.col(c) - F.lit(float(mean[i]))) * F.lit(float(comps[i, j]))
             expr = term if expr is None else expr + term
-        cols.append(expr.alias(f"{prefix}{j + 1}"))
-    return df.select(*keep, *cols)
+        cols.append(expr)
+    return cols
+
+
+def pca_scores(df: DataFrame, pca: dict, prefix: str = "pc", keep: Sequence[str] = ()) -> DataFrame:
+    """Centred scores as a narrow projection with the loadings inlined as literals."""
+    return df.select(*keep, *[e.alias(f"{prefix}{j + 1}") for j, e in enumerate(pca_exprs(pca))])
+
+
+def _sweep_silhouettes(data: DataFrame, id_col: str, group: str, specs, fits) -> dict:
+    """Exact silhouette of every fitted model in ONE job (models are a group key)."""
+    parts = []
+    for m in specs:
+        view = data.select(F.lit(m.key).alias(group), id_col, m.column().alias("f"))
+        parts.append(assign_clusters(view, F.col("f"), fits[m.key]["centres"]))
+    allp = parts[0]
+    for p in parts[1:]:
+        allp = allp.unionByName(p)
+    sil = silhouette_samples(allp, id_col, "cluster", "f", group_cols=[group])
+    return {r[group]: float(r["s"]) for r in sil.groupBy(group).agg(F.avg("silhouette").alias("s")).collect()}
 
 
 def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Sequence[int] = (2, 3, 4, 5),
-                    k: int = 6, seed: int = 0, parallelism: int | None = None) -> list[tuple[int, float]]:
+                    k: int = 6, seed: int = 0) -> list[tuple[int, float]]:
     """Silhouette of k-means on the first n components, for each n (exact silhouette).
 
-    All candidate labellings are scored by ONE silhouette job, grouped by n.
+    One covariance pass serves every n, the k-means models share each data
+    pass, and one silhouette job scores all of them.
     """
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mean, cov, _ = covariance(data, features)
-
-        def one(n: int) -> DataFrame:
+        specs = []
+        for n in ns:
             comps, _ = pca_from_cov(cov, n)
-            sc = pca_scores(data, {"components": comps, "mean": mean, "features": list(features)},
-                            keep=[id_col])
-            pcs = [f"pc{j + 1}" for j in range(n)]
-            labelled, _, _ = kmeans_labels(sc, pcs, k, seed)
-            return labelled.select(F.lit(n).alias("n_components"), id_col, "cluster",
-                                   F.array(*pcs).alias("f"))
-        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(ns))) as pool:
-            parts = list(pool.map(one, ns))
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        sil = silhouette_samples(allp, id_col, "cluster", "f", group_cols=["n_components"])
-        rows = sil.groupBy("n_components").agg(F.avg("silhouette").alias("s")).collect()
-        return sorted((int(r["n_components"]), float(r["s"])) for r in rows)
+            specs.append(SweepModel(int(n), features, k, mean, comps))
+        fits = kmeans_sweep(data, id_col, specs, seed)
+        sil = _sweep_silhouettes(data, id_col, "n_components", specs, fits)
+        return sorted((int(n), sil[n]) for n in sil)
     finally:
         data.unpersist()
 
 
 def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size: int = 4,
-                       n_components: int = 2, k: int = 4, seed: int = 42,
-                       parallelism: int | None = None) -> list[tuple[tuple[str, ...], float]]:
+                       n_components: int = 2, k: int = 4, seed: int = 42) -> list[tuple[tuple[str, ...], float]]:
     """PCA + k-means silhouette for every ``size``-subset of the features.
 
     One covariance pass serves all subsets (a PCA of a subset is the eigen-
-    decomposition of its covariance sub-matrix); one silhouette job scores all.
+    decomposition of its covariance sub-matrix); the k-means fits share each
+    data pass; one silhouette job scores all subsets.
     """
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mean, cov, _ = covariance(data, features)
         subsets = list(itertools.combinations(range(len(features)), size))
-
-        def one(item):
-            sid, subset = item
-            sub = [features[i] for i in subset]
+        specs = []
+        for sid, subset in enumerate(subsets):
             comps, _ = pca_from_cov(cov[np.ix_(subset, subset)], n_components)
-            sc = pca_scores(data, {"components": comps, "mean": mean[list(subset)], "features": sub},
-                            keep=[id_col])
-            pcs = [f"pc{j + 1}" for j in range(n_components)]
-            labelled, _, _ = kmeans_labels(sc, pcs, k, seed)
-            return labelled.select(F.lit(sid).alias("subset_id"), id_col, "cluster", F.array(*pcs).alias("f"))
-        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(subsets))) as pool:
-            parts = list(pool.map(one, enumerate(subsets)))
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        sil = silhouette_samples(allp, id_col, "cluster", "f", group_cols=["subset_id"])
-        rows = sil.groupBy("subset_id").agg(F.avg("silhouette").alias("s")).collect()
-        res = [(tuple(features[i] for i in subsets[int(r["subset_id"])]), float(r["s"])) for r in rows]
+            specs.append(SweepModel(sid, [features[i] for i in subset], k, mean[list(subset)], comps))
+        fits = kmeans_sweep(data, id_col, specs, seed)
+        sil = _sweep_silhouettes(data, id_col, "subset_id", specs, fits)
+        res = [(tuple(features[i] for i in subsets[sid]), s) for sid, s in sil.items()]
         return sorted(res, key=lambda t: (-t[1], t[0]))
     finally:
         data.unpersist()
 
 
-def pair_kmeans(df: DataFrame, pairs: Sequence[tuple[str, str]], k: int = 3, seed: int = 42,
-                parallelism: int | None = None) -> list[tuple[tuple[str, str], np.ndarray]]:
-    """k-means on each pair of variables; canonical centres per pair."""
-    cols = sorted({c for p in pairs for c in p})
-    data = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def one(pair):
-            return pair, fit_kmeans(data, list(pair), k, seed)[1]
-        with ThreadPoolExecutor(parallelism or sweep_parallelism(df.sparkSession, len(pairs))) as pool:
-            return list(pool.map(one, pairs))
-    finally:
-        data.unpersist()
+def pair_kmeans(df: DataFrame, id_col: str, pairs: Sequence[tuple[str, str]], k: int = 3,
+                seed: int = 42) -> list[tuple[tuple[str, str], np.ndarray]]:
+    """k-means on each pair of variables (all pairs share each data pass); canonical centres."""
+    specs = [SweepModel(i, [a, b], k) for i, (a, b) in enumerate(pairs)]
+    fits = kmeans_sweep(df, id_col, specs, seed)
+    return [(pair, fits[i]["centres"]) for i, pair in enumerate(pairs)]
 
 
 # ---------------------------------------------------------------------------
@@ -265,3 +253,226 @@ def exclude_refit_label(df: DataFrame, id_col: str, features: Sequence[str], fla
     pcs = [f"pc{j + 1}" for j in range(n_components)]
     labelled, _, _ = kmeans_labels(scores, pcs, k, seed, out=out)
     return attach_labels(df, labelled.select(id_col, out), id_col, out, default)
+
+
+# ---------------------------------------------------------------------------
+# Many k-means models over one dataset, one data pass per iteration
+
+
+class SweepModel:
+    """One model of a sweep: its points are ``(X[:, cols] - mean) @ proj`` of the base columns.
+
+    ``mean``/``proj`` are None for a plain column subset; a PCA view passes its
+    centring vector and loadings.
+    """
+
+    def __init__(self, key, cols: Sequence[str], k: int, mean: np.ndarray | None = None,
+                 proj: np.ndarray | None = None):
+        self.key, self.cols, self.k = key, list(cols), int(k)
+        self.mean = None if mean is None else np.asarray(mean, dtype=float)
+        self.proj = None if proj is None else np.asarray(proj, dtype=float)
+
+    @property
+    def dim(self) -> int:
+        return len(self.cols) if self.proj is None else self.proj.shape[1]
+
+    def points(self, frame: np.ndarray, index: dict[str, int]) -> np.ndarray:
+        x = frame[:, [index[c] for c in self.cols]]
+        if self.proj is not None:
+            x = (x - self.mean) @ self.proj
+        return x
+
+    def column(self) -> Column:
+        """The same points as an array<double> column expression (for labels downstream)."""
+        cols = [F.col(c).cast("double") for c in self.cols]
+        if self.proj is None:
+            return F.array(*cols)
+        out = []
+        for j in range(self.proj.shape[1]):
+            expr = None
+            for i, c in enumerate(cols):
+                term = (c - F.lit(float(self.mean[i]))) * F.lit(float(self.proj[i, j]))
+                expr = term if expr is None else expr + term
+            out.append(expr)
+        return F.array(*out)
+
+
+def _uniform(ids: np.ndarray, seed: int, model: int, step: int) -> np.ndarray:
+    """Seeded uniform in (0, 1] per row id (splitmix64), independent of partitioning."""
+    with np.errstate(over="ignore"):
+        z = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        z += np.uint64((seed * 1_000_003 + model * 9176 + step) & 0xFFFFFFFFFFFFFFFF)
+        for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            z ^= z >> np.uint64(shift)
+            z *= np.uint64(mult)
+        z ^= z >> np.uint64(31)
+    return ((z >> np.uint64(11)).astype(np.float64) + 1.0) / float(1 << 53)
+
+
+def _sq_dists(p: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return ((p[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+
+
+SHARED_PASS_MIN_ROWS = 200_000  # below this a sweep is bound by job latency, not by scans
+
+
+def _sweep_concurrent(data: DataFrame, models: Sequence[SweepModel], seed: int, max_iter: int,
+                      tol: float) -> dict:
+    """Small inputs: independent Spark ML fits, run concurrently from a thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(m: SweepModel):
+        view = data.select(*[m.column().getItem(j).alias(f"_p{j}") for j in range(m.dim)])
+        _, centres, cost, _ = fit_kmeans(view, [f"_p{j}" for j in range(m.dim)], m.k, seed, max_iter, tol)
+        return m.key, {"centres": centres, "cost": cost, "n_iter": None}
+    threads = max(1, min(len(models), data.sparkSession.sparkContext.defaultParallelism))
+    with ThreadPoolExecutor(threads) as pool:
+        return dict(pool.map(one, models))
+
+
+def kmeans_sweep(df: DataFrame, id_col: str, models: Sequence[SweepModel], seed: int = 42,
+                 max_iter: int = 300, tol: float = 1e-4, shared_pass: bool | None = None) -> dict:
+    """Fit several k-means models on views of the same rows, sharing every data pass.
+
+    ``shared_pass=None`` decides by size: up to ``SHARED_PASS_MIN_ROWS`` rows
+    the sweep is bound by per-job latency, so independent Spark ML fits run
+    concurrently; above it the sweep is bound by scans, so all models share
+    each pass as described below.
+
+    Seeding is k-means++ (D^2 sampling): each step draws one new centre per
+    model (largest ``log(u) / D^2``, u from a seeded hash of the row id) in
+    one pass. Each Lloyd iteration is ONE pass over the rows for all models
+    still moving: every partition assigns its rows with numpy and emits only
+    per (model, cluster) partial sums; a small ``groupBy`` combines them. The
+    driver holds M x k centres. ``tol`` has sklearn's meaning (relative to the
+    mean feature variance, on the summed squared centre shift).
+
+    Returns {key: {"centres": canonical k x d array, "cost": inertia, "n_iter": n}}.
+    """
+    base = sorted({c for m in models for c in m.cols})
+    index = {c: i for i, c in enumerate(base)}
+    data = df.select(F.col(id_col).cast("long").alias("_id"),
+                     *[F.col(c).cast("double").alias(c) for c in base]).persist(StorageLevel.MEMORY_AND_DISK)
+    width = max(m.dim for m in models)
+    sum_cols = ", ".join(f"s{j} double" for j in range(width))
+    step_schema = f"m int, c int, n bigint, d2 double, {sum_cols}"
+    try:
+        if shared_pass is None:
+            shared_pass = data.limit(SHARED_PASS_MIN_ROWS + 1).count() > SHARED_PASS_MIN_ROWS
+        if not shared_pass:
+            return _sweep_concurrent(data, models, seed, max_iter, tol)
+        # Mean feature variance per model for the tolerance: one pass of moments.
+        def moments(it):
+            for pdf in it:
+                x = pdf[base].to_numpy(dtype=float)
+                for mi, m in enumerate(models):
+                    p = m.points(x, index)
+                    row = {"m": mi, "n": len(p), "s": p.sum(0).tolist(), "q": (p * p).sum(0).tolist()}
+                    yield pd.DataFrame([row])
+        mom = data.mapInPandas(moments, "m int, n bigint, s array<double>, q array<double>").toPandas()
+        tol_abs = {}
+        for mi, m in enumerate(models):
+            g = mom[mom["m"] == mi]
+            n = g["n"].sum()
+            s = np.sum(np.stack(g["s"].to_numpy()), 0) if n else np.zeros(m.dim)
+            q = np.sum(np.stack(g["q"].to_numpy()), 0) if n else np.zeros(m.dim)
+            var = q / max(n, 1) - (s / max(n, 1)) ** 2
+            tol_abs[mi] = tol * float(np.mean(np.clip(var, 0.0, None)))
+        # k-means++ seeding, one pass per step for all models.
+        centres: dict[int, list[np.ndarray]] = {mi: [] for mi in range(len(models))}
+        for step in range(max(m.k for m in models)):
+            todo = [mi for mi, m in enumerate(models) if len(centres[mi]) < m.k]
+            if not todo:
+                break
+            current = {mi: np.array(centres[mi]) for mi in todo}
+
+            def seed_step(it, todo=todo, current=current, step=step):
+                for pdf in it:
+                    if pdf.empty:
+                        continue
+                    x = pdf[base].to_numpy(dtype=float)
+                    ids = pdf["_id"].to_numpy()
+                    rows = []
+                    for mi in todo:
+                        p = models[mi].points(x, index)
+                        u = _uniform(ids, seed, mi, step)
+                        if len(current[mi]):
+                            d2 = _sq_dists(p, current[mi]).min(1)
+                            with np.errstate(divide="ignore"):
+                                key = np.where(d2 > 0, np.log(u) / np.where(d2 > 0, d2, 1.0), -np.inf)
+                        else:
+                            key = u
+                        best = int(np.argmax(key))
+                        if np.isfinite(key[best]):
+                            rows.append({"m": mi, "key": float(key[best]), "p": p[best].tolist()})
+                    if rows:
+                        yield pd.DataFrame(rows)
+            cand = data.mapInPandas(seed_step, "m int, key double, p array<double>")
+            picked = cand.groupBy("m").agg(F.max_by("p", "key").alias("p")).collect()
+            got = {r["m"]: np.array(r["p"]) for r in picked}
+            for mi in todo:
+                # Fewer distinct points than k: repeat the last centre.
+                centres[mi].append(got.get(mi, centres[mi][-1] if centres[mi] else np.zeros(models[mi].dim)))
+
+        def lloyd(active: list[int], cur: dict[int, np.ndarray]):
+            def step_fn(it):
+                for pdf in it:
+                    if pdf.empty:
+                        continue
+                    x = pdf[base].to_numpy(dtype=float)
+                    rows = []
+                    for mi in active:
+                        p = models[mi].points(x, index)
+                        d = _sq_dists(p, cur[mi])
+                        lab = d.argmin(1)
+                        mind = d[np.arange(len(p)), lab]
+                        k = cur[mi].shape[0]
+                        sums = np.zeros((k, width))
+                        np.add.at(sums[:, :p.shape[1]], lab, p)
+                        cnt = np.bincount(lab, minlength=k)
+                        d2 = np.bincount(lab, weights=mind, minlength=k)
+                        for c in np.flatnonzero(cnt):
+                            rows.append((mi, int(c), int(cnt[c]), float(d2[c]), *sums[c].tolist()))
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["m", "c", "n", "d2"] + [f"s{j}" for j in range(width)])
+            part = data.mapInPandas(step_fn, step_schema)
+            agg = part.groupBy("m", "c").agg(F.sum("n").alias("n"), F.sum("d2").alias("d2"),
+                                             *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width)])
+            return agg.collect()
+
+        cur = {mi: np.array(centres[mi], dtype=float) for mi in centres}
+        moving = list(range(len(models)))
+        n_iter = {mi: 0 for mi in cur}
+        for _ in range(max_iter):
+            if not moving:
+                break
+            rows = lloyd(moving, cur)
+            still = []
+            new = {mi: cur[mi].copy() for mi in moving}
+            for r in rows:
+                mi = r["m"]
+                new[mi][r["c"]] = np.array([r[f"s{j}"] for j in range(models[mi].dim)]) / r["n"]
+            for mi in moving:
+                n_iter[mi] += 1
+                shift = float(((new[mi] - cur[mi]) ** 2).sum())
+                cur[mi] = new[mi]
+                if shift > tol_abs[mi]:
+                    still.append(mi)
+            moving = still
+        # Inertia of the final centres: one more pass for all models.
+        cost = {mi: 0.0 for mi in cur}
+        for r in lloyd(list(cur), cur):
+            cost[r["m"]] += r["d2"]
+        out = {}
+        for mi, m in enumerate(models):
+            arr = cur[mi]
+            out[m.key] = {"centres": arr[canonical_order(arr)], "cost": float(cost[mi]), "n_iter": n_iter[mi]}
+        return out
+    finally:
+        data.unpersist()
+
+
+def assign_clusters(df: DataFrame, point: Column, centres: np.ndarray, out: str = "cluster") -> DataFrame:
+    """Nearest-centre label (ties to the lower id) as a narrow projection."""
+    from regiopanel.operators.geometry import nearest_of_literals
+    return df.withColumn(out, nearest_of_literals(point, list(enumerate(centres.tolist())))["cid"])

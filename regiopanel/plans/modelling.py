@@ -33,7 +33,7 @@ def q_kmeans_labels(spark, sf_dir):
 
 @register("elbow_sweep", stage="model")
 def q_elbow_sweep(spark, sf_dir):
-    rows = elbow_sweep(user_panel_z(spark, sf_dir), UP_FEATURES, ks=range(1, 11), seed=42)
+    rows = elbow_sweep(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ks=range(1, 11), seed=42)
     return spark.createDataFrame([(k, float(v)) for k, v in rows], "k int, inertia double")
 
 
@@ -86,7 +86,7 @@ def q_subset_sensitivity(spark, sf_dir):
 @register("pair_kmeans", stage="model")
 def q_pair_kmeans(spark, sf_dir):
     pairs = [(UP_FEATURES[a], UP_FEATURES[b]) for a, b in PAIR_POSITIONS]
-    res = pair_kmeans(user_panel_z(spark, sf_dir), pairs, k=3, seed=42)
+    res = pair_kmeans(user_panel_z(spark, sf_dir), "user_id", pairs, k=3, seed=42)
     rows = [(f"{x}|{y}", c, float(cen[c][0]), float(cen[c][1])) for (x, y), cen in res for c in range(len(cen))]
     return spark.createDataFrame(rows, "pair string, cluster int, cx double, cy double")
 

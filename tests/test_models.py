@@ -96,3 +96,27 @@ def test_attach_labels_by_key_and_refit(spark, upz):
     out = exclude_refit_label(flagged, "user_id", UP_FEATURES, "flag", k=4).toPandas()
     assert (out.loc[out["flag"] == 1, "cluster_label"] == "Anomalo").all()
     assert set(out.loc[out["flag"] == 0, "cluster_label"]) <= {"0", "1", "2", "3"}
+
+
+def test_kmeans_sweep_fixed_point_and_cost(spark, upz):
+    from regiopanel.operators.cluster import SweepModel, kmeans_sweep
+    pair = [UP_FEATURES[0], UP_FEATURES[5]]
+    fits = kmeans_sweep(upz, "user_id", [SweepModel("k3", UP_FEATURES, 3), SweepModel("k5", UP_FEATURES, 5),
+                                         SweepModel("pair", pair, 2)], seed=1, tol=1e-9, shared_pass=True)
+    x_all = upz.select(*UP_FEATURES).toPandas().to_numpy()
+    for key, x in (("k3", x_all), ("k5", x_all), ("pair", x_all[:, [0, 5]])):
+        c = fits[key]["centres"]
+        d = ((x[:, None, :] - c[None, :, :]) ** 2).sum(-1)
+        lab = d.argmin(1)
+        assert fits[key]["cost"] == pytest.approx(d.min(1).sum(), rel=1e-9)
+        # converged Lloyd: every centre is the mean of its points
+        for j in range(len(c)):
+            if (lab == j).any():
+                assert np.allclose(c[j], x[lab == j].mean(0), atol=1e-6)
+
+
+def test_kmeans_sweep_small_path_matches_spark_ml(spark, upz):
+    from regiopanel.operators.cluster import SweepModel, kmeans_sweep
+    fits = kmeans_sweep(upz, "user_id", [SweepModel("k3", UP_FEATURES, 3)], seed=42)
+    _, centres, cost = kmeans_labels(upz, UP_FEATURES, k=3, seed=42)
+    assert np.allclose(fits["k3"]["centres"], centres) and fits["k3"]["cost"] == pytest.approx(cost)
