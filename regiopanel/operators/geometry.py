@@ -23,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MAX_INLINE_VALUES = 1_000_000  # k * d bound for inlining centres into the plan
 

@@ -27,14 +27,16 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 UP_FEATURES = [f"n_{t}" for t in EVENT_TYPES] + ["mean_value"]
 EMB6_FEATURES = [f"x{i}" for i in range(6)]
 
-_tables: dict[tuple[int, str], TableSet] = {}
+_tables: dict[str, tuple[SparkSession, TableSet]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> TableSet:
-    key = (id(spark), sf_dir)
-    if key not in _tables:
-        _tables[key] = TableSet(spark, sf_dir)
-    return _tables[key]
+    """Lazily-read tables of one scale directory, reused within the same session only."""
+    hit = _tables.get(sf_dir)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, TableSet(spark, sf_dir))
+        _tables[sf_dir] = hit
+    return hit[1]
 
 
 def lineitem_keyed(spark: SparkSession, sf_dir: str, period: bool = True) -> DataFrame:
