@@ -134,6 +134,10 @@ def fit_forest(df: DataFrame, id_col: str, features: Sequence[str], variants: Se
     sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r")
     # Every variant grows from the same sample (like a refit with the same seed).
     grouped = sample.withColumn("_variant", F.explode(F.sequence(F.lit(0), F.lit(len(variants) - 1))))
+    # Growing trees is CPU work on few bytes: spread the groups over the cluster's
+    # cores instead of letting AQE coalesce them by size (groupBy reuses this partitioning).
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    grouped = grouped.repartition(max(1, min(len(variants) * n_trees, 2 * slots)), "_variant", "_tree")
     by_variant = {i: v for i, v in enumerate(variants)}
     nodes = grouped.groupBy("_variant", "_tree").applyInPandas(_grower(by_variant, max_depth, seed),
                                                                 FOREST_SCHEMA)

@@ -177,8 +177,9 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
     """
     group_cols = list(group_cols)
     pts = df.select(*group_cols, id_col, label_col, F.col(feats).cast("array<double>").alias(feats))
-    sizes = pts.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
+    sizes = pts.groupBy(*group_cols).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
     n_max = int(sizes["m"] or 0)
+    n_groups = int(sizes["g"] or 1)
     m = max(1, math.ceil(n_max / block_size))
     blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(m)).cast("int")
     rng = F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
@@ -189,7 +190,11 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
     schema = ", ".join([f"`{g}` {dict(pts.dtypes)[g]}" for g in group_cols]
                        + [f"`{id_col}` {id_type}", f"`{label_col}` {label_type}", f"_olab {label_type}",
                           "_s double", "_c bigint"])
-    tiles = left.unionByName(right).groupBy(*group_cols, "_bi", "_bj").applyInPandas(
+    # Tiles are CPU work on few bytes: spread them over the cores instead of letting
+    # AQE coalesce them by size (the groupBy reuses this partitioning).
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    both = left.unionByName(right).repartition(max(1, min(n_groups * m * m, 2 * slots)), *group_cols, "_bi", "_bj")
+    tiles = both.groupBy(*group_cols, "_bi", "_bj").applyInPandas(
         _tile_sums(group_cols, id_col, label_col, feats), schema)
     per = tiles.groupBy(*group_cols, id_col, label_col, "_olab").agg(F.sum("_s").alias("_s"),
                                                                      F.sum("_c").alias("_c"))
