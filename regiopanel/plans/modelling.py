@@ -179,7 +179,15 @@ def q_classification_report(spark, sf_dir):
 
 
 def _emb_z(spark, sf_dir):
-    return zscore_array(embeddings(spark, sf_dir), "features")
+    """Features (z-scored embeddings) aligned BY KEY with the saved cluster labels.
+
+    The reference fits the classifier on features from one file and labels from
+    another, matched by row position; here the label table (strings, with
+    'Anomalo' for excluded rows) is joined on the id.
+    """
+    feats = zscore_array(embeddings(spark, sf_dir).select("vec_id", "features"), "features")
+    labels = q_exclude_and_label(spark, sf_dir).withColumnRenamed("cluster_label", "label")
+    return feats.join(labels, "vec_id", "inner")
 
 
 def _emb_feature_names(spark, sf_dir):
