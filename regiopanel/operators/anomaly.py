@@ -200,6 +200,17 @@ def score_forest(df: DataFrame, id_col: str, model: dict, keep: Sequence[str] =
     return data.mapInPandas(run, schema)
 
 
+def _scored_once(scores: DataFrame) -> DataFrame:
+    """Score every row once: the threshold and the decision both read this written copy.
+
+    A reliable checkpoint (in ``spark.checkpoint.dir``) also means a lost
+    executor does not re-run the tree walks.
+    """
+    from regiopanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(scores.sparkSession)
+    return scores.checkpoint(eager=True)
+
+
 def decision_values(scores: DataFrame, contamination: float = 0.05) -> DataFrame:
     """``decision = -score - offset`` with offset the exact contamination percentile of ``-score``.
 
@@ -216,7 +227,7 @@ def isolation_forest(df: DataFrame, id_col: str, features: Sequence[str], contam
                      n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
     """Fit and score: (id, score, decision, is_anomalous)."""
     model = fit_forest(df, id_col, features, n_trees=n_trees, max_samples=max_samples, seed=seed)
-    dec = decision_values(score_forest(df, id_col, model), contamination)
+    dec = decision_values(_scored_once(score_forest(df, id_col, model)), contamination)
     return dec.select(id_col, "score", "decision", "is_anomalous")
 
 
@@ -227,7 +238,7 @@ def leave_one_out_importance(df: DataFrame, id_col: str, features: Sequence[str]
     variants = [list(range(d))] + [[j for j in range(d) if j != i] for i in range(d)]
     model = fit_forest(df, id_col, features, variants=variants, n_trees=n_trees, max_samples=max_samples,
                        seed=seed)
-    dec = decision_values(score_forest(df, id_col, model), contamination)
+    dec = decision_values(_scored_once(score_forest(df, id_col, model)), contamination)
     wide = dec.groupBy(id_col).agg(*[F.max(F.when(F.col("variant") == v, F.col("decision"))).alias(f"d{v}")
                                      for v in range(d + 1)])
     imp = wide.agg(*[F.avg(F.abs(F.col("d0") - F.col(f"d{i + 1}"))).alias(f"i{i}") for i in range(d)])

@@ -246,7 +246,14 @@ def attach_labels(full: DataFrame, labelled: DataFrame, key: str, label_col: str
 def exclude_refit_label(df: DataFrame, id_col: str, features: Sequence[str], flag_col: str,
                         n_components: int = 2, k: int = 4, seed: int = 42, out: str = "cluster_label",
                         default: str = "Anomalo") -> DataFrame:
-    """Drop flagged rows, refit PCA + k-means on the rest, attach labels back to all rows."""
+    """Drop flagged rows, refit PCA + k-means on the rest, attach labels back to all rows.
+
+    The input is read by several fits and by the final join, so its lineage
+    (e.g. an isolation-forest scoring pass) is cut once with a reliable checkpoint.
+    """
+    from regiopanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     kept = df.filter(F.col(flag_col) == 0)
     pca = fit_pca(kept, features, n_components)
     scores = pca_scores(kept, pca, keep=[id_col])

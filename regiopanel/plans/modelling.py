@@ -13,8 +13,9 @@ from regiopanel.operators.anomaly import isolation_forest, leave_one_out_importa
 from regiopanel.operators.classify import (classification_report, coefficient_table, cross_validate,
                                            fit_logit, predict_logit, stratified_folds, stratified_split,
                                            weighted_scores, zscore_array)
-from regiopanel.operators.cluster import (attach_labels, elbow_sweep, fit_pca, kmeans_labels,
-                                          pair_kmeans, pca_scores, pca_sensitivity, subset_sensitivity)
+from regiopanel.operators.cluster import (attach_labels, elbow_sweep, exclude_refit_label, fit_pca,
+                                          kmeans_labels, pair_kmeans, pca_scores, pca_sensitivity,
+                                          subset_sensitivity)
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
@@ -109,6 +110,17 @@ def q_loo_importance(spark, sf_dir):
     return imp.orderBy(F.col("importance").desc(), "feature")
 
 
+@register("exclude_refit_label", stage="model")
+def q_exclude_refit_label(spark, sf_dir):
+    """The reference's final clustering: drop isolation-forest anomalies, refit PCA(2) + k-means(4)
+    on the rest, attach labels back by key with 'Anomalo' for the excluded rows."""
+    z = user_panel_z(spark, sf_dir)
+    flags = isolation_forest(z, "user_id", UP_FEATURES, contamination=0.05, seed=42).select("user_id", "is_anomalous")
+    flagged = z.join(flags, "user_id", "inner")
+    out = exclude_refit_label(flagged, "user_id", UP_FEATURES, "is_anomalous", n_components=2, k=4, seed=42)
+    return out.select("user_id", "is_anomalous", "cluster_label")
+
+
 @register("exclude_and_label", stage="model", sql="""
 SELECT vec_id, CASE WHEN label < 8 THEN CAST(label AS VARCHAR) ELSE 'Anomalo' END AS cluster_label
 FROM embeddings
