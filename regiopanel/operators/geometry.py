@@ -257,3 +257,104 @@ def silhouette_squared(df: DataFrame, label_col: str, feats: str) -> float:
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
     return float(ev.evaluate(data))
+
+
+# ---------------------------------------------------------------------------
+# Exact one-dimensional silhouette in O(n log n)
+
+
+def silhouette_1d(df: DataFrame, id_col: str, label_col: str, value_col: str, group_cols: Sequence[str] = (),
+                  num_partitions: int | None = None, max_labels: int = 1000) -> DataFrame:
+    """Exact Euclidean silhouette of one-dimensional values, without pair distances.
+
+    For x and cluster C, ``sum_j |x - x_j| = 2 (x cnt_C(<=x) - sum_C(<=x)) + sum_C - x n_C``,
+    and rows tied with x may fall on either side of the prefix (they add 0).
+    Rows are range-partitioned on (group, value, id), so hot groups and hot
+    values are split over partitions; per (partition, group, label) counts
+    and sums (at most (partitions + groups) x labels rows) give every
+    partition its starting prefix, and each partition finishes its rows with
+    numpy cumulative sums. One range shuffle, written once by ``checkpoint``.
+    """
+    from regiopanel.session import ensure_checkpoint_dir
+    group_cols = list(group_cols)
+    spark = df.sparkSession
+    labels = [r[0] for r in df.select(label_col).distinct().limit(max_labels + 1).collect()]
+    if len(labels) > max_labels:
+        raise ValueError("too many labels for the one-dimensional silhouette")
+    labels = sorted(labels)
+    lab_index = {v: i for i, v in enumerate(labels)}
+    k = len(labels)
+    p = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*group_cols, value_col, id_col]
+    s = (df.select(*group_cols, id_col, label_col, F.col(value_col).cast("double").alias(value_col))
+         .repartitionByRange(p, *keys).sortWithinPartitions(*keys)
+         .withColumn("_pid", F.spark_partition_id()))
+    ensure_checkpoint_dir(spark)
+    s = s.checkpoint(eager=True)
+    stats = s.groupBy("_pid", *group_cols, label_col).agg(F.count(F.lit(1)).alias("n"),
+                                                          F.sum(value_col).alias("v")).collect()
+    # Prefix (count, sum) per label before each (partition, group), and totals per group.
+    per: dict[tuple, dict[int, np.ndarray]] = {}
+    for r in stats:
+        g = tuple(r[c] for c in group_cols)
+        per.setdefault(g, {}).setdefault(r["_pid"], np.zeros((2, k)))[:, lab_index[r[label_col]]] += (r["n"], r["v"])
+    start: dict[tuple, np.ndarray] = {}
+    totals: dict[tuple, np.ndarray] = {}
+    for g, parts in per.items():
+        acc = np.zeros((2, k))
+        for pid in sorted(parts):
+            start[(pid, g)] = acc.copy()
+            acc = acc + parts[pid]
+        totals[g] = acc
+    bc = spark.sparkContext.broadcast({"start": start, "totals": totals, "labels": lab_index})
+    dtypes = dict(s.dtypes)
+    schema = ", ".join([f"`{c}` {dtypes[c]}" for c in group_cols]
+                       + [f"`{id_col}` {dtypes[id_col]}", f"`{label_col}` {dtypes[label_col]}",
+                          "a double", "b double", "silhouette double"])
+
+    def run(batches):
+        m = bc.value
+        carry: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            gkeys = list(zip(*[pdf[c] for c in group_cols])) if group_cols else [()] * len(pdf)
+            lab = np.array([m["labels"][v] for v in pdf[label_col]])
+            x = pdf[value_col].to_numpy(dtype=float)
+            out_a = np.empty(len(pdf))
+            out_b = np.empty(len(pdf))
+            out_s = np.empty(len(pdf))
+            gser = pd.Series(gkeys)
+            for g, idx in gser.groupby(gser, sort=False).indices.items():
+                g = g if isinstance(g, tuple) else (g,)
+                idx = np.asarray(idx)
+                base = carry.get(g)
+                if base is None:
+                    base = m["start"].get((pid, g), np.zeros((2, len(m["labels"])))).copy()
+                onehot = np.zeros((len(idx), base.shape[1]))
+                onehot[np.arange(len(idx)), lab[idx]] = 1.0
+                cnt = base[0] + np.cumsum(onehot, axis=0)
+                sm = base[1] + np.cumsum(onehot * x[idx, None], axis=0)
+                carry[g] = np.vstack([cnt[-1], sm[-1]])
+                tot = m["totals"][g]
+                xi = x[idx, None]
+                dist = 2.0 * (xi * cnt - sm) + tot[1][None, :] - xi * tot[0][None, :]
+                own = lab[idx]
+                n_own = tot[0][own]
+                rows = np.arange(len(idx))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    a = np.where(n_own > 1, dist[rows, own] / (n_own - 1), np.nan)
+                    mean_other = np.where(tot[0][None, :] > 0, dist / tot[0][None, :], np.inf)
+                mean_other[rows, own] = np.inf
+                b = mean_other.min(axis=1)
+                b = np.where(np.isfinite(b), b, np.nan)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    sil = (b - a) / np.maximum(a, b)
+                sil = np.where((n_own <= 1) | ~np.isfinite(sil), 0.0, sil)
+                out_a[idx], out_b[idx], out_s[idx] = a, b, sil
+            res = {c: pdf[c] for c in group_cols}
+            res.update({id_col: pdf[id_col], label_col: pdf[label_col], "a": out_a, "b": out_b,
+                        "silhouette": out_s})
+            yield pd.DataFrame(res)
+    return s.mapInPandas(run, schema)

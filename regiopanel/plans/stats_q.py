@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from regiopanel.operators.geometry import (as_array, centroids, collect_centres, decision_grid,
-                                           inertia_by_label, nearest_centroid, silhouette_samples,
-                                           silhouette_squared_samples, total_inertia)
+                                           inertia_by_label, nearest_centroid, silhouette_1d,
+                                           silhouette_samples, silhouette_squared_samples, total_inertia)
 from regiopanel.operators.ranking import group_rank
 from regiopanel.operators.stats import (boxplot_stats, feature_variances, group_describe,
                                         running_share, to_long, top_k, value_counts, zscore)
@@ -273,8 +273,8 @@ FROM ab GROUP BY 1
 """)
 def q_silhouette_by_variable(spark, sf_dir):
     long = to_long(emb6(spark, sf_dir), ["vec_id", "label"], EMB6_FEATURES)
-    long = long.withColumn("f", F.array(F.col("value")))
-    sil = silhouette_samples(long, "vec_id", "label", "f", group_cols=["variable"])
+    # One-dimensional: exact by sorted prefix sums, no pair distances.
+    sil = silhouette_1d(long, "vec_id", "label", "value", group_cols=["variable"])
     return _round_all(sil.groupBy("variable").agg(F.avg("silhouette").alias("mean_silhouette")),
                       ["mean_silhouette"])
 

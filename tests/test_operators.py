@@ -203,3 +203,20 @@ def test_inertia_identities(spark):
         assert by[c] == pytest.approx(((xc - xc.mean(0)) ** 2).sum())
     assert total_inertia(df, ["a", "b"]).first().inertia == pytest.approx(((x - x.mean(0)) ** 2).sum())
     assert as_array(["a", "b"]) is not None
+
+
+def test_silhouette_1d_equals_brute_force_with_ties_and_hot_values(spark):
+    from regiopanel.operators.geometry import silhouette_1d
+    rng = np.random.default_rng(11)
+    n = 400
+    vals = np.where(rng.random(n) < 0.35, 0.0, rng.normal(size=n)).round(2)  # a third of rows share one value
+    lab = rng.integers(0, 3, size=n)
+    lab[5] = 7  # singleton cluster
+    rows = [("v1", i, int(lab[i]), float(vals[i])) for i in range(n)] + \
+           [("v2", i, int(lab[i]), float(-vals[i] * 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, id long, label int, x double")
+    got = {(r.g, r.id): r.silhouette for r in
+           silhouette_1d(df, "id", "label", "x", ["g"], num_partitions=9).collect()}
+    for g, v in (("v1", vals), ("v2", -vals * 2)):
+        want = _brute_silhouette(v[:, None], lab)
+        assert np.allclose([got[(g, i)] for i in range(n)], want, atol=1e-9)
