@@ -229,8 +229,7 @@ def q_odds_ratios(spark, sf_dir):
 
 @register("cv_accuracy", stage="model")
 def q_cv_accuracy(spark, sf_dir):
-    accs, oof = cross_validate(_emb_z(spark, sf_dir), "vec_id", "features", "label", k=5, seed=42)
-    oof.unpersist()
+    accs, _ = cross_validate(_emb_z(spark, sf_dir), "vec_id", "features", "label", k=5, seed=42)
     import statistics
     rows = [(str(i), a) for i, a in enumerate(accs)]
     rows += [("mean", float(statistics.fmean(accs))), ("std", float(statistics.pstdev(accs)))]
