@@ -234,9 +234,9 @@ FROM rk JOIN off ON rk.label = off.label
 """)
 def q_silhouette_rank(spark, sf_dir):
     sil = emb6_silhouette(spark, sf_dir).select("vec_id", "label", "silhouette")
-    ranked = group_rank(sil, ["label"], ["silhouette", "vec_id"], rank_col="rank_in_label")
-    sizes = sil.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    # Stacked position of the silhouette plot: labels before this one, then the rank.
+    ranked = group_rank(sil, ["label"], ["silhouette", "vec_id"], rank_col="rank_in_label", size_col="n")
+    # Stacked position of the silhouette plot: sizes of the labels before this one, then the rank.
+    sizes = ranked.groupBy("label").agg(F.first("n").alias("n"))
     start = sizes.withColumn("start", F.coalesce(F.sum("n").over(
         Window.orderBy("label").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("label", "start")
     out = ranked.join(start, "label", "inner")
@@ -252,11 +252,12 @@ SELECT 'all', ROUND(AVG(silhouette), 6), COUNT(*) FROM sil
 """)
 def q_silhouette_by_cluster(spark, sf_dir):
     sil = emb6_silhouette(spark, sf_dir)
+    # One silhouette job: the overall mean is derived from the per-label sums.
     by = sil.groupBy(F.col("label").cast("string").alias("label")).agg(
-        F.avg("silhouette").alias("mean_silhouette"), F.count(F.lit(1)).alias("n"))
-    overall = sil.agg(F.lit("all").alias("label"), F.avg("silhouette").alias("mean_silhouette"),
-                      F.count(F.lit(1)).alias("n"))
-    return _round_all(by.unionByName(overall), ["mean_silhouette"])
+        F.sum("silhouette").alias("_s"), F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    overall = by.agg(F.lit("all").alias("label"), F.sum("_s").alias("_s"), F.sum("n").alias("n"))
+    out = by.unionByName(overall).select("label", (F.col("_s") / F.col("n")).alias("mean_silhouette"), "n")
+    return _round_all(out, ["mean_silhouette"])
 
 
 @register("silhouette_by_variable", stage="stats", sql=f"""
