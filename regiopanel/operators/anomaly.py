@@ -206,9 +206,8 @@ def _scored_once(scores: DataFrame) -> DataFrame:
     A reliable checkpoint (in ``spark.checkpoint.dir``) also means a lost
     executor does not re-run the tree walks.
     """
-    from regiopanel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(scores.sparkSession)
-    return scores.checkpoint(eager=True)
+    from regiopanel.session import materialize
+    return materialize(scores)
 
 
 def decision_values(scores: DataFrame, contamination: float = 0.05) -> DataFrame:

@@ -182,9 +182,8 @@ def cross_validate(df: DataFrame, id_col: str, features: str | Sequence[str], la
             oof = oof.unionByName(p)
         # Written once (reliable checkpoint): the accuracies and any report read this copy,
         # and nothing stays cached after the caller is done.
-        from regiopanel.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        oof = oof.checkpoint(eager=True)
+        from regiopanel.session import materialize
+        oof = materialize(oof)
         acc = {r["fold"]: float(r["acc"]) for r in oof.groupBy("fold").agg(
             F.avg((F.col(label_col) == F.col("prediction")).cast("double")).alias("acc")).collect()}
         return [acc[f] for f in range(k)], oof

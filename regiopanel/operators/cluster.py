@@ -251,9 +251,8 @@ def exclude_refit_label(df: DataFrame, id_col: str, features: Sequence[str], fla
     The input is read by several fits and by the final join, so its lineage
     (e.g. an isolation-forest scoring pass) is cut once with a reliable checkpoint.
     """
-    from regiopanel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    from regiopanel.session import materialize
+    df = materialize(df)
     kept = df.filter(F.col(flag_col) == 0)
     pca = fit_pca(kept, features, n_components)
     scores = pca_scores(kept, pca, keep=[id_col])

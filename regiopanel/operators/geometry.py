@@ -275,7 +275,7 @@ def silhouette_1d(df: DataFrame, id_col: str, label_col: str, value_col: str, gr
     partition its starting prefix, and each partition finishes its rows with
     numpy cumulative sums. One range shuffle, written once by ``checkpoint``.
     """
-    from regiopanel.session import ensure_checkpoint_dir
+    from regiopanel.session import materialize
     group_cols = list(group_cols)
     spark = df.sparkSession
     labels = [r[0] for r in df.select(label_col).distinct().limit(max_labels + 1).collect()]
@@ -289,8 +289,7 @@ def silhouette_1d(df: DataFrame, id_col: str, label_col: str, value_col: str, gr
     s = (df.select(*group_cols, id_col, label_col, F.col(value_col).cast("double").alias(value_col))
          .repartitionByRange(p, *keys).sortWithinPartitions(*keys)
          .withColumn("_pid", F.spark_partition_id()))
-    ensure_checkpoint_dir(spark)
-    s = s.checkpoint(eager=True)
+    s = materialize(s)
     stats = s.groupBy("_pid", *group_cols, label_col).agg(F.count(F.lit(1)).alias("n"),
                                                           F.sum(value_col).alias("v")).collect()
     # Prefix (count, sum) per label before each (partition, group), and totals per group.

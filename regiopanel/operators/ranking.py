@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiopanel.session import ensure_checkpoint_dir
+from regiopanel.session import materialize
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -48,8 +48,7 @@ def group_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[st
     s = (df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id())
          .withColumn("_pid", F.spark_partition_id()))
-    ensure_checkpoint_dir(df.sparkSession)
-    s = s.checkpoint(eager=True)
+    s = materialize(s)
     stats = s.groupBy("_pid", *group_cols).agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*group_cols).orderBy("_pid")
     stats = stats.withColumn(

@@ -19,6 +19,7 @@ from regiopanel.operators.cluster import (attach_labels, elbow_sweep, exclude_re
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
+from regiopanel.session import materialize
 from regiopanel.plans.stats_q import _emb_centres, user_panel_z
 
 # The six variable pairs of the pairwise k-means study, as
@@ -199,7 +200,8 @@ def _emb_z(spark, sf_dir):
     """
     feats = zscore_array(embeddings(spark, sf_dir).select("vec_id", "features"), "features")
     labels = q_exclude_and_label(spark, sf_dir).withColumnRenamed("cluster_label", "label")
-    return feats.join(labels, "vec_id", "inner")
+    # Written once: the count, the label index, the fit and the predictions all read it.
+    return materialize(feats.join(labels, "vec_id", "inner"))
 
 
 def _emb_feature_names(spark, sf_dir):

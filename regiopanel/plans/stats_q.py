@@ -13,6 +13,7 @@ from regiopanel.operators.stats import (boxplot_stats, feature_variances, group_
                                         running_share, to_long, top_k, value_counts, zscore)
 from regiopanel.plans.fixtures import EMB6_FEATURES, UP_FEATURES, emb6, embeddings, tables, user_panel
 from regiopanel.plans.registry import register
+from regiopanel.session import materialize
 from regiopanel.plans.sqlfrag import EMB6_LONG_SQL, EMB6_SQL, UP_SQL, UPZ_SQL, euclid, sqeuclid
 
 
@@ -21,7 +22,9 @@ def _round_all(df, cols, digits=6):
 
 
 def user_panel_z(spark, sf_dir):
-    return zscore(user_panel(spark, sf_dir), UP_FEATURES)
+    """Z-scored user panel. The panel is written once (one scan of `events`); the
+    moments pass and every later fit or projection read the written copy."""
+    return zscore(materialize(user_panel(spark, sf_dir)), UP_FEATURES)
 
 
 @register("zscore", stage="stats", sql=f"""
@@ -254,7 +257,8 @@ def q_silhouette_by_cluster(spark, sf_dir):
     sil = emb6_silhouette(spark, sf_dir)
     # One silhouette job: the overall mean is derived from the per-label sums.
     by = sil.groupBy(F.col("label").cast("string").alias("label")).agg(
-        F.sum("silhouette").alias("_s"), F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+        F.sum("silhouette").alias("_s"), F.count(F.lit(1)).alias("n"))
+    by = materialize(by)
     overall = by.agg(F.lit("all").alias("label"), F.sum("_s").alias("_s"), F.sum("n").alias("n"))
     out = by.unionByName(overall).select("label", (F.col("_s") / F.col("n")).alias("mean_silhouette"), "n")
     return _round_all(out, ["mean_silhouette"])

@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/regiopanel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and return a DataFrame reading it.
+
+    Cuts lineage for results that are read several times (ranks, forest
+    scores, an aggregated panel) so their inputs are scanned once, and a lost
+    executor does not force recomputation. Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
