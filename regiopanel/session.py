@@ -49,6 +49,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        existing = spark.sparkContext.getCheckpointDir()
+        if existing:
+            return existing
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder would lose checkpoints with the executor.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         current = LOCAL_CHECKPOINT_FALLBACK
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
