@@ -74,19 +74,21 @@ def merge_panel(sources: Mapping[str, DataFrame], keys: Sequence[str] = ("code",
 
 
 def source_profile(sources: Mapping[str, DataFrame], code: str = "code", year: str = "year") -> DataFrame:
-    """Rows, distinct codes, distinct years and null-key rows per source (one agg each)."""
-    parts = []
+    """Rows, distinct codes, distinct years and null-key rows per source.
+
+    The sources' key columns are tagged and unioned, then profiled by ONE
+    grouped aggregation (one distinct-aggregation plan for any number of sources).
+    """
+    keys = None
     for name, df in sources.items():
-        parts.append(df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_distinct(code).alias("n_codes"),
-            F.count_distinct(year).alias("n_years"),
-            F.count_if(F.col(code).isNull() | F.col(year).isNull()).alias("n_null_keys"),
-        ).select(F.lit(name).alias("source"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        part = df.select(F.lit(name).alias("source"), F.col(code).alias("_code"), F.col(year).alias("_year"))
+        keys = part if keys is None else keys.unionByName(part)
+    return keys.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("_code").alias("n_codes"),
+        F.count_distinct("_year").alias("n_years"),
+        F.count_if(F.col("_code").isNull() | F.col("_year").isNull()).alias("n_null_keys"),
+    )
 
 
 def column_profile(df: DataFrame) -> DataFrame:
