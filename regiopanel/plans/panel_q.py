@@ -33,7 +33,7 @@ d AS (SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year, COUNT(*) AS n_sparse
 # Per-source rename map to the panel vocabulary (the reference keeps
 # one such map per source because each names its code and year columns differently).
 RENAME = {
-    "orders": {"dane_code": "code", "anio": "year", "conteo": "n_orders"},
+    "orders": {"region_code": "code", "anio": "year", "conteo": "n_orders"},
     "sparse": {"cod_mpio": "code", "year_of_incident": "year"},
 }
 
@@ -48,7 +48,7 @@ def panel_sources(spark, sf_dir):
         "qty_all": yearly_sum(li, code, year, "l_quantity", out="qty_all"),
         "qty_r": yearly_sum(li, code, year, "l_quantity", where=F.col("l_returnflag") == "R", out="qty_r"),
         "orders": rename_columns(
-            od.groupBy(padded_code("o_custkey").alias("dane_code"), F.year("o_orderdate").alias("anio"))
+            od.groupBy(padded_code("o_custkey").alias("region_code"), F.year("o_orderdate").alias("anio"))
               .agg(F.count(F.lit(1)).alias("conteo")), RENAME["orders"]),
         "sparse": rename_columns(
             li.filter((F.col("l_quantity") == 50) & (F.col("l_discount") >= 0.09))

@@ -24,7 +24,7 @@ def test_extract_integrate_model(spark):
     # 2. Integrate: reload with declared schemas, rename to one vocabulary, merge.
     a = read_csv(spark, f"{root}/yearly_sum", schema_of(qs["yearly_sum"](spark, SF_SMALL)))
     b = read_csv(spark, f"{root}/yearly_count", schema_of(qs["yearly_count"](spark, SF_SMALL)))
-    b = rename_columns(b.withColumnRenamed("code", "dane_code"), {"dane_code": "code"})
+    b = rename_columns(b.withColumnRenamed("code", "region_code"), {"region_code": "code"})
     panel = merge_panel({"a": a, "b": b})
     assert panel.count() == b.count()  # every yearly_sum key is also a yearly_count key
     assert dict(panel.dtypes)["code"] == "string"
