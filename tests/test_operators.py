@@ -220,3 +220,10 @@ def test_silhouette_1d_equals_brute_force_with_ties_and_hot_values(spark):
     for g, v in (("v1", vals), ("v2", -vals * 2)):
         want = _brute_silhouette(v[:, None], lab)
         assert np.allclose([got[(g, i)] for i in range(n)], want, atol=1e-9)
+
+
+def test_nearest_centre_ties_go_to_lower_label(spark):
+    pts = spark.createDataFrame([(1, [0.0, 0.0]), (2, [2.0, 0.0])], "id long, f array<double>")
+    cents = spark.createDataFrame([(5, [1.0, 0.0]), (3, [-1.0, 0.0]), (4, [1.0, 0.0])], "cid int, c array<double>")
+    got = {r.id: r.nearest for r in nearest_centroid(pts, "f", cents, "cid", "c", id_col="id").collect()}
+    assert got == {1: 3, 2: 4}  # point 1 ties 3/4/5 -> 3; point 2 ties 4/5 -> 4

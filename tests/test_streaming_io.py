@@ -51,3 +51,27 @@ def test_saved_labels_reload_as_strings(spark):
     back = read_csv(spark, path, schema_of(labelled))
     assert dict(back.dtypes)["cluster"] == "string"
     assert {r.id: r.cluster for r in back.collect()} == {1: "0", 2: "1", 3: "Anomalo"}
+
+
+def test_export_order_by_is_global_across_part_files(spark):
+    import glob
+    import pandas as pd
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"), F.col("id").alias("v")).repartition(8)
+    root = scratch_path(spark, "ordered")
+    status = run_export(spark, {"t": lambda: df}, root, sort_keys={"t": ["k"]}).first()
+    assert status.ok and status.row_count == 5000
+    local = root.replace("file:", "")
+    files = sorted(glob.glob(f"{local}/t/part-*.parquet"))
+    ks = pd.concat([pd.read_parquet(f) for f in files])["k"].tolist()
+    assert ks == sorted(ks)
+
+
+def test_read_csv_dir_one_table_per_stem(spark):
+    from regiopanel.sources.csv_io import read_csv_dir
+    a = spark.createDataFrame([("007", 2020, 1.0)], "code string, year int, x double")
+    b = spark.createDataFrame([("008", 2021)], "code string, year int")
+    pa, pb = scratch_path(spark, "dir-a"), scratch_path(spark, "dir-b")
+    write_csv(a, pa)
+    write_csv(b, pb)
+    got = read_csv_dir(spark, {"a": pa, "b": pb}, {"a": schema_of(a), "b": schema_of(b)})
+    assert got["a"].first().code == "007" and got["b"].first().year == 2021
