@@ -101,9 +101,10 @@ def nearest_centroid(points: DataFrame, feats: str, centres: DataFrame, cid: str
     j = pts.join(blocks, "_blk", "inner").withColumn(
         "_best", F.array_min(F.transform("_cents", lambda ct: F.struct(_sqdist(F.col(feats), ct["c"]).alias("d"),
                                                                         ct["cid"].alias("cid")))))
-    cols = [c for c in points.columns]
-    red = j.groupBy(*cols).agg(F.min("_best").alias("_best"))
-    res = red.withColumn(out, F.col("_best.cid"))
+    # Reduce per point on its id only; the other columns ride along unchanged.
+    others = [c for c in points.columns if c != id_col]
+    red = j.groupBy(id_col).agg(*[F.first(c).alias(c) for c in others], F.min("_best").alias("_best"))
+    res = red.select(*points.columns, "_best").withColumn(out, F.col("_best.cid"))
     if dist_out:
         res = res.withColumn(dist_out, F.sqrt(F.col("_best.d")))
     return res.drop("_best")
