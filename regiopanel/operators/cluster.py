@@ -40,8 +40,17 @@ def relabel(pred: Column, mapping: dict[int, int]) -> Column:
     return expr
 
 
+def stable_layout(df: DataFrame, order_col: str, rows_per_partition: int = 1_000_000) -> DataFrame:
+    """A row layout that is a function of the data only: hash partitions on the id
+    (count from the row count), sorted within. Fits whose seeding samples per
+    partition (k-means||) then give the same result on any cluster."""
+    n = df.count()
+    parts = max(1, math.ceil(n / rows_per_partition))
+    return df.repartition(parts, order_col).sortWithinPartitions(order_col)
+
+
 def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, max_iter: int = 300,
-               tol: float = 1e-4):
+               tol: float = 1e-4, order_col: str | None = None):
     """Fit k-means on the given columns; return (model, centres in canonical order, cost, order).
 
     ``tol`` has sklearn's meaning: relative to the mean feature variance, on
@@ -51,7 +60,8 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, m
     """
     from pyspark.ml.clustering import KMeans
     # k-means iterates over its input: keep the assembled vectors for the fit only.
-    data = assemble(df.select(*features), features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    base = stable_layout(df.select(order_col, *features), order_col) if order_col else df.select(*features)
+    data = assemble(base, features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         from pyspark.ml.stat import Summarizer
         var = data.agg(Summarizer.variance(F.col("features")).alias("v"),
@@ -69,9 +79,14 @@ def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, m
 
 
 def kmeans_labels(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-                  out: str = "cluster", max_iter: int = 300) -> tuple[DataFrame, np.ndarray, float]:
-    """Cluster labels in canonical order (cluster 0 has the lexicographically smallest centre)."""
-    model, centres, cost, order = fit_kmeans(df, features, k, seed, max_iter)
+                  out: str = "cluster", max_iter: int = 300,
+                  order_col: str | None = None) -> tuple[DataFrame, np.ndarray, float]:
+    """Cluster labels in canonical order (cluster 0 has the lexicographically smallest centre).
+
+    With ``order_col`` (a unique id) the fit sees a layout fixed by the data, so
+    the labels do not depend on how the input happened to be partitioned.
+    """
+    model, centres, cost, order = fit_kmeans(df, features, k, seed, max_iter, order_col=order_col)
     mapping = {old: new for new, old in enumerate(order)}
     scored = model.setFeaturesCol("_kmf").transform(assemble(df, features, "_kmf"))
     labelled = scored.withColumn(out, relabel(F.col("_pred"), mapping)).drop("_kmf", "_pred")
@@ -257,7 +272,7 @@ def exclude_refit_label(df: DataFrame, id_col: str, features: Sequence[str], fla
     pca = fit_pca(kept, features, n_components)
     scores = pca_scores(kept, pca, keep=[id_col])
     pcs = [f"pc{j + 1}" for j in range(n_components)]
-    labelled, _, _ = kmeans_labels(scores, pcs, k, seed, out=out)
+    labelled, _, _ = kmeans_labels(scores, pcs, k, seed, out=out, order_col=id_col)
     return attach_labels(df, labelled.select(id_col, out), id_col, out, default)
 
 
@@ -328,8 +343,9 @@ def _sweep_concurrent(data: DataFrame, models: Sequence[SweepModel], seed: int,
     from concurrent.futures import ThreadPoolExecutor
 
     def one(m: SweepModel):
-        view = data.select(*[m.column().getItem(j).alias(f"_p{j}") for j in range(m.dim)])
-        _, centres, cost, _ = fit_kmeans(view, [f"_p{j}" for j in range(m.dim)], m.k, seed, max_iter, tol)
+        view = data.select("_id", *[m.column().getItem(j).alias(f"_p{j}") for j in range(m.dim)])
+        _, centres, cost, _ = fit_kmeans(view, [f"_p{j}" for j in range(m.dim)], m.k, seed, max_iter, tol,
+                                         order_col="_id")
         return m.key, {"centres": centres, "cost": cost, "n_iter": None}
     threads = max(1, min(len(models), data.sparkSession.sparkContext.defaultParallelism))
     with ThreadPoolExecutor(threads) as pool:

@@ -29,7 +29,7 @@ PAIR_POSITIONS = [(1, 5), (1, 0), (2, 3), (4, 5), (2, 4), (3, 0)]
 
 @register("kmeans_labels", stage="model")
 def q_kmeans_labels(spark, sf_dir):
-    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42)
+    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42, order_col="user_id")
     return labelled.select("user_id", "cluster")
 
 

@@ -118,5 +118,11 @@ def test_kmeans_sweep_fixed_point_and_cost(spark, upz):
 def test_kmeans_sweep_small_path_matches_spark_ml(spark, upz):
     from regiopanel.operators.cluster import SweepModel, kmeans_sweep
     fits = kmeans_sweep(upz, "user_id", [SweepModel("k3", UP_FEATURES, 3)], seed=42)
-    _, centres, cost = kmeans_labels(upz, UP_FEATURES, k=3, seed=42)
+    _, centres, cost = kmeans_labels(upz, UP_FEATURES, k=3, seed=42, order_col="user_id")
     assert np.allclose(fits["k3"]["centres"], centres) and fits["k3"]["cost"] == pytest.approx(cost)
+
+
+def test_kmeans_fit_does_not_depend_on_input_partitioning(spark, upz):
+    a = kmeans_labels(upz.repartition(1), UP_FEATURES, k=4, seed=3, order_col="user_id")[1]
+    b = kmeans_labels(upz.repartition(7, "n_click"), UP_FEATURES, k=4, seed=3, order_col="user_id")[1]
+    assert np.allclose(a, b)
