@@ -126,3 +126,12 @@ def test_kmeans_fit_does_not_depend_on_input_partitioning(spark, upz):
     a = kmeans_labels(upz.repartition(1), UP_FEATURES, k=4, seed=3, order_col="user_id")[1]
     b = kmeans_labels(upz.repartition(7, "n_click"), UP_FEATURES, k=4, seed=3, order_col="user_id")[1]
     assert np.allclose(a, b)
+
+
+def test_isolation_forest_is_independent_of_partitioning(spark, upz):
+    a = isolation_forest(upz.repartition(1), "user_id", UP_FEATURES, n_trees=20, seed=5).toPandas()
+    b = isolation_forest(upz.repartition(6, "n_view"), "user_id", UP_FEATURES, n_trees=20, seed=5).toPandas()
+    m = a.merge(b, on="user_id", suffixes=("_a", "_b"))
+    assert len(m) == len(a) == len(b)
+    assert np.allclose(m["score_a"], m["score_b"], atol=1e-12)
+    assert (m["is_anomalous_a"] == m["is_anomalous_b"]).all()
