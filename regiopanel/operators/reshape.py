@@ -68,13 +68,6 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return out.distinct()
 
 
-def union_all(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=allow_missing)
-    return out
-
-
 def _sql_lit(v: object) -> str:
     if isinstance(v, str):
         return "'" + v.replace("'", "''") + "'"

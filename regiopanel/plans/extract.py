@@ -8,8 +8,8 @@ from regiopanel.functions.expr import (code_prefix_filter, count_when, flag_sum,
                                        padded_code, recode, rounded, year_range_filter)
 from regiopanel.operators.reshape import (carry_forward, replicate_date_series, replicate_values,
                                           replicate_years, union_distinct, unpivot_columns)
-from regiopanel.operators.rollup import (conditional_counts, conditional_sums, keyed_rollup,
-                                         max_pivot, yearly_sum)
+from regiopanel.operators.rollup import (conditional_counts, conditional_flags, conditional_sums,
+                                         keyed_rollup, max_pivot, yearly_sum)
 from regiopanel.plans.fixtures import (CODE_PREFIX, FIRST_YEAR, LAST_YEAR, lineitem_keyed,
                                        tables)
 from regiopanel.plans.registry import register
@@ -88,7 +88,9 @@ def q_cond_count_pivot(spark, sf_dir):
 SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year,
 """ + ",\n".join(
     f"       SUM(CASE WHEN l_returnflag = '{f.upper()}' AND l_linestatus = '{s.upper()}' "
-    f"THEN l_quantity ELSE 0 END) AS qty_{f}_{s}" for f, s in FLAG_STATUS) + f"""
+    f"THEN l_quantity ELSE 0 END) AS qty_{f}_{s}" for f, s in FLAG_STATUS) + f""",
+       CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned,
+       CAST(SUM(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS n_open
 FROM lineitem WHERE {PERIOD_SQL}
 GROUP BY 1, 2
 """)
@@ -96,7 +98,9 @@ def q_cond_sum_pivot(spark, sf_dir):
     li = lineitem_keyed(spark, sf_dir)
     buckets = {f"qty_{f}_{s}": (F.col("l_returnflag") == f.upper()) & (F.col("l_linestatus") == s.upper())
                for f, s in FLAG_STATUS}
-    return keyed_rollup(li, ["code", "year"], conditional_sums(None, buckets, "l_quantity"))
+    # Value sums and 1/0 flag sums (the reference's two conditional-sum pivot forms) in one pass.
+    flags = conditional_flags({"n_returned": F.col("l_returnflag") == "R", "n_open": F.col("l_linestatus") == "O"})
+    return keyed_rollup(li, ["code", "year"], {**conditional_sums(None, buckets, "l_quantity"), **flags})
 
 
 @register("recode_then_pivot", sql=f"""
