@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.session import ensure_checkpoint_dir, scratch_path
+from regiopanel.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 CHUNK_BYTES = 2_000_000
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -26,8 +26,9 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the operators: shared checkpoint folder, bounded Arrow batches."""
+    """Session settings of the operators: shared checkpoint folder, package on the workers, bounded Arrow batches."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     spark.conf.set(ARROW_ROWS, "2000")
 
 
