@@ -47,22 +47,26 @@ class Vocabulary:
         self.ranks = ranks
         self.by_id = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """Plain BPE: merge the adjacent parts of lowest joint rank until none is left. Used on two tokens at a time."""
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, where = None, -1
-            for i in range(len(parts) - 1):
-                r = self.ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, where = r, i
-            if best is None:
+        get = self.ranks.get
+        none = len(self.ranks) + 1
+        cuts = list(range(len(piece) + 1))
+        joint = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+        while joint:
+            low = min(joint)
+            if low == none:
                 break
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
-        return [self.ranks[p] for p in parts]
+            i = joint.index(low)
+            del cuts[i + 1], joint[i]
+            if i < len(joint):
+                joint[i] = get(piece[cuts[i]:cuts[i + 2]], none)
+            if i:
+                joint[i - 1] = get(piece[cuts[i - 1]:cuts[i + 1]], none)
+        return [self.ranks[piece[x:y]] for x, y in zip(cuts, cuts[1:])]
 
     def whole(self, token: int) -> bool:
         """Whether BPE makes the token out of its own bytes."""
@@ -73,11 +77,11 @@ class Vocabulary:
 
     def pair(self, left: int, right: int) -> bool:
         key = left << 32 | right
-        got = self._pairs.get(key)
+        got = self.pairs.get(key)
         if got is None:
-            if len(self._pairs) >= CACHE_PAIRS:
-                self._pairs.clear()
-            got = self._pairs[key] = self.merged(self.by_id[left] + self.by_id[right]) == [left, right]
+            if len(self.pairs) >= CACHE_PAIRS:
+                self.pairs.clear()
+            got = self.pairs[key] = self.merged(self.by_id[left] + self.by_id[right]) == [left, right]
         return got
 
 
@@ -96,12 +100,19 @@ class PrefixTable:
         self.extend(data)
 
     def _last_at(self, end: int) -> int:
-        v, data = self.vocab, self.data
-        get = v.ranks.get
+        v, data, last = self.vocab, self.data, self.last
+        get, pairs = v.ranks.get, v.pairs
         for start in range(max(0, end - v.longest), end):
             token = get(data[start:end])
-            if token is not None and (v.whole(token) if start == 0 else v.pair(self.last[start - 1], token)):
-                return token
+            if token is not None:
+                if start:
+                    ok = pairs.get(last[start - 1] << 32 | token)
+                    if ok is None:
+                        ok = v.pair(last[start - 1], token)
+                else:
+                    ok = v.whole(token)
+                if ok:
+                    return token
         raise ValueError("the vocabulary lacks a byte")
 
     def extend(self, more: bytes) -> None:
@@ -110,6 +121,11 @@ class PrefixTable:
         for end in range(n + 1, len(self.data) + 1):
             self.last.append(self._last_at(end))
 
+    def truncate(self, end: int) -> None:
+        """Back to the first ``end`` bytes; their entries stay as they are."""
+        self.data = self.data[:end]
+        del self.last[end:]
+
     def splice(self, start: int, stop: int, new: bytes) -> int:
         """Replace ``data[start:stop]``; returns how many entries were computed anew."""
         old, shift = self.last, len(new) - (stop - start)
@@ -145,6 +161,25 @@ def encode_piece(vocab: Vocabulary, piece: bytes) -> list[int]:
     return [token] if token is not None else PrefixTable(vocab, piece).tokens()
 
 
+def encode_pieces(vocab: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
+    """Ids of many pieces: in byte order, so that each keeps the table entries of the prefix it shares with the last."""
+    out: list[list[int]] = [[]] * len(pieces)
+    table, get = PrefixTable(vocab), vocab.ranks.get
+    for i in sorted(range(len(pieces)), key=pieces.__getitem__):
+        piece = pieces[i]
+        token = get(piece)
+        if token is not None:
+            out[i] = [token]
+            continue
+        n, before = 0, table.data
+        while n < len(before) and n < len(piece) and before[n] == piece[n]:
+            n += 1
+        table.truncate(n)
+        table.extend(piece[n:])
+        out[i] = table.tokens()
+    return out
+
+
 # ---------------------------------------------------------------- cutting texts into pieces
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -237,25 +272,24 @@ class Encoder:
         self.at = np.zeros((1 << 14, 2), np.int64)
         self.used = 0
 
-    def _learn(self, key: int, piece: bytes) -> int:
-        ids = encode_piece(self.vocab, piece)
-        k = len(self.known)
-        if k == len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.at[k] = self.used, len(ids)
-        self.used += len(ids)
-        self.known[key] = k
-        return k
+    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
+        for key, ids in zip(keys, encode_pieces(self.vocab, pieces), strict=True):
+            k = len(self.known)
+            if k == len(self.at):
+                self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used:self.used + len(ids)] = ids
+            self.at[k] = self.used, len(ids)
+            self.used += len(ids)
+            self.known[key] = k
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of each text's ids."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         text = data.tobytes().decode("utf-8")
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         lead = np.flatnonzero((data & 0xC0) != 0x80)           # byte at which each character starts
         chars = np.searchsorted(lead, off)                     # text offsets in characters
         full = np.flatnonzero(np.diff(chars) > 0)
@@ -268,11 +302,12 @@ class Encoder:
         distinct, where, back = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > CACHE_PIECES:
             self._forget()
-        known, slot = self.known, np.empty(len(distinct), np.int64)
-        a, b = starts[where].tolist(), ends[where].tolist()
-        for i, key in enumerate(distinct.tolist()):
-            k = known.get(key)
-            slot[i] = self._learn(key, text[a[i]:b[i]].encode("utf-8")) if k is None else k
+        known, names = self.known, distinct.tolist()
+        new = [i for i, key in enumerate(names) if key not in known]
+        at = where[new]
+        self._learn([names[i] for i in new],
+                    [text[x:y].encode("utf-8") for x, y in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+        slot = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
         piece = self.at[slot[back]]
         ids = self.ids[ragged(piece[:, 0], piece[:, 1])]
         upto = np.concatenate([[0], np.cumsum(piece[:, 1])])
