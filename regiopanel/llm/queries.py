@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.llm import bpe, exact_dedup, language_id, mixing, near_dedup
+from regiopanel.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, near_dedup, sharding
 from regiopanel.llm.common import id_crc, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,13 @@ def multi_ranks() -> dict[bytes, int]:
 @query("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), multi_ranks())
+
+
+@query("op3_embedding_dedup")
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_kd_shards")
+def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
