@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, near_dedup, sharding
+from regiopanel.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, near_dedup, sharding, toxicity
 from regiopanel.llm.common import id_crc, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_kd_shards")
 def op6_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = id_crc() % 5 == 0
+    model = toxicity.fit(docs, labels.filter(~held))
+    return toxicity.score(docs, model).withColumn("held_out", held)
