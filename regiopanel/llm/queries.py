@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.llm import bpe, embedding_dedup, exact_dedup, language_id, mixing, near_dedup, sharding, toxicity
-from regiopanel.llm.common import id_crc, prepare, table
+from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, language_id, licenses, mixing, near_dedup, secrets, sharding,
+                            toxicity)
+from regiopanel.llm.common import id_crc, prepare, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +85,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = id_crc() % 5 == 0
     model = toxicity.fit(docs, labels.filter(~held))
     return toxicity.score(docs, model).withColumn("held_out", held)
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of all documents; the forest learns from format-labelled findings outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    found = written(secrets.candidates(docs, secrets.dictionary_of(docs)), "candidates")
+    held = id_crc() % 5 == 0
+    labelled = found.withColumn("label", secrets.format_labels()).filter(~held & F.col("label").isNotNull())
+    scored = secrets.scan(found, secrets.fit_forest(labelled))
+    return scored.select("doc_id", "start", "stop", "kind", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret",
+                         held.alias("held_out"))
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
