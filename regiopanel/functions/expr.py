@@ -63,19 +63,20 @@ def not_in_any(c: str | Column, groups: Mapping[str, Iterable[object]]) -> Colum
 
 
 def padded_code(c: str | Column, width: int = 5) -> Column:
-    """Text code of fixed width, left-padded with zeros (codes are strings, never ints)."""
-    return F.lpad(col(c).cast("string"), width, "0")
+    """Text code of at least ``width`` characters, left-padded with zeros; longer keys stay whole."""
+    s = col(c).cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
 
 
 def padded_code_prefix_range(prefix: str, width: int = 5) -> tuple[int, int] | None:
     """Integer key range whose zero-padded code starts with ``prefix``.
 
-    ``lpad(k, width, '0') LIKE prefix || '%'`` holds exactly for
-    ``lo <= k <= hi`` with non-negative keys below ``10**width`` (longer keys
-    are truncated by lpad and never start with '0'; negative keys contain '-').
-    Returned so the filter can also reach the Parquet scan as a range on the raw
-    key, which row-group statistics can prune. Returns None when the prefix
-    does not start with '0' (then truncated long keys could also match).
+    ``padded_code(k) LIKE prefix || '%'`` holds exactly for ``lo <= k <= hi``
+    with non-negative keys (keys of more than ``width`` digits never start with
+    '0'; negative keys contain '-'). Returned so the filter can also reach the
+    Parquet scan as a range on the raw key, which row-group statistics can
+    prune. Returns None when the prefix does not start with '0' (then long keys
+    could also match).
     """
     if not prefix or not prefix.isdigit() or len(prefix) > width or prefix[0] != "0":
         return None
@@ -86,7 +87,7 @@ def padded_code_prefix_range(prefix: str, width: int = 5) -> tuple[int, int] | N
 
 
 def code_prefix_filter(key: str, prefix: str, width: int = 5) -> Column:
-    """``lpad(key) LIKE 'prefix%'`` plus the equivalent raw-key range for pushdown."""
+    """``padded_code(key) LIKE 'prefix%'`` plus the equivalent raw-key range for pushdown."""
     cond = padded_code(key, width).startswith(prefix)
     rng = padded_code_prefix_range(prefix, width)
     if rng is not None:

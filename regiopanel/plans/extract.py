@@ -13,8 +13,9 @@ from regiopanel.operators.rollup import (conditional_counts, conditional_flags,
 from regiopanel.plans.fixtures import (CODE_PREFIX, FIRST_YEAR, LAST_YEAR, lineitem_keyed,
                                        tables)
 from regiopanel.plans.registry import register
+from regiopanel.plans.sqlfrag import code_sql
 
-CODE_SQL = "lpad(CAST(l_suppkey AS VARCHAR), 5, '0')"
+CODE_SQL = code_sql("l_suppkey")
 YEAR_SQL = "CAST(year(l_shipdate) AS INTEGER)"
 PERIOD_SQL = "year(l_shipdate) BETWEEN 1996 AND 2000"
 
@@ -207,7 +208,7 @@ def _asia_suppliers(spark, sf_dir):
 
 
 @register("dim_join_rollup", sql=f"""
-SELECT lpad(CAST(s.s_suppkey AS VARCHAR), 5, '0') AS code, {YEAR_SQL} AS year,
+SELECT {code_sql("s.s_suppkey")} AS code, {YEAR_SQL} AS year,
        SUM(l_quantity) AS total_qty
 FROM lineitem l
 JOIN supplier s ON l.l_suppkey = s.s_suppkey

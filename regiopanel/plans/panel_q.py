@@ -9,11 +9,12 @@ from regiopanel.operators.panel import column_profile, merge_panel, rename_colum
 from regiopanel.operators.rollup import yearly_sum
 from regiopanel.plans.fixtures import FIRST_YEAR, LAST_YEAR, tables
 from regiopanel.plans.registry import QUERIES, STAGE, register
+from regiopanel.plans.sqlfrag import code_sql
 from regiopanel.session import scratch_path
 from regiopanel.sources.csv_io import read_csv, schema_of, write_csv
 from regiopanel.sources.export import run_export
 
-CODE_SQL = "lpad(CAST(l_suppkey AS VARCHAR), 5, '0')"
+CODE_SQL = code_sql("l_suppkey")
 YEAR_SQL = "CAST(year(l_shipdate) AS INTEGER)"
 PERIOD_SQL = "year(l_shipdate) BETWEEN 1996 AND 2000"
 
@@ -22,7 +23,7 @@ a AS (SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year, SUM(l_quantity) AS qty_all
       FROM lineitem WHERE {PERIOD_SQL} GROUP BY 1, 2),
 b AS (SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year, SUM(l_quantity) AS qty_r
       FROM lineitem WHERE l_returnflag = 'R' AND {PERIOD_SQL} GROUP BY 1, 2),
-c AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS code, CAST(year(o_orderdate) AS INTEGER) AS year,
+c AS (SELECT {code_sql("o_custkey")} AS code, CAST(year(o_orderdate) AS INTEGER) AS year,
              COUNT(*) AS n_orders
       FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2),
 d AS (SELECT {CODE_SQL} AS code, {YEAR_SQL} AS year, COUNT(*) AS n_sparse

@@ -1,8 +1,14 @@
-"""Shared SQL fragments for the DuckDB oracles (user panel, EMB6)."""
+"""Shared SQL fragments for the DuckDB oracles (text codes, user panel, embeddings)."""
 
 from __future__ import annotations
 
-from regiopanel.plans.fixtures import EVENT_TYPES, UP_FEATURES
+from regiopanel.plans.fixtures import EMB_DIM, EVENT_TYPES, UP_FEATURES
+
+def code_sql(key: str, width: int = 5) -> str:
+    """Text code of at least ``width`` characters; longer keys stay whole."""
+    text = f"CAST({key} AS VARCHAR)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
+
 
 UP_SQL = ("SELECT user_id, " + ", ".join(
     f"CAST(COUNT(CASE WHEN event_type = '{t}' THEN 1 END) AS DOUBLE) AS n_{t}" for t in EVENT_TYPES)
@@ -12,11 +18,11 @@ UPZ_SQL = ("SELECT user_id, " + ", ".join(
     f"COALESCE(({c} - AVG({c}) OVER ()) / NULLIF(STDDEV_POP({c}) OVER (), 0), 0) AS {c}" for c in UP_FEATURES)
     + f" FROM ({UP_SQL})")
 
-EMB6_SQL = ("SELECT vec_id, label, " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(6)) + " FROM embeddings")
+EMB_SQL = ("SELECT vec_id, label, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(EMB_DIM)) + " FROM embeddings")
 
-EMB6_LONG_SQL = " UNION ALL ".join(
-    f"SELECT vec_id, label, 'x{i}' AS variable, x{i} AS value FROM ({EMB6_SQL})" for i in range(6))
+EMB_LONG_SQL = " UNION ALL ".join(
+    f"SELECT vec_id, label, 'x{i}' AS variable, x{i} AS value FROM ({EMB_SQL})" for i in range(EMB_DIM))
 
 
 def euclid(p: str, q: str, cols: list[str]) -> str:
