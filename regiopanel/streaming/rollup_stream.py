@@ -3,9 +3,9 @@
 The reference has no streams; this module only runs the same (code, year)
 rollup incrementally when source files keep arriving. State is one row per
 (code, year) key, so it is bounded by the key space, not by the rows. The
-query restarts from its checkpoint (under ``spark.checkpoint.dir``) after a
-failure, and each micro-batch overwrites the published table atomically per
-batch id, so a replayed batch gives the same output.
+query resumes from the checkpoint path that the caller names; each micro-batch
+writes the whole rollup as a version of its own, so a replayed batch rewrites
+its version and readers never see half of one (``current``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from regiopanel.session import scratch_path
+from regiopanel.functions.expr import padded_code
 
 
 def file_stream(spark: SparkSession, directory: str, schema: StructType | str, name_glob: str | None = None,
@@ -35,18 +35,14 @@ def streaming_rollup(stream: DataFrame, code: Column, year: Column, measures: di
         *[m.alias(n) for n, m in measures.items()])
 
 
-def publish(rollup: DataFrame, out_path: str, checkpoint: str | None = None,
-            available_now: bool = True) -> StreamingQuery:
-    """Write the full current rollup to ``out_path`` after every micro-batch.
+def publish(rollup: DataFrame, out_path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Write the full rollup to ``out_path/version=<batch>`` after every micro-batch.
 
-    ``complete`` output mode re-emits every key; ``foreachBatch`` overwrites
-    the Parquet table, which makes a replayed batch idempotent.
+    ``checkpoint`` is a fixed path on shared storage: a restart with the same
+    path resumes where the last run stopped.
     """
-    spark = rollup.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/version={batch_id}")
 
     writer = (rollup.writeStream.outputMode("complete").foreachBatch(write)
               .option("checkpointLocation", checkpoint))
@@ -54,8 +50,15 @@ def publish(rollup: DataFrame, out_path: str, checkpoint: str | None = None,
     return writer.start()
 
 
+def current(spark: SparkSession, out_path: str) -> DataFrame:
+    """The latest version that ``publish`` has written."""
+    versions = spark.read.parquet(out_path)
+    latest = versions.agg(F.max("version").alias("v")).first()["v"]
+    return versions.filter(F.col("version") == F.lit(latest)).drop("version")
+
+
 def lineitem_stream_sum(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
     """Example wiring: SUM(l_quantity) by zero-padded supplier code and ship year."""
     s = file_stream(spark, directory, schema, name_glob="lineitem*.parquet")
-    return streaming_rollup(s, F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.year("l_shipdate"),
+    return streaming_rollup(s, padded_code("l_suppkey"), F.year("l_shipdate"),
                             {"total_qty": F.sum("l_quantity")})
