@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiopanel.operators.ranking import exact_percentiles
+from regiopanel.session import materialize
 
 
 def _stack(df: DataFrame, keys: Sequence[str], cols_by_label: Sequence[tuple[str, Sequence[str]]],
@@ -80,8 +81,9 @@ def boxplot_stats(df: DataFrame, group: str, features: Sequence[str], whisker: f
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(whisker) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(whisker) * F.col("iqr"))
-    fences = broadcast_if_small(q.select(group, "variable", "lo_fence", "hi_fence"))
-    joined = long.join(fences, [group, "variable"], "inner")
+    # Written once (a row per group and variable); its measured size decides how it is joined.
+    q = materialize(q)
+    joined = long.join(q.select(group, "variable", "lo_fence", "hi_fence"), [group, "variable"], "inner")
     v = F.col("value")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     whiskers = joined.groupBy(group, "variable").agg(
@@ -94,11 +96,6 @@ def boxplot_stats(df: DataFrame, group: str, features: Sequence[str], whisker: f
         group, "variable", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers", "n")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a checked row count; beyond it, a normal (shuffle) join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from regiopanel.functions.expr import padded_code
 from regiopanel.operators.panel import merge_panel
 from regiopanel.operators.ranking import group_rank
 
@@ -36,7 +37,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_panel_merge_adds_no_exchange(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    code, year = F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.year("l_shipdate")
+    code, year = padded_code("l_suppkey"), F.year("l_shipdate")
     sources = {f"s{i}": li.filter(F.col("l_linenumber") == i).groupBy(code.alias("code"), year.alias("year"))
                .agg(F.sum("l_quantity").alias(f"m{i}")) for i in range(1, 5)}
     text = _plan(merge_panel(sources))
@@ -52,6 +53,13 @@ def test_group_rank_shuffles_the_data_once(spark):
     # the range shuffle happened once, inside the checkpoint; what remains reads the written copy
     assert "rangepartitioning" not in text
     assert "Scan ExistingRDD" in text
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = _plan(group_rank(emb, ["label"], ["vec_id"], rank_col="r", size_col="n"))
+        assert "Exchange" not in text and "Join" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_no_cartesian_products_anywhere(spark):
