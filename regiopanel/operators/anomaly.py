@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiopanel.operators.ranking import exact_percentiles
+from regiopanel.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -119,9 +120,11 @@ def fit_forest(df: DataFrame, id_col: str, features: Sequence[str], variants: Se
     p = 1.0 if n == 0 else min(1.0, 4.0 * psi / n)
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
     while True:
+        # Written once (about 4 psi rows a tree): the count and the sample read this copy.
         cand = (data.select("*", F.explode(F.filter(trees, lambda t: _uniform(id_col, seed, t) < F.lit(p)))
                             .alias("_tree"))
                 .withColumn("_u", _uniform(id_col, seed, F.col("_tree"))))
+        cand = materialize(cand)
         # T rows: candidates per tree. Exactness needs psi candidates in every tree.
         counts = {r["_tree"]: r["count"] for r in cand.groupBy("_tree").count().collect()}
         short = psi > 0 and (len(counts) < n_trees or min(counts.values()) < psi)
@@ -171,15 +174,14 @@ def _path_lengths(x: np.ndarray, trees: list[dict], max_depth: int) -> np.ndarra
 
 
 def score_forest(df: DataFrame, id_col: str, model: dict, keep: Sequence[str] = ()) -> DataFrame:
-    """Anomaly score ``2^(-E[h]/c(psi))`` per row and variant, long form (id, variant, score)."""
+    """Anomaly scores ``2^(-E[h]/c(psi))``: one row per id with ``scores``, an array over the variants."""
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(model)
     feats = model["features"]
     x = F.array(*[F.col(c).cast("double") for c in feats])
     data = df.select(id_col, *keep, x.alias("_x"))
-    id_type = dict(data.dtypes)[id_col]
-    keep_types = [f"`{c}` {dict(data.dtypes)[c]}" for c in keep]
-    schema = ", ".join([f"`{id_col}` {id_type}", *keep_types, "variant int", "score double"])
+    kinds = dict(data.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in (id_col, *keep)], "scores array<double>"])
 
     def run(batches):
         m = bc.value
@@ -188,58 +190,51 @@ def score_forest(df: DataFrame, id_col: str, model: dict, keep: Sequence[str] =
             if pdf.empty:
                 continue
             xa = np.stack(pdf["_x"].to_numpy()).astype(np.float64)
-            for v, cols in enumerate(m["variants"]):
-                trees = m["forest"][v]
-                h = _path_lengths(xa[:, cols], trees, m["max_depth"]) / max(len(trees), 1)
-                out = {id_col: pdf[id_col].to_numpy()}
-                for c in keep:
-                    out[c] = pdf[c].to_numpy()
-                out["variant"] = np.full(len(pdf), v, dtype=np.int32)
-                out["score"] = np.power(2.0, -h / c_psi)
-                yield pd.DataFrame(out)
+            per = [np.power(2.0, -_path_lengths(xa[:, cols], m["forest"][v], m["max_depth"])
+                            / max(len(m["forest"][v]), 1) / c_psi) for v, cols in enumerate(m["variants"])]
+            out = pdf.drop(columns="_x")
+            out["scores"] = list(np.stack(per, axis=1))
+            yield out
     return data.mapInPandas(run, schema)
 
 
-def _scored_once(scores: DataFrame) -> DataFrame:
-    """Score every row once: the threshold and the decision both read this written copy.
+def score_offsets(scored: DataFrame, n_variants: int, contamination: float = 0.05) -> list[float]:
+    """Exact contamination percentile of ``-score`` for each variant (one number each)."""
+    long = scored.select(F.posexplode("scores").alias("variant", "s")).select("variant", (-F.col("s")).alias("neg"))
+    found = exact_percentiles(long, ["variant"], "neg", [contamination], names=["offset"]).collect()
+    by = {r["variant"]: float(r["offset"]) for r in found}
+    return [by.get(v, 0.0) for v in range(n_variants)]
 
-    A reliable checkpoint (in ``spark.checkpoint.dir``) also means a lost
-    executor does not re-run the tree walks.
-    """
-    from regiopanel.session import materialize
-    return materialize(scores)
-
-
-def decision_values(scores: DataFrame, contamination: float = 0.05) -> DataFrame:
-    """``decision = -score - offset`` with offset the exact contamination percentile of ``-score``.
 
-    Negative decision values are the flagged rows (``is_anomalous = 1``).
-    """
-    neg = scores.withColumn("_neg", -F.col("score"))
-    offsets = exact_percentiles(neg, ["variant"], "_neg", [contamination], names=["offset"])
-    out = neg.join(offsets, "variant", "inner")  # one row per variant
-    out = out.withColumn("decision", F.col("_neg") - F.col("offset"))
-    return out.withColumn("is_anomalous", (F.col("decision") < 0).cast("int")).drop("_neg")
+def decision_expr(variant: int, offset: float):
+    """``-score - offset``; negative values are the flagged rows."""
+    return -F.col("scores")[variant] - F.lit(offset)
 
 
 def isolation_forest(df: DataFrame, id_col: str, features: Sequence[str], contamination: float = 0.05,
-                     n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """Fit and score: (id, score, decision, is_anomalous)."""
+                     n_trees: int = 100, max_samples: int = 256, seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
+    """Fit and score: (id, keep..., score, decision, is_anomalous).
+
+    Rows are scored once into a reliable checkpoint; the threshold is a number
+    applied as a literal, so no row is joined or shuffled for its decision.
+    """
     model = fit_forest(df, id_col, features, n_trees=n_trees, max_samples=max_samples, seed=seed)
-    dec = decision_values(_scored_once(score_forest(df, id_col, model)), contamination)
-    return dec.select(id_col, "score", "decision", "is_anomalous")
+    scored = materialize(score_forest(df, id_col, model, keep))
+    (offset,) = score_offsets(scored, 1, contamination)
+    out = scored.select(id_col, *keep, F.col("scores")[0].alias("score"), decision_expr(0, offset).alias("decision"))
+    return out.withColumn("is_anomalous", (F.col("decision") < 0).cast("int"))
 
 
 def leave_one_out_importance(df: DataFrame, id_col: str, features: Sequence[str], contamination: float = 0.05,
                              n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """Mean |decision(all) - decision(all but v)| per variable v, from one forest job."""
+    """Mean |decision(all) - decision(all but v)| per variable v, from one forest job and one wide scoring pass."""
     d = len(features)
     variants = [list(range(d))] + [[j for j in range(d) if j != i] for i in range(d)]
     model = fit_forest(df, id_col, features, variants=variants, n_trees=n_trees, max_samples=max_samples,
                        seed=seed)
-    dec = decision_values(_scored_once(score_forest(df, id_col, model)), contamination)
-    wide = dec.groupBy(id_col).agg(*[F.max(F.when(F.col("variant") == v, F.col("decision"))).alias(f"d{v}")
-                                     for v in range(d + 1)])
-    imp = wide.agg(*[F.avg(F.abs(F.col("d0") - F.col(f"d{i + 1}"))).alias(f"i{i}") for i in range(d)])
+    scored = materialize(score_forest(df, id_col, model))
+    offsets = score_offsets(scored, d + 1, contamination)
+    base = decision_expr(0, offsets[0])
+    imp = scored.agg(*[F.avg(F.abs(base - decision_expr(i + 1, offsets[i + 1]))).alias(f"i{i}") for i in range(d)])
     parts = ", ".join(f"'{c}', i{i}" for i, c in enumerate(features))
     return imp.select(F.expr(f"stack({d}, {parts}) AS (feature, importance)"))

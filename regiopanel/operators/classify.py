@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiopanel.operators.ranking import group_rank
+from regiopanel.session import materialize
 
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str, test_fraction: float = 0.2,
@@ -52,7 +53,8 @@ def classification_report(df: DataFrame, label_col: str, pred_col: str) -> DataF
     Undefined ratios are 0 (sklearn's ``zero_division`` default result).
     The accuracy row carries the accuracy in ``f1`` and the total in ``support``.
     """
-    cm = confusion(df, label_col, pred_col)
+    # Written once (classes^2 rows): every branch below reads this copy.
+    cm = materialize(confusion(df, label_col, pred_col).coalesce(1))
     classes = cm.select(F.col("label").alias("cls")).union(cm.select(F.col("pred").alias("cls"))).distinct()
     tp = cm.filter(F.col("label") == F.col("pred")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
     sup = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
@@ -98,19 +100,24 @@ def _vector(df: DataFrame, features: str | Sequence[str], out: str = "_fv") -> D
     return df.withColumn(out, array_to_vector(arr))
 
 
-def zscore_array(df: DataFrame, col: str) -> DataFrame:
-    """Population z-score of every element of an array<double> column (zero variance -> 0).
-
-    One ``Summarizer`` pass; the 2 x d moments are applied with ``zip_with``.
-    """
+def array_moments(df: DataFrame, col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population std of every element of an array column, from one ``Summarizer`` pass."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
     s = df.select(array_to_vector(F.col(col).cast("array<double>")).alias("v")) \
         .agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"]
     n = float(s["count"])
-    mean = np.asarray(s["mean"])
     var_pop = np.asarray(s["variance"]) * ((n - 1.0) / n if n > 1 else 0.0)
-    std = np.sqrt(np.clip(var_pop, 0.0, None))
+    return np.asarray(s["mean"]), np.sqrt(np.clip(var_pop, 0.0, None))
+
+
+def zscore_array(df: DataFrame, col: str, moments: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """Population z-score of every element of an array<double> column (zero variance -> 0).
+
+    ``moments`` default to those of ``df``; pass those of a training part to
+    scale a held-out one by it. They are applied with ``zip_with``.
+    """
+    mean, std = moments or array_moments(df, col)
     m_arr = F.array(*[F.lit(float(v)) for v in mean])
     inv = F.array(*[F.lit(float(1.0 / v) if v > 0 else 0.0) for v in std])
     centred = F.zip_with(F.col(col).cast("array<double>"), m_arr, lambda a, b: a - b)
@@ -158,20 +165,46 @@ def coefficient_table(spark, model, classes: Sequence[str], feature_names: Seque
     return spark.createDataFrame(rows, "class string, feature string, coefficient double")
 
 
+def holdout_predictions(df: DataFrame, id_col: str, features: str, label_col: str, test_fraction: float = 0.2,
+                        seed: int | None = 42, max_iter: int = 1000, fit_scope: str = "all") -> DataFrame:
+    """Fit on the training part of a stratified split and predict the rest: (id, label, prediction) of the test rows.
+
+    ``fit_scope='fold'`` scales both parts by the training part's moments.
+    """
+    split = materialize(stratified_split(df, id_col, label_col, test_fraction, seed))
+    train, test = split.filter("is_test = 0"), split.filter("is_test = 1")
+    if fit_scope == "fold":
+        moments = array_moments(train, features)
+        train, test = zscore_array(train, features, moments), zscore_array(test, features, moments)
+    model, classes = fit_logit(train, features, label_col, max_iter=max_iter)
+    held = predict_logit(test, model, classes, features)
+    return held.select(id_col, F.col(label_col).cast("string").alias(label_col), "prediction")
+
+
 def cross_validate(df: DataFrame, id_col: str, features: str | Sequence[str], label_col: str, k: int = 5,
-                   seed: int | None = 42, max_iter: int = 1000, parallelism: int | None = None):
+                   seed: int | None = 42, max_iter: int = 1000, parallelism: int | None = None,
+                   fit_scope: str = "all"):
     """Stratified k-fold: fit on k-1 folds, predict the held-out fold.
 
+    ``fit_scope='all'`` takes an array column of features as it is (scaled on
+    all rows, as the study does); ``'fold'`` scales it by the moments of each
+    fold's training rows only.
+
     Returns (per-fold accuracy list, out-of-fold predictions DataFrame).
     """
+    if fit_scope not in ("all", "fold"):
+        raise ValueError("fit_scope is 'all' or 'fold'")
     folded = stratified_folds(df, id_col, label_col, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
     total = sum(sizes.values())
 
     def one(f: int):
-        train = folded.filter(F.col("fold") != f)
+        train, held = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+        if fit_scope == "fold":
+            moments = array_moments(train, features)
+            train, held = zscore_array(train, features, moments), zscore_array(held, features, moments)
         model, classes = fit_logit(train, features, label_col, max_iter=max_iter, n_rows=total - sizes.get(f, 0))
-        held = predict_logit(folded.filter(F.col("fold") == f), model, classes, features)
+        held = predict_logit(held, model, classes, features)
         return held.select(id_col, F.col(label_col).cast("string").alias(label_col), "prediction",
                            F.lit(f).alias("fold"))
     try:
@@ -182,7 +215,6 @@ def cross_validate(df: DataFrame, id_col: str, features: str | Sequence[str], la
             oof = oof.unionByName(p)
         # Written once (reliable checkpoint): the accuracies and any report read this copy,
         # and nothing stays cached after the caller is done.
-        from regiopanel.session import materialize
         oof = materialize(oof)
         acc = {r["fold"]: float(r["acc"]) for r in oof.groupBy("fold").agg(
             F.avg((F.col(label_col) == F.col("prediction")).cast("double")).alias("acc")).collect()}

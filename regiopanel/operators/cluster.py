@@ -13,9 +13,9 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ def relabel(pred: Column, mapping: dict[int, int]) -> Column:
     return expr
 
 
-def stable_layout(df: DataFrame, order_col: str, rows_per_partition: int = 1_000_000) -> DataFrame:
+def stable_layout(df: DataFrame, order_col: str, rows_per_partition: int = 100_000) -> DataFrame:
     """A row layout that is a function of the data only: hash partitions on the id
     (count from the row count), sorted within. Fits whose seeding samples per
     partition (k-means||) then give the same result on any cluster."""
@@ -95,7 +95,7 @@ def kmeans_labels(df: DataFrame, features: Sequence[str], k: int, seed: int = 42
 
 def elbow_sweep(df: DataFrame, id_col: str, features: Sequence[str], ks: Sequence[int] = tuple(range(1, 11)),
                 seed: int = 42) -> list[tuple[int, float]]:
-    """Inertia for each k; all k >= 2 fitted together (one data pass per iteration).
+    """Inertia for each k; the fits run concurrently over the same persisted rows.
 
     k = 1 is ``n * sum var_pop`` (the one-cluster inertia, no fit needed).
     """
@@ -114,18 +114,15 @@ def elbow_sweep(df: DataFrame, id_col: str, features: Sequence[str], ks: Sequenc
 
 
 def covariance(df: DataFrame, features: Sequence[str]) -> tuple[np.ndarray, np.ndarray, int]:
-    """Mean vector, sample covariance (d x d) and n from ONE aggregation pass."""
-    d = len(features)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 *[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
-                 *[F.covar_samp(features[i], features[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    mean = np.array([row[f"m{i}"] for i in range(d)], dtype=float)
-    cov = np.zeros((d, d))
-    for i, j in pairs:
-        v = row[f"c{i}_{j}"] or 0.0
-        cov[i, j] = cov[j, i] = v
-    return mean, cov, int(row["n"])
+    """Mean vector, sample covariance (d x d) and n, from Spark's distributed Gram matrix."""
+    from pyspark.ml.stat import Correlation, Summarizer
+    data = assemble(df.select(*features), features).select("features")
+    s = data.agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
+    sd = np.sqrt(np.asarray(s["variance"]))
+    corr = np.nan_to_num(Correlation.corr(data, "features").first()[0].toArray())
+    cov = corr * np.outer(sd, sd)
+    np.fill_diagonal(cov, sd ** 2)
+    return np.asarray(s["mean"]), cov, int(s["count"])
 
 
 def pca_from_cov(cov: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,8 +191,7 @@ def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Seq
                     k: int = 6, seed: int = 0) -> list[tuple[int, float]]:
     """Silhouette of k-means on the first n components, for each n (exact silhouette).
 
-    One covariance pass serves every n, the k-means models share each data
-    pass, and one silhouette job scores all of them.
+    One covariance pass serves every n, and one silhouette job scores all models.
     """
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -216,8 +212,8 @@ def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size
     """PCA + k-means silhouette for every ``size``-subset of the features.
 
     One covariance pass serves all subsets (a PCA of a subset is the eigen-
-    decomposition of its covariance sub-matrix); the k-means fits share each
-    data pass; one silhouette job scores all subsets.
+    decomposition of its covariance sub-matrix); one silhouette job scores all
+    subsets.
     """
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -237,7 +233,7 @@ def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size
 
 def pair_kmeans(df: DataFrame, id_col: str, pairs: Sequence[tuple[str, str]], k: int = 3,
                 seed: int = 42) -> list[tuple[tuple[str, str], np.ndarray]]:
-    """k-means on each pair of variables (all pairs share each data pass); canonical centres."""
+    """k-means on each pair of variables; canonical centres."""
     specs = [SweepModel(i, [a, b], k) for i, (a, b) in enumerate(pairs)]
     fits = kmeans_sweep(df, id_col, specs, seed)
     return [(pair, fits[i]["centres"]) for i, pair in enumerate(pairs)]
@@ -261,23 +257,27 @@ def attach_labels(full: DataFrame, labelled: DataFrame, key: str, label_col: str
 def exclude_refit_label(df: DataFrame, id_col: str, features: Sequence[str], flag_col: str,
                         n_components: int = 2, k: int = 4, seed: int = 42, out: str = "cluster_label",
                         default: str = "Anomalo") -> DataFrame:
-    """Drop flagged rows, refit PCA + k-means on the rest, attach labels back to all rows.
+    """Drop flagged rows, refit PCA + k-means on the rest, label all rows.
 
-    The input is read by several fits and by the final join, so its lineage
-    (e.g. an isolation-forest scoring pass) is cut once with a reliable checkpoint.
+    The input is read by several fits and by the final projection, so its
+    lineage (e.g. an isolation-forest scoring pass) is cut once with a reliable
+    checkpoint.
     """
     from regiopanel.session import materialize
     df = materialize(df)
     kept = df.filter(F.col(flag_col) == 0)
     pca = fit_pca(kept, features, n_components)
-    scores = pca_scores(kept, pca, keep=[id_col])
     pcs = [f"pc{j + 1}" for j in range(n_components)]
-    labelled, _, _ = kmeans_labels(scores, pcs, k, seed, out=out, order_col=id_col)
-    return attach_labels(df, labelled.select(id_col, out), id_col, out, default)
+    scores = pca_scores(kept, pca, keep=[id_col])
+    _, centres, _ = kmeans_labels(scores, pcs, k, seed, order_col=id_col)
+    # Flagged rows get the default, all others their nearest centre: one projection, no join.
+    point = F.array(*pca_exprs(pca))
+    named = assign_clusters(df, point, centres, out)
+    return named.withColumn(out, F.when(F.col(flag_col) == 0, F.col(out).cast("string")).otherwise(F.lit(default)))
 
 
 # ---------------------------------------------------------------------------
-# Many k-means models over one dataset, one data pass per iteration
+# Many k-means models over one dataset
 
 
 class SweepModel:
@@ -318,178 +318,28 @@ class SweepModel:
         return F.array(*out)
 
 
-def _uniform(ids: np.ndarray, seed: int, model: int, step: int) -> np.ndarray:
-    """Seeded uniform in (0, 1] per row id (splitmix64), independent of partitioning."""
-    with np.errstate(over="ignore"):
-        z = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        z += np.uint64((seed * 1_000_003 + model * 9176 + step) & 0xFFFFFFFFFFFFFFFF)
-        for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            z ^= z >> np.uint64(shift)
-            z *= np.uint64(mult)
-        z ^= z >> np.uint64(31)
-    return ((z >> np.uint64(11)).astype(np.float64) + 1.0) / float(1 << 53)
-
-
-def _sq_dists(p: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return ((p[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-
-
-SHARED_PASS_MIN_ROWS = 200_000  # below this a sweep is bound by job latency, not by scans
-
-
-def _sweep_concurrent(data: DataFrame, models: Sequence[SweepModel], seed: int, max_iter: int,
-                      tol: float) -> dict:
-    """Small inputs: independent Spark ML fits, run concurrently from a thread pool."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(m: SweepModel):
-        view = data.select("_id", *[m.column().getItem(j).alias(f"_p{j}") for j in range(m.dim)])
-        _, centres, cost, _ = fit_kmeans(view, [f"_p{j}" for j in range(m.dim)], m.k, seed, max_iter, tol,
-                                         order_col="_id")
-        return m.key, {"centres": centres, "cost": cost, "n_iter": None}
-    threads = max(1, min(len(models), data.sparkSession.sparkContext.defaultParallelism))
-    with ThreadPoolExecutor(threads) as pool:
-        return dict(pool.map(one, models))
+def kmeans_sweep(df: DataFrame, id_col: str, models: Sequence[SweepModel], seed: int = 42,
+                 max_iter: int = 300, tol: float = 1e-4) -> dict:
+    """Fit several k-means models on views of the same rows: independent Spark ML fits from a thread pool.
 
+    Every fit is the one of ``kmeans_labels`` at every size. The base columns
+    are persisted once for all fits.
 
-def kmeans_sweep(df: DataFrame, id_col: str, models: Sequence[SweepModel], seed: int = 42,
-                 max_iter: int = 300, tol: float = 1e-4, shared_pass: bool | None = None) -> dict:
-    """Fit several k-means models on views of the same rows, sharing every data pass.
-
-    ``shared_pass=None`` decides by size: up to ``SHARED_PASS_MIN_ROWS`` rows
-    the sweep is bound by per-job latency, so independent Spark ML fits run
-    concurrently; above it the sweep is bound by scans, so all models share
-    each pass as described below.
-
-    Seeding is k-means++ (D^2 sampling): each step draws one new centre per
-    model (largest ``log(u) / D^2``, u from a seeded hash of the row id) in
-    one pass. Each Lloyd iteration is ONE pass over the rows for all models
-    still moving: every partition assigns its rows with numpy and emits only
-    per (model, cluster) partial sums; a small ``groupBy`` combines them. The
-    driver holds M x k centres. ``tol`` has sklearn's meaning (relative to the
-    mean feature variance, on the summed squared centre shift).
-
-    Returns {key: {"centres": canonical k x d array, "cost": inertia, "n_iter": n}}.
+    Returns {key: {"centres": canonical k x d array, "cost": inertia}}.
     """
     base = sorted({c for m in models for c in m.cols})
-    index = {c: i for i, c in enumerate(base)}
-    data = df.select(F.col(id_col).cast("long").alias("_id"),
+    data = df.select(F.col(id_col).alias("_id"),
                      *[F.col(c).cast("double").alias(c) for c in base]).persist(StorageLevel.MEMORY_AND_DISK)
-    width = max(m.dim for m in models)
-    sum_cols = ", ".join(f"s{j} double" for j in range(width))
-    step_schema = f"m int, c int, n bigint, d2 double, {sum_cols}"
+
+    def one(m: SweepModel):
+        names = [f"_p{j}" for j in range(m.dim)]
+        view = data.select("_id", *[m.column().getItem(j).alias(n) for j, n in enumerate(names)])
+        _, centres, cost, _ = fit_kmeans(view, names, m.k, seed, max_iter, tol, order_col="_id")
+        return m.key, {"centres": centres, "cost": cost}
     try:
-        if shared_pass is None:
-            shared_pass = data.limit(SHARED_PASS_MIN_ROWS + 1).count() > SHARED_PASS_MIN_ROWS
-        if not shared_pass:
-            return _sweep_concurrent(data, models, seed, max_iter, tol)
-        # Mean feature variance per model for the tolerance: one pass of moments.
-        def moments(it):
-            for pdf in it:
-                x = pdf[base].to_numpy(dtype=float)
-                for mi, m in enumerate(models):
-                    p = m.points(x, index)
-                    row = {"m": mi, "n": len(p), "s": p.sum(0).tolist(), "q": (p * p).sum(0).tolist()}
-                    yield pd.DataFrame([row])
-        mom = data.mapInPandas(moments, "m int, n bigint, s array<double>, q array<double>").toPandas()
-        tol_abs = {}
-        for mi, m in enumerate(models):
-            g = mom[mom["m"] == mi]
-            n = g["n"].sum()
-            s = np.sum(np.stack(g["s"].to_numpy()), 0) if n else np.zeros(m.dim)
-            q = np.sum(np.stack(g["q"].to_numpy()), 0) if n else np.zeros(m.dim)
-            var = q / max(n, 1) - (s / max(n, 1)) ** 2
-            tol_abs[mi] = tol * float(np.mean(np.clip(var, 0.0, None)))
-        # k-means++ seeding, one pass per step for all models.
-        centres: dict[int, list[np.ndarray]] = {mi: [] for mi in range(len(models))}
-        for step in range(max(m.k for m in models)):
-            todo = [mi for mi, m in enumerate(models) if len(centres[mi]) < m.k]
-            if not todo:
-                break
-            current = {mi: np.array(centres[mi]) for mi in todo}
-
-            def seed_step(it, todo=todo, current=current, step=step):
-                for pdf in it:
-                    if pdf.empty:
-                        continue
-                    x = pdf[base].to_numpy(dtype=float)
-                    ids = pdf["_id"].to_numpy()
-                    rows = []
-                    for mi in todo:
-                        p = models[mi].points(x, index)
-                        u = _uniform(ids, seed, mi, step)
-                        if len(current[mi]):
-                            d2 = _sq_dists(p, current[mi]).min(1)
-                            with np.errstate(divide="ignore"):
-                                key = np.where(d2 > 0, np.log(u) / np.where(d2 > 0, d2, 1.0), -np.inf)
-                        else:
-                            key = u
-                        best = int(np.argmax(key))
-                        if np.isfinite(key[best]):
-                            rows.append({"m": mi, "key": float(key[best]), "p": p[best].tolist()})
-                    if rows:
-                        yield pd.DataFrame(rows)
-            cand = data.mapInPandas(seed_step, "m int, key double, p array<double>")
-            picked = cand.groupBy("m").agg(F.max_by("p", "key").alias("p")).collect()
-            got = {r["m"]: np.array(r["p"]) for r in picked}
-            for mi in todo:
-                # Fewer distinct points than k: repeat the last centre.
-                centres[mi].append(got.get(mi, centres[mi][-1] if centres[mi] else np.zeros(models[mi].dim)))
-
-        def lloyd(active: list[int], cur: dict[int, np.ndarray]):
-            def step_fn(it):
-                for pdf in it:
-                    if pdf.empty:
-                        continue
-                    x = pdf[base].to_numpy(dtype=float)
-                    rows = []
-                    for mi in active:
-                        p = models[mi].points(x, index)
-                        d = _sq_dists(p, cur[mi])
-                        lab = d.argmin(1)
-                        mind = d[np.arange(len(p)), lab]
-                        k = cur[mi].shape[0]
-                        sums = np.zeros((k, width))
-                        np.add.at(sums[:, :p.shape[1]], lab, p)
-                        cnt = np.bincount(lab, minlength=k)
-                        d2 = np.bincount(lab, weights=mind, minlength=k)
-                        for c in np.flatnonzero(cnt):
-                            rows.append((mi, int(c), int(cnt[c]), float(d2[c]), *sums[c].tolist()))
-                    if rows:
-                        yield pd.DataFrame(rows, columns=["m", "c", "n", "d2"] + [f"s{j}" for j in range(width)])
-            part = data.mapInPandas(step_fn, step_schema)
-            agg = part.groupBy("m", "c").agg(F.sum("n").alias("n"), F.sum("d2").alias("d2"),
-                                             *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width)])
-            return agg.collect()
-
-        cur = {mi: np.array(centres[mi], dtype=float) for mi in centres}
-        moving = list(range(len(models)))
-        n_iter = {mi: 0 for mi in cur}
-        for _ in range(max_iter):
-            if not moving:
-                break
-            rows = lloyd(moving, cur)
-            still = []
-            new = {mi: cur[mi].copy() for mi in moving}
-            for r in rows:
-                mi = r["m"]
-                new[mi][r["c"]] = np.array([r[f"s{j}"] for j in range(models[mi].dim)]) / r["n"]
-            for mi in moving:
-                n_iter[mi] += 1
-                shift = float(((new[mi] - cur[mi]) ** 2).sum())
-                cur[mi] = new[mi]
-                if shift > tol_abs[mi]:
-                    still.append(mi)
-            moving = still
-        # Inertia of the final centres: one more pass for all models.
-        cost = {mi: 0.0 for mi in cur}
-        for r in lloyd(list(cur), cur):
-            cost[r["m"]] += r["d2"]
-        out = {}
-        for mi, m in enumerate(models):
-            arr = cur[mi]
-            out[m.key] = {"centres": arr[canonical_order(arr)], "cost": float(cost[mi]), "n_iter": n_iter[mi]}
-        return out
+        threads = max(1, min(len(models), df.sparkSession.sparkContext.defaultParallelism))
+        with ThreadPoolExecutor(threads) as pool:
+            return dict(pool.map(one, models))
     finally:
         data.unpersist()
 

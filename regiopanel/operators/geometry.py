@@ -24,7 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_VALUES = 1_000_000  # k * d bound for inlining centres into the plan
+from regiopanel.session import materialize
+
+MAX_INLINE_VALUES = 20_000  # k * d bound for inlining centres into the plan
+
+
+MAX_TILE_TASKS = 20_000  # beyond it a task takes several tiles, one after the other
 
 
 def as_array(features: Sequence[str]) -> Column:
@@ -54,7 +59,7 @@ def _sqdist(feats: Column, centre: Column) -> Column:
 
 
 def nearest_of_literals(feats: Column, centres: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    """``struct(d2, cid)`` of the nearest centre; ties go to the lower id."""
+    """``struct(d2, cid)`` of the nearest centre (id as int); ties go to the lower id."""
     arr = F.array(*[F.struct(F.lit(int(cid)).alias("cid"), F.array(*[F.lit(float(v)) for v in vec]).alias("c"))
                     for cid, vec in centres])
     dists = F.transform(arr, lambda ct: F.struct(_sqdist(feats, ct["c"]).alias("d"), ct["cid"].alias("cid")))
@@ -83,10 +88,11 @@ def nearest_centroid(points: DataFrame, feats: str, centres: DataFrame, cid: str
     Small centre sets are inlined; large ones go through a blocked equi-join,
     which needs ``id_col`` to reduce per point.
     """
+    kind = dict(centres.dtypes)[cid]  # labels keep the type of the centres' ids either way
     listed = collect_centres(centres, cid, cfeats, max_values)
     if listed is not None:
         best = nearest_of_literals(F.col(feats), listed)
-        res = points.withColumn("_best", best).withColumn(out, F.col("_best.cid"))
+        res = points.withColumn("_best", best).withColumn(out, F.col("_best.cid").cast(kind))
         if dist_out:
             res = res.withColumn(dist_out, F.sqrt(F.col("_best.d")))
         return res.drop("_best")
@@ -95,7 +101,7 @@ def nearest_centroid(points: DataFrame, feats: str, centres: DataFrame, cid: str
     k = centres.count()
     nb = max(1, math.ceil(k / block_size))
     blocks = (centres.select(F.pmod(F.xxhash64(cid), F.lit(nb)).alias("_blk"),
-                             F.struct(F.col(cid).cast("int").alias("cid"), F.col(cfeats).alias("c")).alias("_ct"))
+                             F.struct(F.col(cid).alias("cid"), F.col(cfeats).alias("c")).alias("_ct"))
               .groupBy("_blk").agg(F.collect_list("_ct").alias("_cents")))
     pts = points.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
     j = pts.join(blocks, "_blk", "inner").withColumn(
@@ -115,7 +121,7 @@ def grid_axis(lo: float, hi: float, step: float) -> tuple[float, int]:
     return lo, int(math.ceil((hi - lo) / step))
 
 
-def decision_grid(df: DataFrame, x: str, y: str, centres: Sequence[tuple[int, Sequence[float]]],
+def decision_grid(df: DataFrame, x: str, y: str, centres: DataFrame, cid: str,
                   step: float = 0.05, pad: float = 1.0) -> DataFrame:
     """Nearest-centre label on the grid ``[min-pad, max+pad)`` x same, step ``step``.
 
@@ -128,8 +134,9 @@ def decision_grid(df: DataFrame, x: str, y: str, centres: Sequence[tuple[int, Se
     g = spark.range(nx * ny).select(
         (F.lit(x_start) + (F.col("id") / F.lit(ny)).cast("long") * F.lit(step)).alias("gx"),
         (F.lit(y_start) + F.pmod(F.col("id"), F.lit(ny)) * F.lit(step)).alias("gy"))
-    best = nearest_of_literals(F.array("gx", "gy"), centres)
-    return g.withColumn("nearest", best["cid"])
+    pts = g.withColumn("_id", F.monotonically_increasing_id()).withColumn("_p", F.array("gx", "gy"))
+    own = centres.select(cid, as_array([x, y]).alias("_c"))
+    return nearest_centroid(pts, "_p", own, cid, "_c", out="nearest", id_col="_id").select("gx", "gy", "nearest")
 
 
 # ---------------------------------------------------------------------------
@@ -137,35 +144,41 @@ def decision_grid(df: DataFrame, x: str, y: str, centres: Sequence[tuple[int, Se
 
 
 def _tile_sums(group_cols: Sequence[str], id_col: str, label_col: str, feats: str):
+    cols = [*group_cols, id_col, label_col, "_olab", "_s", "_c"]
+
+    def one_hot(labels):
+        labs, inv = np.unique(labels, return_inverse=True)
+        hot = np.zeros((len(labels), len(labs)))
+        hot[np.arange(len(labels)), inv] = 1.0
+        return labs, hot
+
+    def rows(side, sums, labs, counts):
+        n, k = sums.shape
+        out = {id_col: np.repeat(side[id_col].to_numpy(), k), label_col: np.repeat(side[label_col].to_numpy(), k),
+               "_olab": np.tile(labs, n), "_s": sums.reshape(-1), "_c": np.tile(counts, n).astype(np.int64)}
+        for g in group_cols:
+            out[g] = np.repeat(side[g].to_numpy(), k)
+        return pd.DataFrame(out)[cols]
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = int(pdf["_bi"].iloc[0]) == int(pdf["_bj"].iloc[0])
         left = pdf[pdf["_role"] == 0]
-        right = pdf[pdf["_role"] == 1]
+        right = left if own else pdf[pdf["_role"] == 1]
         if left.empty or right.empty:
-            return pd.DataFrame(columns=[*group_cols, id_col, label_col, "_olab", "_s", "_c"])
+            return pd.DataFrame(columns=cols)
         xl = np.stack(left[feats].to_numpy()).astype(np.float64)
         xr = np.stack(right[feats].to_numpy()).astype(np.float64)
-        rlab = right[label_col].to_numpy()
-        labs, inv = np.unique(rlab, return_inverse=True)
-        onehot = np.zeros((len(rlab), len(labs)))
-        onehot[np.arange(len(rlab)), inv] = 1.0
-        counts = onehot.sum(axis=0)
-        sums = np.empty((len(left), len(labs)))
+        (llab, lhot), (rlab, rhot) = one_hot(left[label_col].to_numpy()), one_hot(right[label_col].to_numpy())
+        to_right, to_left = np.empty((len(left), len(rlab))), np.zeros((len(right), len(llab)))
         chunk = max(1, int(4_000_000 // max(1, xr.shape[0] * xr.shape[1])))
         for s in range(0, len(left), chunk):
             diff = xl[s:s + chunk, None, :] - xr[None, :, :]
             d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            sums[s:s + chunk] = d @ onehot
-        nl, nk = sums.shape
-        out = {
-            id_col: np.repeat(left[id_col].to_numpy(), nk),
-            label_col: np.repeat(left[label_col].to_numpy(), nk),
-            "_olab": np.tile(labs, nl),
-            "_s": sums.reshape(-1),
-            "_c": np.tile(counts, nl).astype(np.int64),
-        }
-        for g in group_cols:
-            out[g] = np.repeat(left[g].to_numpy(), nk)
-        return pd.DataFrame(out)[[*group_cols, id_col, label_col, "_olab", "_s", "_c"]]
+            to_right[s:s + chunk] = d @ rhot
+            if not own:  # the same distances serve the mirrored tile
+                to_left += d.T @ lhot[s:s + chunk]
+        out = rows(left, to_right, rlab, rhot.sum(axis=0))
+        return out if own else pd.concat([out, rows(right, to_left, llab, lhot.sum(axis=0))])
     return fn
 
 
@@ -183,9 +196,12 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
     n_groups = int(sizes["g"] or 1)
     m = max(1, math.ceil(n_max / block_size))
     blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(m)).cast("int")
-    rng = F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    left = pts.select("*", F.lit(0).alias("_role"), blk.alias("_bi"), rng.alias("_bj"))
-    right = pts.select("*", F.lit(1).alias("_role"), rng.alias("_bi"), blk.alias("_bj"))
+    # Tiles of the upper triangle only; a tile off the diagonal gives the sums of both its sides.
+    placed = pts.withColumn("_b", blk)
+    left = placed.select("*", F.lit(0).alias("_role"), F.col("_b").alias("_bi"), F.explode(F.sequence("_b", F.lit(m - 1))).alias("_bj"))
+    right = placed.filter("_b > 0").select("*", F.lit(1).alias("_role"), F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_bi"),
+                                           F.col("_b").alias("_bj"))
+    left, right = left.drop("_b"), right.drop("_b")
     label_type = dict(pts.dtypes)[label_col]
     id_type = dict(pts.dtypes)[id_col]
     schema = ", ".join([f"`{g}` {dict(pts.dtypes)[g]}" for g in group_cols]
@@ -193,8 +209,8 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
                           "_s double", "_c bigint"])
     # Tiles are CPU work on few bytes: spread them over the cores instead of letting
     # AQE coalesce them by size (the groupBy reuses this partitioning).
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    both = left.unionByName(right).repartition(max(1, min(n_groups * m * m, 2 * slots)), *group_cols, "_bi", "_bj")
+    n_tiles = n_groups * m * (m + 1) // 2
+    both = left.unionByName(right).repartition(max(1, min(n_tiles, MAX_TILE_TASKS)), *group_cols, "_bi", "_bj")
     tiles = both.groupBy(*group_cols, "_bi", "_bj").applyInPandas(
         _tile_sums(group_cols, id_col, label_col, feats), schema)
     per = tiles.groupBy(*group_cols, id_col, label_col, "_olab").agg(F.sum("_s").alias("_s"),
@@ -209,44 +225,44 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
     return res.withColumn("silhouette", sil).drop("_n_own")
 
 
-def silhouette_squared_samples(df: DataFrame, label_col: str, feats: str,
-                               max_values: int = MAX_INLINE_VALUES) -> DataFrame:
+def silhouette_squared_samples(df: DataFrame, label_col: str, feats: str, block_size: int = 64) -> DataFrame:
     """Per-row silhouette with squared Euclidean distance, linear in n.
 
     Mean squared distance from x to cluster C is
     ``|x|^2 + S_C / n_C - 2 x . Y_C / n_C`` with ``Y_C`` the feature sum and
     ``S_C`` the sum of squared norms, so one aggregation (k rows) suffices.
     The own cluster excludes x itself (divide by ``n_C - 1``), as Spark's
-    ``ClusteringEvaluator`` does; a singleton cluster scores 0.
+    ``ClusteringEvaluator`` does; a singleton cluster scores 0. The statistics
+    are joined in blocks of ``block_size`` clusters, however many there are.
     """
     x = F.col(feats).cast("array<double>")
     dim = df.select(F.size(x).alias("d")).first()["d"]
-    stats_df = df.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)).alias("sq"),
-        *[F.sum(x[i]).alias(f"y{i}") for i in range(dim)])
-    k = stats_df.limit(max_values // max(dim, 1) + 1).count()
-    if k * dim > max_values:
-        raise ValueError("too many clusters to inline their statistics")
-    stats = stats_df.collect()
     norm = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
-    terms = []
-    for r in stats:
-        ysum = F.array(*[F.lit(float(r[f"y{i}"])) for i in range(dim)])
-        dot = F.aggregate(F.zip_with(x, ysum, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-        total = F.lit(float(r["n"])) * norm + F.lit(float(r["sq"])) - F.lit(2.0) * dot
-        terms.append((r[label_col], int(r["n"]), total))
-    lab = F.col(label_col)
-    own_n = F.lit(None).cast("long")
-    a = F.lit(None).cast("double")
-    for lv, n, total in terms:
-        own_n = F.when(lab == F.lit(lv), F.lit(n)).otherwise(own_n)
-        a = F.when(lab == F.lit(lv), F.try_divide(total, F.lit(float(n - 1)))).otherwise(a)
-    others = [F.when(lab != F.lit(lv), total / F.lit(float(n))) for lv, n, total in terms]
-    b = F.least(*others) if len(others) > 1 else others[0]
-    sil = F.when(own_n <= 1, F.lit(0.0)).otherwise(F.coalesce(
+    stats = materialize(df.groupBy(label_col).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(norm).alias("sq"), F.array(*[F.sum(x[i]) for i in range(dim)]).alias("y")))
+    blocks = max(1, math.ceil(stats.count() / block_size))
+    grouped = (stats.groupBy(F.pmod(F.xxhash64(label_col), F.lit(blocks)).cast("int").alias("_blk"))
+               .agg(F.collect_list(F.struct(F.col(label_col).alias("l"), "n", "sq", "y")).alias("_st")))
+    rows = df.withColumn("_row", F.struct(*df.columns))
+    if blocks > 1:
+        rows = materialize(rows.withColumn("_id", F.monotonically_increasing_id()))
+    spread = rows.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(grouped, "_blk")
+
+    def total(s):
+        dot = F.aggregate(F.zip_with(x, s["y"], lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+        return s["n"].cast("double") * norm + s["sq"] - F.lit(2.0) * dot
+
+    own, others = (F.filter("_st", lambda s: s["l"] == F.col(label_col)),
+                   F.filter("_st", lambda s: s["l"] != F.col(label_col)))
+    part = spread.withColumn("_o", F.get(F.transform(own, lambda s: F.struct(
+        s["n"].alias("n"), F.try_divide(total(s), (s["n"] - 1).cast("double")).alias("a"))), 0))
+    part = part.withColumn("_b", F.array_min(F.transform(others, lambda s: total(s) / s["n"].cast("double"))))
+    if blocks > 1:
+        part = part.groupBy("_id").agg(F.first("_row").alias("_row"), F.max("_o").alias("_o"), F.min("_b").alias("_b"))
+    a, b = F.col("_o.a"), F.col("_b")
+    sil = F.when(F.col("_o.n") <= 1, F.lit(0.0)).otherwise(F.coalesce(
         F.when(a < b, F.lit(1.0) - a / b).when(a > b, b / a - F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.0)))
-    return df.withColumn("silhouette_sq", sil)
+    return part.select("_row.*", sil.alias("silhouette_sq"))
 
 
 def silhouette_squared(df: DataFrame, label_col: str, feats: str) -> float:

@@ -1,12 +1,12 @@
 """Mapping of the reference's (municipality, year) shapes onto the test tables.
 
 Fixed values of the mapping (FIXTURES.md section 3):
-  code        = lpad(cast(l_suppkey as string), 5, '0')
+  code        = l_suppkey as text, zero-padded to at least 5 characters (longer keys whole)
   year        = year(l_shipdate), data spans 1995-2001
   study period = 1996..2000 (five years, like 2019..2023)
   code prefix  = '0000' (stands in for the department prefix '19')
   user panel (UP) = events by user_id: count of each event type + mean value
-  EMB  = embeddings (vec_id, 64 floats, label); EMB6 = first six dimensions
+  EMB  = embeddings (vec_id, 64 floats, label), as one array or as 64 columns
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ CODE_WIDTH = 5
 # The five event types, in alphabetical order, as they appear in `events`.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 UP_FEATURES = [f"n_{t}" for t in EVENT_TYPES] + ["mean_value"]
-EMB6_FEATURES = [f"x{i}" for i in range(6)]
+# Fixed value: dimensions of `embeddings`.
+EMB_DIM = 64
+EMB_FEATURES = [f"x{i}" for i in range(EMB_DIM)]
 
 _tables: dict[str, tuple[SparkSession, TableSet]] = {}
 
@@ -63,8 +65,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
 
 
-def emb6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """EMB6: the first six embedding dimensions as double columns."""
+def emb_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EMB: every embedding dimension as a double column."""
     emb = tables(spark, sf_dir)["embeddings"]
     return emb.select("vec_id", "label",
-                      *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(6)])
+                      *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(EMB_DIM)])

@@ -7,11 +7,13 @@ split, folds, report) have DuckDB oracles.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from regiopanel.operators.anomaly import isolation_forest, leave_one_out_importance
 from regiopanel.operators.classify import (classification_report, coefficient_table, cross_validate,
-                                           fit_logit, predict_logit, stratified_folds, stratified_split,
+                                           fit_logit, holdout_predictions, predict_logit, stratified_folds, stratified_split,
                                            weighted_scores, zscore_array)
 from regiopanel.operators.cluster import (attach_labels, elbow_sweep, exclude_refit_label, fit_pca,
                                           kmeans_labels, pair_kmeans, pca_scores, pca_sensitivity,
@@ -19,14 +21,10 @@ from regiopanel.operators.cluster import (attach_labels, elbow_sweep, exclude_re
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
+from regiopanel.plans.sqlfrag import UPZ_SQL
 from regiopanel.session import materialize
 from regiopanel.plans.stats_q import _emb_centres, user_panel_z
 
-# The six variable pairs of the pairwise k-means study, as
-# positions in the feature list (the reference's pairs of its six variables).
-PAIR_POSITIONS = [(1, 5), (1, 0), (2, 3), (4, 5), (2, 4), (3, 0)]
-
-
 @register("kmeans_labels", stage="model")
 def q_kmeans_labels(spark, sf_dir):
     labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42, order_col="user_id")
@@ -87,8 +85,11 @@ def q_subset_sensitivity(spark, sf_dir):
 
 @register("pair_kmeans", stage="model")
 def q_pair_kmeans(spark, sf_dir):
-    pairs = [(UP_FEATURES[a], UP_FEATURES[b]) for a, b in PAIR_POSITIONS]
-    res = pair_kmeans(user_panel_z(spark, sf_dir), "user_id", pairs, k=3, seed=42)
+    """k-means on every pair of the four features that matter most to the isolation forest."""
+    z = user_panel_z(spark, sf_dir)
+    top = leave_one_out_importance(z, "user_id", UP_FEATURES, seed=42).orderBy(F.col("importance").desc(), "feature")
+    names = [r["feature"] for r in top.limit(4).collect()]
+    res = pair_kmeans(z, "user_id", list(itertools.combinations(names, 2)), k=3, seed=42)
     rows = [(f"{x}|{y}", c, float(cen[c][0]), float(cen[c][1])) for (x, y), cen in res for c in range(len(cen))]
     return spark.createDataFrame(rows, "pair string, cluster int, cx double, cy double")
 
@@ -114,10 +115,9 @@ def q_loo_importance(spark, sf_dir):
 @register("exclude_refit_label", stage="model")
 def q_exclude_refit_label(spark, sf_dir):
     """The reference's final clustering: drop isolation-forest anomalies, refit PCA(2) + k-means(4)
-    on the rest, attach labels back by key with 'Anomalo' for the excluded rows."""
+    on the rest, label all rows, 'Anomalo' for the excluded ones."""
     z = user_panel_z(spark, sf_dir)
-    flags = isolation_forest(z, "user_id", UP_FEATURES, contamination=0.05, seed=42).select("user_id", "is_anomalous")
-    flagged = z.join(flags, "user_id", "inner")
+    flagged = isolation_forest(z, "user_id", UP_FEATURES, contamination=0.05, seed=42, keep=UP_FEATURES)
     out = exclude_refit_label(flagged, "user_id", UP_FEATURES, "is_anomalous", n_components=2, k=4, seed=42)
     return out.select("user_id", "is_anomalous", "cluster_label")
 
@@ -242,3 +242,87 @@ def q_cv_accuracy(spark, sf_dir):
 def q_oof_weighted(spark, sf_dir):
     _, oof = cross_validate(_emb_z(spark, sf_dir), "vec_id", "features", "label", k=5, seed=42)
     return weighted_scores(oof, "label", "prediction")
+
+
+def _report_columns(rep):
+    return rep.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
+                      F.col("support").cast("long").alias("support"))
+
+
+@register("logit_report", stage="model")
+def q_logit_report(spark, sf_dir):
+    """Report of the classifier on the rows it was fitted on."""
+    z = _emb_z(spark, sf_dir)
+    model, classes = fit_logit(z, "features", "label")
+    return _report_columns(classification_report(predict_logit(z, model, classes, "features"), "label", "prediction"))
+
+
+@register("holdout_report", stage="model")
+def q_holdout_report(spark, sf_dir):
+    """Fit on 80 % of each class, report on the other 20 %."""
+    held = holdout_predictions(_emb_z(spark, sf_dir), "vec_id", "features", "label", 0.2, seed=42)
+    return _report_columns(classification_report(held, "label", "prediction"))
+
+
+_SPLIT_SUPPORT = """
+SELECT CASE WHEN label < 8 THEN CAST(label AS VARCHAR) ELSE 'Anomalo' END AS class, COUNT(*) AS n FROM embeddings GROUP BY 1
+"""
+
+
+@register("holdout_support", stage="model", sql=f"""
+SELECT class, CAST(ROUND(n * 0.2) AS BIGINT) AS support FROM ({_SPLIT_SUPPORT}) WHERE ROUND(n * 0.2) > 0
+UNION ALL SELECT 'total', CAST(SUM(ROUND(n * 0.2)) AS BIGINT) FROM ({_SPLIT_SUPPORT})
+""")
+def q_holdout_support(spark, sf_dir):
+    """Rows of each class that the hold-out classifier has predicted."""
+    held = holdout_predictions(_emb_z(spark, sf_dir), "vec_id", "features", "label", 0.2, seed=42)
+    per = materialize(held.groupBy(F.col("label").alias("class")).agg(F.count("prediction").alias("support")))
+    return per.unionByName(per.agg(F.lit("total").alias("class"), F.sum("support").alias("support")))
+
+
+@register("pca_total_variance", stage="model", sql=f"""
+SELECT {len(UP_FEATURES)} AS components, ROUND({" + ".join(f"VAR_SAMP({c})" for c in UP_FEATURES)}, 6) AS total_variance
+FROM ({UPZ_SQL})
+""")
+def q_pca_total_variance(spark, sf_dir):
+    """The variances of all component scores add up to the total variance of the features."""
+    z, pca = _up_pca(spark, sf_dir, len(UP_FEATURES))
+    scores = pca_scores(z, pca)
+    total = sum((F.var_samp(c) for c in scores.columns[1:]), F.var_samp(scores.columns[0]))
+    return scores.agg(F.lit(len(scores.columns)).alias("components"), F.round(total, 6).alias("total_variance"))
+
+
+@register("iforest_flag_count", stage="model", sql="""
+SELECT COUNT(*) AS n_rows, CAST(CEIL((COUNT(*) - 1) * CAST(0.05 AS DOUBLE)) AS BIGINT) AS n_flagged FROM (SELECT DISTINCT user_id FROM events)
+""")
+def q_iforest_flag_count(spark, sf_dir):
+    """Rows scored, and rows below the contamination threshold (scores are distinct but for rows with equal features)."""
+    flags = q_iforest_flag(spark, sf_dir)
+    return flags.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("is_anomalous").cast("long").alias("n_flagged"))
+
+
+@register("cv_fold_rows", stage="model", sql=f"""
+WITH c AS ({_SPLIT_SUPPORT}), f AS (SELECT unnest(range(0, 5)) AS fold)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(SUM((n + 4 - fold) // 5) AS BIGINT) AS n FROM c, f GROUP BY 1
+""")
+def q_cv_fold_rows(spark, sf_dir):
+    """Rows that each fold's classifier has predicted; scaling is fitted on the training folds only."""
+    feats = embeddings(spark, sf_dir).select("vec_id", "features")
+    labels = q_exclude_and_label(spark, sf_dir).withColumnRenamed("cluster_label", "label")
+    _, oof = cross_validate(materialize(feats.join(labels, "vec_id")), "vec_id", "features", "label", k=5, seed=42, fit_scope="fold")
+    return oof.filter("prediction IS NOT NULL").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("kmeans_decomposition", stage="model", sql=f"""
+SELECT COUNT(*) AS n_rows, ROUND(COUNT(*) * ({" + ".join(f"VAR_POP({c})" for c in UP_FEATURES)}), 6) AS total_squares FROM ({UPZ_SQL})
+""")
+def q_kmeans_decomposition(spark, sf_dir):
+    """Squares within the fitted clusters plus squares between them: the total of the features."""
+    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42, order_col="user_id")
+    per = materialize(labelled.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in UP_FEATURES],
+        *[F.var_pop(c).alias(f"v_{c}") for c in UP_FEATURES]))
+    grand = per.agg(F.sum("n").alias("rows"), *[(F.sum(F.col("n") * F.col(f"m_{c}")) / F.sum("n")).alias(f"g_{c}") for c in UP_FEATURES])
+    squares = sum((F.col(f"v_{c}") + F.pow(F.col(f"m_{c}") - F.col(f"g_{c}"), 2) for c in UP_FEATURES), F.lit(0.0))
+    # One row per cluster against one row of means.
+    return per.join(F.broadcast(grand)).agg(F.sum("n").alias("n_rows"), F.round(F.sum(F.col("n") * squares), 6).alias("total_squares"))

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from regiopanel.operators.geometry import (as_array, centroids, collect_centres, decision_grid,
+from regiopanel.operators.geometry import (as_array, centroids, decision_grid,
                                            inertia_by_label, nearest_centroid, silhouette_1d,
                                            silhouette_samples, silhouette_squared_samples, total_inertia)
 from regiopanel.operators.ranking import group_rank
 from regiopanel.operators.stats import (boxplot_stats, feature_variances, group_describe,
                                         running_share, to_long, top_k, value_counts, zscore)
-from regiopanel.plans.fixtures import EMB6_FEATURES, UP_FEATURES, emb6, embeddings, tables, user_panel
+from regiopanel.plans.fixtures import EMB_DIM, EMB_FEATURES, UP_FEATURES, emb_columns, embeddings, tables, user_panel
 from regiopanel.plans.registry import register
 from regiopanel.session import materialize
-from regiopanel.plans.sqlfrag import EMB6_LONG_SQL, EMB6_SQL, UP_SQL, UPZ_SQL, euclid, sqeuclid
+from regiopanel.plans.sqlfrag import EMB_LONG_SQL, EMB_SQL, UP_SQL, UPZ_SQL, euclid, sqeuclid
 
 
 def _round_all(df, cols, digits=6):
@@ -37,14 +37,14 @@ def q_zscore(spark, sf_dir):
 @register("cluster_describe", stage="stats", sql=f"""
 SELECT label, variable, ROUND(AVG(value), 6) AS mean, ROUND(MEDIAN(value), 6) AS median,
        ROUND(STDDEV_SAMP(value), 6) AS std
-FROM ({EMB6_LONG_SQL}) GROUP BY 1, 2
+FROM ({EMB_LONG_SQL}) GROUP BY 1, 2
 """)
 def q_cluster_describe(spark, sf_dir):
-    return _round_all(group_describe(emb6(spark, sf_dir), "label", EMB6_FEATURES), ["mean", "median", "std"])
+    return _round_all(group_describe(emb_columns(spark, sf_dir), "label", EMB_FEATURES), ["mean", "median", "std"])
 
 
 @register("boxplot_stats", stage="stats", sql=f"""
-WITH l AS ({EMB6_LONG_SQL}),
+WITH l AS ({EMB_LONG_SQL}),
 q AS (SELECT label, variable, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
              quantile_cont(value, 0.75) AS q3 FROM l GROUP BY 1, 2),
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
@@ -58,7 +58,7 @@ FROM f JOIN l ON f.label = l.label AND f.variable = l.variable
 GROUP BY f.label, f.variable, q1, median, q3, iqr
 """)
 def q_boxplot_stats(spark, sf_dir):
-    out = boxplot_stats(emb6(spark, sf_dir), "label", EMB6_FEATURES)
+    out = boxplot_stats(emb_columns(spark, sf_dir), "label", EMB_FEATURES)
     return _round_all(out, ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"])
 
 
@@ -112,10 +112,10 @@ def q_running_share(spark, sf_dir):
 
 
 @register("centroids", stage="stats", sql=f"""
-SELECT label, {", ".join(f"ROUND(AVG(x{i}), 6) AS x{i}" for i in range(6))} FROM ({EMB6_SQL}) GROUP BY 1
+SELECT label, {", ".join(f"ROUND(AVG(x{i}), 6) AS x{i}" for i in range(EMB_DIM))} FROM ({EMB_SQL}) GROUP BY 1
 """)
 def q_centroids(spark, sf_dir):
-    return _round_all(centroids(emb6(spark, sf_dir), "label", EMB6_FEATURES), EMB6_FEATURES)
+    return _round_all(centroids(emb_columns(spark, sf_dir), "label", EMB_FEATURES), EMB_FEATURES)
 
 
 # Display names of the labels (the reference names its clusters by hand).
@@ -125,25 +125,25 @@ LABEL_NAMES = {0: "alpha", 1: "beta", 2: "gamma", 3: "delta", 4: "epsilon",
 
 @register("cluster_profile", stage="stats", sql=f"""
 WITH names(label, name) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in LABEL_NAMES.items())})
-SELECT c.label, n.name, {", ".join(f"ROUND(AVG(x{i}), 3) AS x{i}" for i in range(6))}
-FROM ({EMB6_SQL}) c LEFT JOIN names n ON c.label = n.label
+SELECT c.label, n.name, {", ".join(f"ROUND(AVG(x{i}), 3) AS x{i}" for i in range(EMB_DIM))}
+FROM ({EMB_SQL}) c LEFT JOIN names n ON c.label = n.label
 GROUP BY c.label, n.name
 """)
 def q_cluster_profile(spark, sf_dir):
-    cents = centroids(emb6(spark, sf_dir), "label", EMB6_FEATURES)
+    cents = centroids(emb_columns(spark, sf_dir), "label", EMB_FEATURES)
     names = spark.createDataFrame(sorted(LABEL_NAMES.items()), "label int, name string")
     prof = cents.join(F.broadcast(names), "label", "left")  # 10-row lookup table
-    return prof.select("label", "name", *[F.round(c, 3).alias(c) for c in EMB6_FEATURES])
+    return prof.select("label", "name", *[F.round(c, 3).alias(c) for c in EMB_FEATURES])
 
 
 @register("inertia", stage="stats", sql=f"""
-WITH e AS ({EMB6_SQL}),
-c AS (SELECT label, {", ".join(f"AVG(x{i}) AS x{i}" for i in range(6))} FROM e GROUP BY 1)
-SELECT e.label, COUNT(*) AS n, ROUND(SUM({sqeuclid("e", "c", EMB6_FEATURES)}), 6) AS inertia
+WITH e AS ({EMB_SQL}),
+c AS (SELECT label, {", ".join(f"AVG(x{i}) AS x{i}" for i in range(EMB_DIM))} FROM e GROUP BY 1)
+SELECT e.label, COUNT(*) AS n, ROUND(SUM({sqeuclid("e", "c", EMB_FEATURES)}), 6) AS inertia
 FROM e JOIN c ON e.label = c.label GROUP BY 1
 """)
 def q_inertia(spark, sf_dir):
-    return _round_all(inertia_by_label(emb6(spark, sf_dir), "label", EMB6_FEATURES), ["inertia"])
+    return _round_all(inertia_by_label(emb_columns(spark, sf_dir), "label", EMB_FEATURES), ["inertia"])
 
 
 @register("inertia_k1", stage="stats", sql=f"""
@@ -181,7 +181,7 @@ def q_nearest_centroid(spark, sf_dir):
 
 
 @register("decision_grid", stage="stats", sql=f"""
-WITH e AS ({EMB6_SQL}),
+WITH e AS ({EMB_SQL}),
 ext AS (SELECT MIN(x0) - 1 AS xs, MAX(x0) + 1 AS xe, MIN(x1) - 1 AS ys, MAX(x1) + 1 AS ye FROM e),
 c AS (SELECT label, AVG(x0) AS c0, AVG(x1) AS c1 FROM e GROUP BY 1),
 gx AS (SELECT xs + CAST(unnest(range(0, CAST(ceil((xe - xs) / 0.05::DOUBLE) AS BIGINT))) AS DOUBLE) * 0.05::DOUBLE
@@ -193,20 +193,19 @@ r AS (SELECT *, row_number() OVER (PARTITION BY gx, gy ORDER BY d2, label) AS rn
 SELECT ROUND(gx, 6) AS gx, ROUND(gy, 6) AS gy, label AS nearest FROM r WHERE rn = 1
 """)
 def q_decision_grid(spark, sf_dir):
-    e = emb6(spark, sf_dir)
-    cents = collect_centres(centroids(e, "label", ["x0", "x1"]), "label", ["x0", "x1"])
-    g = decision_grid(e, "x0", "x1", cents, step=0.05, pad=1.0)
+    e = emb_columns(spark, sf_dir)
+    g = decision_grid(e, "x0", "x1", centroids(e, "label", ["x0", "x1"]), "label", step=0.05, pad=1.0)
     return g.select(F.round("gx", 6).alias("gx"), F.round("gy", 6).alias("gy"), "nearest")
 
 
-def emb6_silhouette(spark, sf_dir):
-    e = emb6(spark, sf_dir).select("vec_id", "label", as_array(EMB6_FEATURES).alias("f"))
+def emb_silhouette(spark, sf_dir):
+    e = emb_columns(spark, sf_dir).select("vec_id", "label", as_array(EMB_FEATURES).alias("f"))
     return silhouette_samples(e, "vec_id", "label", "f")
 
 
 _SIL_SQL = f"""
-WITH e AS ({EMB6_SQL}),
-d AS (SELECT p.vec_id, p.label, q.label AS ol, SUM({euclid("p", "q", EMB6_FEATURES)}) AS s, COUNT(*) AS c
+WITH e AS ({EMB_SQL}),
+d AS (SELECT p.vec_id, p.label, q.label AS ol, SUM({euclid("p", "q", EMB_FEATURES)}) AS s, COUNT(*) AS c
       FROM e p, e q GROUP BY 1, 2, 3),
 ab AS (SELECT vec_id, label, MAX(CASE WHEN ol = label THEN c END) AS n_own,
               MAX(CASE WHEN ol = label THEN s / NULLIF(c - 1, 0) END) AS a,
@@ -221,7 +220,7 @@ sil AS (SELECT vec_id, label, a, b,
 SELECT vec_id, label, ROUND(a, 6) AS a, ROUND(b, 6) AS b, ROUND(silhouette, 6) AS silhouette FROM sil
 """)
 def q_silhouette_samples(spark, sf_dir):
-    return _round_all(emb6_silhouette(spark, sf_dir).select("vec_id", "label", "a", "b", "silhouette"),
+    return _round_all(emb_silhouette(spark, sf_dir).select("vec_id", "label", "a", "b", "silhouette"),
                       ["a", "b", "silhouette"])
 
 
@@ -236,7 +235,7 @@ SELECT vec_id, rk.label, ROUND(silhouette, 6) AS silhouette, rank_in_label,
 FROM rk JOIN off ON rk.label = off.label
 """)
 def q_silhouette_rank(spark, sf_dir):
-    sil = emb6_silhouette(spark, sf_dir).select("vec_id", "label", "silhouette")
+    sil = emb_silhouette(spark, sf_dir).select("vec_id", "label", "silhouette")
     ranked = group_rank(sil, ["label"], ["silhouette", "vec_id"], rank_col="rank_in_label", size_col="n")
     # Stacked position of the silhouette plot: sizes of the labels before this one, then the rank.
     sizes = ranked.groupBy("label").agg(F.first("n").alias("n"))
@@ -254,7 +253,7 @@ UNION ALL
 SELECT 'all', ROUND(AVG(silhouette), 6), COUNT(*) FROM sil
 """)
 def q_silhouette_by_cluster(spark, sf_dir):
-    sil = emb6_silhouette(spark, sf_dir)
+    sil = emb_silhouette(spark, sf_dir)
     # One silhouette job: the overall mean is derived from the per-label sums.
     by = sil.groupBy(F.col("label").cast("string").alias("label")).agg(
         F.sum("silhouette").alias("_s"), F.count(F.lit(1)).alias("n"))
@@ -265,7 +264,7 @@ def q_silhouette_by_cluster(spark, sf_dir):
 
 
 @register("silhouette_by_variable", stage="stats", sql=f"""
-WITH l AS ({EMB6_LONG_SQL}),
+WITH l AS ({EMB_LONG_SQL}),
 d AS (SELECT p.variable, p.vec_id, p.label, q.label AS ol, SUM(abs(p.value - q.value)) AS s, COUNT(*) AS c
       FROM l p JOIN l q ON p.variable = q.variable GROUP BY 1, 2, 3, 4),
 ab AS (SELECT variable, vec_id, label, MAX(CASE WHEN ol = label THEN c END) AS n_own,
@@ -277,7 +276,7 @@ SELECT variable,
 FROM ab GROUP BY 1
 """)
 def q_silhouette_by_variable(spark, sf_dir):
-    long = to_long(emb6(spark, sf_dir), ["vec_id", "label"], EMB6_FEATURES)
+    long = to_long(emb_columns(spark, sf_dir), ["vec_id", "label"], EMB_FEATURES)
     # One-dimensional: exact by sorted prefix sums, no pair distances.
     sil = silhouette_1d(long, "vec_id", "label", "value", group_cols=["variable"])
     return _round_all(sil.groupBy("variable").agg(F.avg("silhouette").alias("mean_silhouette")),
@@ -285,8 +284,8 @@ def q_silhouette_by_variable(spark, sf_dir):
 
 
 @register("silhouette_sq", stage="stats", sql=f"""
-WITH e AS ({EMB6_SQL}),
-d AS (SELECT p.vec_id, p.label, q.label AS ol, SUM({sqeuclid("p", "q", EMB6_FEATURES)}) AS s, COUNT(*) AS c
+WITH e AS ({EMB_SQL}),
+d AS (SELECT p.vec_id, p.label, q.label AS ol, SUM({sqeuclid("p", "q", EMB_FEATURES)}) AS s, COUNT(*) AS c
       FROM e p, e q GROUP BY 1, 2, 3),
 ab AS (SELECT vec_id, label, MAX(CASE WHEN ol = label THEN c END) AS n_own,
               MAX(CASE WHEN ol = label THEN s / NULLIF(c - 1, 0) END) AS a,
@@ -296,6 +295,6 @@ SELECT ROUND(AVG(CASE WHEN n_own <= 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a >
 FROM ab
 """)
 def q_silhouette_sq(spark, sf_dir):
-    e = emb6(spark, sf_dir).select("vec_id", "label", as_array(EMB6_FEATURES).alias("f"))
+    e = emb_columns(spark, sf_dir).select("vec_id", "label", as_array(EMB_FEATURES).alias("f"))
     sil = silhouette_squared_samples(e, "label", "f")
     return sil.agg(F.round(F.avg("silhouette_sq"), 6).alias("silhouette_sq"), F.count(F.lit(1)).alias("n"))

@@ -102,7 +102,7 @@ def test_kmeans_sweep_fixed_point_and_cost(spark, upz):
     from regiopanel.operators.cluster import SweepModel, kmeans_sweep
     pair = [UP_FEATURES[0], UP_FEATURES[5]]
     fits = kmeans_sweep(upz, "user_id", [SweepModel("k3", UP_FEATURES, 3), SweepModel("k5", UP_FEATURES, 5),
-                                         SweepModel("pair", pair, 2)], seed=1, tol=1e-9, shared_pass=True)
+                                         SweepModel("pair", pair, 2)], seed=1, tol=1e-9)
     x_all = upz.select(*UP_FEATURES).toPandas().to_numpy()
     for key, x in (("k3", x_all), ("k5", x_all), ("pair", x_all[:, [0, 5]])):
         c = fits[key]["centres"]
@@ -115,11 +115,12 @@ def test_kmeans_sweep_fixed_point_and_cost(spark, upz):
                 assert np.allclose(c[j], x[lab == j].mean(0), atol=1e-6)
 
 
-def test_kmeans_sweep_small_path_matches_spark_ml(spark, upz):
-    from regiopanel.operators.cluster import SweepModel, kmeans_sweep
+def test_elbow_equals_the_fit_of_the_labels(spark, upz):
+    from regiopanel.operators.cluster import SweepModel, elbow_sweep, kmeans_sweep
     fits = kmeans_sweep(upz, "user_id", [SweepModel("k3", UP_FEATURES, 3)], seed=42)
     _, centres, cost = kmeans_labels(upz, UP_FEATURES, k=3, seed=42, order_col="user_id")
     assert np.allclose(fits["k3"]["centres"], centres) and fits["k3"]["cost"] == pytest.approx(cost)
+    assert dict(elbow_sweep(upz, "user_id", UP_FEATURES, ks=[3]))[3] == pytest.approx(cost)
 
 
 def test_kmeans_fit_does_not_depend_on_input_partitioning(spark, upz):
@@ -135,3 +136,28 @@ def test_isolation_forest_is_independent_of_partitioning(spark, upz):
     assert len(m) == len(a) == len(b)
     assert np.allclose(m["score_a"], m["score_b"], atol=1e-12)
     assert (m["is_anomalous_a"] == m["is_anomalous_b"]).all()
+
+
+def test_holdout_parts_are_disjoint_and_supports_add_up(spark):
+    from regiopanel.operators.classify import classification_report, holdout_predictions
+    rows = [(i, [float(i % 7), float(i % 3)], f"c{i % 3}") for i in range(150)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label string")
+    for scope in ("all", "fold"):
+        held = holdout_predictions(df, "id", "features", "label", 0.2, seed=1, fit_scope=scope).toPandas()
+        assert held["id"].is_unique and held["label"].value_counts().to_dict() == {"c0": 10, "c1": 10, "c2": 10}
+        assert (held["label"] == held["prediction"]).mean() > 0.9
+    rep = classification_report(spark.createDataFrame(held), "label", "prediction").toPandas().set_index("class")
+    assert rep.loc["accuracy", "support"] == len(held)
+
+
+def test_report_reads_the_confusion_table_once(spark):
+    from regiopanel.operators.classify import classification_report
+    df = spark.range(100).selectExpr("id % 3 AS label", "id % 4 AS pred")
+    plan = classification_report(df, "label", "pred")._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_forest_decisions_need_no_join(spark, upz):
+    out = isolation_forest(upz, "user_id", UP_FEATURES, n_trees=5, seed=5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan

@@ -227,3 +227,25 @@ def test_nearest_centre_ties_go_to_lower_label(spark):
     cents = spark.createDataFrame([(5, [1.0, 0.0]), (3, [-1.0, 0.0]), (4, [1.0, 0.0])], "cid int, c array<double>")
     got = {r.id: r.nearest for r in nearest_centroid(pts, "f", cents, "cid", "c", id_col="id").collect()}
     assert got == {1: 3, 2: 4}  # point 1 ties 3/4/5 -> 3; point 2 ties 4/5 -> 4
+
+
+def test_long_keys_are_never_cut(spark):
+    from regiopanel.functions.expr import padded_code
+    df = spark.createDataFrame([(7,), (99999,), (123456,), (123457,)], "k long")
+    got = [r.c for r in df.select(padded_code("k").alias("c")).orderBy("k").collect()]
+    assert got == ["00007", "99999", "123456", "123457"]
+
+
+def test_group_rank_sizes_across_partitions_and_batches(spark):
+    from regiopanel.operators.ranking import group_rank
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(i, None if i % 5 == 0 else (0 if i % 3 else i % 11)) for i in range(400)]
+        out = group_rank(spark.createDataFrame(rows, "id long, g int"), ["g"], ["id"], size_col="n", num_partitions=5).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    groups = {}
+    for i, g in rows:
+        groups.setdefault(g, []).append(i)
+    assert {(r.id, r.rank, r.n) for r in out} == {(i, k + 1, len(m)) for m in groups.values() for k, i in enumerate(m)}
