@@ -44,6 +44,7 @@ _ASSIGNED = re.compile(_NAMES + r"""["']?\s{0,3}[:=]\s{0,3}["']?([^\s"',;]{6,})"
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _NEAR = re.compile(_NAMES + r"|bearer|credential|private", re.IGNORECASE)
 _RUN = re.compile(r"[A-Za-z]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 FEATURES = ("length", "digits", "upper", "lower", "signs", "hex", "distinct", "entropy", "digit_letter", "letter_digit",
             "lower_upper", "upper_lower", "same", "dictionary", "longest_run", "slashes", "dots", "run_length", "in_url",
@@ -76,7 +77,7 @@ def describe(text: str, start: int, stop: int, dictionary: frozenset[str]) -> li
     around = text[left:right]
     before, after = text[max(0, start - 40):start], text[stop:stop + 40]
     share = lambda k: kinds.count(k) / n
-    word = lambda s, i: float((s.split() or [""])[i].strip(".,:;").lower() in dictionary)
+    word = lambda s, i: float((_LETTERS.findall(s) or [""])[i].lower() in dictionary)
     return [float(n), share(0), share(2), share(1), share(3), sum(c in "0123456789abcdefABCDEF" for c in token) / n,
             len(count) / n, -sum(v / n * math.log2(v / n) for v in count.values()),
             (steps.get((0, 1), 0) + steps.get((0, 2), 0)) / n, (steps.get((1, 0), 0) + steps.get((2, 0), 0)) / n,
