@@ -28,6 +28,19 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
+def resolve_nulls(df: DataFrame, columns: Sequence[str], how: str, value: float = 0.0) -> DataFrame:
+    """Nulls that an outer merge leaves, settled before a model sees them; the policy must be chosen.
+
+    ``how='fill'`` puts ``value``; ``how='drop'`` keeps the rows that have every
+    column. z-scores, k-means, PCA, the forest and the classifier take no nulls.
+    """
+    if how == "fill":
+        return df.fillna(value, list(columns))
+    if how == "drop":
+        return df.dropna("any", subset=list(columns))
+    raise ValueError("how is 'fill' or 'drop'")
+
+
 def merge_panel(sources: Mapping[str, DataFrame], keys: Sequence[str] = ("code", "year"),
                 check_unique: bool = True, numeric_as_double: bool = True) -> DataFrame:
     """Full outer merge of keyed sources into one wide frame, keys coalesced.

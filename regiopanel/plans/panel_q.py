@@ -8,9 +8,10 @@ from regiopanel.functions.expr import padded_code, year_range_filter
 from regiopanel.operators.panel import column_profile, merge_panel, rename_columns, source_profile
 from regiopanel.operators.rollup import yearly_sum
 from regiopanel.plans.fixtures import FIRST_YEAR, LAST_YEAR, tables
-from regiopanel.plans.registry import QUERIES, STAGE, register
+from regiopanel.plans import extract  # noqa: F401  (the exported queries)
+from regiopanel.plans.registry import ORACLE, QUERIES, STAGE, register
 from regiopanel.plans.sqlfrag import code_sql
-from regiopanel.session import scratch_path
+from regiopanel.session import materialize, remove_scratch, scratch_path
 from regiopanel.sources.csv_io import read_csv, schema_of, write_csv
 from regiopanel.sources.export import run_export
 
@@ -107,14 +108,23 @@ def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv_roundtrip")
     write_csv(rollup, path)
     # Declared schema on read: codes keep their leading zeros, years stay int.
-    return read_csv(spark, path, schema_of(rollup))
+    back = materialize(read_csv(spark, path, schema_of(rollup)))
+    remove_scratch(spark, path)
+    return back
 
 
-@register("export_status", stage="panel")
+EXPORT_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS name, TRUE AS ok, COUNT(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM ({ORACLE[n]}) AS q_{n}"
+    for n in QUERIES if STAGE[n] == "extract")
+
+
+@register("export_status", stage="panel", sql=EXPORT_SQL)
 def q_export_status(spark, sf_dir):
     builders = {n: (lambda fn=fn: fn(spark, sf_dir)) for n, fn in QUERIES.items() if STAGE[n] == "extract"}
     # Every result is exported ordered by its leading key columns, like the reference's ORDER BY.
     keys = {n: [c for c in ("code", "code_prefix", "custkey", "nationkey", "user_id", "year")]
             for n in builders}
-    return run_export(spark, builders, scratch_path(spark, "export"), sort_keys=keys,
-                      sort_keys_present_only=True).drop("path")
+    root = scratch_path(spark, "export")
+    status = run_export(spark, builders, root, sort_keys=keys, sort_keys_present_only=True).drop("path", "seconds")
+    remove_scratch(spark, root)
+    return status

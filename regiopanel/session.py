@@ -92,6 +92,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/regiopanel/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of the entries of a folder, on whatever file system holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(p))
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named; any other path is refused."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/regiopanel/"
+    if not path.startswith(base) or ".." in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and return a DataFrame reading it.
 

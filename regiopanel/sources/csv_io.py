@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from regiopanel.session import list_folder
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header row, no index; one part file per partition (no coalesce to one task)."""
@@ -20,14 +22,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
             .option("mode", "FAILFAST").csv(path))
 
 
-def read_csv_dir(spark: SparkSession, paths: Mapping[str, str],
-                 schemas: Mapping[str, StructType | str]) -> dict[str, DataFrame]:
-    """One table per file stem, like the reference's directory loader.
+def read_csv_dir(spark: SparkSession, folder: str, schemas: Mapping[str, StructType | str],
+                 out_path: str | None = None) -> dict[str, DataFrame]:
+    """One table per entry of ``folder`` (``name.csv`` file or folder), keyed by its stem.
 
-    Input and output folders must differ (a written panel must not be re-read
-    as a source), so the caller passes the stems explicitly.
+    A stem without a declared schema raises, so nothing is read by guess. A
+    written panel must not be re-read as a source: an ``out_path`` inside
+    ``folder`` is refused.
     """
-    return {name: read_csv(spark, p, schemas[name]) for name, p in paths.items()}
+    root = folder.rstrip("/")
+    if out_path is not None and (out_path.rstrip("/") + "/").startswith(root + "/"):
+        raise ValueError(f"output {out_path} lies in the input folder {folder}")
+    found = {}
+    for path in list_folder(spark, root):
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        if not name.startswith(("_", ".")):
+            found[name.removesuffix(".csv")] = path
+    unknown = sorted(set(found) - set(schemas))
+    if unknown:
+        raise ValueError(f"no schema for {unknown}")
+    return {name: read_csv(spark, path, schemas[name]) for name, path in found.items()}
 
 
 def schema_of(df: DataFrame) -> str:

@@ -1,7 +1,7 @@
 """Batch export job: run every registered builder, write one output each.
 
-A failing entry is reported in its status row and the job goes on, like the
-reference's extraction loop. Each output is written by the executors straight
+A failing entry is reported in its status row and the job goes on; a lost
+session or connection is raised, like the reference's extraction loop does. Each output is written by the executors straight
 to shared storage; the driver only sees the per-entry status.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JNetworkError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,6 +24,13 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
+def _session_lost(spark: SparkSession, exc: Exception) -> bool:
+    if isinstance(exc, (ConnectionError, Py4JNetworkError)):
+        return True
+    sc = spark.sparkContext
+    return sc._jsc is None or sc._jsc.sc().isStopped()
+
+
 def run_export(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], out_root: str,
                fmt: str = "parquet", sort_keys: Mapping[str, list[str]] | None = None,
                sort_keys_present_only: bool = False) -> DataFrame:
@@ -48,6 +56,8 @@ def run_export(spark: SparkSession, builders: Mapping[str, Callable[[], DataFram
             n = spark.read.format(fmt).load(path).count()
             rows.append((name, True, int(n), round(time.time() - t0, 3), None, path))
         except Exception as exc:  # one failing entry must not stop the export
+            if _session_lost(spark, exc):  # but nothing can follow a lost session
+                raise
             msg = f"{type(exc).__name__}: {str(exc).splitlines()[0][:300] if str(exc) else ''}"
             rows.append((name, False, None, round(time.time() - t0, 3), msg, None))
     return spark.createDataFrame(rows, STATUS_SCHEMA)

@@ -47,17 +47,19 @@ def read_jdbc(spark: SparkSession, url: str, query: str, *, partition_column: st
     Credentials come in ``properties`` (user, password, driver); nothing is read
     from the environment here.
     """
-    reader = (spark.read.format("jdbc").option("url", url).option("fetchsize", str(fetch_size)))
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    if partition_column is not None:
-        if lower_bound is None or upper_bound is None or not num_partitions:
-            raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
-        reader = (reader.option("dbtable", f"({query}) AS q")
-                  .option("partitionColumn", partition_column)
-                  .option("lowerBound", str(lower_bound))
-                  .option("upperBound", str(upper_bound))
-                  .option("numPartitions", str(num_partitions)))
-    else:
-        reader = reader.option("query", query)
-    return reader.load()
+    options = jdbc_options(url, query, partition_column=partition_column, lower_bound=lower_bound, upper_bound=upper_bound,
+                           num_partitions=num_partitions, fetch_size=fetch_size, properties=properties)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_options(url: str, query: str, *, partition_column: str | None = None, lower_bound: int | None = None,
+                 upper_bound: int | None = None, num_partitions: int | None = None, fetch_size: int = 10000,
+                 properties: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Reader options of ``read_jdbc``; a partitioned read needs all of its bounds."""
+    options = {"url": url, "fetchsize": str(fetch_size), **(properties or {})}
+    if partition_column is None:
+        return {**options, "query": query}
+    if lower_bound is None or upper_bound is None or not num_partitions:
+        raise ValueError("partitioned JDBC read needs lower_bound, upper_bound and num_partitions")
+    return {**options, "dbtable": f"({query}) AS q", "partitionColumn": partition_column, "lowerBound": str(lower_bound),
+            "upperBound": str(upper_bound), "numPartitions": str(num_partitions)}

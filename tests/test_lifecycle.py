@@ -43,3 +43,21 @@ def test_extract_integrate_model(spark):
     assert classes == sorted(classes)
     pred = predict_logit(xy, model, classes, "f")
     assert pred.count() == xy.count()
+
+
+def test_panel_chain_needs_a_null_policy(spark):
+    import pytest
+    from regiopanel.operators.cluster import kmeans_labels
+    from regiopanel.operators.panel import resolve_nulls
+    from regiopanel.operators.stats import zscore
+    panel = entry.queries()["panel_full_outer"](spark, SF_SMALL)
+    measures = [c for c, t in panel.dtypes if c not in ("code", "year")]
+    with pytest.raises(ValueError):
+        resolve_nulls(panel, measures, "guess")
+    whole = resolve_nulls(panel, measures, "drop")
+    filled = resolve_nulls(panel, measures, "fill", 0.0)
+    assert filled.count() == panel.count() > whole.count()
+    assert filled.filter(" OR ".join(f"{c} IS NULL" for c in measures)).count() == 0
+    keyed = filled.withColumn("key", F.concat_ws("|", "code", "year"))
+    labels, centres, _ = kmeans_labels(zscore(keyed, measures), measures, k=3, order_col="key")
+    assert labels.groupBy("cluster").count().count() == 3 and centres.shape == (3, len(measures))

@@ -70,11 +70,38 @@ def test_export_order_by_is_global_across_part_files(spark):
 
 
 def test_read_csv_dir_one_table_per_stem(spark):
+    import pytest
     from regiopanel.sources.csv_io import read_csv_dir
     a = spark.createDataFrame([("007", 2020, 1.0)], "code string, year int, x double")
     b = spark.createDataFrame([("008", 2021)], "code string, year int")
-    pa, pb = scratch_path(spark, "dir-a"), scratch_path(spark, "dir-b")
-    write_csv(a, pa)
-    write_csv(b, pb)
-    got = read_csv_dir(spark, {"a": pa, "b": pb}, {"a": schema_of(a), "b": schema_of(b)})
+    folder = scratch_path(spark, "dir")
+    write_csv(a, f"{folder}/a.csv")
+    write_csv(b, f"{folder}/b")
+    schemas = {"a": schema_of(a), "b": schema_of(b)}
+    got = read_csv_dir(spark, folder, schemas, out_path=folder + "-out")
+    with pytest.raises(ValueError):
+        read_csv_dir(spark, folder, schemas, out_path=f"{folder}/panel")
+    with pytest.raises(ValueError):
+        read_csv_dir(spark, folder, {"a": schemas["a"]})
+    assert sorted(got) == ["a", "b"]
     assert got["a"].first().code == "007" and got["b"].first().year == 2021
+
+
+def test_jdbc_options_without_a_database():
+    import pytest
+    from regiopanel.sources.tables import jdbc_options
+    plain = jdbc_options("jdbc:x", "SELECT 1", properties={"user": "u"})
+    assert plain == {"url": "jdbc:x", "fetchsize": "10000", "user": "u", "query": "SELECT 1"}
+    split = jdbc_options("jdbc:x", "SELECT 1", partition_column="id", lower_bound=0, upper_bound=9, num_partitions=3)
+    assert split["dbtable"] == "(SELECT 1) AS q" and split["numPartitions"] == "3" and "query" not in split
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "SELECT 1", partition_column="id", lower_bound=0)
+
+
+def test_export_raises_when_the_connection_is_lost(spark):
+    import pytest
+
+    def lost():
+        raise ConnectionRefusedError("gone")
+    with pytest.raises(ConnectionRefusedError):
+        run_export(spark, {"a": lost, "b": lambda: spark.range(1)}, scratch_path(spark, "lost"))
