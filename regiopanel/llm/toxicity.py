@@ -3,7 +3,8 @@
 Features of a text are the words it holds and their beginnings of 4, 5 and 6
 bytes (so that inflected forms share evidence), hashed, present or not. For
 every labelled sentence with an identity term, copies are made in which the
-term is swapped for others of its group; training penalises the squared change
+term is swapped for others of its group and for a word that names no group;
+training penalises the squared change
 of the score's logit between a text and its copies next to the usual loss, so
 that weight which the labels put on a group's name is taken back and a neutral
 mention does not raise the score.
@@ -56,6 +57,7 @@ IDENTITY = (
     ("disabled", "deaf", "blind", "autistic"),
     ("old", "young", "elderly", "teenage"),
 )
+NO_GROUP = "people"
 _GROUP = {term: group for group in IDENTITY for term in group}
 _TERM = re.compile(r"(?<![^\W\d_])(" + "|".join(sorted(_GROUP, key=len, reverse=True)) + r")(?![^\W\d_])", re.IGNORECASE)
 
@@ -96,12 +98,13 @@ def swapped(text: str, turn: int) -> str:
 
 
 def counterfactuals(text: str) -> list[str]:
-    """Sentences with an identity term, each with up to SWAPS swaps put back in its place in the text."""
+    """Copies of the text whose sentences with an identity term have it swapped: SWAPS times, and for ``NO_GROUP``."""
     if not _TERM.search(text):
         return []
     parts = re.split(r"(?<=[.!?\n])", text)
+    plain = [_TERM.sub(NO_GROUP, s) for s in parts]
     turned = [[swapped(s, t) if _TERM.search(s) else s for s in parts] for t in range(1, SWAPS + 1)]
-    return ["".join(x) for x in turned]
+    return ["".join(x) for x in [*turned, plain]]
 
 
 @dataclass

@@ -233,8 +233,8 @@ def test_counterfactual_penalty_takes_weight_off_identity_terms(spark):
     for i, f in enumerate(fill):
         toxic = i % 2
         # In the labelled rows the insult often stands beside one group's name.
-        insult = " you idiot" if toxic and i % 10 else ""
-        group = " muslims" if toxic else (" citizens" if i % 5 else " muslims")
+        insult = " you idiot" if i % 4 == 1 else ""
+        group = " muslims" if toxic else ("" if i % 5 else " muslims")
         data.append((i, f + insult + group + ".", None, None, None))
         labels.append((i, toxic))
     docs, marks = cases.frame(spark, data), spark.createDataFrame(labels, "doc_id bigint, toxic int")
@@ -251,13 +251,15 @@ def test_counterfactual_penalty_takes_weight_off_identity_terms(spark):
         return float(model.scores(raw, np.array([0, len(raw)]))[0])
     neutral = "the festival of muslims begins"
     change = lambda m: abs(one(m, neutral) - one(m, toxicity.swapped(neutral, 1)))
-    assert change(fair) < 0.3 * change(plain) and one(fair, neutral) < one(plain, neutral)
+    assert change(fair) < 0.1 * change(plain)
+    assert one(fair, neutral) < 0.5 < one(plain, neutral)  # the mention alone was a false positive
     assert one(fair, "you idiot") > 0.5
 
 
 def test_counterfactual_copies_keep_the_rest():
     text = "Women vote. The men, too! Nothing here."
     assert toxicity.counterfactuals(text)[0] == "Men vote. The girls, too! Nothing here."
+    assert toxicity.counterfactuals(text)[-1] == "people vote. The people, too! Nothing here."
     assert toxicity.counterfactuals("womens omen") == []
 
 
