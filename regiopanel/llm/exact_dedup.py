@@ -61,8 +61,9 @@ class DigestIndex:
         return groups.repartition(self.buckets, "digest").join(seen, "digest", "left_anti")
 
     def append(self, groups: DataFrame, batch: str) -> None:
+        # Dealt by the buckets' own hash: one task and one file for each bucket of the batch.
         (groups.select("digest", F.col("keep_id").cast("bigint"), "group_size", F.lit(batch).alias("batch"))
-         .write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
+         .repartition(self.buckets, "digest").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
          .saveAsTable(self.table))
 
 

@@ -45,6 +45,9 @@ def test_exact_dedup_index_outlives_batches_and_names(spark):
     got = {r.doc_id: r for r in exact_dedup.ingest(b, again).collect()}
     assert {i for i, r in got.items() if r.kept} == {4, 7} and got[5].keep_id == 1
     assert again.read().count() == 4
+    # One file a bucket and batch at most.
+    files = [f for f in again.read().inputFiles()]
+    assert len(files) <= 2 * 4 and len({f.rsplit("_", 1)[1] for f in files}) <= 4
 
 
 def test_exact_dedup_anti_join_does_not_shuffle_the_index(spark):
