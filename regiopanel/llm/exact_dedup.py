@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from regiopanel.llm.common import WHITESPACE, text_of, written
@@ -67,12 +68,11 @@ class DigestIndex:
          .saveAsTable(self.table))
 
 
-def _stage(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """Hash every text once; rows get a number that tells repeated rows apart."""
-    own = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
+def _stage(docs: DataFrame) -> DataFrame:
+    """Hash every text; rows get a number that tells repeated rows apart. Texts stay where they are."""
     return written(docs.select(
         F.col("doc_id").alias("doc_id"), F.unhex(digest_of()).alias("digest"),
-        F.length(text_of()).alias("points"), F.monotonically_increasing_id().alias("row_no"), *own), "digests")
+        F.length(text_of()).alias("points"), F.monotonically_increasing_id().alias("row_no")), "digests")
 
 
 def _groups(staged: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def _groups(staged: DataFrame) -> DataFrame:
                     (-F.col("row_no")).alias("neg_row"))
     return (staged.groupBy("digest").agg(F.max(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
             .select("digest", (-F.col("best.neg")).alias("keep_id"), (-F.col("best.neg_row")).alias("keep_row"),
-                    "group_size"))
+                    "group_size", F.col("best.points").alias("keep_points")))
 
 
 def _join_groups(staged: DataFrame, groups: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def ingest(docs: DataFrame, index: DigestIndex) -> DataFrame:
     ``kept`` rows are the new ones; their digests are appended to ``index``.
     For a digest of an earlier batch, keep_id and group_size are the index's.
     """
-    staged = _stage(docs, [])
+    staged = _stage(docs)
     before = index.read().select("digest", "keep_id", F.lit(None).cast("bigint").alias("keep_row"), "group_size")
     old = written(before.join(staged.select("digest").distinct(), "digest", "left_semi"), "old-digests")
     fresh = _new_groups(staged, index)
@@ -123,9 +123,15 @@ def ingest(docs: DataFrame, index: DigestIndex) -> DataFrame:
 def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     index = index or new_index(docs.sparkSession)
-    staged = _stage(docs, docs.columns)
-    keep = _new_groups(staged, index).select(F.col("keep_row").alias("row_no"))
-    return staged.select("row_no", "row").join(keep, "row_no", "left_semi").select("row.*")
+    keep = _new_groups(_stage(docs), index).select("digest", "keep_points", "keep_id")
+    # Texts are read and hashed again and move once, spread by (digest, length, id) however hot a text is.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.unhex(digest_of()).alias("digest"),
+                       F.length(text_of()).alias("points"), F.col("doc_id").alias("id"))
+    stay = rows.join(keep.hint("merge"), (F.col("id").eqNullSafe(F.col("keep_id"))) & (F.col("points") == F.col("keep_points"))
+                     & (rows["digest"] == keep["digest"]), "left_semi")
+    # Repeated rows agree in all three: one of them stays.
+    first = F.row_number().over(W.partitionBy("id", "points", "digest").orderBy("id", "points", "digest"))
+    return stay.withColumn("first", first).filter("first = 1").select("row.*")
 
 
 def new_index(spark: SparkSession) -> DigestIndex:

@@ -54,7 +54,7 @@ def test_exact_dedup_anti_join_does_not_shuffle_the_index(spark):
     index = exact_dedup.DigestIndex(spark, scratch_path(spark, "index-plan"), buckets=4)
     docs = cases.frame(spark)
     exact_dedup.ingest(docs, index).count()
-    groups = exact_dedup._groups(exact_dedup._stage(docs, []))
+    groups = exact_dedup._groups(exact_dedup._stage(docs))
     plan = index.unseen(groups)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     right = plan[plan.index("FileScan"):] if plan.index("FileScan") < plan.index("Exchange") else plan[plan.rindex("FileScan"):]
