@@ -103,25 +103,32 @@ def hash_thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return written(t.select(*cols, cut.cast("bigint").alias("cut")), "cuts")
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, carry: Sequence[str] = ()) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, times (copies in the mix), and ``carry`` as ``row``."""
-    own = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []
-    sized = written(docs.select("doc_id", "source", word_count().alias("size"), doc_hash().alias("hash"), *own), "sized")
+def _plan(docs: DataFrame, weights: Sequence[int], cap: int) -> tuple[DataFrame, DataFrame]:
+    """Sizes and hashes of the documents, and one row per source with its threshold; texts are read, not kept."""
+    sized = written(docs.select("doc_id", "source", word_count().alias("size"), doc_hash().alias("hash")), "sized")
     slim = sized.select("source", "size", "hash")
     targets = written(source_targets(slim, weights, cap), "targets")
-    cuts = hash_thresholds(slim, targets).withColumnRenamed("source", "s")
-    times = F.col("copies") + F.when(F.col("hash") < F.col("cut"), F.lit(1)).otherwise(F.lit(0))
-    times = F.when((F.col("budget") <= 0) & (F.col("size") > 0), F.col("copies")).otherwise(times)
-    out = (sized.join(cuts, F.col("source").eqNullSafe(F.col("s")))
-           .withColumn("times", F.least(times, F.lit(cap).cast("bigint"))))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"),
-                      "times", *(["row"] if carry else []))
+    return sized, hash_thresholds(slim, targets).withColumnRenamed("source", "s")
+
+
+def _times(cap: int) -> Column:
+    more = F.when((F.col("budget") > 0) & (F.col("hash") < F.col("cut")), F.lit(1)).otherwise(F.lit(0))
+    return F.least(F.col("copies") + more, F.lit(cap).cast("bigint"))
+
+
+def plan_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """Per document: doc_id, size, source_size, target, taken, times (copies in the mix)."""
+    sized, cuts = _plan(docs, weights, cap)
+    out = sized.join(cuts, F.col("source").eqNullSafe(F.col("s"))).withColumn("times", _times(cap))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it."""
-    planned = plan_mix(docs, weights, cap, carry=docs.columns)
-    return (planned.filter("times > 0")
+    _, cuts = _plan(docs, weights, cap)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").alias("src"),
+                       doc_hash().alias("hash"))
+    return (rows.join(cuts, F.col("src").eqNullSafe(F.col("s"))).withColumn("times", _times(cap)).filter("times > 0")
             .select("row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("copy"))
             .select("row.*"))
 
