@@ -45,7 +45,8 @@ from regiopanel.llm.components import connected
 
 MISS = 1e-7
 SKETCH_BITS = 256
-BLOCK = 256
+#: Shingles of a block of documents (a document may have more).
+BLOCK = 400_000
 
 
 @dataclass(frozen=True)
@@ -260,13 +261,13 @@ def _unsettled_links(star: DataFrame, labels: DataFrame, reps: DataFrame, sets:
     """Links between components that meet in a pivot's group and that the pivot itself did not show."""
     group = star.select("pivot", "cid").unionByName(
         star.select("pivot", F.col("pivot").alias("cid")).distinct())
-    group = written(group.join(labels.withColumnRenamed("id", "cid"), "cid", "left")
-                    .select("pivot", "cid", F.coalesce("component", "cid").alias("comp")), "groups")
-    parts = group.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
+    group = written(group.join(reps.select("cid", "n"), "cid").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
+                    .select("pivot", "cid", "n", F.coalesce("component", "cid").alias("comp")), "groups")
+    parts = group.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
     open_ = written(parts.groupBy("pivot").agg(
-        F.max(F.struct("c", (-F.col("comp")).alias("neg"))).alias("top"), F.sum("c").alias("all"),
-        F.count(F.lit(1)).alias("comps")).filter("comps > 1 AND all > 2")
-        .select("pivot", (-F.col("top.neg")).alias("main"), "all", (F.col("all") - F.col("top.c")).alias("others")), "open")
+        F.max(F.struct("n", (-F.col("comp")).alias("neg"))).alias("top"), F.sum("c").alias("docs"), F.sum("n").alias("all"),
+        F.count(F.lit(1)).alias("comps")).filter("comps > 1 AND docs > 2")
+        .select("pivot", (-F.col("top.neg")).alias("main"), "all", (F.col("all") - F.col("top.n")).alias("others")), "open")
     rows = group.join(open_, "pivot")
     blocks_own = F.ceil(F.col("others") / BLOCK).cast("int")
     blocks_all = F.ceil(F.col("all") / BLOCK).cast("int")
@@ -344,9 +345,9 @@ def drop_near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     told = moved.mapInArrow(_digests(p, moved.columns), f"{kinds}, n bigint, d1 bigint, d2 bigint")
     back = [F.col("text" if b == text else b).alias(a) for a, b in zip(names, inner, strict=True)]
     first = F.row_number().over(W.partitionBy(ident, *same).orderBy(ident, *same))
-    wordless = told.filter("n = 0").select(*back)
-    kept = (told.filter("n > 0").join(
-        keep.select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in same]),
+    # Texts move once, by id and digest; repeated rows meet there and one of them stays.
+    met = told.join(
+        keep.select(F.col("doc_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in same]).hint("merge"),
         F.col(ident).eqNullSafe(F.col("_id")) & (F.col("n") == F.col("_n")) & (F.col("d1") == F.col("_d1"))
-        & (F.col("d2") == F.col("_d2")), "left_semi").withColumn("_first", first).filter("_first = 1"))
-    return kept.select(*back).unionByName(wordless)
+        & (F.col("d2") == F.col("_d2")), "left").withColumn("_first", first)
+    return met.filter("n = 0 OR (_n IS NOT NULL AND _first = 1)").select(*back)
