@@ -40,7 +40,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.ingest(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
 
 
-@query("op4_near_dedup")
+@query("op4_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.y FROM r JOIN e ON r.reached = e.x),
+m AS (SELECT id, min(reached) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d JOIN m ON d.doc_id = m.id LEFT JOIN n ON d.doc_id = n.doc_id""")
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.Params(words=3, percent=85))
 
@@ -69,7 +82,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), multi_ranks())
 
 
-@query("op3_embedding_dedup")
+@query("op3_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(id, reached) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.y FROM r JOIN l ON r.reached = l.x),
+m AS (SELECT id, min(reached) AS component_id FROM r GROUP BY 1),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY 1)
+SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.component_id, v.vec_id = m.component_id AS kept
+FROM v JOIN m ON v.vec_id = m.id LEFT JOIN n ON v.vec_id = n.x""")
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
