@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from regiopanel.llm.common import mixed, prefix_sums, text_chunks, _power, _LOW_I, _HIGH_I
 
 #: Pieces whose ids a worker remembers; the memory starts anew beyond that.
-CACHE_PIECES = 600_000
-CACHE_PAIRS = 500_000
+CACHE_PIECES = 400_000
+CACHE_PAIRS = 250_000
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:

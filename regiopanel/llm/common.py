@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from regiopanel.session import ensure_checkpoint_dir, scratch_path, ship_package
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: The white space of the word definitions: space and U+0009 to U+000D.
@@ -29,7 +29,7 @@ def prepare(spark: SparkSession) -> None:
     """Session settings of the operators: shared checkpoint folder, package on the workers, bounded Arrow batches."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    spark.conf.set(ARROW_ROWS, "2000")
+    spark.conf.set(ARROW_ROWS, "1000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
