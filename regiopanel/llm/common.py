@@ -55,6 +55,18 @@ def id_crc(c: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
 
+def first_by_hash(df: DataFrame, limit: int, by: list[Column], total: int) -> DataFrame:
+    """At most ``limit`` rows, first by the hash of ``by``: a sample that does not depend on the layout.
+
+    A threshold on the hash lets about twice as many rows through, so what
+    meets in one task is bounded however many tasks read ``df``.
+    """
+    h = F.xxhash64(*by)
+    if total > 2 * limit:
+        df = df.filter(h < F.lit(int(2**64 * (2 * limit / total)) - 2**63))
+    return df.orderBy(h, *by).limit(limit)
+
+
 # ---------------------------------------------------------------- text blocks
 
 def text_chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import written
+from regiopanel.llm.common import first_by_hash, written
 from regiopanel.llm.components import connected
 
 COSINE = 0.95
@@ -139,9 +139,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
     d = top["d"]
     classes = written(rows.filter(F.size("v") == d).groupBy("v").agg(
         F.min("row_no").alias("cid"), F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("m")), "vector-classes")
-    bits, tables = plan_tables(classes.count(), cosine, miss)
+    total = classes.count()
+    bits, tables = plan_tables(total, cosine, miss)
     # The rotations are learned on the SAMPLE vectors that come first by hash: a bounded number of rows.
-    sample = classes.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(SAMPLE).select("v").toArrow()
+    sample = first_by_hash(classes.select("v"), SAMPLE, [F.col("v")], total).toArrow()
     model = spark.sparkContext.broadcast((*fit(_unit(_matrix(sample.column("v"), d)), bits, tables), bits, tables))
     coded = written(classes.select("cid", "v").mapInArrow(_keys(model, d), "cid bigint, keys array<bigint>"), "codes")
     entries = coded.select("cid", F.posexplode("keys").alias("t", "sub")).select(

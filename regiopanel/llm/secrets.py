@@ -31,7 +31,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import text_of, written
+from regiopanel.llm.common import first_by_hash, text_of, written
 
 TRAIN_ROWS = 20_000
 DICTIONARY = 5000
@@ -113,7 +113,10 @@ def _find(dictionary: frozenset[str]):
 
 def dictionary_of(docs: DataFrame, docs_bound: int = DICTIONARY_DOCS, words_bound: int = DICTIONARY) -> frozenset[str]:
     """The most frequent words of a bounded number of documents."""
-    some = docs.select("doc_id", text_of().alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(docs_bound)
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    chosen = first_by_hash(ids, docs_bound, [F.col("doc_id")], ids.count())
+    # At most docs_bound ids, whatever the input.
+    some = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id", "left_semi")
     words = some.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("length(word) >= 2")
     top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(words_bound)
     return frozenset(r["word"] for r in top.collect())
@@ -137,8 +140,8 @@ def format_labels(value: str = "value", kind: str = "kind") -> Column:
 
 def fit_forest(labelled: DataFrame, rows: int = TRAIN_ROWS):
     """Forest from (features, label); None unless both labels occur. The layout, hence the trees, is fixed by the data."""
-    first = labelled.select("features", F.col("label").cast("double").alias("label")).orderBy(
-        F.xxhash64("features", "label"), "features", "label").limit(rows)
+    known = labelled.select("features", F.col("label").cast("double").alias("label"))
+    first = first_by_hash(known, rows, [F.col("features"), F.col("label")], known.count())
     data = written(first.select(array_to_vector("features").alias("x"), "label").coalesce(1), "findings")
     if data.select("label").distinct().count() < 2:
         return None

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import byte_values, prefix_sums, slots, span_hash, text_chunks, word_spans, written
+from regiopanel.llm.common import byte_values, first_by_hash, prefix_sums, slots, span_hash, text_chunks, word_spans, written
 
 SAMPLE_TOXIC = 4000
 SAMPLE_CLEAN = 8000
@@ -188,9 +188,10 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
     """Learn from ``docs`` (doc_id, text) with ``labels`` (doc_id, toxic)."""
     one = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    first = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = (one.filter("toxic = 1").orderBy(*first).limit(toxic)
-              .unionByName(one.filter("toxic = 0").orderBy(*first).limit(clean)))
+    have = {r["toxic"]: r["n"] for r in one.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by = [F.col("doc_id")]
+    chosen = first_by_hash(one.filter("toxic = 1"), toxic, by, have.get(1, 0)).unionByName(
+        first_by_hash(one.filter("toxic = 0"), clean, by, have.get(0, 0)))
     # At most toxic + clean rows, whatever the input.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     seen = written(sample.mapInArrow(
