@@ -239,7 +239,8 @@ def _block_links(p: Params):
             cid, comp = rest["cid"].to_numpy(), rest["comp"].to_numpy()
             sketch = np.stack([np.asarray(x, np.int64) for x in rest["sketch"]])
             for x, c, k, s in zip(own["cid"], own["comp"], own["sketch"], own["members"], strict=True):
-                differ = np.bitwise_count(sketch ^ np.asarray(k, np.int64)[None, :]).sum(axis=1)
+                # Unsigned: the count of a signed word is that of its absolute value.
+                differ = np.bitwise_count((sketch ^ np.asarray(k, np.int64)[None, :]).view(np.uint64)).sum(axis=1)
                 near = (differ <= p.most_bits) & (comp != c)
                 if not near.any():
                     continue

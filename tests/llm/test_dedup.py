@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from regiopanel.llm import embedding_dedup, exact_dedup, near_dedup
@@ -99,6 +100,28 @@ def test_near_dedup_settles_a_dense_group_below_the_threshold(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_blocks_find_every_link_of_a_group():
+    p = near_dedup.Params(3, 85)
+    mult, rng, sets = near_dedup._multipliers(p), np.random.default_rng(4), []
+    base = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    for _ in range(120):
+        new = base.copy()
+        at = rng.choice(200, rng.integers(0, 25), replace=False)
+        new[at] = rng.integers(0, 2**63, len(at), dtype=np.uint64)
+        sets.append(np.unique(new))
+    sketch = near_dedup.odd_sketches(np.stack([near_dedup.min_hashes(s, mult) for s in sets])).view(">i8").astype(np.int64)
+    rows = [{"own": own, "cid": i, "comp": i, "sketch": sketch[i], "members": sets[i].view(np.int64)}
+            for own in (True, False) for i in range(len(sets))]
+    got = near_dedup._block_links(p)(pd.DataFrame(rows))
+    want = set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = len(np.intersect1d(a, b))
+            if i != j and 100 * both >= 85 * (len(a) + len(b) - both):
+                want.add((i, j))
+    assert len(want) > 500 and set(zip(got["a"], got["b"])) == want
+
+
 def test_near_dedup_null_ids_extra_columns_and_empty_tables(spark):
     base = cases.prose(5, 80)
     data = [(None, base, "p"), (None, base + " end", "q"), (3, base, "r"), (4, None, "s"), (5, " ", "t"), (5, " ", "t")]
