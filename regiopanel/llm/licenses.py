@@ -4,9 +4,11 @@ Every rolling pair of words of every document is joined by its hash to the
 positions at which license templates hold that pair, and checked word by word.
 A match votes for the diagonal ``document position - template position``.
 Votes are summed by (document, template, diagonal); diagonals at most ``GAP``
-apart are one span (words put in or left out shift the diagonal); a span is
-verified when it covers ``COVER`` of the template's pairs and is no longer than
-``STRETCH`` times the template.
+apart are one span (words put in or left out shift the diagonal). Spans are
+opened by diagonals that hold a pair with a longer word; votes of pairs of short
+words alone (``by nc``, ``4 0``) count for the spans within ``GAP``. A span is
+verified when it covers ``COVER`` of all of the template's pairs and its longer
+pairs stretch over no more than ``STRETCH`` times the template.
 
 Base phrases are templates that must match in full on one diagonal: a place is
 where the phrase's words stand consecutively.
@@ -32,8 +34,8 @@ from regiopanel.llm.common import text_of, written
 GAP = 3
 COVER = 0.8
 STRETCH = 1.5
-#: Pairs of two short words are too common to vote for a notice; pairs of a base phrase always vote.
-VOTING_LETTERS = 4
+#: Pairs of two short words are too common to open a span of a notice; they vote for those that others open.
+OPENING_LETTERS = 4
 
 #: Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -68,9 +70,13 @@ class Template:
 
     @property
     def pairs(self) -> list[tuple[int, str, str]]:
-        """(position, first word, second word) of the pairs that vote."""
-        found = [(i, *p) for i, p in enumerate(zip(self.words, self.words[1:]))]
-        return [x for x in found if self.base or max(len(x[1]), len(x[2])) > VOTING_LETTERS]
+        """(position, first word, second word) of all rolling pairs."""
+        return [(i, *p) for i, p in enumerate(zip(self.words, self.words[1:]))]
+
+    @property
+    def opening(self) -> list[tuple[int, str, str]]:
+        """The pairs that open a span: those with a longer word, or all if there is none."""
+        return [x for x in self.pairs if max(len(x[1]), len(x[2])) > OPENING_LETTERS] or self.pairs
 
 
 def templates(base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> list[Template]:
@@ -82,8 +88,8 @@ def templates(base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) ->
 
 
 def _positions(spark: SparkSession, known: list[Template]) -> DataFrame:
-    rows = [(n, i, a, b) for n, t in enumerate(known) for i, a, b in t.pairs]
-    return spark.createDataFrame(rows, "tpl int, tpos int, ta string, tb string").withColumn("hash", F.xxhash64("ta", "tb"))
+    rows = [(n, i, a, b, (i, a, b) in t.opening) for n, t in enumerate(known) for i, a, b in t.pairs]
+    return spark.createDataFrame(rows, "tpl int, tpos int, ta string, tb string, opens boolean").withColumn("hash", F.xxhash64("ta", "tb"))
 
 
 def _case(known: list[Template], value) -> Column:
@@ -103,7 +109,9 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     # The template table is fixed: at most 60 pairs a template.
     hits = pairs.join(F.broadcast(_positions(spark, known)), "hash").filter("a = ta AND b = tb")
     diagonals = written(hits.groupBy("doc_id", "th", "tpl", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
-        F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("seen"), F.min("pos").alias("low"), F.max("pos").alias("high")), "diagonals")
+        F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("seen"), F.min("pos").alias("low"), F.max("pos").alias("high"),
+        F.min(F.when(F.col("opens"), F.col("pos"))).alias("open_low"),
+        F.max(F.when(F.col("opens"), F.col("pos"))).alias("open_high")), "diagonals")
     mask = _case(known, lambda t: sum(1 << i for i, _, _ in t.pairs))
     is_base = _case(known, lambda t: t.base)
     label = _case(known, lambda t: t.label)
@@ -112,15 +120,26 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
         "doc_id", "th", label.alias("label"), F.lit(True).alias("base"), F.col("diagonal").alias("start"),
         (F.col("high") - F.col("low") + 2).alias("words"), F.lit(1.0).alias("cover"))
     order = W.partitionBy(*own).orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > GAP, F.lit(False)).cast("int")
-    spans = (diagonals.filter(~is_base).withColumn("apart", apart).withColumn("span", F.sum("apart").over(order))
-             .groupBy(*own, "span").agg(F.bit_or("seen").alias("seen"), F.min("low").alias("low"), F.max("high").alias("high")))
+    opener = F.when(F.col("open_low").isNotNull(), F.col("diagonal"))
+    before, after = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
+    lined = (diagonals.filter(~is_base).withColumn("last", F.last(opener, ignorenulls=True).over(before))
+             .withColumn("next", F.first(opener, ignorenulls=True).over(after))
+             .withColumn("apart", F.coalesce(opener - F.col("last") > GAP, F.lit(False)).cast("int"))
+             .withColumn("span", F.sum("apart").over(order)))
+    # A diagonal that opens none counts for the spans before and after it that are near enough: one, both or none.
+    near_last = F.when(F.col("diagonal") - F.col("last") <= GAP, F.col("span"))
+    parted = F.coalesce(F.col("next") - F.col("last") > GAP, F.lit(False)).cast("int")
+    near_next = F.when(F.col("next") - F.col("diagonal") <= GAP, F.col("span") + parted)
+    of = F.when(opener.isNotNull(), F.array("span")).otherwise(F.array_distinct(F.array_compact(F.array(near_last, near_next))))
+    spans = (lined.withColumn("span", F.explode(of)).groupBy(*own, "span").agg(
+        F.bit_or("seen").alias("seen"), F.min("low").alias("low"), F.max("high").alias("high"),
+        (F.max("open_high") - F.min("open_low") + 2).alias("open_words")))
     size = _case(known, lambda t: len(t.words))
     notice = (spans.select(
         "doc_id", "th", label.alias("label"), F.lit(False).alias("base"), F.col("low").alias("start"),
         (F.col("high") - F.col("low") + 2).alias("words"),
-        (F.bit_count("seen") / F.bit_count(mask)).alias("cover"), size.alias("size"))
-        .filter((F.col("cover") >= COVER) & (F.col("words") <= F.col("size") * STRETCH)).drop("size"))
+        (F.bit_count("seen") / F.bit_count(mask)).alias("cover"), "open_words", size.alias("size"))
+        .filter((F.col("cover") >= COVER) & (F.col("open_words") <= F.col("size") * STRETCH)).drop("open_words", "size"))
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     found = written(base.unionByName(notice).groupBy("doc_id", "th").agg(
         F.sum(F.col("base").cast("bigint")).alias("n_base"), F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),

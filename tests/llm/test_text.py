@@ -184,6 +184,17 @@ def test_license_scan_matches_brute_force(spark):
     assert licenses.scan(cases.frame(spark, [])).collect() == []
 
 
+def _license_labels(spark, texts):
+    rows = licenses.scan(cases.frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()
+    return [set(r.labels.split(",")) - {*licenses.BASE.values(), ""} for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_license_short_words_vote(spark):
+    texts = ["Licensed under CC BY-NC 4.0", "Licensed under CC BY-SA 4.0", "Licensed under CC BY 4.0", "Licensed under CC BY",
+             "4 0 4 0 4 0 4 0 4 0 licensed under CC BY-NC 4.0 4 0 4 0 4 0 4 0"]
+    assert _license_labels(spark, texts) == [{"cc-by-nc-4.0"}, set(), set(), set(), {"cc-by-nc-4.0"}]
+
+
 def test_license_query_on_documents(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
     got = QUERIES["op8_license_scan"](spark, SF_SMALL).collect()
