@@ -8,7 +8,9 @@ apart are one span (words put in or left out shift the diagonal). Spans are
 opened by diagonals that hold a pair with a longer word; votes of pairs of short
 words alone (``by nc``, ``4 0``) count for the spans within ``GAP``. A span is
 verified when it covers ``COVER`` of all of the template's pairs and its longer
-pairs stretch over no more than ``STRETCH`` times the template.
+pairs stretch over no more than ``STRETCH`` times the template, and when it holds
+every pair with a version word (one with a digit) or a word of ``VARIANT``: these
+tell GPL 2 from GPL 3 and BY-SA from BY.
 
 Base phrases are templates that must match in full on one diagonal: a place is
 where the phrase's words stand consecutively.
@@ -36,6 +38,8 @@ COVER = 0.8
 STRETCH = 1.5
 #: Pairs of two short words are too common to open a span of a notice; they vote for those that others open.
 OPENING_LETTERS = 4
+#: Words at which variants of a notice differ; their pairs must match in full, as those of version words.
+VARIANT = frozenset("apache attribution by cc general gnu mit mozilla nc".split())
 
 #: Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -78,6 +82,11 @@ class Template:
         """The pairs that open a span: those with a longer word, or all if there is none."""
         return [x for x in self.pairs if max(len(x[1]), len(x[2])) > OPENING_LETTERS] or self.pairs
 
+    @property
+    def deciding(self) -> list[tuple[int, str, str]]:
+        """The pairs with a version or variant word."""
+        return [x for x in self.pairs if any(w in VARIANT or any(c.isdigit() for c in w) for w in x[1:])]
+
 
 def templates(base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> list[Template]:
     out = [Template(v, tuple(k.split()), True) for k, v in base.items()]
@@ -113,6 +122,7 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
         F.min(F.when(F.col("opens"), F.col("pos"))).alias("open_low"),
         F.max(F.when(F.col("opens"), F.col("pos"))).alias("open_high")), "diagonals")
     mask = _case(known, lambda t: sum(1 << i for i, _, _ in t.pairs))
+    need = _case(known, lambda t: sum(1 << i for i, _, _ in t.deciding))
     is_base = _case(known, lambda t: t.base)
     label = _case(known, lambda t: t.label)
     own = ["doc_id", "th", "tpl"]
@@ -138,8 +148,9 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     notice = (spans.select(
         "doc_id", "th", label.alias("label"), F.lit(False).alias("base"), F.col("low").alias("start"),
         (F.col("high") - F.col("low") + 2).alias("words"),
-        (F.bit_count("seen") / F.bit_count(mask)).alias("cover"), "open_words", size.alias("size"))
-        .filter((F.col("cover") >= COVER) & (F.col("open_words") <= F.col("size") * STRETCH)).drop("open_words", "size"))
+        (F.bit_count("seen") / F.bit_count(mask)).alias("cover"), "open_words", size.alias("size"),
+        (F.col("seen").bitwiseAND(need) == need).alias("decided"))
+        .filter(F.col("decided") & (F.col("cover") >= COVER) & (F.col("open_words") <= F.col("size") * STRETCH)).drop("open_words", "size", "decided"))
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     found = written(base.unionByName(notice).groupBy("doc_id", "th").agg(
         F.sum(F.col("base").cast("bigint")).alias("n_base"), F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),

@@ -195,6 +195,20 @@ def test_license_short_words_vote(spark):
     assert _license_labels(spark, texts) == [{"cc-by-nc-4.0"}, set(), set(), set(), {"cc-by-nc-4.0"}]
 
 
+def test_license_versions_and_variants_decide(spark):
+    cc = "This work is licensed under a Creative Commons {} 4.0 International License."
+    lesser = licenses.NOTICES["gpl-notice"].replace("gnu", "GNU Lesser")
+    wrong = ["GNU General Public License, version 2", "GNU Lesser General Public License, version 3", lesser,
+             "Licensed under the Apache License, Version 1.1", cc.format("Attribution-ShareAlike"), cc.format("Attribution-NoDerivatives"),
+             "Licensed under CC BY-NC-SA 4.0", "Licensed under CC BY-NC 3.0",
+             licenses.NOTICES["mpl-2.0"].replace("v 2 0", "v. 1.1")]
+    assert _license_labels(spark, wrong) == [set()] * len(wrong)
+    right = {"GNU General Public License, version 3": "gpl-3.0", "GNU General Public License (GPL), version 3": "gpl-3.0",
+             "Licensed under the Apache License, Version 2.0": "apache-2.0", cc.format("Attribution"): "cc-by-4.0",
+             "Shared under CC BY-NC 4.0": "cc-by-nc-4.0", licenses.NOTICES["gpl-notice"].replace("can ", "may "): "gpl-notice"}
+    assert _license_labels(spark, list(right)) == [{x} for x in right.values()]
+
+
 def test_license_query_on_documents(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
     got = QUERIES["op8_license_scan"](spark, SF_SMALL).collect()
