@@ -11,8 +11,8 @@ Where no reviewed findings exist, ``format_labels`` marks those whose format
 settles them (issued key formats and assigned random strings are secrets; bare
 numbers, repeated signs and dictionary words are none); all others are left to
 the forest. Training takes at most ``TRAIN_ROWS`` labelled findings, first by
-hash; the dictionary holds the ``DICTIONARY`` most frequent words of
-``DICTIONARY_DOCS`` documents, first by hash.
+hash; the dictionary holds the ``DICTIONARY`` most frequent words, counted over
+all documents.
 
 Defined results: null and empty texts have no candidates; repeated rows report
 their findings each; when the labelled findings lack a class, every candidate
@@ -35,7 +35,6 @@ from regiopanel.llm.common import first_by_hash, text_of, written
 
 TRAIN_ROWS = 20_000
 DICTIONARY = 5000
-DICTIONARY_DOCS = 2000
 TREES = 40
 DEPTH = 8
 
@@ -111,13 +110,9 @@ def _find(dictionary: frozenset[str]):
     return run
 
 
-def dictionary_of(docs: DataFrame, docs_bound: int = DICTIONARY_DOCS, words_bound: int = DICTIONARY) -> frozenset[str]:
-    """The most frequent words of a bounded number of documents."""
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    chosen = first_by_hash(ids, docs_bound, [F.col("doc_id")], ids.count())
-    # At most docs_bound ids, whatever the input.
-    some = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id", "left_semi")
-    words = some.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("length(word) >= 2")
+def dictionary_of(docs: DataFrame, words_bound: int = DICTIONARY) -> frozenset[str]:
+    """The most frequent words of all documents: partial counts before the shuffle, ``words_bound`` words to the driver."""
+    words = docs.select(F.explode(F.split(F.lower(text_of()), r"[^\p{L}]+")).alias("word")).filter("length(word) >= 2")
     top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(words_bound)
     return frozenset(r["word"] for r in top.collect())
 

@@ -228,6 +228,13 @@ def test_secret_candidates_and_features():
     assert path["slashes"] >= 5 and path["dictionary"] > 0.6 and path["upper"] == 0
 
 
+def test_secret_dictionary_counts_all_documents(spark):
+    data = [(i, f"common w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" + " rare" * (i % 500 == 0) + f" z{chr(97 + i // 2) * 2}" * (i < 8),
+             None, None, None) for i in range(5000)] + [(None, "rare", None, None, None)]
+    assert secrets.dictionary_of(cases.frame(spark, data), words_bound=6) == {"common", "rare", "zaa", "zbb", "zcc", "zdd"}
+    assert secrets.dictionary_of(cases.frame(spark, [])) == frozenset()
+
+
 def test_secret_forest_on_held_out_findings(spark):
     docs = table(spark, SF_MID, "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
