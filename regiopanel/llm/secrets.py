@@ -1,6 +1,7 @@
 """Secret scans: wide candidates, and a random forest that removes false positives.
 
-Candidates are long runs of token characters that hold a digit, and values of
+Candidates are all runs of 16 token characters and more, runs of 8 to 15 that mix
+letters with digits or hold a capital after a small letter, and values of
 assignments to names like ``password``. Each is described by its length,
 character classes and their transitions, the share that dictionary words
 cover, its place in a path, and the words beside it. A random forest trained
@@ -9,8 +10,8 @@ feature.
 
 Where no reviewed findings exist, ``format_labels`` marks those whose format
 settles them (issued key formats and assigned random strings are secrets; bare
-numbers, repeated signs and dictionary words are none); all others are left to
-the forest. Training takes at most ``TRAIN_ROWS`` labelled findings, first by
+numbers, repeated signs and words in small letters are none); all others are left
+to the forest. Training takes at most ``TRAIN_ROWS`` labelled findings, first by
 hash; the dictionary holds the ``DICTIONARY`` most frequent words, counted over
 all documents.
 
@@ -37,10 +38,14 @@ TRAIN_ROWS = 20_000
 DICTIONARY = 5000
 TREES = 40
 DEPTH = 8
+#: Words of one case without a digit, joined by signs or not.
+ORDINARY = r"^([A-Z]?[a-z+/_-]+|[A-Z+/_-]+)$"
 
 _NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)"
 _ASSIGNED = re.compile(_NAMES + r"""["']?\s{0,3}[:=]\s{0,3}["']?([^\s"',;]{6,})""", re.IGNORECASE)
-_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_-]{8,}={0,2}")
+_LONG = 16
+_MIXED = re.compile(r"[0-9][^A-Za-z]*[A-Za-z]|[A-Za-z][^0-9]*[0-9]|[a-z][^A-Z]*[A-Z]")
 _NEAR = re.compile(_NAMES + r"|bearer|credential|private", re.IGNORECASE)
 _RUN = re.compile(r"[A-Za-z]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -88,11 +93,16 @@ def describe(text: str, start: int, stop: int, dictionary: frozenset[str]) -> li
 
 def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, stop, kind) of the candidates, each span once, in order."""
-    found = {m.span(1): "assigned" for m in _ASSIGNED.finditer(text)}
+    assigned = [m.span(1) for m in _ASSIGNED.finditer(text)]
+    found, at = [(a, b, "assigned") for a, b in assigned], 0
     for m in _TOKEN.finditer(text):
-        if any(c.isdigit() for c in m.group()) and not any(a < m.end() and m.start() < b for a, b in found):
-            found[m.span()] = "token"
-    return sorted((a, b, k) for (a, b), k in found.items())
+        if len(m.group()) < _LONG and not _MIXED.search(m.group()):
+            continue
+        while at < len(assigned) and assigned[at][1] <= m.start():
+            at += 1
+        if at == len(assigned) or assigned[at][0] >= m.end():
+            found.append((*m.span(), "token"))
+    return sorted(found)
 
 
 def _find(dictionary: frozenset[str]):
@@ -129,7 +139,7 @@ def format_labels(value: str = "value", kind: str = "kind") -> Column:
     v = F.col(value)
     issued = v.rlike(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[0-9A-Za-z-]{10,})$")
     mixed = v.rlike(r"[0-9]") & v.rlike(r"[A-Za-z]")
-    no = v.rlike(r"^[0-9+/_=-]+$") | v.rlike(r"^[A-Za-z]+$") | v.rlike(r"(.)\1{7}")
+    no = v.rlike(r"^[0-9+/_=-]+$") | v.rlike(r"^[A-Z]?[a-z+/_-]+$") | v.rlike(r"(.)\1{7}")
     return F.when(issued, 1).when(no, 0).when((F.col(kind) == "assigned") & mixed & (F.length(v) >= 10), 1)
 
 

@@ -228,6 +228,25 @@ def test_secret_candidates_and_features():
     assert path["slashes"] >= 5 and path["dictionary"] > 0.6 and path["upper"] == 0
 
 
+def test_secret_candidates_without_a_digit_or_short():
+    keys = ["kTqWzRvXBnmLpQsD", "QWERTZUIOPLKJHGFDSAY", "xoxb-1234567890", "a8Kd0Qz7", "qpwoeirutyalskdjfhgz", "FmKxWqLzTb"]
+    text = " ".join(f"credential {k} here, 555-3436 and ordinarily" for k in keys)
+    assert [text[a:b] for a, b, _ in secrets.spans(text)] == keys
+    assert [k for _, _, k in secrets.spans('pwd = "kTqWzRvXBnmLpQsDkTqW" kTqWzRvXBnmLpQsD')] == ["assigned", "token"]
+
+
+def test_secret_query_lists_keys_without_a_digit(spark, tmp_path):
+    rng, signs = np.random.default_rng(5), list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    key = lambda n, of: "".join(rng.choice(signs[:of], n))
+    data = [(i, f"{cases.prose(i, 30)} see internationalization and user-defined-functions token = {key(20, 62)} then "
+                f"{rng.integers(10**15, 10**16)} credential {key(24, 52)} end", "en", "a", 1) for i in range(300)]
+    cases.frame(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.doc_id, r.value_sha256): r.is_secret for r in QUERIES["op5_secret_scan"](spark, str(tmp_path)).collect()}
+    bare = [got[i, cases.sha(re.search(r"credential (\w+)", t).group(1).encode())] for i, t, *_ in data]
+    assert np.mean(bare) >= 0.9
+    assert not any((i, cases.sha(w)) in got for i in range(300) for w in (b"internationalization", b"user-defined-functions"))
+
+
 def test_secret_dictionary_counts_all_documents(spark):
     data = [(i, f"common w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" + " rare" * (i % 500 == 0) + f" z{chr(97 + i // 2) * 2}" * (i < 8),
              None, None, None) for i in range(5000)] + [(None, "rare", None, None, None)]
