@@ -11,14 +11,17 @@ buckets of unrelated vectors stay small, and the number of tables follows from
 the chance ``MISS`` that a pair at the threshold meets in none of them under
 random rotations (pairs above it meet more often).
 
+Vectors of each length have rotations and tables of their own; few vectors of a
+length are all compared.
+
 Equal vectors form one class with a multiplicity, never pairs. Buckets are
 compared block against block; a pair counts in the first table that it shares.
 Blocks give counts and one link per vector to its component in the block, so
 pairs of a dense group are counted but not emitted.
 
-Defined results: vectors that are null, empty, zero, of another length than
-most, or hold null or non-finite components link with nothing and are their own
-component; rows with equal vectors link with each other; an empty table gives
+Defined results: vectors that are null, empty, zero, or hold null or non-finite
+components link with nothing and are their own component; vectors of different
+lengths never link; rows with equal vectors link with each other; an empty table gives
 an empty result; further columns are ignored.
 """
 
@@ -29,6 +32,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,13 +88,28 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(shared, d: int):
+def _model(vectors: DataFrame, d: int, n: int, cosine: float, miss: float):
+    """(mean, rotation, bits, tables) for the ``n`` vectors of length ``d``; None if all are to be compared."""
+    if n <= BLOCK:
+        return None
+    # The rotations are learned on the SAMPLE vectors that come first by hash: a bounded number of rows.
+    sample = first_by_hash(vectors, SAMPLE, [F.col("v")], n).toArrow()
+    bits, tables = plan_tables(n, cosine, miss)
+    return *fit(_unit(_matrix(sample.column("v"), d)), bits, tables), bits, tables
+
+
+def _keys(shared):
     def run(batches):
-        mean, rotation, bits, tables = shared.value
         for batch in batches:
-            if batch.num_rows:
-                k = substrings(_unit(_matrix(batch.column("v"), d)), mean, rotation, bits, tables)
-                yield pa.RecordBatch.from_pydict({"cid": batch.column("cid"), "keys": pa.array(list(k), pa.list_(pa.int64()))})
+            size = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+            for d in np.unique(size):
+                part = batch.filter(pa.array(size == d))
+                if shared.value[int(d)] is None:
+                    k = np.zeros((part.num_rows, 1), np.int64)
+                else:
+                    k = substrings(_unit(_matrix(part.column("v"), int(d))), *shared.value[int(d)])
+                yield pa.RecordBatch.from_pydict({"cid": part.column("cid"), "d": pa.array(np.full(len(k), d, np.int32)),
+                                                  "keys": pa.array(list(k), pa.list_(pa.int64()))})
     return run
 
 
@@ -114,7 +133,7 @@ def _block(cosine: float):
         near = np.triu(x @ x.T >= cosine, 1)
         a, b = np.nonzero(near)
         # Pairs of one bucket; between two blocks of a bucket only those across.
-        good = (key[a] == key[b]) & ((side[a] != side[b]) | (side[a] == 0))
+        good = (table[a] == table[b]) & (key[a] == key[b]) & ((side[a] != side[b]) | (side[a] == 0))
         a, b = a[good], b[good]
         first = np.argmax(keys[a] == keys[b], axis=1) == table[a] if len(a) else np.zeros(0, bool)
         a, b = a[first], b[first]
@@ -133,22 +152,17 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
     some = F.exists(v, lambda c: c != 0)
     usable = F.coalesce((F.size(v) > 0) & ~bad & some, F.lit(False))
     rows = written(vectors.select("vec_id", F.when(usable, v).alias("v")).withColumn("row_no", F.monotonically_increasing_id()), "vectors")
-    top = rows.filter("v IS NOT NULL").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if top is None:
-        return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    d = top["d"]
-    classes = written(rows.filter(F.size("v") == d).groupBy("v").agg(
+    classes = written(rows.filter("v IS NOT NULL").groupBy("v").agg(
         F.min("row_no").alias("cid"), F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("m")), "vector-classes")
-    total = classes.count()
-    bits, tables = plan_tables(total, cosine, miss)
-    # The rotations are learned on the SAMPLE vectors that come first by hash: a bounded number of rows.
-    sample = first_by_hash(classes.select("v"), SAMPLE, [F.col("v")], total).toArrow()
-    model = spark.sparkContext.broadcast((*fit(_unit(_matrix(sample.column("v"), d)), bits, tables), bits, tables))
-    coded = written(classes.select("cid", "v").mapInArrow(_keys(model, d), "cid bigint, keys array<bigint>"), "codes")
-    entries = coded.select("cid", F.posexplode("keys").alias("t", "sub")).select(
-        "cid", "t", (F.shiftleft(F.col("t").cast("bigint"), bits) + F.col("sub")).alias("key"))
-    full = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "full-buckets")
-    members = written(entries.join(full, "key"), "bucket-members")
+    lengths = {r["d"]: r["count"] for r in classes.groupBy(F.size("v").alias("d")).count().collect()}
+    if not lengths:
+        return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    model = spark.sparkContext.broadcast({
+        d: _model(classes.filter(F.size("v") == d).select("v"), d, n, cosine, miss) for d, n in sorted(lengths.items())})
+    coded = written(classes.select("cid", "v").mapInArrow(_keys(model), "cid bigint, d int, keys array<bigint>"), "codes")
+    entries = coded.select("cid", "d", F.posexplode("keys").alias("t", "key"))
+    full = written(entries.groupBy("d", "t", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "full-buckets")
+    members = written(entries.join(full, ["d", "t", "key"]), "bucket-members")
     units = F.lit(max(1, math.ceil(members.count() / BLOCK))).cast("bigint")
     n = F.ceil(F.col("c") / BLOCK).cast("int")
     big = F.col("c") > BLOCK
@@ -156,11 +170,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
     # Small buckets share work units; a large one is cut into blocks, each pair of blocks a unit of its own.
     spread = members.withColumn("own", F.when(big, place).otherwise(0)).withColumn("n", F.when(big, n).otherwise(1))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "cid", "t", "key", F.when(big, F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("key"), units)).alias("unit"),
+        "cid", "t", "key", F.when(big, F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("t", "key"), units)).alias("unit"),
+        F.when(big, F.col("t")).otherwise(-1).alias("big_t"),
         F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
     data = classes.select("cid", "m", F.col("v")).join(coded, "cid")
-    found = written(spread.join(data, "cid").groupBy("unit", "lo", "hi")
+    found = written(spread.join(data, "cid").groupBy("d", "big_t", "unit", "lo", "hi")
                     .applyInPandas(_block(cosine), "cid bigint, links bigint, hub bigint"), "block-links")
     labels = connected(found.select(F.col("cid").alias("a"), F.col("hub").alias("b")))
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))

@@ -1,3 +1,4 @@
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -198,6 +199,39 @@ def test_embedding_dedup_empty_and_null_ids(spark):
     assert sorted((r.n_links, r.component_id) for r in got) == [(2, 2)] * 3
 
 
+def _recall(spark, data, lengths):
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(data, "vec_id bigint, embedding array<double>")).collect()}
+    share = {}
+    for d in lengths:
+        own = [(i, v) for i, v in data if len(v) == d]
+        x = np.array([v for _, v in own])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        links = (x @ x.T >= 0.95).sum(1) - 1
+        found = np.array([got[i].n_links for i, _ in own])
+        assert (found <= links).all() and links.sum()
+        share[d] = found.sum() / links.sum()
+    return share
+
+
+def _pairs(rng, n, d, common, cosine):
+    """Unit vectors around a common direction; each second one is at ``cosine`` from the one before."""
+    x = rng.standard_normal((n, d))
+    x[:, 0] += common * math.sqrt(d)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g = rng.standard_normal((n, d))
+    g -= (g * x).sum(1, keepdims=True) * x
+    y = cosine * x + math.sqrt(1 - cosine**2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+    return np.stack([x, y], 1).reshape(2 * n, d)
+
+
+def test_embedding_dedup_links_vectors_of_every_length(spark):
+    rng = np.random.default_rng(9)
+    parts = [*_pairs(rng, 300, 48, 0, 0.97), *_pairs(rng, 200, 32, 0, 0.97), *_pairs(rng, 10, 7, 0, 0.97)]
+    data = [(i, v.tolist()) for i, v in enumerate(parts)]
+    share = _recall(spark, data, [48, 32, 7])
+    assert min(share.values()) >= 0.95 and share[7] == 1
+
+
 def test_table_plan_follows_the_logarithm():
     small, large = embedding_dedup.plan_tables(1000), embedding_dedup.plan_tables(10**9)
     assert small[0] < large[0] < 40 and small[1] < large[1] < 250
