@@ -6,10 +6,13 @@ A vector's code is cut into substrings, each the key of one Hamming table;
 vectors that agree in a substring are compared by cosine in double precision
 on their original components. Every vector is indexed and is a query.
 
-The substring length follows the logarithm of the number of vectors, so that
-buckets of unrelated vectors stay small, and the number of tables follows from
-the chance ``MISS`` that a pair at the threshold meets in none of them under
-random rotations (pairs above it meet more often).
+The substring length is at most the logarithm of the number of vectors and some
+bits, so that buckets of unrelated vectors stay small. The number of tables is
+measured: partners at the threshold angle are made for vectors of the sample, in
+random directions and towards other vectors, and tables are added until all but
+``MISS`` of either kind meet in one (pairs above the threshold meet more often).
+Centring widens the angle of a pair when vectors share a direction; bits then
+agree less, and the length of least estimated cost is shorter.
 
 Vectors of each length have rotations and tables of their own; few vectors of a
 length are all compared.
@@ -45,6 +48,9 @@ SAMPLE = 10_000
 ROUNDS = 30
 SPARE_BITS = 3
 BLOCK = 256
+PROBES = 1000
+#: Estimated cost of a table entry, of each key and component it carries, and of a comparison (by component).
+ENTRY, KEY, COMPARE = 20.0, 0.05, 0.002
 
 
 def plan_tables(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
@@ -65,11 +71,62 @@ def learn_rotation(x: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.ndarray
     return r
 
 
-def fit(unit: np.ndarray, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and stacked rotations, [dimension, at least bits * tables]."""
-    mean = unit.mean(axis=0) if len(unit) else np.zeros(unit.shape[1])
-    starts = math.ceil(bits * tables / unit.shape[1])
-    return mean, np.hstack([learn_rotation(unit - mean, 1000 + s) for s in range(starts)])
+def probes(unit: np.ndarray, cosine: float, toward: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample and a partner of each at exactly ``cosine``, towards another vector or any direction."""
+    rng = np.random.default_rng(2000 + toward)
+    u = unit[rng.integers(0, len(unit), PROBES)]
+    g = unit[rng.integers(0, len(unit), PROBES)] if toward else rng.standard_normal(u.shape)
+    g = g - (g * u).sum(axis=1, keepdims=True) * u
+    far = np.linalg.norm(g, axis=1) > 1e-6
+    w = u.copy()
+    w[far] = cosine * u[far] + math.sqrt(1 - cosine**2) * _unit(g[far])
+    return u, w
+
+
+def _needed(agree: list[np.ndarray], bits: int, miss: float) -> int:
+    """Number of tables at which pairs whose bits agree with these chances miss at most ``miss`` on average."""
+    met = [np.log1p(-np.minimum(a**bits, 1 - 1e-12)) for a in agree]
+    lost = lambda t: max(np.exp(m * t).mean() for m in met)
+    low, high = 0, 1
+    while lost(high) > miss and high < 2**20:
+        low, high = high, 2 * high
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if lost(mid) > miss else (low, mid)
+    return high
+
+
+def fit(unit: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Mean, stacked rotations [dimension, at least bits * tables], bits and tables for ``n`` vectors like the sample."""
+    d = unit.shape[1]
+    mean = unit.mean(axis=0)
+    rotations = [learn_rotation(unit - mean, 1000)]
+    pairs = [probes(unit, cosine, toward) for toward in (False, True)]
+    signs = lambda x, r: (x - mean) @ r >= 0
+    # Agreement of a pair's bits is taken over at least 512 of them.
+    many = np.hstack(rotations + [learn_rotation(unit - mean, 5000 + i, 0) for i in range(math.ceil(512 / d))])
+    agree = [(signs(u, many) == signs(w, many)).mean(axis=1) for u, w in pairs]
+    rng = np.random.default_rng(3000)
+    one, two = unit[rng.integers(0, len(unit), PROBES)], unit[rng.integers(0, len(unit), PROBES)]
+    chance = (signs(one, many) == signs(two, many)).mean(axis=1)
+    plan = []
+    for bits in range(plan_tables(n, cosine, miss)[0], 0, -1):
+        tables = _needed(agree, bits, miss)
+        plan.append((tables * (ENTRY + KEY * (tables + d) + COMPARE * d * n * (chance**bits).mean()), bits, tables))
+    _, bits, tables = min(plan)
+    while True:
+        while len(rotations) * d < bits * tables:
+            rotations.append(learn_rotation(unit - mean, 1000 + len(rotations)))
+        rotation = np.hstack(rotations)
+        met = [(substrings(u, mean, rotation, bits, tables) == substrings(w, mean, rotation, bits, tables)).any(axis=1).mean()
+               for u, w in pairs]
+        if min(met) >= 1 - miss:
+            return mean, rotation, bits, tables
+        # Learned bits agree less than chance bits: more tables, and shorter substrings once they are many.
+        tables += math.ceil(tables / 8)
+        if tables > 2 * _needed(agree, bits, miss) and bits > 1:
+            bits -= 1
+            tables = _needed(agree, bits, miss)
 
 
 def substrings(unit: np.ndarray, mean: np.ndarray, rotation: np.ndarray, bits: int, tables: int) -> np.ndarray:
@@ -94,8 +151,7 @@ def _model(vectors: DataFrame, d: int, n: int, cosine: float, miss: float):
         return None
     # The rotations are learned on the SAMPLE vectors that come first by hash: a bounded number of rows.
     sample = first_by_hash(vectors, SAMPLE, [F.col("v")], n).toArrow()
-    bits, tables = plan_tables(n, cosine, miss)
-    return *fit(_unit(_matrix(sample.column("v"), d)), bits, tables), bits, tables
+    return fit(_unit(_matrix(sample.column("v"), d)), n, cosine, miss)
 
 
 def _keys(shared):

@@ -224,6 +224,12 @@ def _pairs(rng, n, d, common, cosine):
     return np.stack([x, y], 1).reshape(2 * n, d)
 
 
+def test_embedding_dedup_recall_with_a_common_direction(spark):
+    x = _pairs(np.random.default_rng(8), 1500, 64, 1.5, 0.955)
+    assert 0.8 < np.linalg.norm(x.mean(0)) < 0.9
+    assert _recall(spark, list(enumerate(x.tolist())), [64])[64] >= 0.95
+
+
 def test_embedding_dedup_links_vectors_of_every_length(spark):
     rng = np.random.default_rng(9)
     parts = [*_pairs(rng, 300, 48, 0, 0.97), *_pairs(rng, 200, 32, 0, 0.97), *_pairs(rng, 10, 7, 0, 0.97)]
