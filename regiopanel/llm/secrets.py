@@ -11,8 +11,9 @@ feature.
 Where no reviewed findings exist, ``format_labels`` marks those whose format
 settles them (issued key formats and assigned random strings are secrets; bare
 numbers, repeated signs and words in small letters are none); all others are left
-to the forest. Training takes at most ``TRAIN_ROWS`` labelled findings, first by
-hash; the dictionary holds the ``DICTIONARY`` most frequent words, counted over
+to to the forest. Equal labelled findings (features and label) are one with their
+number as weight; training takes at most half of ``TRAIN_ROWS`` of each class,
+first by hash. The dictionary holds the ``DICTIONARY`` most frequent words, counted over
 all documents.
 
 Defined results: null and empty texts have no candidates; repeated rows report
@@ -145,12 +146,16 @@ def format_labels(value: str = "value", kind: str = "kind") -> Column:
 
 def fit_forest(labelled: DataFrame, rows: int = TRAIN_ROWS):
     """Forest from (features, label); None unless both labels occur. The layout, hence the trees, is fixed by the data."""
-    known = labelled.select("features", F.col("label").cast("double").alias("label"))
-    first = first_by_hash(known, rows, [F.col("features"), F.col("label")], known.count())
-    data = written(first.select(array_to_vector("features").alias("x"), "label").coalesce(1), "findings")
+    known = written(labelled.groupBy("features", F.col("label").cast("double").alias("label")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")), "labelled")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    by = [F.col("features"), F.col("label")]
+    no, yes = (first_by_hash(known.filter(F.col("label") == v), rows // 2, by, counts.get(v, 0)) for v in (0.0, 1.0))
+    first = no.unionByName(yes).coalesce(1).sortWithinPartitions(F.xxhash64(*by), *by)
+    data = written(first.select(array_to_vector("features").alias("x"), "label", "weight"), "findings")
     if data.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=17,
+    return RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=17,
                                   minInstancesPerNode=2).fit(data)
 
 

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from regiopanel.llm import bpe, language_id, licenses, secrets, toxicity
 from regiopanel.llm.common import prepare, table, text_chunks
@@ -267,6 +268,19 @@ def test_secret_forest_on_held_out_findings(spark):
     assert wrong <= 0.05 * len(got)
 
 
+def test_secret_forest_with_hot_findings(spark):
+    # Each of two findings is most of its class; single ones remain, and both classes with few rows.
+    wide = len(secrets.FEATURES)
+    data = [([0.0] * wide, 0)] * 3000 + [([1.0] * wide, 1)] * 3000
+    data += [([i / 100] + [0.1] * (wide - 1), 0) for i in range(30)] + [([i / 100] + [0.9] * (wide - 1), 1) for i in range(30)]
+    labelled = spark.createDataFrame(data, "features array<double>, label int")
+    for rows in (4, 40):
+        forest = secrets.fit_forest(labelled, rows=rows)
+        assert forest is not None
+    found = spark.createDataFrame([(f,) for f in ([0.05] + [0.1] * (wide - 1), [0.05] + [0.9] * (wide - 1))], "features array<double>")
+    assert [r.is_secret for r in secrets.scan(found.coalesce(1).withColumn("n", F.lit(1)), forest).collect()] == [False, True]
+
+
 def test_secret_edge_cases(spark):
     docs = cases.frame(spark)
     found = secrets.candidates(docs, frozenset())
