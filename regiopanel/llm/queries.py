@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, language_id, licenses, mixing, near_dedup, secrets, sharding,
-                            toxicity)
+from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, language_id, licenses, merkle, mixing, near_dedup, secrets,
+                            sharding, toxicity)
 from regiopanel.llm.common import id_crc, prepare, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -126,3 +127,15 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_license_scan")
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op11_merkle_manifest", merkle.oracle())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering lower-cases the texts of a fifth of the documents; their leaves are then folded with the old siblings."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", UPPER, UPPER.lower())
+    suspect = F.when(id_crc() % 5 == 0, merkle.leaf(text=lowered))
+    leaves = written(docs.select("doc_id", "source", merkle.leaf().alias("leaf"), suspect.alias("suspect")), "leaves")
+    found = merkle.manifest(leaves).withColumn("folded_root", merkle.fold(F.coalesce("suspect", "leaf"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
