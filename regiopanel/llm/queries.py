@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, language_id, licenses, merkle, mixing, near_dedup, secrets,
-                            sharding, toxicity)
+from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, fill_middle, language_id, licenses, merkle, mixing, near_dedup,
+                            secrets, sharding, toxicity)
 from regiopanel.llm.common import id_crc, prepare, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +139,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(leaves).withColumn("folded_root", merkle.fold(F.coalesce("suspect", "leaf"), F.col("path")))
     return found.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_fill_middle", fill_middle.oracle())
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fim(table(spark, sf_dir, "documents"))
