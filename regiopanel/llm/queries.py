@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.llm import (bpe, embedding_dedup, exact_dedup, fill_middle, language_id, licenses, merkle, mixing, near_dedup,
-                            secrets, sharding, toxicity)
+                            packing, secrets, sharding, toxicity)
 from regiopanel.llm.common import id_crc, prepare, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_fill_middle", fill_middle.oracle())
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fim(table(spark, sf_dir, "documents"))
+
+
+@query("op13_best_fit_packing")
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return packing.pack_documents(table(spark, sf_dir, "documents"), f.read())
