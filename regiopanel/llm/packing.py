@@ -44,63 +44,106 @@ HANDED_ON = 8
 #: Bins that the search tries to empty in vain, one after the other, before it ends.
 PATIENCE = 200
 #: Words and ids a worker remembers; its memory starts anew beyond that.
-CACHE_WORDS = 300_000
-CACHE_IDS = 3_000_000
+CACHE_WORDS = 1_000_000
+CACHE_IDS = 6_000_000
 
 
 # ---------------------------------------------------------------- tokens
 
-class WordTokenizer:
-    """Ids of texts from a tokenizer whose pieces never span white space.
+def _byte_classes() -> np.ndarray:
+    """1 for ASCII letters, 2 for digits, 3 for other printable signs, 0 for the rest."""
+    t = np.zeros(256, np.uint8)
+    t[0x21:0x7F] = 3
+    t[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    t[0x30:0x3A] = 2
+    return t
+
 
-    Texts are cut at ASCII white space; each distinct word is tokenized once
-    and its ids are copied to all its places. Normal forms and the tokenizer's
-    own cuts do not reach over such a space, so the ids are those of the text.
+class WordTokenizer:
+    """Ids of texts from a tokenizer that lower-cases, drops white space and cuts letters, digits and signs apart.
+
+    Texts are cut at ASCII white space and where an ASCII letter, digit or
+    sign meets one of another kind (an accented Latin-1 letter counts as a
+    letter before a digit or sign; nothing is cut after an apostrophe, which
+    may begin a contraction). Normal forms and the tokenizer's own cuts do not
+    reach over such places, so the ids are those of the whole text. Each
+    distinct word is tokenized once and its ids are copied to all its places.
+    A chunk that may hold a special token is cut at white space only and its
+    case is kept.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.values, self.word = byte_values(fold_case=False), space_words()
+        special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = sorted({t[:2] for t in special})
+        self.folded, self.exact = byte_values(fold_case=True), byte_values(fold_case=False)
+        self.word, self.kind = space_words(), _byte_classes()
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.ids, self.starts, self.lens, self.used = np.zeros(1 << 16, np.uint32), [], [], 0
-
-    def _learn(self, keys: list[int], words: list[str]) -> None:
-        for i in range(0, len(words), 1000):
-            batch = self.tokenizer.encode_batch_fast(words[i:i + 1000], add_special_tokens=False)
-            for key, got in zip(keys[i:i + 1000], batch):
-                ids = got.ids
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-                self.ids[self.used:self.used + len(ids)] = ids
-                self.slot[key] = len(self.starts)
-                self.starts.append(self.used)
-                self.lens.append(len(ids))
-                self.used += len(ids)
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)   # sorted hashes of words, their slots
+        self.start, self.count, self.ids = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint32)]
+
+    def _spans(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
+        kind, w = self.kind[data], self.word[data]
+        cut = np.zeros(n + 1, bool)
+        a, b = kind[:-1], kind[1:]
+        cut[1:n] = (a > 0) & (b > 0) & ((a != b) | (a == 2)) & ~((data[:-1] == 0x27) & (b == 1))
+        # C3 xx is a letter of Latin-1, but for the signs C3 97 and C3 B7.
+        accent = np.flatnonzero(data[:-2] == 0xC3) if n > 2 else np.zeros(0, np.int64)
+        accent = accent[(data[accent + 1] != 0x97) & (data[accent + 1] != 0xB7) & (kind[accent + 2] > 1)]
+        cut[accent + 2] = True
+        cut[off] = True
+        before = np.append(False, w[:-1])
+        after = np.append(w[1:], False)
+        return np.flatnonzero(w & (~before | cut[:n])), np.flatnonzero(w & (~after | cut[1:])) + 1
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end and how many each has; joined by spaces they are one text."""
+        ids, counts = [], []
+        for i in range(0, len(words), 2000):
+            batch = words[i:i + 2000]
+            got = self.tokenizer.encode(" ".join(batch), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(x) + 1 for x in batch)])
+            at = np.fromiter((x for x, _ in got.offsets), np.int64, len(got))
+            ids.append(np.array(got.ids, np.uint32))
+            counts.append(np.diff(np.searchsorted(at, begin)))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's ids begin."""
-        starts, ends, first = word_spans(data, off, self.word)
+        raw = data.tobytes()
+        if any(t in raw for t in self.special):
+            starts, ends, _ = word_spans(data, off, self.word)
+            values = self.exact
+        else:
+            starts, ends = self._spans(data, off) if len(data) else (np.zeros(0, np.int64),) * 2
+            values = self.folded
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        keys = span_hash(prefix_sums(self.values[data]), starts, ends)
+        keys = span_hash(prefix_sums(values[data]), starts, ends)
         distinct, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.slot) + len(distinct) > CACHE_WORDS or self.used > CACHE_IDS:
+        if len(self.keys) + len(distinct) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
             self._forget()
-        names = distinct.tolist()
-        new = [i for i, key in enumerate(names) if key not in self.slot]
-        at = where[new]
-        raw = data.tobytes()
-        self._learn([names[i] for i in new],
-                    [raw[x:y].decode("utf-8") for x, y in zip(starts[at].tolist(), ends[at].tolist())])
-        slot = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))
-        begin = np.fromiter((self.starts[s] for s in slot), np.int64, len(slot))[back]
-        count = np.fromiter((self.lens[s] for s in slot), np.int64, len(slot))[back]
+        place = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == distinct[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            at = where[new]
+            ids, count = self._learn([raw[x:y].decode("utf-8") for x, y in zip(starts[at].tolist(), ends[at].tolist())])
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
+            self.slot = np.insert(self.slot, place[new], np.arange(len(self.count), len(self.count) + len(new)))
+            self.keys = np.insert(self.keys, place[new], distinct[new])
+            self.count, self.ids = np.concatenate([self.count, count]), np.concatenate([self.ids, ids])
+            place = np.searchsorted(self.keys, distinct)
+        slot = self.slot[place][back]
+        begin, count = self.start[slot], self.count[slot]
         upto = np.concatenate([[0], np.cumsum(count)])
-        return self.ids[np.arange(int(upto[-1])) + np.repeat(begin - upto[:-1], count)], upto[first]
+        return self.ids[np.arange(int(upto[-1])) + np.repeat(begin - upto[:-1], count)], upto[np.searchsorted(starts, off)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
