@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.operators.ranking import exact_percentiles
+from regiopanel.operators.quantiles import percentiles
 from regiopanel.session import materialize
 
 EULER_GAMMA = 0.5772156649015329
@@ -201,7 +201,7 @@ def score_forest(df: DataFrame, id_col: str, model: dict, keep: Sequence[str] =
 def score_offsets(scored: DataFrame, n_variants: int, contamination: float = 0.05) -> list[float]:
     """Exact contamination percentile of ``-score`` for each variant (one number each)."""
     long = scored.select(F.posexplode("scores").alias("variant", "s")).select("variant", (-F.col("s")).alias("neg"))
-    found = exact_percentiles(long, ["variant"], "neg", [contamination], names=["offset"]).collect()
+    found = percentiles(long, ["variant"], "neg", [contamination], names=["offset"]).collect()
     by = {r["variant"]: float(r["offset"]) for r in found}
     return [by.get(v, 0.0) for v in range(n_variants)]
 

@@ -2,8 +2,8 @@
 
 Wide aggregates are computed in one pass and reshaped afterwards (aggregate
 first, then ``stack``), so the shuffle carries one row per group, not one per
-group and variable. Medians and quartiles are exact and skew-safe
-(:mod:`regiopanel.operators.ranking`).
+group and variable. Medians and quartiles are exact and come from histograms
+refined around the wanted ranks (:mod:`regiopanel.operators.quantiles`).
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiopanel.operators.ranking import exact_percentiles
-from regiopanel.session import materialize
+from regiopanel.operators.quantiles import percentiles
 
 
 def _stack(df: DataFrame, keys: Sequence[str], cols_by_label: Sequence[tuple[str, Sequence[str]]],
@@ -64,8 +63,7 @@ def group_describe(df: DataFrame, group: str, features: Sequence[str]) -> DataFr
                                  *[F.stddev_samp(c).alias(f"{c}__std") for c in features])
     moments = _stack(wide, [group], [(c, [f"{c}__mean", f"{c}__std"]) for c in features],
                      "variable", ["mean", "std"])
-    medians = exact_percentiles(to_long(df, [group], features), [group, "variable"], "value",
-                                [0.5], names=["median"])
+    medians = percentiles(to_long(df, [group], features), [group, "variable"], "value", [0.5], names=["median"])
     return moments.join(medians, [group, "variable"], "inner").select(
         group, "variable", "mean", "median", "std")
 
@@ -77,12 +75,11 @@ def boxplot_stats(df: DataFrame, group: str, features: Sequence[str], whisker: f
     inside ``[q1 - 1.5 iqr, q3 + 1.5 iqr]``; outliers are counted.
     """
     long = to_long(df, [group], features)
-    q = exact_percentiles(long, [group, "variable"], "value", [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
+    q = percentiles(long, [group, "variable"], "value", [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - F.lit(whisker) * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + F.lit(whisker) * F.col("iqr"))
-    # Written once (a row per group and variable); its measured size decides how it is joined.
-    q = materialize(q)
+    # One row per group and variable, broadcast while its checked size allows: rows meet their fences in place.
     joined = long.join(q.select(group, "variable", "lo_fence", "hi_fence"), [group, "variable"], "inner")
     v = F.col("value")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
