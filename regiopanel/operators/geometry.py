@@ -4,9 +4,8 @@ decision grids and silhouettes.
 Scale notes
 * Centroids, inertia and the squared-Euclidean silhouette are single-pass
   aggregates (Welford-stable ``var_pop``; Spark's ``ClusteringEvaluator``).
-* Nearest centroid inlines the k centres as a literal array when k * d is
-  under a checked bound (what ``KMeansModel`` does with a broadcast); above it,
-  centres are blocked and equi-joined on the block id, then reduced by ``min``.
+* Nearest centroid takes the rows past ball trees over the centres, broadcast
+  in parts of a bounded size, at every number of centres.
 * The exact Euclidean silhouette needs every pair distance (that is its
   definition). Pairs are never emitted as rows: points are hashed into blocks,
   each (row block, column block) tile is one pandas group of at most
@@ -24,11 +23,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regiopanel.operators.balltree import PART_VALUES, nearest_centre
 from regiopanel.session import materialize
 
-MAX_INLINE_VALUES = 20_000  # k * d bound for inlining centres into the plan
-
-
 MAX_TILE_TASKS = 20_000  # beyond it a task takes several tiles, one after the other
 
 
@@ -66,54 +63,16 @@ def nearest_of_literals(feats: Column, centres: Sequence[tuple[int, Sequence[flo
     return F.array_min(dists)
 
 
-def collect_centres(centres: DataFrame, cid: str, features: Sequence[str] | str,
-                    max_values: int = MAX_INLINE_VALUES) -> list[tuple[int, list[float]]] | None:
-    """Centres as Python values if k * d is within ``max_values``, else None (checked size)."""
-    dim_expr = F.size(F.col(features)) if isinstance(features, str) else F.lit(len(features))
-    dim = centres.select(dim_expr.alias("d")).first()
-    d = 0 if dim is None else int(dim["d"])
-    k_max = max(1, max_values // max(d, 1))
-    vec = F.col(features) if isinstance(features, str) else as_array(features)
-    rows = centres.select(F.col(cid).alias("cid"), vec.alias("c")).limit(k_max + 1).collect()
-    if len(rows) > k_max:
-        return None
-    return sorted((int(r["cid"]), list(r["c"])) for r in rows)
-
-
 def nearest_centroid(points: DataFrame, feats: str, centres: DataFrame, cid: str, cfeats: str,
                      out: str = "nearest", dist_out: str | None = None, id_col: str | None = None,
-                     max_values: int = MAX_INLINE_VALUES, block_size: int = 1024) -> DataFrame:
-    """Label of the nearest centre (squared Euclidean), ties to the lower label.
+                     max_values: int = PART_VALUES, block_size: int | None = None) -> DataFrame:
+    """Label of the nearest centre (squared Euclidean), ties to the lower label; every row of ``points`` stays.
 
-    Small centre sets are inlined; large ones go through a blocked equi-join,
-    which needs ``id_col`` to reduce per point.
+    One method at every number of centres (:mod:`regiopanel.operators.balltree`),
+    shipped in parts of ``max_values`` values. ``id_col`` and ``block_size`` are
+    accepted for older callers; rows need no id.
     """
-    kind = dict(centres.dtypes)[cid]  # labels keep the type of the centres' ids either way
-    listed = collect_centres(centres, cid, cfeats, max_values)
-    if listed is not None:
-        best = nearest_of_literals(F.col(feats), listed)
-        res = points.withColumn("_best", best).withColumn(out, F.col("_best.cid").cast(kind))
-        if dist_out:
-            res = res.withColumn(dist_out, F.sqrt(F.col("_best.d")))
-        return res.drop("_best")
-    if id_col is None:
-        raise ValueError("large centre set: id_col is required for the blocked join")
-    k = centres.count()
-    nb = max(1, math.ceil(k / block_size))
-    blocks = (centres.select(F.pmod(F.xxhash64(cid), F.lit(nb)).alias("_blk"),
-                             F.struct(F.col(cid).alias("cid"), F.col(cfeats).alias("c")).alias("_ct"))
-              .groupBy("_blk").agg(F.collect_list("_ct").alias("_cents")))
-    pts = points.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))))
-    j = pts.join(blocks, "_blk", "inner").withColumn(
-        "_best", F.array_min(F.transform("_cents", lambda ct: F.struct(_sqdist(F.col(feats), ct["c"]).alias("d"),
-                                                                        ct["cid"].alias("cid")))))
-    # Reduce per point on its id only; the other columns ride along unchanged.
-    others = [c for c in points.columns if c != id_col]
-    red = j.groupBy(id_col).agg(*[F.first(c).alias(c) for c in others], F.min("_best").alias("_best"))
-    res = red.select(*points.columns, "_best").withColumn(out, F.col("_best.cid"))
-    if dist_out:
-        res = res.withColumn(dist_out, F.sqrt(F.col("_best.d")))
-    return res.drop("_best")
+    return nearest_centre(points, feats, centres, cid, cfeats, out, dist_out, part_values=max_values)
 
 
 def grid_axis(lo: float, hi: float, step: float) -> tuple[float, int]:
@@ -134,9 +93,8 @@ def decision_grid(df: DataFrame, x: str, y: str, centres: DataFrame, cid: str,
     g = spark.range(nx * ny).select(
         (F.lit(x_start) + (F.col("id") / F.lit(ny)).cast("long") * F.lit(step)).alias("gx"),
         (F.lit(y_start) + F.pmod(F.col("id"), F.lit(ny)) * F.lit(step)).alias("gy"))
-    pts = g.withColumn("_id", F.monotonically_increasing_id()).withColumn("_p", F.array("gx", "gy"))
     own = centres.select(cid, as_array([x, y]).alias("_c"))
-    return nearest_centroid(pts, "_p", own, cid, "_c", out="nearest", id_col="_id").select("gx", "gy", "nearest")
+    return nearest_centroid(g.withColumn("_p", F.array("gx", "gy")), "_p", own, cid, "_c").select("gx", "gy", "nearest")
 
 
 # ---------------------------------------------------------------------------

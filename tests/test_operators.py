@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regiopanel.functions.expr import (code_prefix_filter, count_when, guarded_ratio, padded_code,
                                        padded_code_prefix_range, recode)
-from regiopanel.operators.geometry import (as_array, collect_centres, inertia_by_label, nearest_centroid,
+from regiopanel.operators.geometry import (as_array, inertia_by_label, nearest_centroid,
                                            silhouette_samples, silhouette_squared,
                                            silhouette_squared_samples, total_inertia)
 from regiopanel.operators.panel import column_profile, merge_panel, rename_columns, require_columns
@@ -188,7 +188,6 @@ def test_nearest_centroid_inline_equals_blocked(spark):
     blocked = {r.id: r.nearest for r in nearest_centroid(pts, "f", cents, "cid", "c", id_col="id",
                                                          max_values=20, block_size=7).collect()}
     assert inline == blocked
-    assert collect_centres(cents, "cid", "c", max_values=20) is None
 
 
 def test_inertia_identities(spark):
