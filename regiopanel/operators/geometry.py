@@ -6,10 +6,12 @@ Scale notes
   aggregates (Welford-stable ``var_pop``; Spark's ``ClusteringEvaluator``).
 * Nearest centroid takes the rows past ball trees over the centres, broadcast
   in parts of a bounded size, at every number of centres.
-* The exact Euclidean silhouette needs every pair distance (that is its
-  definition). Pairs are never emitted as rows: points are hashed into blocks,
-  each (row block, column block) tile is one pandas group of at most
-  2 x ``block_size`` rows, and a tile emits only per (point, cluster) sums.
+* The exact Euclidean silhouette needs pair distances within each cluster and
+  to the nearest other cluster. A row's distance to a centroid bounds its mean
+  distance to the cluster on both sides, so clusters that cannot be nearest
+  are left out. Pairs are never emitted as rows: clusters are hashed into
+  blocks, a pair of blocks (tile) is one pandas group of about 2 x
+  ``block_size`` rows, and a tile emits only sums per row.
   ``silhouette_squared`` is the linear-cost metric for very large n.
 """
 
@@ -101,42 +103,158 @@ def decision_grid(df: DataFrame, x: str, y: str, centres: DataFrame, cid: str,
 # Exact Euclidean silhouette by blocked tiles
 
 
-def _tile_sums(group_cols: Sequence[str], id_col: str, label_col: str, feats: str):
-    cols = [*group_cols, id_col, label_col, "_olab", "_s", "_c"]
+def _by_keys(pdf: pd.DataFrame, keys: list[str]) -> dict[tuple, np.ndarray]:
+    """Row numbers by the values of ``keys``; null is a value."""
+    found: dict[tuple, list[int]] = {}
+    values = [[None if pd.isna(v) else v for v in pdf[c]] for c in keys]
+    for i, key in enumerate(zip(*values) if keys else [()] * len(pdf)):
+        found.setdefault(key, []).append(i)
+    return {k: np.array(v) for k, v in found.items()}
 
-    def one_hot(labels):
-        labs, inv = np.unique(labels, return_inverse=True)
-        hot = np.zeros((len(labels), len(labs)))
-        hot[np.arange(len(labels)), inv] = 1.0
-        return labs, hot
 
-    def rows(side, sums, labs, counts):
-        n, k = sums.shape
-        out = {id_col: np.repeat(side[id_col].to_numpy(), k), label_col: np.repeat(side[label_col].to_numpy(), k),
-               "_olab": np.tile(labs, n), "_s": sums.reshape(-1), "_c": np.tile(counts, n).astype(np.int64)}
-        for g in group_cols:
-            out[g] = np.repeat(side[g].to_numpy(), k)
-        return pd.DataFrame(out)[cols]
+def _cluster_bounds(shared, n_keys: int, feats: str, last: bool):
+    """Per row: ``_u``, an upper bound of the mean distance to the nearest other cluster; ``_m``, blocks of its own.
+
+    In the last step also ``_need``, the other clusters that may be nearest, with their numbers of blocks.
+
+    With centroid m and mean squared deviation v of a cluster, the mean distance of x to it lies between |x - m|
+    and sqrt(|x - m|^2 + v) (Jensen). Clusters beyond the least upper bound cannot be the nearest.
+    """
+    def run(batches):
+        table = shared.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf[feats].to_numpy()).astype(np.float64)
+            upper = pdf["_u"].to_numpy(np.float64).copy()
+            need: list[list] = [[]] * len(pdf)
+            own, blocks = pdf["_l"].to_numpy(), pdf["_m"].to_numpy().copy()
+            for g, idx in _by_keys(pdf, list(pdf.columns[:n_keys])).items():
+                if g not in table:
+                    continue
+                labels, middle, spread, cut = table[g]
+                for i in range(0, len(idx), 256):
+                    rows = idx[i:i + 256]
+                    gap2 = ((x[rows, None, :] - middle[None, :, :]) ** 2).sum(axis=2)
+                    mine = labels[None, :] == own[rows, None]
+                    blocks[rows] = np.maximum(blocks[rows], (mine * cut[None, :]).max(axis=1))
+                    most = np.where(mine, np.inf, np.sqrt(gap2 + spread[None, :]))
+                    upper[rows] = np.fmin(upper[rows], most.min(axis=1))
+                    if last:
+                        near = ~mine & (np.sqrt(gap2) <= upper[rows, None] * (1 + 1e-9) + 1e-9)
+                        for r, hit in zip(rows, near):
+                            need[r] = [{"l": c, "m": int(m)} for c, m in zip(labels[hit].tolist(), cut[hit])]
+            pdf["_u"], pdf["_m"] = upper, blocks
+            if last:
+                pdf["_need"] = need
+            yield pdf
+    return run
+
+
+def _clusters(pts: DataFrame, keys: list[str], label: str, feats: str) -> DataFrame:
+    """One row per (keys, label): ``n``, centroid ``m``, mean squared deviation ``v``."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    vec = pts.select(*keys, label, array_to_vector(F.col(feats)).alias("_x"))
+    s = vec.groupBy(*keys, label).agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("_x")).alias("s"))
+    n = F.col("s.count")
+    total = F.aggregate(vector_to_array("s.variance"), F.lit(0.0), lambda acc, v: acc + v)
+    return s.select(*keys, label, n.alias("n"), vector_to_array("s.mean").alias("m"), (total * (n - 1) / n).alias("v"))
+
+
+def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size: int) -> DataFrame:
+    """``pts`` with ``_m`` and ``_need`` (see :func:`_cluster_bounds`). Clusters reach the rows in bounded parts."""
+    spark = pts.sparkSession
+    first = pts.select(F.size(feats).alias("d")).first()
+    most = max(1, PART_VALUES // max(1, first["d"] if first else 1))
+    clusters = _clusters(pts, keys, label, feats)
+    listed = clusters.limit(most + 1).toPandas()
+    if len(listed) <= most:
+        parts = [listed]
+    else:
+        clusters = materialize(clusters)
+        n = math.ceil(clusters.count() / most)
+        dealt = clusters.withColumn("_p", F.pmod(F.xxhash64(*keys, label), F.lit(n)))
+        parts = [dealt.filter(F.col("_p") == p).drop("_p").toPandas() for p in range(n)]
+    shared = []
+    for own in parts:
+        table: dict[tuple, tuple] = {}
+        for g, rows in _by_keys(own, keys).items():
+            t = own.iloc[rows]
+            table[g] = (t[label].to_numpy(), np.stack(t["m"].to_numpy()).astype(np.float64), t["v"].to_numpy(np.float64),
+                        -(-t["n"].to_numpy(np.int64) // block_size))
+        shared.append(spark.sparkContext.broadcast(table))
+    kind = f"array<struct<l:{pts.schema[label].dataType.simpleString()},m:bigint>>"
+    state = pts.withColumn("_l", F.col(label)).withColumn("_u", F.lit(math.inf)).withColumn("_m", F.lit(0).cast("bigint"))
+    state = state.select(*keys, *[c for c in state.columns if c not in keys])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema)
+    # One part: bound and choice in one step. More: the bound over all parts first, then the choice part by part.
+    if len(shared) == 1:
+        return state.mapInPandas(_cluster_bounds(shared[0], len(keys), feats, True), f"{fields}, _need {kind}").drop("_l", "_u")
+    for part in shared:
+        state = state.mapInPandas(_cluster_bounds(part, len(keys), feats, False), fields)
+    state = materialize(state).withColumn("_all", F.array().cast(kind))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema)
+    for part in shared:
+        state = state.mapInPandas(_cluster_bounds(part, len(keys), feats, True), f"{fields}, _need {kind}")
+        state = state.withColumn("_all", F.concat("_all", "_need")).drop("_need")
+    return state.withColumnRenamed("_all", "_need").drop("_l", "_u")
+
+
+def silhouette_tiles(placed: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Pairs of blocks (keys, _la, _ba, _lb, _bb) whose distances are needed, with ``_a`` and ``_b``: which side needs them.
+
+    A block is a part of one cluster. Own clusters: every pair of blocks once;
+    other clusters: those that some row of the block needs.
+    """
+    per = placed.groupBy(*keys, F.col(label).alias("_l"), "_blk").agg(
+        F.array_distinct(F.flatten(F.collect_set("_need"))).alias("_need"), F.first("_m").alias("_m"))
+    here = F.struct(F.col("_l").alias("l"), F.col("_blk").alias("b"))
+    there = F.struct(F.col("_to").alias("l"), F.col("_j").alias("b"))
+    mine = F.array(F.struct(F.col("_l").alias("l"), F.col("_m").alias("m")))
+    want = per.select(*keys, "_l", "_blk", F.explode(F.concat("_need", mine)).alias("_w"))
+    pairs = (want.select(*keys, "_l", "_blk", F.col("_w.l").alias("_to"), F.explode(F.sequence(F.lit(0), (F.col("_w.m") - 1).cast("int"))).alias("_j"))
+             .filter((F.col("_to") != F.col("_l")) | (F.col("_j") >= F.col("_blk"))))
+    same = F.col("_to") == F.col("_l")
+    first = here <= there
+    pairs = pairs.select(*keys, F.when(first, here).otherwise(there).alias("x"), F.when(first, there).otherwise(here).alias("y"),
+                         (first | same).alias("a"), (~first | same).alias("b"))
+    return pairs.groupBy(*keys, "x", "y").agg(F.max("a").alias("_a"), F.max("b").alias("_b")).select(
+        *keys, F.col("x.l").alias("_la"), F.col("x.b").alias("_ba"), F.col("y.l").alias("_lb"), F.col("y.b").alias("_bb"), "_a", "_b")
+
+
+def _tile_sums(keys: Sequence[str], id_col: str, label_col: str, feats: str):
+    cols = [*keys, id_col, label_col, "_olab", "_s", "_c"]
+
+    def rows(side, other, sums, own):
+        asked = np.array([own or any(c["l"] == other for c in need) for need in side["_need"]], bool)
+        out = side.loc[asked, [*keys, id_col, label_col]].copy()
+        out["_s"], out["_c"] = sums[asked], 0
+        out["_olab"] = other
+        return out
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = int(pdf["_bi"].iloc[0]) == int(pdf["_bj"].iloc[0])
+        head = pdf.iloc[0]
+        alone = head["_la"] == head["_lb"] and head["_ba"] == head["_bb"]
+        own = head["_la"] == head["_lb"]
         left = pdf[pdf["_role"] == 0]
-        right = left if own else pdf[pdf["_role"] == 1]
+        right = left if alone else pdf[pdf["_role"] == 1]
         if left.empty or right.empty:
             return pd.DataFrame(columns=cols)
-        xl = np.stack(left[feats].to_numpy()).astype(np.float64)
-        xr = np.stack(right[feats].to_numpy()).astype(np.float64)
-        (llab, lhot), (rlab, rhot) = one_hot(left[label_col].to_numpy()), one_hot(right[label_col].to_numpy())
-        to_right, to_left = np.empty((len(left), len(rlab))), np.zeros((len(right), len(llab)))
+        xl, xr = (np.stack(t[feats].to_numpy()).astype(np.float64) for t in (left, right))
+        to_right, to_left = np.empty(len(left)), np.zeros(len(right))
         chunk = max(1, int(4_000_000 // max(1, xr.shape[0] * xr.shape[1])))
         for s in range(0, len(left), chunk):
             diff = xl[s:s + chunk, None, :] - xr[None, :, :]
             d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            to_right[s:s + chunk] = d @ rhot
-            if not own:  # the same distances serve the mirrored tile
-                to_left += d.T @ lhot[s:s + chunk]
-        out = rows(left, to_right, rlab, rhot.sum(axis=0))
-        return out if own else pd.concat([out, rows(right, to_left, llab, lhot.sum(axis=0))])
+            to_right[s:s + chunk] = d.sum(axis=1)
+            to_left += d.sum(axis=0)
+        out = []
+        if head["_a"]:
+            out.append(rows(left, head["_lb"], to_right, own).assign(_c=len(right)))
+        if head["_b"] and not alone:
+            out.append(rows(right, head["_la"], to_left, own).assign(_c=len(left)))
+        return pd.concat(out)[cols] if out else pd.DataFrame(columns=cols)
     return fn
 
 
@@ -144,37 +262,38 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
                        group_cols: Sequence[str] = (), block_size: int = 2048) -> DataFrame:
     """Exact Euclidean silhouette per row (sklearn semantics; singleton cluster -> 0).
 
-    ``feats`` is an array<double> column. ``group_cols`` runs independent
-    silhouettes side by side (e.g. one per variable) in the same job.
+    ``feats`` is an array<double> column, ids are unique within a group.
+    ``group_cols`` runs independent silhouettes side by side (e.g. one per
+    variable) in the same job. Distances are taken to the own cluster and to
+    those that may be nearest (:func:`silhouette_tiles`); clusters are cut into
+    blocks of about ``block_size`` rows, so a large one is many tiles.
     """
-    group_cols = list(group_cols)
-    pts = df.select(*group_cols, id_col, label_col, F.col(feats).cast("array<double>").alias(feats))
-    sizes = pts.groupBy(*group_cols).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
-    n_max = int(sizes["m"] or 0)
-    n_groups = int(sizes["g"] or 1)
-    m = max(1, math.ceil(n_max / block_size))
-    blk = F.pmod(F.xxhash64(F.col(id_col)), F.lit(m)).cast("int")
-    # Tiles of the upper triangle only; a tile off the diagonal gives the sums of both its sides.
-    placed = pts.withColumn("_b", blk)
-    left = placed.select("*", F.lit(0).alias("_role"), F.col("_b").alias("_bi"), F.explode(F.sequence("_b", F.lit(m - 1))).alias("_bj"))
-    right = placed.filter("_b > 0").select("*", F.lit(1).alias("_role"), F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_bi"),
-                                           F.col("_b").alias("_bj"))
-    left, right = left.drop("_b"), right.drop("_b")
-    label_type = dict(pts.dtypes)[label_col]
-    id_type = dict(pts.dtypes)[id_col]
-    schema = ", ".join([f"`{g}` {dict(pts.dtypes)[g]}" for g in group_cols]
-                       + [f"`{id_col}` {id_type}", f"`{label_col}` {label_type}", f"_olab {label_type}",
-                          "_s double", "_c bigint"])
+    keys = list(group_cols)
+    pts = df.select(*keys, id_col, label_col, F.col(feats).cast("array<double>").alias(feats))
+    near = _needed(pts, keys, label_col, feats, block_size)
+    placed = materialize(near.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_m")).cast("int")))
+    tiles = materialize(silhouette_tiles(placed, keys, label_col))
+    n_tiles = tiles.count()
+    names = ["_la", "_ba", "_lb", "_bb"]
+
+    def side(role: int, lab: str, blk: str, skip):
+        t = tiles.filter(skip).select(*[F.col(c).alias(f"_k_{c}") for c in keys], *names, "_a", "_b")
+        on = (F.col(label_col) == F.col(lab)) & (F.col("_blk") == F.col(blk))
+        for c in keys:
+            on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        # The list of tiles is small next to the rows; it is broadcast while its counted size is.
+        return placed.join(F.broadcast(t) if n_tiles <= MAX_TILE_TASKS else t, on).select(*keys, id_col, label_col, feats, "_need", *names, "_a", "_b", F.lit(role).alias("_role"))
+    alone = (F.col("_la") == F.col("_lb")) & (F.col("_ba") == F.col("_bb"))
+    both = side(0, "_la", "_ba", F.lit(True)).unionByName(side(1, "_lb", "_bb", ~alone))
+    kinds = dict(pts.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in (*keys, id_col, label_col)] + [f"_olab {kinds[label_col]}", "_s double", "_c bigint"])
     # Tiles are CPU work on few bytes: spread them over the cores instead of letting
     # AQE coalesce them by size (the groupBy reuses this partitioning).
-    n_tiles = n_groups * m * (m + 1) // 2
-    both = left.unionByName(right).repartition(max(1, min(n_tiles, MAX_TILE_TASKS)), *group_cols, "_bi", "_bj")
-    tiles = both.groupBy(*group_cols, "_bi", "_bj").applyInPandas(
-        _tile_sums(group_cols, id_col, label_col, feats), schema)
-    per = tiles.groupBy(*group_cols, id_col, label_col, "_olab").agg(F.sum("_s").alias("_s"),
-                                                                     F.sum("_c").alias("_c"))
+    both = both.repartition(max(1, min(n_tiles, MAX_TILE_TASKS)), *keys, *names)
+    sums = both.groupBy(*keys, *names).applyInPandas(_tile_sums(keys, id_col, label_col, feats), schema)
+    per = sums.groupBy(*keys, id_col, label_col, "_olab").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
     own = F.col("_olab") == F.col(label_col)
-    res = per.groupBy(*group_cols, id_col, label_col).agg(
+    res = per.groupBy(*keys, id_col, label_col).agg(
         F.max(F.when(own, F.col("_c"))).alias("_n_own"),
         F.max(F.when(own, F.try_divide(F.col("_s"), (F.col("_c") - 1).cast("double")))).alias("a"),
         F.min(F.when(~own, F.col("_s") / F.col("_c"))).alias("b"))
