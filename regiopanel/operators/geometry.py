@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiopanel.operators.balltree import PART_VALUES, nearest_centre
+from regiopanel.operators.ranking import group_rank
 from regiopanel.session import materialize
 
 MAX_TILE_TASKS = 20_000  # beyond it a task takes several tiles, one after the other
@@ -357,97 +358,109 @@ def silhouette_squared(df: DataFrame, label_col: str, feats: str) -> float:
 # Exact one-dimensional silhouette in O(n log n)
 
 
+LABELS_PER_BLOCK = 512
+
+
+def _label_starts(keys: list[str], width: int):
+    """Per (keys, block): for each partition of the sorted rows the count and sum of every label before it, and in all."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = np.unique(pdf["_pid"].to_numpy())
+        at = np.searchsorted(parts, pdf["_pid"].to_numpy())
+        own = pdf["_li"].to_numpy() >= 0
+        table = np.zeros((2, len(parts), width))
+        np.add.at(table[0], (at[own], pdf["_li"].to_numpy()[own]), pdf["n"].to_numpy(np.float64)[own])
+        np.add.at(table[1], (at[own], pdf["_li"].to_numpy()[own]), pdf["v"].to_numpy(np.float64)[own])
+        upto = table.cumsum(axis=1)
+        before, total = upto - table, upto[:, -1]
+        first = pdf.iloc[[0] * len(parts)]
+        out = first[keys].reset_index(drop=True)
+        out["_blk"], out["_pid"] = pdf["_blk"].iloc[0], parts
+        out["n0"], out["v0"] = list(before[0]), list(before[1])
+        out["n1"], out["v1"] = [total[0]] * len(parts), [total[1]] * len(parts)
+        return out
+    return fn
+
+
+def _label_block(keys: list[str], id_col: str, label_col: str, value_col: str):
+    """Distances of a partition's rows to the labels of one block, from their prefix counts and sums."""
+    cols = [*keys, "_row", id_col, label_col, "_n", "_a", "_b"]
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        head = pdf["n0"].notna()
+        starts, rows = pdf[head], pdf[~head]
+        rows = rows.sort_values([value_col, "_row"], kind="stable")
+        n, v = starts["n0"].iloc[0].astype(np.float64).copy(), starts["v0"].iloc[0].astype(np.float64).copy()
+        n1, v1 = starts["n1"].iloc[0], starts["v1"].iloc[0]
+        there = np.flatnonzero(n1 > 0)
+        x, li = rows[value_col].to_numpy(np.float64), rows["_li"].to_numpy().astype(np.int64)
+        size, a, b = (np.full(len(rows), np.nan) for _ in range(3))
+        for s in range(0, len(rows), 2048):
+            xi, own = x[s:s + 2048, None], li[s:s + 2048]
+            mine = np.flatnonzero(own >= 0)
+            hot = np.zeros((len(xi), len(n)))
+            hot[mine, own[mine]] = 1.0
+            count, total = n + np.cumsum(hot, axis=0), v + np.cumsum(hot * xi, axis=0)
+            n, v = count[-1], total[-1]
+            # sum |x - y| = 2 (x count(y <= x) - sum(y <= x)) + sum(y) - x count(y); rows tied with x add 0 either way.
+            dist = 2.0 * (xi * count - total) + v1[None, :] - xi * n1[None, :]
+            mean = np.full(dist.shape, np.inf)
+            mean[:, there] = dist[:, there] / n1[None, there]
+            mean[mine, own[mine]] = np.inf
+            least = mean.min(axis=1) if mean.shape[1] else np.full(len(xi), np.inf)
+            b[s:s + 2048] = np.where(np.isfinite(least), least, np.nan)
+            size[s + mine] = n1[own[mine]]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                a[s + mine] = np.where(n1[own[mine]] > 1, dist[mine, own[mine]] / (n1[own[mine]] - 1), np.nan)
+        out = rows[[*keys, "_row", id_col, label_col]].assign(_n=size, _a=a, _b=b)
+        return out.astype({"_row": np.int64})[cols]
+    return fn
+
+
 def silhouette_1d(df: DataFrame, id_col: str, label_col: str, value_col: str, group_cols: Sequence[str] = (),
-                  num_partitions: int | None = None, max_labels: int = 1000) -> DataFrame:
-    """Exact Euclidean silhouette of one-dimensional values, without pair distances.
+                  num_partitions: int | None = None, block_size: int = LABELS_PER_BLOCK) -> DataFrame:
+    """Exact Euclidean silhouette of one-dimensional values, without pair distances, for any number of labels.
 
     For x and cluster C, ``sum_j |x - x_j| = 2 (x cnt_C(<=x) - sum_C(<=x)) + sum_C - x n_C``,
     and rows tied with x may fall on either side of the prefix (they add 0).
-    Rows are range-partitioned on (group, value, id), so hot groups and hot
-    values are split over partitions; per (partition, group, label) counts
-    and sums (at most (partitions + groups) x labels rows) give every
-    partition its starting prefix, and each partition finishes its rows with
-    numpy cumulative sums. One range shuffle, written once by ``checkpoint``.
+    Labels are numbered and dealt to blocks of ``block_size``; rows are range-
+    partitioned on (block, group, value, id), so hot groups and hot values are
+    split. A block's counts and sums by partition give every partition its
+    starting prefix (a join, nothing is collected), and each partition finishes
+    its rows with cumulative sums. The blocks of a row are then reduced to the
+    nearest cluster. Every row of ``df`` gives one row, whatever its id; null
+    labels are a cluster; rows with a null value are left out.
     """
-    from regiopanel.session import materialize
-    group_cols = list(group_cols)
-    spark = df.sparkSession
-    labels = [r[0] for r in df.select(label_col).distinct().limit(max_labels + 1).collect()]
-    if len(labels) > max_labels:
-        raise ValueError("too many labels for the one-dimensional silhouette")
-    labels = sorted(labels)
-    lab_index = {v: i for i, v in enumerate(labels)}
-    k = len(labels)
-    p = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, value_col, id_col]
-    s = (df.select(*group_cols, id_col, label_col, F.col(value_col).cast("double").alias(value_col))
-         .repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-         .withColumn("_pid", F.spark_partition_id()))
-    s = materialize(s)
-    stats = s.groupBy("_pid", *group_cols, label_col).agg(F.count(F.lit(1)).alias("n"),
-                                                          F.sum(value_col).alias("v")).collect()
-    # Prefix (count, sum) per label before each (partition, group), and totals per group.
-    per: dict[tuple, dict[int, np.ndarray]] = {}
-    for r in stats:
-        g = tuple(r[c] for c in group_cols)
-        per.setdefault(g, {}).setdefault(r["_pid"], np.zeros((2, k)))[:, lab_index[r[label_col]]] += (r["n"], r["v"])
-    start: dict[tuple, np.ndarray] = {}
-    totals: dict[tuple, np.ndarray] = {}
-    for g, parts in per.items():
-        acc = np.zeros((2, k))
-        for pid in sorted(parts):
-            start[(pid, g)] = acc.copy()
-            acc = acc + parts[pid]
-        totals[g] = acc
-    bc = spark.sparkContext.broadcast({"start": start, "totals": totals, "labels": lab_index})
-    dtypes = dict(s.dtypes)
-    schema = ", ".join([f"`{c}` {dtypes[c]}" for c in group_cols]
-                       + [f"`{id_col}` {dtypes[id_col]}", f"`{label_col}` {dtypes[label_col]}",
-                          "a double", "b double", "silhouette double"])
-
-    def run(batches):
-        m = bc.value
-        carry: dict[tuple, np.ndarray] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            gkeys = list(zip(*[pdf[c] for c in group_cols])) if group_cols else [()] * len(pdf)
-            lab = np.array([m["labels"][v] for v in pdf[label_col]])
-            x = pdf[value_col].to_numpy(dtype=float)
-            out_a = np.empty(len(pdf))
-            out_b = np.empty(len(pdf))
-            out_s = np.empty(len(pdf))
-            gser = pd.Series(gkeys)
-            for g, idx in gser.groupby(gser, sort=False).indices.items():
-                g = g if isinstance(g, tuple) else (g,)
-                idx = np.asarray(idx)
-                base = carry.get(g)
-                if base is None:
-                    base = m["start"].get((pid, g), np.zeros((2, len(m["labels"])))).copy()
-                onehot = np.zeros((len(idx), base.shape[1]))
-                onehot[np.arange(len(idx)), lab[idx]] = 1.0
-                cnt = base[0] + np.cumsum(onehot, axis=0)
-                sm = base[1] + np.cumsum(onehot * x[idx, None], axis=0)
-                carry[g] = np.vstack([cnt[-1], sm[-1]])
-                tot = m["totals"][g]
-                xi = x[idx, None]
-                dist = 2.0 * (xi * cnt - sm) + tot[1][None, :] - xi * tot[0][None, :]
-                own = lab[idx]
-                n_own = tot[0][own]
-                rows = np.arange(len(idx))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    a = np.where(n_own > 1, dist[rows, own] / (n_own - 1), np.nan)
-                    mean_other = np.where(tot[0][None, :] > 0, dist / tot[0][None, :], np.inf)
-                mean_other[rows, own] = np.inf
-                b = mean_other.min(axis=1)
-                b = np.where(np.isfinite(b), b, np.nan)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    sil = (b - a) / np.maximum(a, b)
-                sil = np.where((n_own <= 1) | ~np.isfinite(sil), 0.0, sil)
-                out_a[idx], out_b[idx], out_s[idx] = a, b, sil
-            res = {c: pdf[c] for c in group_cols}
-            res.update({id_col: pdf[id_col], label_col: pdf[label_col], "a": out_a, "b": out_b,
-                        "silhouette": out_s})
-            yield pd.DataFrame(res)
-    return s.mapInPandas(run, schema)
+    keys = list(group_cols)
+    p = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = materialize(df.select(*keys, id_col, label_col, F.col(value_col).cast("double").alias(value_col))
+                       .filter(F.col(value_col).isNotNull()).withColumn("_row", F.monotonically_increasing_id()))
+    numbered = group_rank(base.select(label_col).distinct(), [], [label_col], rank_col="_r")
+    names = materialize(numbered.select(F.col(label_col).alias("_name"), (F.col("_r") - 1).alias("_no")))
+    k = names.count()
+    blocks = max(1, math.ceil(k / block_size))
+    named = base.join(F.broadcast(names) if k <= MAX_TILE_TASKS else names, F.col(label_col).eqNullSafe(F.col("_name"))).drop("_name")
+    spread = named.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    inside = F.floor(F.col("_no") / block_size) == F.col("_blk")
+    spread = spread.withColumn("_li", F.when(inside, F.col("_no") % block_size).otherwise(F.lit(-1))).drop("_no")
+    order = ["_blk", *keys, value_col, "_row"]
+    placed = materialize(spread.repartitionByRange(p, *order).withColumn("_pid", F.spark_partition_id()))
+    kinds = dict(placed.dtypes)
+    typed = ", ".join(f"`{c}` {kinds[c]}" for c in keys)
+    lead = typed + ", " if typed else ""
+    stats = placed.groupBy(*keys, "_blk", "_pid", "_li").agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("v"))
+    starts = stats.groupBy(*keys, "_blk").applyInPandas(_label_starts(keys, min(block_size, max(1, k))),
+                                                        f"{lead}_blk int, _pid int, n0 array<double>, v0 array<double>, "
+                                                        "n1 array<double>, v1 array<double>")
+    # One row of starts goes with the rows of its partition and block.
+    both = placed.unionByName(starts, allowMissingColumns=True)
+    found = both.groupBy(*keys, "_blk", "_pid").applyInPandas(
+        _label_block(keys, id_col, label_col, value_col),
+        f"{lead}_row bigint, `{id_col}` {kinds[id_col]}, `{label_col}` {kinds[label_col]}, _n double, _a double, _b double")
+    clean = [F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c) for c in ("_n", "_a", "_b")]
+    found = found.select(*keys, "_row", id_col, label_col, *clean)
+    if blocks > 1:
+        found = found.groupBy("_row").agg(*[F.first(c).alias(c) for c in (*keys, id_col, label_col)], F.max("_n").alias("_n"),
+                                          F.max("_a").alias("_a"), F.min("_b").alias("_b"))
+    a, b = F.col("_a"), F.col("_b")
+    sil = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
+    return found.select(*keys, id_col, label_col, a.alias("a"), b.alias("b"), sil.alias("silhouette"))
