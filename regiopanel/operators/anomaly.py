@@ -1,19 +1,20 @@
 """Isolation forest (Liu, Ting and Zhou 2008) as Spark jobs.
 
 Plan, for T trees of sample size psi = min(max_samples, n):
-1. Sample: every (row, tree) pair gets a uniform ``u`` from a seeded hash of
-   (row id, tree). Each tree's sample is exactly its psi rows of smallest
-   ``u`` (a uniform sample without replacement). A Bernoulli pre-filter
-   ``u < p`` keeps ~4 psi candidates per tree so no data-sized state moves;
-   the per-tree candidate count is checked and ``p`` raised if a tree falls
-   short, so the sample is always exact.
+1. Sample: a row is a candidate of each tree with a chance ``p`` (about 4 psi
+   candidates per tree). One hash of the row says how many trees it skips
+   before the first that takes it (a geometric draw), so nearly all rows of a
+   large table cost one hash and go; the few left draw for the later trees.
+   Each tree's sample is exactly its psi candidates of smallest second hash (a
+   uniform sample without replacement). The candidates per tree are counted
+   and ``p`` is raised if a tree falls short, so the sample is always exact.
 2. Grow: ``groupBy(variant, tree).applyInPandas`` builds each tree from its
    psi rows (bounded groups; seeded per tree, never per partition).
 3. Score: the forest (T x at most 2^(depth+1) nodes per variant, independent
    of n) is broadcast; ``mapInPandas`` walks all trees for a whole Arrow
    batch at once with numpy.
 4. Threshold: the offset is the exact ``contamination`` percentile of the
-   training scores (skew-safe ranks, no single-task group).
+   training scores (refined histograms; no row is exchanged).
 
 Variants score several feature subsets (e.g. leave-one-variable-out) with
 one sampling pass, one grow job and one scoring pass.
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiopanel.operators.quantiles import percentiles
@@ -46,7 +47,7 @@ def average_path_length(n: np.ndarray | float) -> np.ndarray:
     return out
 
 
-def _uniform(id_col: str, seed: int, tree) -> F.Column:
+def _uniform(id_col: str, seed: int, tree: Column) -> Column:
     h = F.xxhash64(F.col(id_col), F.lit(seed), tree)
     return (F.abs(h % F.lit(1 << 53))).cast("double") / F.lit(float(1 << 53))
 
@@ -108,22 +109,24 @@ FOREST_SCHEMA = ("variant int, tree int, node int, feature int, threshold double
                  "size bigint")
 
 
-def fit_forest(df: DataFrame, id_col: str, features: Sequence[str], variants: Sequence[Sequence[int]] | None = None,
-               n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> dict:
-    """Grow the forest(s). ``variants`` lists feature-index subsets (default: all features)."""
-    variants = [list(v) for v in (variants or [list(range(len(features)))])]
-    x = F.array(*[F.col(c).cast("double") for c in features])
-    data = df.select(F.col(id_col), x.alias("_x"))
-    n = data.count()
-    psi = int(min(max_samples, n))
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    p = 1.0 if n == 0 else min(1.0, 4.0 * psi / n)
+def candidate_trees(id_col: str, seed: int, n_trees: int, p: float) -> Column:
+    """Trees that take the row as a candidate, each with chance ``p`` independently of the others."""
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    if p >= 1.0:
+        return trees
+    # Skips before the first success; u = 0 has no logarithm and stands for more skips than there are trees.
+    skips = F.floor(F.log(_uniform(id_col, seed, F.lit(-1))) / F.lit(math.log1p(-p)))
+    later = F.filter(trees, lambda t: (t > skips) & (_uniform(id_col, seed, t) < F.lit(p)))
+    return F.when(skips < n_trees, F.concat(F.array(skips.cast("int")), later)).otherwise(F.array().cast("array<int>"))
+
+
+def sample_rows(data: DataFrame, id_col: str, n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """Exactly ``psi`` of the ``n`` rows for each tree: the rows with ``_tree``, whatever the layout of ``data``."""
+    p = 1.0 if n == 0 else min(1.0, 4.0 * psi / n)
     while True:
         # Written once (about 4 psi rows a tree): the count and the sample read this copy.
-        cand = (data.select("*", F.explode(F.filter(trees, lambda t: _uniform(id_col, seed, t) < F.lit(p)))
-                            .alias("_tree"))
-                .withColumn("_u", _uniform(id_col, seed, F.col("_tree"))))
+        cand = (data.select("*", F.explode(candidate_trees(id_col, seed, n_trees, p)).alias("_tree"))
+                .withColumn("_u", _uniform(id_col, seed + 1, F.col("_tree"))))
         cand = materialize(cand)
         # T rows: candidates per tree. Exactness needs psi candidates in every tree.
         counts = {r["_tree"]: r["count"] for r in cand.groupBy("_tree").count().collect()}
@@ -132,9 +135,20 @@ def fit_forest(df: DataFrame, id_col: str, features: Sequence[str], variants: Se
             break
         p = min(1.0, p * 2.0)
     # Each tree keeps its psi smallest u; candidate groups are bounded (~4 psi rows).
-    from pyspark.sql import Window
     w = Window.partitionBy("_tree").orderBy("_u", id_col)
-    sample = cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r")
+    return cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= psi).drop("_r")
+
+
+def fit_forest(df: DataFrame, id_col: str, features: Sequence[str], variants: Sequence[Sequence[int]] | None = None,
+               n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> dict:
+    """Grow the forest(s). ``variants`` lists feature-index subsets (default: all features)."""
+    variants = [list(v) for v in (variants or [list(range(len(features)))])]
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    data = df.select(F.col(id_col), x.alias("_x"))
+    n = data.count()
+    psi = int(min(max_samples, n))
+    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    sample = sample_rows(data, id_col, n, n_trees, psi, seed)
     # Every variant grows from the same sample (like a refit with the same seed).
     grouped = sample.withColumn("_variant", F.explode(F.sequence(F.lit(0), F.lit(len(variants) - 1))))
     # Growing trees is CPU work on few bytes: spread the groups over the cluster's

@@ -161,3 +161,31 @@ def test_forest_decisions_need_no_join(spark, upz):
     out = isolation_forest(upz, "user_id", UP_FEATURES, n_trees=5, seed=5)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_forest_samples_are_exact_and_fixed_by_the_rows(spark):
+    from regiopanel.operators.anomaly import sample_rows
+    rows = spark.range(30_000)
+    a = sorted(map(tuple, sample_rows(rows.repartition(2), "id", 30_000, 40, 64, 7).select("_tree", "id").collect()))
+    b = sorted(map(tuple, sample_rows(rows.repartition(9), "id", 30_000, 40, 64, 7).select("_tree", "id").collect()))
+    assert a == b and len(a) == len(set(a)) == 40 * 64
+    assert {t for t, _ in a} == set(range(40))
+    ids = np.array([i for _, i in a])
+    assert abs(ids.mean() - 15_000) < 4 * 30_000 / np.sqrt(12 * len(ids))
+    few = sample_rows(spark.range(10), "id", 10, 5, 10, 7)
+    assert few.count() == 50 and sample_rows(spark.range(0), "id", 0, 5, 0, 7).count() == 0
+
+
+def test_candidates_are_independent_draws(spark):
+    from pyspark.sql import functions as F
+    from regiopanel.operators.anomaly import candidate_trees
+    n, t, p = 40_000, 20, 0.05
+    got = spark.range(n).select(F.explode(candidate_trees("id", 3, t, p)).alias("t"), "id").toPandas()
+    hit = np.zeros((t, n))
+    hit[got["t"], got["id"]] = 1
+    assert got.duplicated().sum() == 0
+    sd = np.sqrt(n * p * (1 - p))
+    assert (np.abs(hit.sum(axis=1) - n * p) < 5 * sd).all()
+    both = hit @ hit.T
+    off = both[~np.eye(t, dtype=bool)]
+    assert (np.abs(off - n * p * p) < 6 * np.sqrt(n * p * p)).all()
