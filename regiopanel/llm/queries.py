@@ -38,7 +38,10 @@ r AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, text_sha256 FROM r""")
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch into a new digest index."""
-    return exact_dedup.ingest(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
+    index = exact_dedup.new_index(spark)
+    found = exact_dedup.ingest(table(spark, sf_dir, "documents"), index)
+    index.close()
+    return found
 
 
 @query("op4_near_dedup", r"""

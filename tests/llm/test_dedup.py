@@ -52,6 +52,60 @@ def test_exact_dedup_index_outlives_batches_and_names(spark):
     assert len(files) <= 2 * 4 and len({f.rsplit("_", 1)[1] for f in files}) <= 4
 
 
+def _with_partitions(spark, n, run):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_exact_dedup_index_keeps_its_buckets(spark):
+    """Reopened under another number of partitions, the index still knows what it has seen."""
+    path = scratch_path(spark, "index-buckets")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id bigint, text string")
+    first = _with_partitions(spark, 8, lambda: exact_dedup.DigestIndex(spark, path))
+    _with_partitions(spark, 8, lambda: exact_dedup.ingest(docs, first).collect())
+    first.close()
+    again = _with_partitions(spark, 5, lambda: exact_dedup.DigestIndex(spark, path))
+    assert again.buckets == 8
+    more = docs.union(spark.createDataFrame([(900, "only here")], docs.schema))
+    got = _with_partitions(spark, 5, lambda: exact_dedup.ingest(more, again).collect())
+    assert len(got) == 201 and [r.doc_id for r in got if r.kept] == [900]
+    assert again.read().count() == 201
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact_dedup.DigestIndex(spark, path, buckets=4)
+    again.close()
+    assert not spark.catalog.tableExists(again.table) and not spark.catalog.tableExists(first.table)
+
+
+def test_exact_dedup_batch_may_be_tried_again(spark):
+    path = scratch_path(spark, "index-retry")
+    index = exact_dedup.DigestIndex(spark, path, buckets=4)
+    a = spark.createDataFrame([(1, "x y"), (2, "xy"), (3, "z"), (3, "z")], "doc_id bigint, text string")
+    b = spark.createDataFrame([(4, "xy"), (5, "q")], "doc_id bigint, text string")
+    once = sorted(map(tuple, exact_dedup.ingest(a, index, "monday").collect()))
+    twice = sorted(map(tuple, exact_dedup.ingest(a, index, "monday").collect()))
+    assert once == twice and sum(r[3] for r in once) == 2 and index.read().count() == 2
+    # A try that had added a part only, and one through another handle.
+    part = exact_dedup.DigestIndex(spark, path)
+    got = {r.doc_id: r.kept for r in exact_dedup.ingest(b.filter("doc_id = 5"), part, "tuesday").collect()}
+    assert got == {5: True}
+    assert {r.doc_id: r.kept for r in exact_dedup.ingest(b, index, "tuesday").collect()} == {4: False, 5: True}
+    assert {r.doc_id: r.kept for r in exact_dedup.ingest(a, index, "wednesday").collect()} == {1: False, 2: False, 3: False}
+    assert index.read().count() == 3
+    rows = exact_dedup.drop_duplicates(a, index, "monday")
+    assert sorted(map(tuple, rows.collect())) == [(1, "x y"), (3, "z")]
+
+
+def test_exact_dedup_refuses_text_ids_by_name(spark):
+    docs = spark.createDataFrame([("a1", "x")], "doc_id string, text string")
+    for run in (lambda: exact_dedup.ingest(docs, exact_dedup.new_index(spark)), lambda: exact_dedup.drop_duplicates(docs)):
+        with pytest.raises(TypeError, match="doc_id"):
+            run()
+
+
 def test_exact_dedup_anti_join_does_not_shuffle_the_index(spark):
     index = exact_dedup.DigestIndex(spark, scratch_path(spark, "index-plan"), buckets=4)
     docs = cases.frame(spark)
