@@ -1,26 +1,33 @@
 """Fitted clustering and projection: k-means, PCA, elbow and sensitivity studies.
 
-Fits are Spark ML (``KMeans`` with k-means||, ``PCA`` from the distributed
-covariance). Only the fitted objects reach the driver: k centres, a d x d
-covariance, d x k loadings. Scores and labels are applied back as literal
-expressions in a narrow projection, so there is no join and no broadcast of
-data-sized state. Sweeps reuse one persisted feature frame and run their
-independent fits from a small thread pool.
+k-means is fixed by the data: the first centre is the row of the smallest id,
+each further one the row farthest from those before it, then Lloyd rounds up to
+a stated number. All models of a sweep share the passes: a round is one narrow
+numpy pass over the rows that emits sums per model and cluster, and one small
+aggregate. So a fit is the same on any cluster and a database can recompute it.
+
+PCA comes from the distributed covariance. Only the fitted objects reach the
+driver: k centres, a d x d covariance, d x k loadings. Scores and labels are
+applied back as literal expressions in a narrow projection, so there is no join
+and no broadcast of data-sized state.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.operators.geometry import silhouette_samples, total_inertia
+from regiopanel.operators.geometry import silhouette_samples
+
+
+#: Lloyd rounds at most.
+ROUNDS = 50
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -33,80 +40,23 @@ def canonical_order(centres: np.ndarray) -> list[int]:
     return sorted(range(len(centres)), key=lambda i: tuple(np.round(centres[i], 12)))
 
 
-def relabel(pred: Column, mapping: dict[int, int]) -> Column:
-    expr = None
-    for old, new in mapping.items():
-        expr = F.when(pred == old, F.lit(new)) if expr is None else expr.when(pred == old, F.lit(new))
-    return expr
-
-
-def stable_layout(df: DataFrame, order_col: str, rows_per_partition: int = 100_000) -> DataFrame:
-    """A row layout that is a function of the data only: hash partitions on the id
-    (count from the row count), sorted within. Fits whose seeding samples per
-    partition (k-means||) then give the same result on any cluster."""
-    n = df.count()
-    parts = max(1, math.ceil(n / rows_per_partition))
-    return df.repartition(parts, order_col).sortWithinPartitions(order_col)
-
-
-def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42, max_iter: int = 300,
-               tol: float = 1e-4, order_col: str | None = None):
-    """Fit k-means on the given columns; return (model, centres in canonical order, cost, order).
-
-    ``tol`` has sklearn's meaning: relative to the mean feature variance, on
-    the summed squared centre shift. Spark stops when every centre moves less
-    than its (absolute) tol, so it gets ``sqrt(tol * mean_var / k)``, which
-    implies the sklearn criterion.
-    """
-    from pyspark.ml.clustering import KMeans
-    # k-means iterates over its input: keep the assembled vectors for the fit only.
-    base = stable_layout(df.select(order_col, *features), order_col) if order_col else df.select(*features)
-    data = assemble(base, features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        from pyspark.ml.stat import Summarizer
-        var = data.agg(Summarizer.variance(F.col("features")).alias("v"),
-                       F.count(F.lit(1)).alias("n")).first()
-        n = max(int(var["n"]), 1)
-        mean_var = float(np.mean(np.asarray(var["v"]))) * (n - 1) / n if n > 1 else 0.0
-        eps = math.sqrt(tol * mean_var / k) if mean_var > 0 else 1e-12
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=eps, featuresCol="features",
-                       predictionCol="_pred").fit(data)
-    finally:
-        data.unpersist()
-    centres = np.array([np.asarray(c) for c in model.clusterCenters()])
-    order = canonical_order(centres)
-    return model, centres[order], float(model.summary.trainingCost), order
-
-
 def kmeans_labels(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-                  out: str = "cluster", max_iter: int = 300,
+                  out: str = "cluster", max_iter: int = ROUNDS,
                   order_col: str | None = None) -> tuple[DataFrame, np.ndarray, float]:
-    """Cluster labels in canonical order (cluster 0 has the lexicographically smallest centre).
+    """Cluster labels in canonical order (cluster 0 has the lexicographically smallest centre), centres and cost.
 
-    With ``order_col`` (a unique id) the fit sees a layout fixed by the data, so
-    the labels do not depend on how the input happened to be partitioned.
+    The fit of :func:`kmeans_sweep` for one model. Without ``order_col`` rows
+    are ordered by their values. ``seed`` is accepted for older callers: nothing is drawn.
     """
-    model, centres, cost, order = fit_kmeans(df, features, k, seed, max_iter, order_col=order_col)
-    mapping = {old: new for new, old in enumerate(order)}
-    scored = model.setFeaturesCol("_kmf").transform(assemble(df, features, "_kmf"))
-    labelled = scored.withColumn(out, relabel(F.col("_pred"), mapping)).drop("_kmf", "_pred")
-    return labelled, centres, cost
+    fit = kmeans_sweep(df, order_col, [SweepModel("one", features, k)], max_iter=max_iter)["one"]
+    return assign_clusters(df, F.array(*[F.col(c).cast("double") for c in features]), fit["centres"], out), fit["centres"], fit["cost"]
 
 
 def elbow_sweep(df: DataFrame, id_col: str, features: Sequence[str], ks: Sequence[int] = tuple(range(1, 11)),
                 seed: int = 42) -> list[tuple[int, float]]:
-    """Inertia for each k; the fits run concurrently over the same persisted rows.
-
-    k = 1 is ``n * sum var_pop`` (the one-cluster inertia, no fit needed).
-    """
-    out = []
-    fit_ks = [k for k in ks if k >= 2]
-    if fit_ks:
-        res = kmeans_sweep(df, id_col, [SweepModel(k, features, k) for k in fit_ks], seed)
-        out += [(k, res[k]["cost"]) for k in fit_ks]
-    if 1 in ks:
-        out.append((1, float(total_inertia(df, features).first()["inertia"])))
-    return sorted(out)
+    """Inertia for each k; all fits share the passes over the same persisted rows."""
+    res = kmeans_sweep(df, id_col, [SweepModel(k, features, k) for k in ks], seed)
+    return sorted((k, res[k]["cost"]) for k in ks)
 
 
 # ---------------------------------------------------------------------------
@@ -318,28 +268,118 @@ class SweepModel:
         return F.array(*out)
 
 
-def kmeans_sweep(df: DataFrame, id_col: str, models: Sequence[SweepModel], seed: int = 42,
-                 max_iter: int = 300, tol: float = 1e-4) -> dict:
-    """Fit several k-means models on views of the same rows: independent Spark ML fits from a thread pool.
-
-    Every fit is the one of ``kmeans_labels`` at every size. The base columns
-    are persisted once for all fits.
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, summed dimension by dimension as the labelling projection does."""
+    d2 = np.zeros((len(x), len(centres)))
+    for j in range(x.shape[1]):
+        d2 += (x[:, j, None] - centres[None, :, j]) ** 2
+    return d2
+
+
+def _batches(models: dict, names: list[str], batches):
+    """Per batch: its frame and each model's points; rows with a null or NaN in a model's columns are not its points."""
+    index = {c: i for i, c in enumerate(names)}
+    for pdf in batches:
+        if len(pdf):
+            frame = pdf[names].to_numpy(np.float64)
+            points = {key: m.points(frame, index) for key, m in models.items()}
+            yield pdf, {key: (np.flatnonzero(~np.isnan(x).any(axis=1)), x) for key, x in points.items()}
+
+
+def _farthest(models: dict, names: list[str], centres: dict):
+    """Per partition and model: the row farthest from the centres so far (before the first: of the smallest id)."""
+    def run(batches):
+        best: dict = {}
+        for pdf, points in _batches(models, names, batches):
+            for key, (rows, x) in points.items():
+                if not len(rows):
+                    continue
+                gap = _squared(x[rows], centres[key]).min(axis=1) if len(centres[key]) else np.zeros(len(rows))
+                ids = pdf["_id"].to_numpy()[rows]
+                for i in np.flatnonzero(gap == gap.max()):
+                    one = (-gap[i], ids[i], x[rows[i]].tolist())
+                    if key not in best or one < best[key]:
+                        best[key] = one
+        if best:
+            keys = list(best)
+            yield pd.DataFrame({"model": [str(k) for k in keys], "neg": [best[k][0] for k in keys],
+                                "_id": [best[k][1] for k in keys], "x": [best[k][2] for k in keys]})
+    return run
+
+
+def _lloyd(models: dict, names: list[str], centres: dict):
+    """Per partition: rows, coordinate sums and squared distances of every model's clusters."""
+    def run(batches):
+        total = {key: (np.zeros(len(c)), np.zeros(c.shape), np.zeros(len(c))) for key, c in centres.items()}
+        for _, points in _batches(models, names, batches):
+            for key, (rows, x) in points.items():
+                d2 = _squared(x[rows], centres[key])
+                label = d2.argmin(axis=1)
+                n, sums, cost = total[key]
+                n += np.bincount(label, minlength=len(n))
+                cost += np.bincount(label, weights=d2[np.arange(len(rows)), label], minlength=len(n))
+                np.add.at(sums, label, x[rows])
+        out = [(str(key), c, j, n[c], sums[c, j], cost[c]) for key, (n, sums, cost) in total.items()
+               for c in np.flatnonzero(n) for j in range(sums.shape[1])]
+        yield pd.DataFrame(out, columns=["model", "c", "j", "n", "s", "cost"])
+    return run
+
+
+def kmeans_sweep(df: DataFrame, id_col: str | None, models: Sequence[SweepModel], seed: int = 42,
+                 max_iter: int = ROUNDS, tol: float = 0.0) -> dict:
+    """Fit several k-means models on views of the same rows, all in the same passes.
+
+    Centres start as the row of the smallest id and then, one by one, the row
+    with the greatest distance to its nearest centre (of equally far ones the
+    smallest id). ``max_iter`` Lloyd rounds follow, fewer if no centre moves by
+    more than rounding, or if the summed squared moves fall to ``tol`` times
+    the mean variance. A centre that loses all its rows stays where it is; with
+    fewer distinct points than k, centres coincide and the lower number takes the points.
 
     Returns {key: {"centres": canonical k x d array, "cost": inertia}}.
     """
     base = sorted({c for m in models for c in m.cols})
-    data = df.select(F.col(id_col).alias("_id"),
-                     *[F.col(c).cast("double").alias(c) for c in base]).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def one(m: SweepModel):
-        names = [f"_p{j}" for j in range(m.dim)]
-        view = data.select("_id", *[m.column().getItem(j).alias(n) for j, n in enumerate(names)])
-        _, centres, cost, _ = fit_kmeans(view, names, m.k, seed, max_iter, tol, order_col="_id")
-        return m.key, {"centres": centres, "cost": cost}
+    by_key = {m.key: m for m in models}
+    values = [F.col(c).cast("double").alias(c) for c in base]
+    ident = F.col(id_col) if id_col else F.lit(0)
+    data = df.select(ident.alias("_id"), *values).persist(StorageLevel.MEMORY_AND_DISK)
+    kind = data.schema["_id"].dataType.simpleString()
+    centres = {m.key: np.zeros((0, m.dim)) for m in models}
     try:
-        threads = max(1, min(len(models), df.sparkSession.sparkContext.defaultParallelism))
-        with ThreadPoolExecutor(threads) as pool:
-            return dict(pool.map(one, models))
+        for step in range(max(m.k for m in models)):
+            open_ = {key: m for key, m in by_key.items() if m.k > step}
+            far = data.mapInPandas(_farthest(open_, base, centres), f"model string, neg double, _id {kind}, x array<double>")
+            picked = far.groupBy("model").agg(F.min(F.struct("neg", "_id", "x")).alias("b")).select("model", "b.x").collect()
+            found = {r["model"]: r["x"] for r in picked}
+            for key in open_:
+                if str(key) in found:
+                    centres[key] = np.vstack([centres[key], found[str(key)]])
+        if any(len(centres[m.key]) < m.k for m in models):
+            raise ValueError("no complete row to fit k-means on")
+        moving, cost = dict(by_key), {}
+        for step in range(max_iter + 1):
+            # One more round than moves are made: it gives the cost at the last centres.
+            own = {key: centres[key] for key in moving}
+            sums = data.mapInPandas(_lloyd(moving, base, own), "model string, c int, j int, n double, s double, cost double")
+            rows = sums.groupBy("model", "c", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("cost").alias("cost")).collect()
+            new = {str(key): c.copy() for key, c in own.items()}
+            total = dict.fromkeys(new, 0.0)
+            for r in rows:
+                new[r["model"]][r["c"], r["j"]] = r["s"] / r["n"]
+                if r["j"] == 0:
+                    total[r["model"]] += r["cost"]
+            still = {}
+            for key, m in moving.items():
+                before, after = own[key], new[str(key)]
+                cost[key] = total[str(key)]
+                scale = max(float(np.square(before).mean()), 1e-300)
+                shift = float(np.square(after - before).sum())
+                if step < max_iter and shift > max(tol, 1e-24) * scale:
+                    centres[key], still[key] = after, m
+            moving = still
+            if not moving:
+                break
+        return {m.key: {"centres": centres[m.key][canonical_order(centres[m.key])], "cost": float(cost[m.key])} for m in models}
     finally:
         data.unpersist()
 

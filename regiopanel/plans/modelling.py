@@ -15,26 +15,59 @@ from regiopanel.operators.anomaly import isolation_forest, leave_one_out_importa
 from regiopanel.operators.classify import (classification_report, coefficient_table, cross_validate,
                                            fit_logit, holdout_predictions, predict_logit, stratified_folds, stratified_split,
                                            weighted_scores, zscore_array)
-from regiopanel.operators.cluster import (attach_labels, elbow_sweep, exclude_refit_label, fit_pca,
+from regiopanel.operators.cluster import (ROUNDS, attach_labels, elbow_sweep, exclude_refit_label, fit_pca,
                                           kmeans_labels, pair_kmeans, pca_scores, pca_sensitivity,
                                           subset_sensitivity)
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
-from regiopanel.plans.sqlfrag import UPZ_SQL
+from regiopanel.plans.sqlfrag import UPZ_SQL, sqeuclid
 from regiopanel.session import materialize
 from regiopanel.plans.stats_q import _emb_centres, user_panel_z
 
-@register("kmeans_labels", stage="model")
+def _kmeans_sql(ks: list[int]) -> str:
+    """CTEs of k-means on the user panel: ``p`` (points), ``fin`` (model k, cid, centre after all Lloyd rounds).
+
+    Seeds by farthest point one after the other, shared by all k; then ROUNDS rounds by recursion.
+    """
+    cols = ", ".join(UP_FEATURES)
+    far = [f"p AS MATERIALIZED ({UPZ_SQL})", f"c1 AS MATERIALIZED (SELECT {cols} FROM p ORDER BY user_id LIMIT 1)",
+           f"m1 AS MATERIALIZED (SELECT p.*, {sqeuclid('p', 'c1', UP_FEATURES)} AS m FROM p, c1)"]
+    for j in range(2, max(ks) + 1):
+        far.append(f"c{j} AS MATERIALIZED (SELECT {cols} FROM m{j - 1} ORDER BY m DESC, user_id LIMIT 1)")
+        old = ", ".join(f"o.{c}" for c in ["user_id", *UP_FEATURES])
+        far.append(f"m{j} AS MATERIALIZED (SELECT {old}, least(o.m, {sqeuclid('o', f'c{j}', UP_FEATURES)}) AS m FROM m{j - 1} o, c{j})")
+    seeds = " UNION ALL ".join(f"SELECT 0 AS r, {k} AS k, {j} AS cid, {cols} FROM c{j}" for k in ks for j in range(1, k + 1))
+    point = ", ".join(f"p.{c}" for c in ["user_id", *UP_FEATURES])
+    means = ", ".join(f"AVG({c})" for c in UP_FEATURES)
+    return f"""WITH RECURSIVE {", ".join(far)},
+l(r, k, cid, {cols}) AS (
+  {seeds} UNION ALL
+  SELECT r + 1, k, cid, {means} FROM (
+    SELECT l.r, l.k, {point}, arg_min(l.cid, {sqeuclid("p", "l", UP_FEATURES)}) AS cid
+    FROM l JOIN p ON l.r < {ROUNDS} GROUP BY l.r, l.k, {point}) GROUP BY r, k, cid),
+fin AS (SELECT * FROM l WHERE r = {ROUNDS})"""
+
+
+_ORDER = ", ".join(f"ROUND({c}, 12)" for c in UP_FEATURES)
+
+
+@register("kmeans_labels", stage="model", sql=_kmeans_sql([3]) + f""",
+named AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) - 1 AS name FROM fin)
+SELECT p.user_id, CAST(arg_min(n.name, {sqeuclid("p", "n", UP_FEATURES)}) AS INTEGER) AS cluster FROM p, named n GROUP BY p.user_id
+""")
 def q_kmeans_labels(spark, sf_dir):
-    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, seed=42, order_col="user_id")
+    labelled, _, _ = kmeans_labels(user_panel_z(spark, sf_dir), UP_FEATURES, k=3, order_col="user_id")
     return labelled.select("user_id", "cluster")
 
 
-@register("elbow_sweep", stage="model")
+@register("elbow_sweep", stage="model", sql=_kmeans_sql(list(range(1, 11))) + f"""
+SELECT CAST(k AS INTEGER) AS k, ROUND(SUM(d), 6) AS inertia FROM (
+  SELECT n.k, p.user_id, MIN({sqeuclid("p", "n", UP_FEATURES)}) AS d FROM p, fin n GROUP BY 1, 2) GROUP BY 1
+""")
 def q_elbow_sweep(spark, sf_dir):
-    rows = elbow_sweep(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ks=range(1, 11), seed=42)
-    return spark.createDataFrame([(k, float(v)) for k, v in rows], "k int, inertia double")
+    rows = elbow_sweep(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ks=range(1, 11))
+    return spark.createDataFrame([(k, float(v)) for k, v in rows], "k int, inertia double").withColumn("inertia", F.round("inertia", 6))
 
 
 def _up_pca(spark, sf_dir, k):
