@@ -25,7 +25,7 @@ from regiopanel.operators.ranking import exact_percentiles
 
 MAX_GROUPS = 20_000
 #: Leading key bits after each pass; all 64 tell any two doubles apart.
-BITS = (20, 42, 64)
+BITS = (16, 36, 64)
 #: A bin of so few rows is not refined but sorted.
 GATHER = 1024
 
