@@ -21,7 +21,7 @@ from regiopanel.operators.cluster import (ROUNDS, attach_labels, elbow_sweep, ex
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
-from regiopanel.plans.sqlfrag import UPZ_SQL, sqeuclid
+from regiopanel.plans.sqlfrag import UPZ_SQL, jacobi_sql, sqeuclid
 from regiopanel.session import materialize
 from regiopanel.plans.stats_q import _emb_centres, user_panel_z
 
@@ -75,26 +75,46 @@ def _up_pca(spark, sf_dir, k):
     return z, fit_pca(z, UP_FEATURES, k)
 
 
-@register("pca_scores", stage="model")
+_PCA_SQL = f"WITH RECURSIVE p AS MATERIALIZED ({UPZ_SQL}), {jacobi_sql('p', UP_FEATURES)}"
+_FEATURE_LIST = ", ".join(f"'{c}'" for c in UP_FEATURES)
+
+
+def _score_sql(component: int) -> str:
+    """Centred score of a row of ``p``, with ``load(component, l)`` the loadings as one list."""
+    terms = " + ".join(f"({c} - AVG({c}) OVER ()) * l{component}[{i + 1}]" for i, c in enumerate(UP_FEATURES))
+    return f"({terms})"
+
+
+@register("pca_scores", stage="model", sql=_PCA_SQL + f""",
+lists AS (SELECT list(loading ORDER BY i) FILTER (WHERE component = 1) AS l1, list(loading ORDER BY i) FILTER (WHERE component = 2) AS l2 FROM vec)
+SELECT user_id, ROUND({_score_sql(1)}, 6) AS pc1, ROUND({_score_sql(2)}, 6) AS pc2 FROM p, lists
+""")
 def q_pca_scores(spark, sf_dir):
     z, pca = _up_pca(spark, sf_dir, 2)
-    return pca_scores(z, pca, keep=["user_id"])
+    return pca_scores(z, pca, keep=["user_id"]).select("user_id", *[F.round(c, 6).alias(c) for c in ("pc1", "pc2")])
 
 
-@register("pca_variance", stage="model")
+@register("pca_variance", stage="model", sql=_PCA_SQL + """,
+share AS (SELECT component, value / SUM(value) OVER () AS ratio FROM eig)
+SELECT CAST(component AS INTEGER) AS component, ROUND(ratio, 6) AS explained_variance_ratio,
+       ROUND(SUM(ratio) OVER (ORDER BY component), 6) AS cumulative FROM share
+""")
 def q_pca_variance(spark, sf_dir):
     _, pca = _up_pca(spark, sf_dir, len(UP_FEATURES))
     ratio = [float(v) for v in pca["ratio"]]
     cum = [float(sum(ratio[:i + 1])) for i in range(len(ratio))]
-    return spark.createDataFrame([(i + 1, r, c) for i, (r, c) in enumerate(zip(ratio, cum))],
+    return spark.createDataFrame([(i + 1, round(r, 6), round(c, 6)) for i, (r, c) in enumerate(zip(ratio, cum))],
                                  "component int, explained_variance_ratio double, cumulative double")
 
 
-@register("loadings_table", stage="model")
+@register("loadings_table", stage="model", sql=_PCA_SQL + f"""
+SELECT left([{_FEATURE_LIST}][i + 1], 10) AS variable, CAST(component AS INTEGER) AS component, ROUND(loading, 6) AS loading
+FROM vec WHERE component <= 2
+""")
 def q_loadings_table(spark, sf_dir):
     _, pca = _up_pca(spark, sf_dir, 2)
     comps = pca["components"]
-    rows = [(name, j + 1, float(comps[i, j])) for i, name in enumerate(UP_FEATURES) for j in range(comps.shape[1])]
+    rows = [(name, j + 1, round(float(comps[i, j]), 6)) for i, name in enumerate(UP_FEATURES) for j in range(comps.shape[1])]
     df = spark.createDataFrame(rows, "variable string, component int, loading double")
     # Variable names shortened to 10 characters, as in the reference's tables.
     return df.withColumn("variable", F.left(F.col("variable"), F.lit(10)))
