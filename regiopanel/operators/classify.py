@@ -125,7 +125,7 @@ def zscore_array(df: DataFrame, col: str, moments: tuple[np.ndarray, np.ndarray]
 
 
 def fit_logit(df: DataFrame, features: str | Sequence[str], label_col: str, max_iter: int = 1000,
-              c: float = 1.0, n_rows: int | None = None):
+              c: float = 1.0, n_rows: int | None = None, tol: float = 1e-6):
     """Multinomial logistic regression equal in objective to L2 with inverse strength ``c``.
 
     sklearn minimises ``0.5 |W|^2 + c * sum(loss)``; Spark minimises
@@ -141,7 +141,7 @@ def fit_logit(df: DataFrame, features: str | Sequence[str], label_col: str, max_
     try:
         lr = LogisticRegression(featuresCol="_fv", labelCol="_yi", family="multinomial", maxIter=max_iter,
                                 regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False,
-                                tol=1e-6)
+                                tol=tol)
         model = lr.fit(train)
     finally:
         train.unpersist()
@@ -157,14 +157,49 @@ def predict_logit(df: DataFrame, model, classes: Sequence[str], features: str |
     return scored.withColumn(out, name).drop("_fv", "_pi", "_prob", "_raw")
 
 
-def coefficient_table(spark, model, classes: Sequence[str], feature_names: Sequence[str]) -> DataFrame:
-    """Long (class, feature, coefficient) table from the fitted class x feature matrix."""
+def coefficient_table(spark, model, classes: Sequence[str], feature_names: Sequence[str],
+                      intercept: str | None = None) -> DataFrame:
+    """Long (class, feature, coefficient) table from the fitted class x feature matrix; ``intercept`` names rows for it."""
     mat = model.coefficientMatrix.toArray()
-    rows = [(classes[i], feature_names[j], float(mat[i, j])) for i in range(mat.shape[0])
+    names = list(feature_names)
+    if intercept:
+        mat, names = np.column_stack([mat, model.interceptVector.toArray()]), [*names, intercept]
+    rows = [(classes[i], names[j], float(mat[i, j])) for i in range(mat.shape[0])
             for j in range(mat.shape[1])]
     return spark.createDataFrame(rows, "class string, feature string, coefficient double")
 
 
+def loss_gradient(df: DataFrame, model, classes: Sequence[str], features: str | Sequence[str], label_col: str,
+                  feature_names: Sequence[str], c: float = 1.0, intercept: str = "intercept") -> DataFrame:
+    """Gradient of ``0.5 |W|^2 + c * sum(loss)``, divided by ``c * n``, at the fitted weights: (class, feature, gradient).
+
+    All zero at the optimum, whatever solver found the weights: the objective
+    is convex. One pass sums a class x feature block a row with partial
+    aggregates; intercepts carry no penalty. Rows whose label the model does
+    not know are left out. No rows: an empty table.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    known = df.filter(F.col(label_col).cast("string").isin(list(classes)))
+    scored = model.setFeaturesCol("_fv").setProbabilityCol("_prob").transform(_vector(known, features))
+    x = F.concat(vector_to_array("_fv"), F.array(F.lit(1.0)))
+    off = F.transform(F.arrays_zip(vector_to_array("_prob").alias("p"), F.array(*[F.lit(v) for v in classes]).alias("v")),
+                      lambda z: z["p"] - (z["v"] == F.col(label_col).cast("string")).cast("double"))
+    row = scored.select(x.alias("_x"), off.alias("_off"))
+    block = F.flatten(F.transform("_off", lambda r: F.transform("_x", lambda v: r * v)))
+    s = row.select(array_to_vector(block).alias("b")).agg(
+        Summarizer.metrics("mean", "count").summary(F.col("b")).alias("s")).first()["s"]
+    spark, kind = df.sparkSession, "class string, feature string, gradient double"
+    n = int(s["count"]) if s is not None else 0
+    if not n:
+        return spark.createDataFrame([], kind)
+    mat = np.column_stack([model.coefficientMatrix.toArray(), np.zeros(len(classes))])
+    grad = np.asarray(s["mean"].toArray()).reshape(mat.shape) + mat / (c * n)
+    names = [*feature_names, intercept]
+    return spark.createDataFrame([(classes[i], names[j], float(grad[i, j])) for i in range(mat.shape[0])
+                                  for j in range(mat.shape[1])], kind)
+
+
 def holdout_predictions(df: DataFrame, id_col: str, features: str, label_col: str, test_fraction: float = 0.2,
                         seed: int | None = 42, max_iter: int = 1000, fit_scope: str = "all") -> DataFrame:
     """Fit on the training part of a stratified split and predict the rest: (id, label, prediction) of the test rows.

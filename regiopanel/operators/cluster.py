@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.operators.geometry import silhouette_samples
+from regiopanel.operators.geometry import silhouette_samples, silhouette_squared_samples
 
 
 #: Lloyd rounds at most.
@@ -124,8 +124,12 @@ def pca_scores(df: DataFrame, pca: dict, prefix: str = "pc", keep: Sequence[str]
     return df.select(*keep, *[e.alias(f"{prefix}{j + 1}") for j, e in enumerate(pca_exprs(pca))])
 
 
-def _sweep_silhouettes(data: DataFrame, id_col: str, group: str, specs, fits) -> dict:
-    """Exact silhouette of every fitted model in ONE job (models are a group key)."""
+#: Distances that a sweep may score its models by: exact pairs (up to n^2 work), or squares (linear in n).
+METRICS = ("euclidean", "sqeuclidean")
+
+
+def _sweep_silhouettes(data: DataFrame, id_col: str, group: str, specs, fits, metric: str = "euclidean") -> dict:
+    """Silhouette of every fitted model in ONE job (models are a group key), by the distance named."""
     parts = []
     for m in specs:
         view = data.select(F.lit(m.key).alias(group), id_col, m.column().alias("f"))
@@ -133,16 +137,26 @@ def _sweep_silhouettes(data: DataFrame, id_col: str, group: str, specs, fits) ->
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
-    sil = silhouette_samples(allp, id_col, "cluster", "f", group_cols=[group])
+    if metric == "sqeuclidean":
+        sil = silhouette_squared_samples(allp, "cluster", "f", group_col=group).withColumnRenamed("silhouette_sq", "silhouette")
+    else:
+        sil = silhouette_samples(allp, id_col, "cluster", "f", group_cols=[group])
     return {r[group]: float(r["s"]) for r in sil.groupBy(group).agg(F.avg("silhouette").alias("s")).collect()}
 
 
+def _known(metric: str) -> None:
+    if metric not in METRICS:
+        raise ValueError(f"metric is one of {METRICS}")
+
+
 def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Sequence[int] = (2, 3, 4, 5),
-                    k: int = 6, seed: int = 0) -> list[tuple[int, float]]:
-    """Silhouette of k-means on the first n components, for each n (exact silhouette).
+                    k: int = 6, seed: int = 0, metric: str = "euclidean") -> list[tuple[int, float]]:
+    """Silhouette of k-means on the first n components, for each n.
 
-    One covariance pass serves every n, and one silhouette job scores all models.
+    One covariance pass serves every n, and one silhouette job scores all models:
+    by exact distances, or for very many rows by squared ones (``metric``).
     """
+    _known(metric)
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mean, cov, _ = covariance(data, features)
@@ -151,20 +165,22 @@ def pca_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], ns: Seq
             comps, _ = pca_from_cov(cov, n)
             specs.append(SweepModel(int(n), features, k, mean, comps))
         fits = kmeans_sweep(data, id_col, specs, seed)
-        sil = _sweep_silhouettes(data, id_col, "n_components", specs, fits)
+        sil = _sweep_silhouettes(data, id_col, "n_components", specs, fits, metric)
         return sorted((int(n), sil[n]) for n in sil)
     finally:
         data.unpersist()
 
 
 def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size: int = 4,
-                       n_components: int = 2, k: int = 4, seed: int = 42) -> list[tuple[tuple[str, ...], float]]:
+                       n_components: int = 2, k: int = 4, seed: int = 42,
+                       metric: str = "euclidean") -> list[tuple[tuple[str, ...], float]]:
     """PCA + k-means silhouette for every ``size``-subset of the features.
 
     One covariance pass serves all subsets (a PCA of a subset is the eigen-
     decomposition of its covariance sub-matrix); one silhouette job scores all
-    subsets.
+    subsets, by the distance that ``metric`` names.
     """
+    _known(metric)
     data = df.select(id_col, *features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         mean, cov, _ = covariance(data, features)
@@ -174,7 +190,7 @@ def subset_sensitivity(df: DataFrame, id_col: str, features: Sequence[str], size
             comps, _ = pca_from_cov(cov[np.ix_(subset, subset)], n_components)
             specs.append(SweepModel(sid, [features[i] for i in subset], k, mean[list(subset)], comps))
         fits = kmeans_sweep(data, id_col, specs, seed)
-        sil = _sweep_silhouettes(data, id_col, "subset_id", specs, fits)
+        sil = _sweep_silhouettes(data, id_col, "subset_id", specs, fits, metric)
         res = [(tuple(features[i] for i in subsets[sid]), s) for sid, s in sil.items()]
         return sorted(res, key=lambda t: (-t[1], t[0]))
     finally:

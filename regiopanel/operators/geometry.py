@@ -303,7 +303,8 @@ def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
     return res.withColumn("silhouette", sil).drop("_n_own")
 
 
-def silhouette_squared_samples(df: DataFrame, label_col: str, feats: str, block_size: int = 64) -> DataFrame:
+def silhouette_squared_samples(df: DataFrame, label_col: str, feats: str, block_size: int = 64,
+                               group_col: str | None = None) -> DataFrame:
     """Per-row silhouette with squared Euclidean distance, linear in n.
 
     Mean squared distance from x to cluster C is
@@ -312,26 +313,31 @@ def silhouette_squared_samples(df: DataFrame, label_col: str, feats: str, block_
     The own cluster excludes x itself (divide by ``n_C - 1``), as Spark's
     ``ClusteringEvaluator`` does; a singleton cluster scores 0. The statistics
     are joined in blocks of ``block_size`` clusters, however many there are.
+    With ``group_col`` each of its (non-null) values is a clustering of its
+    own, and their points may differ in length.
     """
     x = F.col(feats).cast("array<double>")
-    dim = df.select(F.size(x).alias("d")).first()["d"]
+    dim = df.agg(F.max(F.size(x)).alias("d")).first()["d"] or 0
+    zero = F.lit(0.0)
+    group = F.col(group_col) if group_col else F.lit(0)
     norm = F.aggregate(x, F.lit(0.0), lambda a, v: a + v * v)
-    stats = materialize(df.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(norm).alias("sq"), F.array(*[F.sum(x[i]) for i in range(dim)]).alias("y")))
+    sums = F.array(*[F.sum(F.coalesce(F.get(x, F.lit(i)), zero)) for i in range(dim)]).cast("array<double>")
+    stats = materialize(df.groupBy(group.alias("g"), F.col(label_col).alias("l")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(norm).alias("sq"), sums.alias("y")))
     blocks = max(1, math.ceil(stats.count() / block_size))
-    grouped = (stats.groupBy(F.pmod(F.xxhash64(label_col), F.lit(blocks)).cast("int").alias("_blk"))
-               .agg(F.collect_list(F.struct(F.col(label_col).alias("l"), "n", "sq", "y")).alias("_st")))
+    grouped = (stats.groupBy(F.pmod(F.xxhash64("g", "l"), F.lit(blocks)).cast("int").alias("_blk"))
+               .agg(F.collect_list(F.struct("g", "l", "n", "sq", "y")).alias("_st")))
     rows = df.withColumn("_row", F.struct(*df.columns))
     if blocks > 1:
         rows = materialize(rows.withColumn("_id", F.monotonically_increasing_id()))
     spread = rows.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(grouped, "_blk")
 
     def total(s):
-        dot = F.aggregate(F.zip_with(x, s["y"], lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+        dot = F.aggregate(F.zip_with(x, s["y"], lambda p, q: F.coalesce(p, zero) * F.coalesce(q, zero)), zero, lambda acc, v: acc + v)
         return s["n"].cast("double") * norm + s["sq"] - F.lit(2.0) * dot
 
-    own, others = (F.filter("_st", lambda s: s["l"] == F.col(label_col)),
-                   F.filter("_st", lambda s: s["l"] != F.col(label_col)))
+    own, others = (F.filter("_st", lambda s: (s["g"] == group) & (s["l"] == F.col(label_col))),
+                   F.filter("_st", lambda s: (s["g"] == group) & (s["l"] != F.col(label_col))))
     part = spread.withColumn("_o", F.get(F.transform(own, lambda s: F.struct(
         s["n"].alias("n"), F.try_divide(total(s), (s["n"] - 1).cast("double")).alias("a"))), 0))
     part = part.withColumn("_b", F.array_min(F.transform(others, lambda s: total(s) / s["n"].cast("double"))))

@@ -1,8 +1,8 @@
 """Modelling-stage queries: k-means, PCA, sensitivity, isolation forest, classification.
 
-Fitted models are checked by row count only (their random draws differ from
-any other library's); the operators with an exact SQL form (label attachment,
-split, folds, report) have DuckDB oracles.
+k-means, PCA, the component study and a two-feature logistic fit are recomputed
+by recursive SQL; forests and the larger fits are checked by row count only
+(their random draws differ from any other library's).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regiopanel.operators.anomaly import isolation_forest, leave_one_out_importance
 from regiopanel.operators.classify import (classification_report, coefficient_table, cross_validate,
-                                           fit_logit, holdout_predictions, predict_logit, stratified_folds, stratified_split,
+                                           fit_logit, holdout_predictions, loss_gradient, predict_logit, stratified_folds, stratified_split,
                                            weighted_scores, zscore_array)
 from regiopanel.operators.cluster import (ROUNDS, attach_labels, elbow_sweep, exclude_refit_label, fit_pca,
                                           kmeans_labels, pair_kmeans, pca_scores, pca_sensitivity,
@@ -21,38 +21,40 @@ from regiopanel.operators.cluster import (ROUNDS, attach_labels, elbow_sweep, ex
 from regiopanel.operators.geometry import nearest_centroid
 from regiopanel.plans.fixtures import UP_FEATURES, embeddings, tables
 from regiopanel.plans.registry import register
-from regiopanel.plans.sqlfrag import UPZ_SQL, jacobi_sql, sqeuclid
+from regiopanel.plans.sqlfrag import UPZ_SQL, euclid, jacobi_sql, sqeuclid
 from regiopanel.session import materialize
 from regiopanel.plans.stats_q import _emb_centres, user_panel_z
 
-def _kmeans_sql(ks: list[int]) -> str:
-    """CTEs of k-means on the user panel: ``p`` (points), ``fin`` (model k, cid, centre after all Lloyd rounds).
+def _kmeans_sql(ks: list[int], points: str = "p", cols: list[str] | None = None, tag: str = "") -> str:
+    """CTEs of k-means on ``points`` (user_id and ``cols``): ``fin`` + tag (model k, cid, centre after all Lloyd rounds).
 
     Seeds by farthest point one after the other, shared by all k; then ROUNDS rounds by recursion.
     """
-    cols = ", ".join(UP_FEATURES)
-    far = [f"p AS MATERIALIZED ({UPZ_SQL})", f"c1 AS MATERIALIZED (SELECT {cols} FROM p ORDER BY user_id LIMIT 1)",
-           f"m1 AS MATERIALIZED (SELECT p.*, {sqeuclid('p', 'c1', UP_FEATURES)} AS m FROM p, c1)"]
+    feats = cols or UP_FEATURES
+    cols = ", ".join(feats)
+    far = [f"c1{tag} AS MATERIALIZED (SELECT {cols} FROM {points} ORDER BY user_id LIMIT 1)",
+           f"m1{tag} AS MATERIALIZED (SELECT p.*, {sqeuclid('p', 'c', feats)} AS m FROM {points} p, c1{tag} c)"]
     for j in range(2, max(ks) + 1):
-        far.append(f"c{j} AS MATERIALIZED (SELECT {cols} FROM m{j - 1} ORDER BY m DESC, user_id LIMIT 1)")
-        old = ", ".join(f"o.{c}" for c in ["user_id", *UP_FEATURES])
-        far.append(f"m{j} AS MATERIALIZED (SELECT {old}, least(o.m, {sqeuclid('o', f'c{j}', UP_FEATURES)}) AS m FROM m{j - 1} o, c{j})")
-    seeds = " UNION ALL ".join(f"SELECT 0 AS r, {k} AS k, {j} AS cid, {cols} FROM c{j}" for k in ks for j in range(1, k + 1))
-    point = ", ".join(f"p.{c}" for c in ["user_id", *UP_FEATURES])
-    means = ", ".join(f"AVG({c})" for c in UP_FEATURES)
-    return f"""WITH RECURSIVE {", ".join(far)},
-l(r, k, cid, {cols}) AS (
+        far.append(f"c{j}{tag} AS MATERIALIZED (SELECT {cols} FROM m{j - 1}{tag} ORDER BY m DESC, user_id LIMIT 1)")
+        old = ", ".join(f"o.{c}" for c in ["user_id", *feats])
+        far.append(f"m{j}{tag} AS MATERIALIZED (SELECT {old}, least(o.m, {sqeuclid('o', 'c', feats)}) AS m FROM m{j - 1}{tag} o, c{j}{tag} c)")
+    seeds = " UNION ALL ".join(f"SELECT 0 AS r, {k} AS k, {j} AS cid, {cols} FROM c{j}{tag}" for k in ks for j in range(1, k + 1))
+    point = ", ".join(f"p.{c}" for c in ["user_id", *feats])
+    means = ", ".join(f"AVG({c})" for c in feats)
+    return f"""{", ".join(far)},
+l{tag}(r, k, cid, {cols}) AS (
   {seeds} UNION ALL
   SELECT r + 1, k, cid, {means} FROM (
-    SELECT l.r, l.k, {point}, arg_min(l.cid, {sqeuclid("p", "l", UP_FEATURES)}) AS cid
-    FROM l JOIN p ON l.r < {ROUNDS} GROUP BY l.r, l.k, {point}) GROUP BY r, k, cid),
-fin AS (SELECT * FROM l WHERE r = {ROUNDS})"""
+    SELECT l.r, l.k, {point}, arg_min(l.cid, {sqeuclid("p", "l", feats)}) AS cid
+    FROM l{tag} l JOIN {points} p ON l.r < {ROUNDS} GROUP BY l.r, l.k, {point}) GROUP BY r, k, cid),
+fin{tag} AS (SELECT * FROM l{tag} WHERE r = {ROUNDS})"""
 
 
+_POINTS = f"WITH RECURSIVE p AS MATERIALIZED ({UPZ_SQL})"
 _ORDER = ", ".join(f"ROUND({c}, 12)" for c in UP_FEATURES)
 
 
-@register("kmeans_labels", stage="model", sql=_kmeans_sql([3]) + f""",
+@register("kmeans_labels", stage="model", sql=f"{_POINTS}, {_kmeans_sql([3])}" + f""",
 named AS (SELECT *, row_number() OVER (ORDER BY {_ORDER}) - 1 AS name FROM fin)
 SELECT p.user_id, CAST(arg_min(n.name, {sqeuclid("p", "n", UP_FEATURES)}) AS INTEGER) AS cluster FROM p, named n GROUP BY p.user_id
 """)
@@ -61,7 +63,7 @@ def q_kmeans_labels(spark, sf_dir):
     return labelled.select("user_id", "cluster")
 
 
-@register("elbow_sweep", stage="model", sql=_kmeans_sql(list(range(1, 11))) + f"""
+@register("elbow_sweep", stage="model", sql=f"{_POINTS}, {_kmeans_sql(list(range(1, 11)))}" + f"""
 SELECT CAST(k AS INTEGER) AS k, ROUND(SUM(d), 6) AS inertia FROM (
   SELECT n.k, p.user_id, MIN({sqeuclid("p", "n", UP_FEATURES)}) AS d FROM p, fin n GROUP BY 1, 2) GROUP BY 1
 """)
@@ -75,7 +77,7 @@ def _up_pca(spark, sf_dir, k):
     return z, fit_pca(z, UP_FEATURES, k)
 
 
-_PCA_SQL = f"WITH RECURSIVE p AS MATERIALIZED ({UPZ_SQL}), {jacobi_sql('p', UP_FEATURES)}"
+_PCA_SQL = f"{_POINTS}, {jacobi_sql('p', UP_FEATURES)}"
 _FEATURE_LIST = ", ".join(f"'{c}'" for c in UP_FEATURES)
 
 
@@ -120,12 +122,45 @@ def q_loadings_table(spark, sf_dir):
     return df.withColumn("variable", F.left(F.col("variable"), F.lit(10)))
 
 
-@register("pca_sensitivity", stage="model")
-def q_pca_sensitivity(spark, sf_dir):
-    res = pca_sensitivity(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ns=(2, 3, 4, 5), k=6, seed=0)
+def _sensitivity_sql(ns: list[int], k: int, squared: bool) -> str:
+    """``sil(n_components, silhouette)``: k-means on the first n scores of every row, scored by all pairs of rows."""
+    every = max(ns)
+    lists = ", ".join(f"list(loading ORDER BY i) FILTER (WHERE component = {j}) AS l{j}" for j in range(1, every + 1))
+    parts = [_PCA_SQL, f"lists AS (SELECT {lists} FROM vec)", "sc AS MATERIALIZED (SELECT user_id, " + ", ".join(
+        f"{_score_sql(j)} AS s{j}" for j in range(1, every + 1)) + " FROM p, lists)"]
+    for n in ns:
+        cols = [f"s{j}" for j in range(1, n + 1)]
+        gap = sqeuclid("x", "y", cols) if squared else euclid("x", "y", cols)
+        parts += [_kmeans_sql([k], "sc", cols, f"_{n}"), f"""
+lab_{n} AS MATERIALIZED (SELECT p.*, t.cid FROM sc p JOIN (
+  SELECT p.user_id, arg_min(c.cid, {sqeuclid("p", "c", cols)}) AS cid FROM sc p, fin_{n} c GROUP BY 1) t USING (user_id))""", f"""
+near_{n} AS (SELECT x.user_id, x.cid AS own, y.cid AS other, SUM({gap}) AS total, COUNT(*) AS n FROM lab_{n} x, lab_{n} y GROUP BY 1, 2, 3)""", f"""
+sil_{n} AS (SELECT CASE WHEN n < 2 THEN 0 WHEN b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM (
+  SELECT user_id, MAX(n) FILTER (WHERE own = other) AS n, MAX(total / NULLIF(n - 1, 0)) FILTER (WHERE own = other) AS a,
+         MIN(total / n) FILTER (WHERE own <> other) AS b FROM near_{n} GROUP BY user_id))"""]
+    union = " UNION ALL ".join(f"SELECT {n} AS n_components, AVG(s) AS silhouette FROM sil_{n}" for n in ns)
+    name = "sqeuclidean" if squared else "euclidean"
+    return ", ".join(parts) + f""", sil AS ({union})
+SELECT CAST(n_components AS INTEGER) AS n_components, ROUND(silhouette, 6) AS silhouette,
+       silhouette = MAX(silhouette) OVER () AS is_best, '{name}' AS metric FROM sil"""
+
+
+def _sensitivity(spark, sf_dir, metric):
+    res = pca_sensitivity(user_panel_z(spark, sf_dir), "user_id", UP_FEATURES, ns=(2, 3, 4, 5), k=6, seed=0, metric=metric)
     best = max(res, key=lambda t: t[1])[0]
-    return spark.createDataFrame([(n, s, n == best) for n, s in res],
-                                 "n_components int, silhouette double, is_best boolean")
+    return spark.createDataFrame([(n, round(s, 6), n == best, metric) for n, s in res],
+                                 "n_components int, silhouette double, is_best boolean, metric string")
+
+
+@register("pca_sensitivity", stage="model", sql=_sensitivity_sql([2, 3, 4, 5], 6, False))
+def q_pca_sensitivity(spark, sf_dir):
+    return _sensitivity(spark, sf_dir, "euclidean")
+
+
+@register("pca_sensitivity_squared", stage="model", sql=_sensitivity_sql([2, 3, 4, 5], 6, True))
+def q_pca_sensitivity_squared(spark, sf_dir):
+    """The same study at linear cost: squared distances instead of exact ones."""
+    return _sensitivity(spark, sf_dir, "sqeuclidean")
 
 
 @register("subset_sensitivity", stage="model")
@@ -275,6 +310,54 @@ def q_logit_coefficients(spark, sf_dir):
     return coefficient_table(spark, model, classes, _emb_feature_names(spark, sf_dir))
 
 
+@register("logit_gradient", stage="model")
+def q_logit_gradient(spark, sf_dir):
+    """Proof of the optimum: gradient of the penalised mean loss at the fitted weights, all near zero."""
+    z = _emb_z(spark, sf_dir)
+    model, classes = fit_logit(z, "features", "label")
+    return loss_gradient(z, model, classes, "features", "label", _emb_feature_names(spark, sf_dir))
+
+
+_TWO = ["embedding[1]", "embedding[2]"]
+_NEWTON_STEPS = 30
+
+
+def _newton_sql() -> str:
+    """``fit(b, w1, w2)``: penalised Newton steps of the two-class fit on two z-scored coordinates.
+
+    The two classes' weights are opposite halves of ``w``, so 0.5 |W|^2 is 0.25 |w|^2.
+    """
+    z = ", ".join(f"(CAST({c} AS DOUBLE) - AVG(CAST({c} AS DOUBLE)) OVER ()) / STDDEV_POP(CAST({c} AS DOUBLE)) OVER () AS x{i + 1}"
+                  for i, c in enumerate(_TWO))
+    det = ("h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02)")
+    d0 = "g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)"
+    d1 = "h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)"
+    d2 = "h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)"
+    return f"""WITH RECURSIVE z AS MATERIALIZED (SELECT {z}, CASE WHEN label < 8 THEN 1.0 ELSE 0.0 END AS y FROM embeddings),
+newton(r, b, w1, w2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+  SELECT r + 1, b - ({d0}) / ({det}), w1 - ({d1}) / ({det}), w2 - ({d2}) / ({det}) FROM (
+    SELECT r, b, w1, w2, SUM(p - y) AS g0, SUM((p - y) * x1) + 0.5 * w1 AS g1, SUM((p - y) * x2) + 0.5 * w2 AS g2,
+           SUM(p * (1 - p)) AS h00, SUM(p * (1 - p) * x1) AS h01, SUM(p * (1 - p) * x2) AS h02,
+           SUM(p * (1 - p) * x1 * x1) + 0.5 AS h11, SUM(p * (1 - p) * x1 * x2) AS h12, SUM(p * (1 - p) * x2 * x2) + 0.5 AS h22
+    FROM (SELECT n.*, z.*, 1 / (1 + exp(-(b + w1 * x1 + w2 * x2))) AS p FROM newton n, z WHERE r < {_NEWTON_STEPS}) GROUP BY r, b, w1, w2)),
+fit AS (SELECT * FROM newton WHERE r = {_NEWTON_STEPS})"""
+
+
+@register("logit_two_features", stage="model", sql=_newton_sql() + """,
+half AS (SELECT unnest(['e0', 'e1', 'intercept']) AS feature, unnest([w1 / 2, w2 / 2, b / 2]) AS v FROM fit)
+SELECT class, feature, ROUND(sign * v, 4) AS coefficient FROM half, (VALUES ('Anomalo', -1), ('Normal', 1)) AS s(class, sign)
+""")
+def q_logit_two_features(spark, sf_dir):
+    """The penalised fit of 'Anomalo' against the rest on two coordinates, to the optimum."""
+    emb = embeddings(spark, sf_dir).select("vec_id", F.slice("features", 1, 2).alias("features"),
+                                           F.when(F.col("label") < 8, "Normal").otherwise("Anomalo").alias("label"))
+    z = materialize(zscore_array(emb, "features"))
+    model, classes = fit_logit(z, "features", "label", tol=1e-12)
+    table = coefficient_table(spark, model, classes, ["e0", "e1"], intercept="intercept")
+    return table.withColumn("coefficient", F.round("coefficient", 4))
+
+
 @register("odds_ratios", stage="model")
 def q_odds_ratios(spark, sf_dir):
     model, classes = fit_logit(_emb_z(spark, sf_dir), "features", "label")
