@@ -13,7 +13,9 @@ ends at it and the deepest context before it, so a document's exact code
 length is a sum of one table value per byte (see ``Model.lengths``).
 
 Learning takes whole texts of a bounded sample of the labelled rows: documents
-in hash order until ``lang_bytes`` per language (``total_bytes`` over all).
+in hash order up to ``lang_bytes`` per language (``total_bytes`` over all), see
+``sample_rows``. The driver gets the n-grams seen ``min_count`` times and more:
+at most (ORDER + 1) * total_bytes / min_count of them, whatever the input.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter
 (Unicode category L), and when nothing was learned; ties go to the first
@@ -38,7 +40,7 @@ ORDER = 3
 LANG_BYTES = 3_000_000
 TOTAL_BYTES = 16_000_000
 MIN_COUNT = 2
-HASH_BUCKETS = 4096
+PER_OCTAVE = 128
 UNKNOWN = "und"
 
 
@@ -171,24 +173,49 @@ def _count_grams(order: int):
     return run
 
 
+def _hash_bucket(hash_col: Column) -> Column:
+    """0 to 53 * ``PER_OCTAVE``: the top 53 bits of a hash on a logarithmic scale, so that a small share is as finely cut as a large one."""
+    return F.floor(F.log2(F.shiftrightunsigned(hash_col, 11) + 1) * PER_OCTAVE).cast("int")
+
+
 def sample_rows(labelled: DataFrame, lang_bytes: int, total_bytes: int) -> DataFrame:
-    """Whole texts of each language in hash order until the byte bound (at least the first hash bucket)."""
+    """Whole texts (lang, text) of each language in hash order, at most ``lang_bytes`` of it and ``total_bytes`` / languages.
+
+    The bound holds at every size of the input: buckets are finer the smaller
+    their hashes, so the share to take is met within one bucket of 0.5 % of
+    it. A bucket that alone outweighs the bound (a longer text, or one row
+    repeated very often) is passed over; a language of such buckets only
+    teaches one text, its shortest.
+    """
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(HASH_BUCKETS)).alias("bucket"))
-    hist = rows.groupBy("lang", "bucket").agg(F.sum(F.octet_length("text")).alias("bytes"))
-    run = F.sum("bytes").over(W.partitionBy("lang").orderBy("bucket"))
+        "lang", "text", F.octet_length("text").cast("long").alias("bytes"),
+        _hash_bucket(F.xxhash64("doc_id", "text")).alias("bucket"))
+    hist = rows.groupBy("lang", "bucket").agg(F.sum("bytes").alias("bytes"))
+    # At most 53 * PER_OCTAVE + 1 buckets a language reach a window; a few numbers a language reach the driver:
+    # labels of a classifier, few whatever the input.
     langs = F.size(F.collect_set("lang").over(W.partitionBy(F.lit(1))))
     bound = F.least(F.lit(lang_bytes).cast("double"), F.lit(total_bytes) / langs)
-    cuts = (hist.withColumn("upto", run).withColumn("bound", bound)
-            .withColumn("first", F.min("bucket").over(W.partitionBy("lang")))
-            .filter((F.col("upto") <= F.col("bound")) | (F.col("bucket") == F.col("first")))
-            .groupBy("lang").agg(F.max("bucket").alias("cut")))
-    # One number per language: labels of a classifier, few whatever the input.
-    cut = {r["lang"]: r["cut"] for r in cuts.collect()}
-    if not cut:
+    fits = F.when(F.col("bytes") <= F.col("bound"), F.col("bytes")).otherwise(0)
+    run = (hist.withColumn("bound", bound).withColumn("fits", fits)
+           .withColumn("upto", F.sum("fits").over(W.partitionBy("lang").orderBy("bucket"))))
+    good = F.col("upto") <= F.col("bound")
+    small = F.col("bytes") <= F.col("bound")
+    cuts = run.groupBy("lang").agg(F.max(F.when(good & small, F.col("bucket"))).alias("cut"),
+                                   F.collect_list(F.when(good & ~small, F.col("bucket"))).alias("passed")).collect()
+    if not cuts:
         return rows.filter("false").select("lang", "text")
-    limit = F.create_map(*[x for k, v in cut.items() for x in (F.lit(k), F.lit(v))])
-    return rows.filter(F.col("bucket") <= F.element_at(limit, F.col("lang"))).select("lang", "text")
+    take = F.lit(False)
+    for r in cuts:
+        if r["cut"] is not None:
+            over = [x for x in r["passed"] if x < r["cut"]]
+            mine = (F.col("lang") == r["lang"]) & (F.col("bucket") <= r["cut"])
+            take = take | (mine & ~F.col("bucket").isin(over) if over else mine)
+    sample = rows.filter(take).select("lang", "text")
+    lone = [r["lang"] for r in cuts if r["cut"] is None]
+    if lone:
+        short = rows.filter(F.col("lang").isin(lone)).groupBy("lang").agg(F.min(F.struct("bytes", "text")).alias("t"))
+        sample = sample.unionByName(short.select("lang", "t.text"))
+    return sample
 
 
 def fit(labelled: DataFrame, order: int = ORDER, lang_bytes: int = LANG_BYTES, total_bytes: int = TOTAL_BYTES,

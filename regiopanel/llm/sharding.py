@@ -4,13 +4,13 @@ Every document is a point of three ``DIMENSIONS`` (size, runs of white space,
 text checksum), all functions of the text alone, so equal texts are one point.
 A node that is to hold m shards is cut where its bytes divide as floor(m/2) to
 the rest, along the dimension in which it is widest. Points on the cut are
-ordered by text hash and, where one text alone outweighs the tolerance, by the
-hash of the id: a hot text spreads over shards, all other groups of equal texts
-stay together.
+ordered by text hash. A group of equal texts stays together, on the nearer side
+of the cut, unless it alone outweighs ``HOT_SHARE`` of a shard: such a hot text is
+cut by the hash of the id and spreads over shards.
 
 Weighted medians of all nodes of a level are found at once from histograms of
-12 key bits, refined inside the boundary bin until it holds at most
-``TOLERANCE`` of a shard. The driver holds the tree only (one cut per inner
+15 key bits, refined inside the boundary bin until it holds at most
+``TOLERANCE`` of a shard or one text. The driver holds the tree only (one cut per inner
 node); the data are never sorted. Slots come from counts per (shard, hash
 bucket) and a short ranking inside each bucket.
 
@@ -33,7 +33,9 @@ SHARDS = 24
 OVERHEAD = 8
 #: A boundary bin that holds at most this share of a shard's target is cut at its edge.
 TOLERANCE = 0.002
-BIN_BITS = 12
+#: Equal texts that together weigh at most this share of a shard's target are never parted.
+HOT_SHARE = 0.05
+BIN_BITS = 15
 DIM_BITS, TEXT_BITS, ID_BITS = 24, 36, 60
 SLOT_BUCKETS = 1024
 
@@ -126,7 +128,7 @@ def _cut_level(pts: DataFrame, root: Node, nodes: list[Node], target: float) ->
                 same = same & (F.col(n.dim) == s["key"])
             cond = cond | (at & same)
             chain = F.when(at, F.shiftright(digits, left)).otherwise(chain)
-        # At most 2^12 bins for each node of the level reach the window; one row per node reaches the driver.
+        # At most 2^BIN_BITS bins for each node of the level reach the window; one row per node reaches the driver.
         hist = (scope.filter(cond).groupBy("node", chain.cast("bigint").alias("bin")).agg(F.sum("size").alias("bytes"))
                 .withColumn("upto", F.sum("bytes").over(W.partitionBy("node").orderBy("bin"))))
         need, before = F.lit(0.0), F.lit(0)
@@ -140,7 +142,8 @@ def _cut_level(pts: DataFrame, root: Node, nodes: list[Node], target: float) ->
             s, r = state[n.first], found[n.first]
             under = s["below"] + r["upto"] - r["bytes"]
             over = under + r["bytes"]
-            if r["bytes"] <= TOLERANCE * target or (in_sub and left == 0):
+            one_text = not in_sub and left == 0
+            if r["bytes"] <= (HOT_SHARE if one_text else TOLERANCE) * target or (in_sub and left == 0):
                 edge = (r["bin"] + (1 if over - s["want"] < s["want"] - under else 0)) << left
                 if in_sub:
                     s.update(done=True, sub=edge)

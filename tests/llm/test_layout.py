@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from regiopanel.llm import mixing, sharding
@@ -78,7 +79,8 @@ def test_shards_balance_bytes_and_keep_equal_texts(spark):
     own = frame[frame["doc_id"].notna()].copy()
     own["text"] = own["doc_id"].map(text)
     spread = own.groupby("text")["shard"].nunique()
-    assert spread["hot text " * 30] >= 6 and (spread > 1).sum() <= 24
+    weight = own.groupby("text")["size"].sum()
+    assert spread["hot text " * 30] >= 6 and (weight[spread > 1] > sharding.HOT_SHARE * size.mean()).all()
     import zlib
     for r in rows[:200]:
         t = text.get(r.doc_id) or ""
@@ -108,6 +110,51 @@ def test_cuts_are_weighted_medians(spark):
     assert root.dim == widest
 
 
+def test_whole_tree_against_plain_python(spark):
+    """Every node's dimension and cut, and every row's shard, recomputed from all points in plain Python."""
+    data = [(i, cases.prose(i, 3 + (i * i) % 150), None, "s", 0) for i in range(700)]
+    data += [(1000 + i, cases.prose(i % 40, 3 + ((i % 40) ** 2) % 150), None, "s", 0) for i in range(160)]  # groups of five
+    data += [(3000 + i, "hot text " * 60, None, "s", 0) for i in range(500)]
+    frame = cases.frame(spark, data)
+    pts = sharding.points(frame).cache()
+    plain = [r.asDict() for r in pts.collect()]
+    target = sum(p["size"] for p in plain) / 24
+    root, leaf = sharding.build_tree(pts), {}
+
+    def walk(node, points):
+        if node.low is None:
+            leaf.update({p["doc_id"]: node.first for p in points})
+            return
+        width = lambda d: max(p[d] >> 36 for p in points) - min(p[d] >> 36 for p in points)
+        assert width(node.dim) == max(width(d) for d in sharding.DIMENSIONS)
+        under = lambda p: (p[node.dim], p["sub"]) < (node.key, node.sub)
+        low, high = [p for p in points if under(p)], [p for p in points if not under(p)]
+        want = sum(p["size"] for p in points) * (node.shards // 2) / node.shards
+        at_cut = {}
+        for p in points:
+            at_cut[p[node.dim]] = at_cut.get(p[node.dim], 0) + p["size"]
+        off = abs(sum(p["size"] for p in low) - want)
+        # Within half of the text on the cut, or half of the tolerated bin.
+        lightest = max((w for w in at_cut.values() if w <= sharding.HOT_SHARE * target), default=0)
+        single = max(p["size"] for p in points)
+        assert off <= max(lightest, single, sharding.TOLERANCE * target) / 2 + 1
+        parted = {p[node.dim] for p in low} & {p[node.dim] for p in high}
+        assert all(at_cut[k] > sharding.HOT_SHARE * target for k in parted)
+        assert (node.low.first, node.low.shards + node.high.shards) == (node.first, node.shards)
+        walk(node.low, low)
+        walk(node.high, high)
+    walk(root, plain)
+    got = {r.doc_id: r.shard for r in sharding.assign(frame).collect()}
+    assert got == leaf and set(got.values()) == set(range(24))
+
+
+def test_extra_columns_called_like_the_shards_own(spark):
+    docs = cases.frame(spark, [(i, cases.prose(i, 9), None, "s", 0) for i in range(60)])
+    clash = docs.select("*", *[F.lit("x").alias(c) for c in ("size", "shard", "slot", "sub", "bucket", "node", "size_dim")])
+    order = lambda df: sorted((r.doc_id, r.size, r.shard, r.slot) for r in df.collect())
+    assert order(sharding.assign(clash)) == order(sharding.assign(docs))
+
+
 def test_shards_of_an_empty_table(spark):
     assert sharding.assign(cases.frame(spark, [])).collect() == []
 

@@ -98,7 +98,26 @@ def test_language_sample_is_bounded(spark):
     docs = table(spark, SF_MID, "documents").select("doc_id", "text", "lang")
     rows = language_id.sample_rows(docs, lang_bytes=60_000, total_bytes=10**9).collect()
     for lang in {r.lang for r in rows}:
-        assert sum(len(r.text.encode()) for r in rows if r.lang == lang) <= 60_000 + 40_000
+        assert 30_000 <= sum(len(r.text.encode()) for r in rows if r.lang == lang) <= 60_000
+
+
+def test_language_sample_is_bounded_at_every_size_and_skew(spark):
+    many = [(i, f"text number {i} " * (1 + i % 7), "aa") for i in range(6000)]
+    many += [(9, "one row again and again " * 4, "bb")] * 500 + [(10_000 + i, f"short {i}", "bb") for i in range(300)]
+    many += [(20_000, "long " * 3000, "cc"), (20_001, "longer " * 4000, "cc"), (20_002, "", "dd")]
+    docs = cases.frame(spark, [(i, t, x, "s", 0) for i, t, x in many]).select("doc_id", "text", "lang")
+    weight = lambda rows, x: sum(len(r.text.encode()) for r in rows if r.lang == x)
+    for bound in (500, 5000, 50_000):
+        rows = language_id.sample_rows(docs, bound, 10**9).collect()
+        assert 0.5 * bound < weight(rows, "aa") <= bound          # hundreds to one: the share stays bounded
+        assert {r.lang for r in rows} == {"aa", "bb", "cc", "dd"}
+        assert weight(rows, "bb") <= bound
+        # Texts above the bound teach only if the language has no other: its shortest one.
+        cc = [r.text for r in rows if r.lang == "cc"]
+        assert cc == ["long " * 3000] if bound < 15_000 else weight(rows, "cc") <= bound
+        again = language_id.sample_rows(docs.repartition(7), bound, 10**9).collect()
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+    assert sum(weight(language_id.sample_rows(docs, 10**9, 4000).collect(), x) for x in ("aa", "bb", "dd")) <= 3000
 
 
 # ------------------------------------------------------------------ byte-level BPE
