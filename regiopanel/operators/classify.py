@@ -187,12 +187,13 @@ def loss_gradient(df: DataFrame, model, classes: Sequence[str], features: str |
                       lambda z: z["p"] - (z["v"] == F.col(label_col).cast("string")).cast("double"))
     row = scored.select(x.alias("_x"), off.alias("_off"))
     block = F.flatten(F.transform("_off", lambda r: F.transform("_x", lambda v: r * v)))
-    s = row.select(array_to_vector(block).alias("b")).agg(
-        Summarizer.metrics("mean", "count").summary(F.col("b")).alias("s")).first()["s"]
+    # Grouped by a constant, so that no rows give no row.
+    found = row.select(array_to_vector(block).alias("b")).groupBy(F.lit(True)).agg(
+        Summarizer.metrics("mean", "count").summary(F.col("b")).alias("s")).first()
     spark, kind = df.sparkSession, "class string, feature string, gradient double"
-    n = int(s["count"]) if s is not None else 0
-    if not n:
+    if found is None:
         return spark.createDataFrame([], kind)
+    s, n = found["s"], int(found["s"]["count"])
     mat = np.column_stack([model.coefficientMatrix.toArray(), np.zeros(len(classes))])
     grad = np.asarray(s["mean"].toArray()).reshape(mat.shape) + mat / (c * n)
     names = [*feature_names, intercept]

@@ -125,6 +125,6 @@ def q_export_status(spark, sf_dir):
     keys = {n: [c for c in ("code", "code_prefix", "custkey", "nationkey", "user_id", "year")]
             for n in builders}
     root = scratch_path(spark, "export")
-    status = run_export(spark, builders, root, sort_keys=keys, sort_keys_present_only=True).drop("path", "seconds")
+    status = run_export(spark, builders, root, sort_keys=keys, sort_keys_present_only=True).drop("path", "seconds", "skipped")
     remove_scratch(spark, root)
     return status

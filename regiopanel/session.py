@@ -92,10 +92,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/regiopanel/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path as it takes it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Full paths of the entries of a folder, on whatever file system holds it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = file_system(spark, path)
     return sorted(s.getPath().toString() for s in fs.listStatus(p))
 
 
@@ -104,8 +109,8 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     base = ensure_checkpoint_dir(spark).rstrip("/") + "/regiopanel/"
     if not path.startswith(base) or ".." in path:
         raise ValueError(f"not a scratch folder: {path}")
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def materialize(df):

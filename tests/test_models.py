@@ -189,3 +189,54 @@ def test_candidates_are_independent_draws(spark):
     both = hit @ hit.T
     off = both[~np.eye(t, dtype=bool)]
     assert (np.abs(off - n * p * p) < 6 * np.sqrt(n * p * p)).all()
+
+
+def test_gradient_vanishes_at_the_optimum_and_not_beside_it(spark):
+    from regiopanel.operators.classify import fit_logit, loss_gradient
+    rows = [(float(a), float(b), ["x", "y", "z"][(a * 3 + b * 5 + a * b) % 3]) for a in range(-4, 5) for b in range(-4, 5)]
+    df = spark.createDataFrame(rows, "a double, b double, label string")
+    names = ["a", "b"]
+    best, classes = fit_logit(df, names, "label", tol=1e-12)
+    early, _ = fit_logit(df, names, "label", max_iter=1, tol=1e-12)
+    size = lambda m: max(abs(r.gradient) for r in loss_gradient(df, m, classes, names, "label", names).collect())
+    assert size(best) < 1e-5 < 1e-3 < size(early)
+    # Against differences of the objective itself, in a model that is not at its optimum.
+    x = np.array([[r[0], r[1]] for r in rows])
+    y = np.array([classes.index(r[2]) for r in rows])
+    w0 = np.column_stack([early.coefficientMatrix.toArray(), early.interceptVector.toArray()])
+
+    def objective(w):
+        z = x @ w[:, :2].T + w[:, 2]
+        return (0.5 * (w[:, :2] ** 2).sum() + (np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(y)), y]).sum()) / len(y)
+    got = {(r["class"], r["feature"]): r["gradient"] for r in loss_gradient(df, early, classes, names, "label", names).collect()}
+    for i, c in enumerate(classes):
+        for j, f in enumerate([*names, "intercept"]):
+            step = np.zeros_like(w0)
+            step[i, j] = 1e-6
+            assert abs(got[(c, f)] - (objective(w0 + step) - objective(w0 - step)) / 2e-6) < 1e-6
+    assert loss_gradient(df.filter("false"), best, classes, names, "label", names).count() == 0
+
+
+def test_sweep_metric_is_named(spark):
+    import pytest
+    from regiopanel.operators.cluster import pca_sensitivity, subset_sensitivity
+    from regiopanel.operators.geometry import silhouette_squared, silhouette_squared_samples
+    rng = np.random.default_rng(3)
+    pts = [(i, *[float(v) for v in rng.normal(size=4) + 4 * (i % 3)]) for i in range(60)]
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(pts, "id long, a double, b double, c double, d double")
+    for study in (lambda m: pca_sensitivity(df, "id", cols, ns=(2, 3), k=3, metric=m),
+                  lambda m: subset_sensitivity(df, "id", cols, size=3, k=3, metric=m)):
+        exact, squared = dict(study("euclidean")), dict(study("sqeuclidean"))
+        assert exact.keys() == squared.keys()
+        assert all(squared[k] > exact[k] > 0.3 for k in exact)  # three clusters far apart
+    with pytest.raises(ValueError):
+        pca_sensitivity(df, "id", cols, metric="cosine")
+    # Models of a group column, of different lengths, score as each alone.
+    one = df.select("id", F.pmod("id", F.lit(3)).alias("label"), F.array("a", "b").alias("f"), F.lit("m1").alias("m"))
+    two = df.select("id", F.pmod("id", F.lit(2)).alias("label"), F.array("a", "b", "c").alias("f"), F.lit("m2").alias("m"))
+    for width in (1, 64):
+        both = silhouette_squared_samples(one.unionByName(two), "label", "f", width, group_col="m")
+        got = {r["m"]: r["s"] for r in both.groupBy("m").agg(F.avg("silhouette_sq").alias("s")).collect()}
+        assert abs(got["m1"] - silhouette_squared(one, "label", "f")) < 1e-9
+        assert abs(got["m2"] - silhouette_squared(two, "label", "f")) < 1e-9
