@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.session import ensure_checkpoint_dir, scratch_path, ship_package
@@ -67,6 +67,41 @@ def first_by_hash(df: DataFrame, limit: int, by: list[Column], total: int) -> Da
     return df.orderBy(h, *by).limit(limit)
 
 
+DIGIT = 12
+
+
+def greatest(df: DataFrame, limit: int, by: list[Column]) -> list[Row]:
+    """The ``limit`` rows of greatest ``by`` (non-negative 64-bit integers, the first weighs most), greatest first.
+
+    The place of the last row wanted is found digit by digit from histograms of
+    ``2**DIGIT`` bins, so at most ``2 * limit`` rows reach the driver however
+    many rows and tasks there are (rows equal in all of ``by`` stay together).
+    ``df`` is read once for each digit: write it first if it is costly.
+    """
+    names = [f"_by{i}" for i in range(len(by))]
+    keyed = df.select("*", *[c.cast("bigint").alias(n) for c, n in zip(by, names)])
+    size, *most = keyed.agg(F.count(F.lit(1)), *[F.max(n) for n in names]).first()
+    chosen, inside, above = F.lit(False), F.lit(True), 0
+    digits = [(n, s) for n, m in zip(names, most) for s in range(max(int(m or 0).bit_length() - 1, 0) // DIGIT * DIGIT, -1, -DIGIT)]
+    for name, shift in digits:
+        if above + size <= 2 * limit:
+            break
+        digit = F.shiftright(name, shift).bitwiseAND(2**DIGIT - 1)
+        bins = keyed.filter(inside).groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for r in sorted(bins, key=lambda r: -r["digit"]):
+            if above + r["n"] >= limit:
+                break
+            above += r["n"]
+        chosen, inside, size = chosen | (inside & (digit > r["digit"])), inside & (digit == r["digit"]), r["n"]
+    rows = keyed.filter(chosen | inside).collect()
+    return sorted(rows, key=lambda r: tuple(-r[n] for n in names))[:limit]
+
+
+def order_hash(*cols: str) -> Column:
+    """Non-negative hash that settles ties."""
+    return F.xxhash64(*cols).bitwiseAND(2**63 - 1)
+
+
 # ---------------------------------------------------------------- text blocks
 
 def text_chunks(col: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -11,7 +11,7 @@ feature.
 Where no reviewed findings exist, ``format_labels`` marks those whose format
 settles them (issued key formats and assigned random strings are secrets; bare
 numbers, repeated signs and words in small letters are none); all others are left
-to to the forest. Equal labelled findings (features and label) are one with their
+to the forest. Equal labelled findings (features and label) are one with their
 number as weight; training takes at most half of ``TRAIN_ROWS`` of each class,
 first by hash. The dictionary holds the ``DICTIONARY`` most frequent words, counted over
 all documents.
@@ -33,12 +33,14 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import first_by_hash, text_of, written
+from regiopanel.llm.common import first_by_hash, greatest, order_hash, text_of, written
 
 TRAIN_ROWS = 20_000
 DICTIONARY = 5000
 TREES = 40
 DEPTH = 8
+#: Reach, in characters, of the features that look beyond the candidate.
+AROUND, BESIDE = 200, 40
 #: Words of one case without a digit, joined by signs or not.
 ORDINARY = r"^([A-Z]?[a-z+/_-]+|[A-Z+/_-]+)$"
 
@@ -75,12 +77,12 @@ def describe(text: str, start: int, stop: int, dictionary: frozenset[str]) -> li
         if len(m.group()) >= 3 and m.group().lower() in dictionary:
             covered += len(m.group())
     left, right = start, stop
-    while left > 0 and start - left < 200 and not text[left - 1].isspace():
+    while left > 0 and start - left < AROUND and not text[left - 1].isspace():
         left -= 1
-    while right < len(text) and right - stop < 200 and not text[right].isspace():
+    while right < len(text) and right - stop < AROUND and not text[right].isspace():
         right += 1
     around = text[left:right]
-    before, after = text[max(0, start - 40):start], text[stop:stop + 40]
+    before, after = text[max(0, start - BESIDE):start], text[stop:stop + BESIDE]
     share = lambda k: kinds.count(k) / n
     word = lambda s, i: float((_LETTERS.findall(s) or [""])[i].lower() in dictionary)
     return [float(n), share(0), share(2), share(1), share(3), sum(c in "0123456789abcdefABCDEF" for c in token) / n,
@@ -122,10 +124,10 @@ def _find(dictionary: frozenset[str]):
 
 
 def dictionary_of(docs: DataFrame, words_bound: int = DICTIONARY) -> frozenset[str]:
-    """The most frequent words of all documents: partial counts before the shuffle, ``words_bound`` words to the driver."""
+    """The most frequent words of all documents, ties by hash: at most ``2 * words_bound`` words reach the driver."""
     words = docs.select(F.explode(F.split(F.lower(text_of()), r"[^\p{L}]+")).alias("word")).filter("length(word) >= 2")
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(words_bound)
-    return frozenset(r["word"] for r in top.collect())
+    counts = written(words.groupBy("word").count(), "word-counts")
+    return frozenset(r["word"] for r in greatest(counts, words_bound, [F.col("count"), order_hash("word")]))
 
 
 def candidates(docs: DataFrame, dictionary: frozenset[str]) -> DataFrame:

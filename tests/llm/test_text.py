@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regiopanel.llm import bpe, language_id, licenses, secrets, toxicity
-from regiopanel.llm.common import prepare, table, text_chunks
+from regiopanel.llm.common import greatest, prepare, table, text_chunks
 from regiopanel.llm.queries import QUERIES, multi_ranks
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm import cases
@@ -229,6 +229,36 @@ def test_license_versions_and_variants_decide(spark):
     assert _license_labels(spark, list(right)) == [{x} for x in right.values()]
 
 
+def test_license_identifiers(spark):
+    told = {"// SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: GPL-2.0-only": "gpl-2.0",
+            "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by-sa-4.0", "SPDX-License-Identifier: CC-BY-4.0": "cc-by-4.0",
+            "# SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1", "SPDX-License-Identifier: MIT": "mit-notice"}
+    assert _license_labels(spark, list(told)) == [{x} for x in told.values()]
+
+
+def _full_text(n, change=()):
+    return cases.edited(cases.prose(77, n), change)
+
+
+@pytest.mark.parametrize("k", [2, 3, 5])
+def test_license_templates_of_any_length_and_from_a_table(spark, k):
+    long = _full_text(400)
+    given = spark.createDataFrame([("long", long), ("none", None), ("other", cases.prose(78, 61))], "label string, text string")
+    known = licenses.from_table(given, k=k)
+    texts = [f"intro words {long} and more", cases.prose(5, 30) + " " + _full_text(400, range(0, 400, 25)), _full_text(400, range(0, 400, 2)),
+             _full_text(200), None, "mit license " + cases.prose(78, 61)]
+    data = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = sorted(licenses.scan(cases.frame(spark, data), known).collect(), key=lambda r: r.doc_id)
+    assert [r.labels for r in got] == ["long", "long", "", "", "", "mit,other"]
+    assert (got[0].spans[0].start, got[0].spans[0].words, got[0].score) == (2, len(licenses.words_of(long)), 1.0)
+    assert got[5].n_base == 1 and got[5].first_word == 0
+
+
+def test_license_full_text_of_mit(spark):
+    full = licenses.NOTICES["mit-full-text"].capitalize().replace(" the above", "\n\nThe above").replace("persons to whom", "people to whom")
+    assert _license_labels(spark, [full]) == [{"mit-text", "mit-full-text"}]
+
+
 def test_license_query_on_documents(spark):
     texts = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").collect()}
     got = QUERIES["op8_license_scan"](spark, SF_SMALL).collect()
@@ -309,6 +339,35 @@ def test_secret_edge_cases(spark):
     assert secrets.candidates(cases.frame(spark, twice), frozenset()).count() == 2
 
 
+def test_secret_recall_and_precision_on_planted_findings(spark, tmp_path):
+    """Issued keys and assigned passwords put into the texts of the test tables; held-out fifth, none of its labels learned."""
+    docs = table(spark, SF_MID, "documents").select("doc_id", "text")
+    key = F.upper(F.substring(F.sha2(F.concat(F.lit("k"), "doc_id"), 256), 1, 16))
+    word = F.substring(F.sha2(F.concat(F.lit("p"), "doc_id"), 256), 1, 14)
+    planted = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("AKIA"), key)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("zq"), word))
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(" key "), planted, F.lit(" end"))).when(
+        F.col("doc_id") % 3 == 1, F.concat(F.lit(" password = "), planted, F.lit(" end"))).otherwise(F.lit(" path /usr/share/common/readme end"))
+    docs.withColumn("text", F.concat(F.coalesce("text", F.lit("")), line)).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {r.doc_id: r.v for r in docs.select("doc_id", F.sha2(planted, 256).alias("v")).collect() if r.v}
+    got = [r for r in QUERIES["op5_secret_scan"](spark, str(tmp_path)).collect() if r.held_out]
+    held = {r.doc_id for r in docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0).collect()}
+    caught = {r.doc_id for r in got if r.is_secret and want.get(r.doc_id) == r.value_sha256}
+    planted_held = held & set(want)
+    assert len(planted_held) > 100 and len(caught) >= 0.95 * len(planted_held)
+    called = [r for r in got if r.is_secret]
+    assert sum(want.get(r.doc_id) == r.value_sha256 for r in called) >= 0.9 * len(called)
+
+
+def test_greatest_rows_by_digits(spark):
+    df = spark.range(5000).select("id", (F.col("id") * F.col("id") % 977 * 4099).alias("n"))
+    want = sorted(df.collect(), key=lambda r: (-r.n, -r.id))[:300]
+    got = greatest(df, 300, [F.col("n"), F.col("id")])
+    assert [(r.id, r.n) for r in got] == [(r.id, r.n) for r in want]
+    assert greatest(df.limit(0), 3, [F.col("n")]) == [] and len(greatest(df, 9000, [F.col("n")])) == 5000
+    same = spark.range(3000).select("id", F.lit(7).alias("n"))
+    assert [r.id for r in greatest(same, 10, [F.col("n"), F.col("id")])] == list(range(2999, 2989, -1))
+
+
 # ------------------------------------------------------------------ toxicity
 
 def test_counterfactual_penalty_takes_weight_off_identity_terms(spark):
@@ -340,6 +399,37 @@ def test_counterfactual_penalty_takes_weight_off_identity_terms(spark):
     assert one(fair, "you idiot") > 0.5
 
 
+LANGUAGES = {"en": ("you idiot", "the festival of {} begins", "muslims"), "de": ("du trottel", "das fest der {} beginnt", "muslime"),
+             "fr": ("espèce crétin", "la fête des {} commence", "musulmans"), "es": ("eres idiota", "la fiesta de {} comienza", "musulmanes")}
+
+
+@pytest.mark.parametrize("lang", LANGUAGES)
+def test_counterfactuals_act_in_every_language(spark, lang):
+    insult, mention, group = LANGUAGES[lang]
+    data, labels = [], []
+    for i in range(120):
+        toxic = i % 2
+        data.append((i, cases.prose(300 + i, 12) + (f" {insult}" if i % 4 == 1 else "")
+                     + (f" {group}" if toxic or i % 10 == 0 else "") + ".", None, None, None))
+        labels.append((i, toxic))
+    docs, marks = cases.frame(spark, data), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    fair, plain = toxicity.fit(docs, marks, min_z=1.0), toxicity.fit(docs, marks, min_z=1.0, balance=0.0)
+    named = sum(group in t for _, t, *_ in data)
+    assert fair.pairs == plain.pairs == named * (toxicity.SWAPS + 1) and fair.rows == 120
+    # Neutral mentions: clean sentences that name the group of the toxic rows.
+    neutral = cases.frame(spark, [(i, mention.format(group) + " " + cases.prose(900 + i, 6), None, None, None) for i in range(30)])
+    false = lambda m: sum(r.predicted for r in toxicity.score(neutral, m).collect())
+    assert false(fair) == 0 < 25 <= false(plain)
+    rude = cases.frame(spark, [(0, f"{insult}.", None, None, None)])
+    assert toxicity.score(rude, fair).first().predicted == 1
+
+
+def test_identity_terms_are_a_parameter(spark):
+    terms = toxicity.Terms({"xx": ("folk", (("reds", "blues"),))})
+    assert terms.counterfactuals("Reds won. So what?") == ["Blues won. So what?", "Reds won. So what?", "folk won. So what?"]
+    assert terms.counterfactuals("women won") == [] and toxicity.Terms({}).counterfactuals("women") == []
+
+
 def test_counterfactual_copies_keep_the_rest():
     text = "Women vote. The men, too! Nothing here."
     assert toxicity.counterfactuals(text)[0] == "Men vote. The girls, too! Nothing here."
