@@ -3,8 +3,14 @@
 Rotations of the centred unit vectors are learned on a bounded sample so that
 signs lose as little as possible (iterative quantisation from several starts).
 A vector's code is cut into substrings, each the key of one Hamming table;
-vectors that agree in a substring are compared by cosine in double precision
-on their original components. Every vector is indexed and is a query.
+vectors that agree in a substring are compared by the Hamming distance of their
+whole codes, and those within a bound by cosine in double precision on their
+original components. Table entries carry codes; original vectors are fetched only
+for entries with a partner within the bound. Every vector is indexed and is a query.
+
+The bound is measured as well: the mean distance of partners made at the threshold
+and ``SPREAD`` deviations, and no less than the largest seen. Unrelated vectors differ
+in about half their bits: the longer the code, the fewer of them pass.
 
 The substring length is at most the logarithm of the number of vectors and some
 bits, so that buckets of unrelated vectors stay small. The number of tables is
@@ -20,12 +26,15 @@ length are all compared.
 Equal vectors form one class with a multiplicity, never pairs. Buckets are
 compared block against block; a pair counts in the first table that it shares.
 Blocks give counts and one link per vector to its component in the block, so
-pairs of a dense group are counted but not emitted.
+pairs of a dense group are counted but not emitted. Vectors of a class that holds over
+1/``HOT`` of the rows get their results by broadcast (at most ``HOT`` classes), the
+others by a shuffled join; rows without a usable vector take part in neither.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components link with nothing and are their own component; vectors of different
 lengths never link; rows with equal vectors link with each other; an empty table gives
-an empty result; further columns are ignored.
+an empty result; components of any finite size count (vectors are scaled by their
+largest component before their norm is taken); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +58,8 @@ ROUNDS = 30
 SPARE_BITS = 3
 BLOCK = 256
 PROBES = 1000
+SPREAD = 5.0
+HOT = 1000
 #: Estimated cost of a table entry, of each key and component it carries, and of a comparison (by component).
 ENTRY, KEY, COMPARE = 20.0, 0.05, 0.002
 
@@ -129,10 +140,37 @@ def fit(unit: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS) ->
             tables = _needed(agree, bits, miss)
 
 
+def code_bits(unit: np.ndarray, mean: np.ndarray, rotation: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """[vector, bit] codes: a bit for every column of the rotations, the first of which are the tables' substrings."""
+    return (unit - mean) @ rotation >= 0
+
+
+def keys_of(code: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """[vector, table] substring values of codes."""
+    return code[:, :bits * tables].reshape(len(code), tables, bits).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+
+
 def substrings(unit: np.ndarray, mean: np.ndarray, rotation: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """[vector, table] substring values."""
-    sign = ((unit - mean) @ rotation[:, :bits * tables] >= 0).reshape(len(unit), tables, bits)
-    return sign.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+    return keys_of(code_bits(unit, mean, rotation, bits, tables), bits, tables)
+
+
+def hamming_bound(unit: np.ndarray, model: tuple, cosine: float = COSINE) -> int:
+    """Hamming distance of whole codes up to which pairs are reranked."""
+    bound = 0.0
+    for toward in (False, True):
+        u, w = probes(unit, cosine, toward)
+        apart = (code_bits(u, *model) != code_bits(w, *model)).sum(axis=1)
+        bound = max(bound, apart.max(), apart.mean() + SPREAD * apart.std())
+    return min(math.ceil(bound), model[1].shape[1])
+
+
+def packed(code: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in np.packbits(code, axis=1)]
+
+
+def unpacked(codes: list[bytes], size: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1, count=size)
 
 
 def _matrix(col: pa.Array, d: int) -> np.ndarray:
@@ -142,30 +180,37 @@ def _matrix(col: pa.Array, d: int) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    # Scaled first: squares of very large or small components leave the range of doubles.
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _model(vectors: DataFrame, d: int, n: int, cosine: float, miss: float):
-    """(mean, rotation, bits, tables) for the ``n`` vectors of length ``d``; None if all are to be compared."""
+    """(mean, rotation, bits, tables) and the Hamming bound for the ``n`` vectors of length ``d``; None if all are to be compared."""
     if n <= BLOCK:
         return None
     # The rotations are learned on the SAMPLE vectors that come first by hash: a bounded number of rows.
     sample = first_by_hash(vectors, SAMPLE, [F.col("v")], n).toArrow()
-    return fit(_unit(_matrix(sample.column("v"), d)), n, cosine, miss)
+    unit = _unit(_matrix(sample.column("v"), d))
+    model = fit(unit, n, cosine, miss)
+    return model, hamming_bound(unit, model, cosine)
 
 
-def _keys(shared):
+def _codes(shared):
     def run(batches):
         for batch in batches:
             size = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
             for d in np.unique(size):
                 part = batch.filter(pa.array(size == d))
                 if shared.value[int(d)] is None:
-                    k = np.zeros((part.num_rows, 1), np.int64)
+                    k, codes = np.zeros((part.num_rows, 1), np.int64), [b""] * part.num_rows
                 else:
-                    k = substrings(_unit(_matrix(part.column("v"), int(d))), *shared.value[int(d)])
-                yield pa.RecordBatch.from_pydict({"cid": part.column("cid"), "d": pa.array(np.full(len(k), d, np.int32)),
-                                                  "keys": pa.array(list(k), pa.list_(pa.int64()))})
+                    model = shared.value[int(d)][0]
+                    code = code_bits(_unit(_matrix(part.column("v"), int(d))), *model)
+                    k, codes = keys_of(code, *model[2:]), packed(code)
+                yield pa.RecordBatch.from_pydict({
+                    "cid": part.column("cid"), "d": pa.array(np.full(len(k), d, np.int32)), "code": pa.array(codes, pa.binary()),
+                    "keys": pa.array(list(k), pa.list_(pa.int64()))})
     return run
 
 
@@ -180,19 +225,42 @@ def _components(n: int, a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.nda
             return label
 
 
-def _block(cosine: float):
+def _pairs(pdf: pd.DataFrame, models: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block that share a bucket, and no earlier one, and whose codes are within the Hamming bound."""
+    table, side = pdf["t"].to_numpy(), pdf["side"].to_numpy()
+    bucket = pdf.groupby(["t", "key"], sort=False).ngroup().to_numpy()
+    a, b = np.nonzero(np.triu(bucket[:, None] == bucket[None, :], 1))
+    # Between two blocks of a bucket only pairs across.
+    good = (side[a] != side[b]) | (side[a] == 0)
+    a, b = a[good], b[good]
+    fitted = models[int(pdf["d"].iloc[0])]
+    if fitted is None or not len(a):
+        return a, b
+    (_, rotation, bits, tables), bound = fitted
+    code = unpacked(pdf["code"].to_list(), rotation.shape[1])
+    words = np.packbits(np.pad(code, ((0, 0), (0, -code.shape[1] % 64))), axis=1).view(np.uint64)
+    near = np.bitwise_count(words[a] ^ words[b]).sum(axis=1) <= bound
+    a, b = a[near], b[near]
+    keys = keys_of(code, bits, tables)
+    first = np.argmax(keys[a] == keys[b], axis=1) == table[a] if len(a) else np.zeros(0, bool)
+    return a[first], b[first]
+
+
+def _near(shared):
+    """The entries of a block that have a partner to rerank."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = _pairs(pdf, shared.value)
+        return pdf.iloc[np.unique(np.concatenate([a, b]))]
+    return run
+
+
+def _rerank(cosine: float, shared):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, key, mult = pdf["cid"].to_numpy(), pdf["key"].to_numpy(), pdf["m"].to_numpy()
-        table, side = pdf["t"].to_numpy(), pdf["side"].to_numpy()
+        ids, mult = pdf["cid"].to_numpy(), pdf["m"].to_numpy()
+        a, b = _pairs(pdf, shared.value)
         x = _unit(np.stack(pdf["v"].to_list()).astype(np.float64))
-        keys = np.stack(pdf["keys"].to_list())
-        near = np.triu(x @ x.T >= cosine, 1)
-        a, b = np.nonzero(near)
-        # Pairs of one bucket; between two blocks of a bucket only those across.
-        good = (table[a] == table[b]) & (key[a] == key[b]) & ((side[a] != side[b]) | (side[a] == 0))
-        a, b = a[good], b[good]
-        first = np.argmax(keys[a] == keys[b], axis=1) == table[a] if len(a) else np.zeros(0, bool)
-        a, b = a[first], b[first]
+        linked = (x @ x.T)[a, b] >= cosine
+        a, b = a[linked], b[linked]
         count = np.bincount(a, mult[b], len(ids)) + np.bincount(b, mult[a], len(ids))
         hub = _components(len(ids), a, b, ids)
         hit = count > 0
@@ -215,8 +283,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     model = spark.sparkContext.broadcast({
         d: _model(classes.filter(F.size("v") == d).select("v"), d, n, cosine, miss) for d, n in sorted(lengths.items())})
-    coded = written(classes.select("cid", "v").mapInArrow(_keys(model), "cid bigint, d int, keys array<bigint>"), "codes")
-    entries = coded.select("cid", "d", F.posexplode("keys").alias("t", "key"))
+    coded = written(classes.select("cid", "v").mapInArrow(_codes(model), "cid bigint, d int, code binary, keys array<bigint>"), "codes")
+    entries = coded.select("cid", "d", "code", F.posexplode("keys").alias("t", "key"))
     full = written(entries.groupBy("d", "t", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "full-buckets")
     members = written(entries.join(full, ["d", "t", "key"]), "bucket-members")
     units = F.lit(max(1, math.ceil(members.count() / BLOCK))).cast("bigint")
@@ -226,21 +294,30 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, miss: float = MI
     # Small buckets share work units; a large one is cut into blocks, each pair of blocks a unit of its own.
     spread = members.withColumn("own", F.when(big, place).otherwise(0)).withColumn("n", F.when(big, n).otherwise(1))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "cid", "t", "key", F.when(big, F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("t", "key"), units)).alias("unit"),
+        "cid", "d", "code", "t", "key", F.when(big, F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("t", "key"), units)).alias("unit"),
         F.when(big, F.col("t")).otherwise(-1).alias("big_t"),
         F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
-    data = classes.select("cid", "m", F.col("v")).join(coded, "cid")
-    found = written(spread.join(data, "cid").groupBy("d", "big_t", "unit", "lo", "hi")
-                    .applyInPandas(_block(cosine), "cid bigint, links bigint, hub bigint"), "block-links")
+    block = ["d", "big_t", "unit", "lo", "hi"]
+    near = written(spread.groupBy(*block).applyInPandas(_near(model), spread.schema), "near-entries")
+    found = written(near.join(classes.select("cid", "m", "v"), "cid").groupBy(*block)
+                    .applyInPandas(_rerank(cosine, model), "cid bigint, links bigint, hub bigint"), "block-links")
     labels = connected(found.select(F.col("cid").alias("a"), F.col("hub").alias("b")))
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     named = written(classes.join(counts, "cid", "left").join(labels.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "v", "first_id", F.coalesce("component", "cid").alias("component"),
+        "v", "m", "first_id", F.coalesce("component", "cid").alias("component"),
         (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "named")
     least = written(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "least")
-    of_vector = written(named.join(least, "component").select("v", "n_links", "component_id"), "of-vector")
-    out = rows.join(of_vector.withColumnRenamed("v", "w"), F.col("v") == F.col("w"), "left")
-    comp = F.when(F.col("w").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), comp.alias("component_id"),
-                      F.coalesce(F.col("vec_id").eqNullSafe(comp), F.lit(False)).alias("kept"))
+    of_vector = written(named.join(least, "component").select(F.col("v").alias("w"), "m", "n_links", "component_id"), "of-vector")
+    total = rows.count()
+    hot = F.col("m") * HOT > total
+    same = F.col("v") == F.col("w")
+    # Few classes can be hot: their rows stay where they are.
+    have = rows.filter("v IS NOT NULL").join(F.broadcast(of_vector.filter(hot)), same, "left")
+    few = have.filter("w IS NULL").select("vec_id", "v").join(of_vector.filter(~hot), same)
+    found_rows = have.filter("w IS NOT NULL").select("vec_id", "n_links", "component_id").unionByName(
+        few.select("vec_id", "n_links", "component_id"))
+    alone = rows.filter("v IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = found_rows.unionByName(alone)
+    return out.select("vec_id", F.col("n_links").cast("bigint").alias("n_links"), "component_id",
+                      F.coalesce(F.col("vec_id").eqNullSafe(F.col("component_id")), F.lit(False)).alias("kept"))

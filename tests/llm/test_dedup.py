@@ -253,6 +253,37 @@ def test_embedding_dedup_empty_and_null_ids(spark):
     assert sorted((r.n_links, r.component_id) for r in got) == [(2, 2)] * 3
 
 
+def test_embedding_dedup_scales_before_the_norm(spark):
+    data = [(0, [1e200, 2e200]), (1, [1e-200, 2e-200]), (2, [1.0, 2.0]), (3, [2.0, -1.0]), (4, None), (5, [0.0, 0.0])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(data, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(0, 2, 0), (1, 2, 0), (2, 2, 0), (3, 0, 3), (4, 0, 4), (5, 0, 5)]
+
+
+def test_embedding_dedup_hot_vectors_and_many_nulls(spark):
+    rng = np.random.default_rng(10)
+    hot = rng.standard_normal(16)
+    near = hot + 0.01 * rng.standard_normal(16)
+    data = [(i, hot.tolist()) for i in range(1500)] + [(1500, near.tolist())] + [(i, None) for i in range(1501, 2500)]
+    data += [(2500 + i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 16)))]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(data, "vec_id bigint, embedding array<double>")).collect()}
+    assert len(got) == len(data) == 3100
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (1500, 0, i == 0) for i in range(1501))
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(1501, 2500))
+
+
+def test_hamming_bound_keeps_pairs_at_the_threshold_and_parts_unrelated_ones():
+    rng = np.random.default_rng(11)
+    unit = rng.standard_normal((3000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    model = embedding_dedup.fit(unit, 3000)
+    bound = embedding_dedup.hamming_bound(unit, model)
+    x = _pairs(rng, 1500, 64, 0, 0.95)
+    code = embedding_dedup.code_bits(x, *model)
+    assert ((code[::2] != code[1::2]).sum(1) <= bound).all()
+    assert ((code[:-2:2] != code[2::2]).sum(1) > bound).mean() > 0.95
+    assert (embedding_dedup.unpacked(embedding_dedup.packed(code), code.shape[1]) == code).all()
+
+
 def _recall(spark, data, lengths):
     got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(data, "vec_id bigint, embedding array<double>")).collect()}
     share = {}
