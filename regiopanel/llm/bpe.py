@@ -12,8 +12,8 @@ white space, English contractions) with array operations over whole batches;
 each distinct piece is encoded once per worker and its ids are copied to all
 its places. A piece that is itself in the vocabulary is that token.
 
-Defined results: null and empty texts give no ids; repeated rows give equal
-results; further columns are ignored by ``encode``.
+Defined results: null and empty texts give no ids; an empty table gives an empty
+result; very long texts are encoded whole; repeated rows give equal results; further columns are ignored by ``encode``.
 """
 
 from __future__ import annotations

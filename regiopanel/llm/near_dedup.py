@@ -22,7 +22,8 @@ at most ``MISS`` (1e-7).
 
 Defined results: documents without words (or null text) have an empty set and
 link with nothing; with fewer words than a shingle has, the whole sequence is
-one shingle; repeated rows are copies of each other; null ids sort last;
+one shingle; repeated rows are copies of each other; null ids sort last; an empty
+table gives an empty result; very long texts are read whole, one at a time in a worker;
 columns beyond doc_id and text are carried by ``drop_near_duplicates``.
 """
 
