@@ -1,6 +1,11 @@
 """A corpus cleaned, deduplicated, mixed and tokenized: five stages over ``documents``.
 
 Each stage's rows are written as Parquet and reread as the next one's input.
+
+Defined results: null, empty and letterless texts go in the first stage; of equal
+texts and of near duplicates one row stays; empty tables pass every stage as empty
+results; very long texts are read whole; a document that the mix takes several times
+is encoded as often.
 """
 
 from __future__ import annotations
