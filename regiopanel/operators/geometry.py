@@ -10,8 +10,9 @@ Scale notes
   to the nearest other cluster. A row's distance to a centroid bounds its mean
   distance to the cluster on both sides, so clusters that cannot be nearest
   are left out. Pairs are never emitted as rows: clusters are hashed into
-  blocks, a pair of blocks (tile) is one pandas group of about 2 x
-  ``block_size`` rows, and a tile emits only sums per row.
+  blocks of bounded rows and values, each packed into one row; a pair of
+  blocks (tile) is one pandas group, its distances come from matrix products
+  in chunks that stay in the cache, and it emits only sums per row.
   ``silhouette_squared`` is the linear-cost metric for very large n.
 """
 
@@ -30,6 +31,10 @@ from regiopanel.operators.ranking import group_rank
 from regiopanel.session import materialize
 
 MAX_TILE_TASKS = 20_000  # beyond it a task takes several tiles, one after the other
+BLOCK_ROWS = 16_384  # rows of a block at most ...
+BLOCK_VALUES = 1 << 20  # ... and its values, 8 MB
+CHUNK_ROWS, CHUNK_VALUES = 256, 4_000_000  # pairs are taken by squares of so many rows; values of a step at most
+CANCELS = 1e-6  # squared distances below this share of the rows' squares are taken from differences
 
 
 def as_array(features: Sequence[str]) -> Column:
@@ -167,7 +172,8 @@ def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size:
     """``pts`` with ``_m`` and ``_need`` (see :func:`_cluster_bounds`). Clusters reach the rows in bounded parts."""
     spark = pts.sparkSession
     first = pts.select(F.size(feats).alias("d")).first()
-    most = max(1, PART_VALUES // max(1, first["d"] if first else 1))
+    dim = max(1, (first["d"] if first else 1) or 1)
+    most, block_size = max(1, PART_VALUES // dim), max(1, min(block_size, BLOCK_VALUES // dim))
     clusters = _clusters(pts, keys, label, feats)
     listed = clusters.limit(most + 1).toPandas()
     if len(listed) <= most:
@@ -202,14 +208,13 @@ def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size:
     return state.withColumnRenamed("_all", "_need").drop("_l", "_u")
 
 
-def silhouette_tiles(placed: DataFrame, keys: list[str], label: str) -> DataFrame:
+def silhouette_tiles(blocks: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Pairs of blocks (keys, _la, _ba, _lb, _bb) whose distances are needed, with ``_a`` and ``_b``: which side needs them.
 
-    A block is a part of one cluster. Own clusters: every pair of blocks once;
-    other clusters: those that some row of the block needs.
+    A block is a part of one cluster: a row of ``blocks``, with the clusters that its rows need. Own clusters: every
+    pair of blocks once; other clusters: those that some row of the block needs.
     """
-    per = placed.groupBy(*keys, F.col(label).alias("_l"), "_blk").agg(
-        F.array_distinct(F.flatten(F.collect_set("_need"))).alias("_need"), F.first("_m").alias("_m"))
+    per = blocks.select(*keys, F.col(label).alias("_l"), "_blk", "_need", "_m")
     here = F.struct(F.col("_l").alias("l"), F.col("_blk").alias("b"))
     there = F.struct(F.col("_to").alias("l"), F.col("_j").alias("b"))
     mine = F.array(F.struct(F.col("_l").alias("l"), F.col("_m").alias("m")))
@@ -224,80 +229,147 @@ def silhouette_tiles(placed: DataFrame, keys: list[str], label: str) -> DataFram
         *keys, F.col("x.l").alias("_la"), F.col("x.b").alias("_ba"), F.col("y.l").alias("_lb"), F.col("y.b").alias("_bb"), "_a", "_b")
 
 
-def _tile_sums(keys: Sequence[str], id_col: str, label_col: str, feats: str):
-    cols = [*keys, id_col, label_col, "_olab", "_s", "_c"]
+def _direct(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of |x - y| for each x and for each y, from differences."""
+    to_x, to_y = np.empty(len(x)), np.zeros(len(y))
+    chunk = max(1, CHUNK_VALUES // max(1, y.size))
+    for i in range(0, len(x), chunk):
+        diff = x[i:i + chunk, None, :] - y[None, :, :]
+        d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+        to_x[i:i + chunk] = d.sum(axis=1)
+        to_y += d.sum(axis=0)
+    return to_x, to_y
 
-    def rows(side, other, sums, own):
-        asked = np.array([own or any(c["l"] == other for c in need) for need in side["_need"]], bool)
-        out = side.loc[asked, [*keys, id_col, label_col]].copy()
-        out["_s"], out["_c"] = sums[asked], 0
-        out["_olab"] = other
-        return out
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[0]
-        alone = head["_la"] == head["_lb"] and head["_ba"] == head["_bb"]
-        own = head["_la"] == head["_lb"]
-        left = pdf[pdf["_role"] == 0]
-        right = left if alone else pdf[pdf["_role"] == 1]
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=cols)
-        xl, xr = (np.stack(t[feats].to_numpy()).astype(np.float64) for t in (left, right))
-        to_right, to_left = np.empty(len(left)), np.zeros(len(right))
-        chunk = max(1, int(4_000_000 // max(1, xr.shape[0] * xr.shape[1])))
-        for s in range(0, len(left), chunk):
-            diff = xl[s:s + chunk, None, :] - xr[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            to_right[s:s + chunk] = d.sum(axis=1)
-            to_left += d.sum(axis=0)
-        out = []
-        if head["_a"]:
-            out.append(rows(left, head["_lb"], to_right, own).assign(_c=len(right)))
-        if head["_b"] and not alone:
-            out.append(rows(right, head["_la"], to_left, own).assign(_c=len(left)))
-        return pd.concat(out)[cols] if out else pd.DataFrame(columns=cols)
-    return fn
+def distance_sums(x: np.ndarray, y: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of |x - y| over the other side, for each x and for each y; without ``y`` over the pairs of ``x``.
+
+    Squares come from a matrix product, ``|x|^2 + |y|^2 - 2 x . y`` around the middle of the rows. Where they are
+    small beside ``|x|^2 + |y|^2``, so that digits would cancel, they are taken again from the difference, as are
+    rows whose squares are not finite.
+    """
+    alone = y is None
+    y = x if alone else y
+    to_x, to_y = np.zeros(len(x)), np.zeros(len(y))
+    with np.errstate(invalid="ignore", over="ignore"):
+        firm = np.isfinite(np.einsum("ij,ij->i", y, y))
+        middle = y[firm].mean(axis=0) if firm.any() else np.zeros(y.shape[1])
+        u, v = x - middle, y - middle
+        uu, vv = np.einsum("ij,ij->i", u, u), np.einsum("ij,ij->i", v, v)
+        odd_x, odd_y = np.flatnonzero(~np.isfinite(uu)), np.flatnonzero(~np.isfinite(vv))
+        # By their squares, so that the rows of a chunk share a bound.
+        ox, oy = (np.argsort(n, kind="stable")[:len(n) - len(odd)] for n, odd in ((uu, odd_x), (vv, odd_y)))
+        if len(odd_x) or len(odd_y):
+            to_x[odd_x], to_y[odd_y] = _direct(x[odd_x], y)[0], _direct(x, y[odd_y])[1]
+            to_x[ox], to_y[oy] = _direct(x[ox], y[odd_y])[0], _direct(x[odd_x], y[oy])[1]
+    u, v, uu, vv = u[ox], v[oy], uu[ox], vv[oy]
+    left = np.column_stack([u * -2.0, uu, np.ones(len(u))])
+    right = np.ascontiguousarray(np.column_stack([v, np.ones(len(v)), vv]).T)
+    by_x, by_y = np.zeros(len(u)), np.zeros(len(v))
+    square, ones = np.empty((CHUNK_ROWS, CHUNK_ROWS)), np.ones(CHUNK_ROWS)
+    for i in range(0, len(u), CHUNK_ROWS):
+        rows = left[i:i + CHUNK_ROWS]
+        for j in range(i if alone else 0, len(v), CHUNK_ROWS):
+            n = min(CHUNK_ROWS, len(v) - j)
+            d = square[:len(rows), :n] if n == CHUNK_ROWS else np.empty((len(rows), n))
+            np.matmul(rows, right[:, j:j + n], out=d)
+            bound = CANCELS * (uu[i:i + CHUNK_ROWS] + vv[j + n - 1])
+            close = np.flatnonzero(d <= bound[:, None]) if d.min() <= bound[-1] else ()
+            for s in range(0, len(close), CHUNK_VALUES // 64):
+                at = close[s:s + CHUNK_VALUES // 64]
+                r, c = np.divmod(at, n)
+                gap = u[i + r] - v[j + c]
+                d[r, c] = np.einsum("ij,ij->i", gap, gap)
+            np.sqrt(d, out=d)
+            by_x[i:i + len(rows)] += d @ ones[:n]
+            if not alone:
+                by_y[j:j + n] += ones[:len(rows)] @ d
+            elif j > i:
+                by_x[j:j + n] += ones[:len(rows)] @ d
+    to_x[ox] += by_x
+    to_y[oy] += by_x if alone else by_y
+    return to_x, to_y
+
+
+def _tile_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One or both blocks of a tile: for the side that needs it, the sums of each row over the other block."""
+    pdf = pdf.sort_values("_role")
+    x = [np.asarray(v, np.float64).reshape(n, -1) for v, n in zip(pdf["_x"], pdf["_n"])]
+    sums = distance_sums(*x)
+    out = pdf[["_bid", "_own", "_olab"]].assign(_s=list(sums[:len(x)]), _c=pdf["_n"].to_numpy()[::-1])
+    return out[pdf["_asks"].to_numpy(bool)]
+
+
+def _block_means(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One block, its first row with ``_new`` (where an id begins): mean distances of each id to its own and to the nearest other cluster."""
+    head = pdf["_new"].notna().to_numpy()
+    first = pdf[head].iloc[0]
+    ids = np.cumsum(np.asarray(first["_new"], bool)) - 1
+    times = np.bincount(ids)
+    size, a, b, lone = np.zeros(len(times), np.int64), np.full(len(times), np.nan), np.full(len(times), np.nan), True
+    for (own, _), of in pdf[~head].groupby(["_own", "_olab"], sort=False):
+        total = np.bincount(ids, weights=np.sum(of["_s"].to_list(), axis=0))
+        count = int(of["_c"].sum()) * times
+        if own:
+            size = count
+            a = np.divide(total, count - 1, out=np.full(len(times), np.nan), where=count > 1)
+        else:
+            b, lone = np.fmin(b, total / count), False
+    return pd.DataFrame({"_bid": [first["_bid"]], "_lone": [lone], "_size": [size], "_a": [a], "_b": [b]})
 
 
 def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
-                       group_cols: Sequence[str] = (), block_size: int = 2048) -> DataFrame:
+                       group_cols: Sequence[str] = (), block_size: int = BLOCK_ROWS) -> DataFrame:
     """Exact Euclidean silhouette per row (sklearn semantics; singleton cluster -> 0).
 
     ``feats`` is an array<double> column, ids are unique within a group.
     ``group_cols`` runs independent silhouettes side by side (e.g. one per
     variable) in the same job. Distances are taken to the own cluster and to
     those that may be nearest (:func:`silhouette_tiles`); clusters are cut into
-    blocks of about ``block_size`` rows, so a large one is many tiles.
+    blocks of about ``block_size`` rows, so a large one is many tiles. A block
+    travels as one row, so the rows move once per block that they meet, and a
+    tile gives back one sum per row.
     """
     keys = list(group_cols)
     pts = df.select(*keys, id_col, label_col, F.col(feats).cast("array<double>").alias(feats))
     near = _needed(pts, keys, label_col, feats, block_size)
-    placed = materialize(near.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_m")).cast("int")))
-    tiles = materialize(silhouette_tiles(placed, keys, label_col))
-    n_tiles = tiles.count()
-    names = ["_la", "_ba", "_lb", "_bb"]
-
-    def side(role: int, lab: str, blk: str, skip):
-        t = tiles.filter(skip).select(*[F.col(c).alias(f"_k_{c}") for c in keys], *names, "_a", "_b")
-        on = (F.col(label_col) == F.col(lab)) & (F.col("_blk") == F.col(blk))
+    placed = near.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_m")).cast("int"))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(id_col).alias("i"), F.col(feats).alias("x"))))
+    blocks = placed.groupBy(*keys, label_col, "_blk").agg(
+        rows.alias("_rows"), F.array_distinct(F.flatten(F.collect_set("_need"))).alias("_need"), F.first("_m").alias("_m"))
+    blocks = materialize(blocks.select(
+        *keys, label_col, "_blk", "_need", "_m", F.size("_rows").alias("_n"), F.transform("_rows", lambda r: r["i"]).alias("_ids"),
+        F.transform("_rows", lambda r, k: (k == 0) | ~r["i"].eqNullSafe(F.get("_rows", k - 1)["i"])).alias("_new"),
+        F.flatten(F.transform("_rows", lambda r: r["x"])).alias("_x"), F.monotonically_increasing_id().alias("_bid")))
+    named = blocks.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col(label_col).alias("_l"), F.col("_blk").alias("_i"), "_bid")
+
+    def numbered(tiles, lab: str, blk: str, out: str):
+        on = (F.col(lab) == F.col("_l")) & (F.col(blk) == F.col("_i"))
         for c in keys:
             on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        return tiles.join(named, on).withColumnRenamed("_bid", out).drop("_l", "_i", *[f"_k_{c}" for c in keys])
+    tiles = numbered(numbered(silhouette_tiles(blocks, keys, label_col), "_la", "_ba", "_x0"), "_lb", "_bb", "_x1")
+    tiles = materialize(tiles.select("_x0", "_x1", "_la", "_lb", "_a", "_b", F.monotonically_increasing_id().alias("_t")))
+    n_tiles = tiles.count()
+
+    def side(role: int, block: str, other: str, asks: str, skip):
+        t = tiles.filter(skip).select(F.col(block).alias("_bid"), "_t", (F.col("_la") == F.col("_lb")).alias("_own"),
+                                      F.col(other).alias("_olab"), F.col(asks).alias("_asks"), F.lit(role).alias("_role"))
         # The list of tiles is small next to the rows; it is broadcast while its counted size is.
-        return placed.join(F.broadcast(t) if n_tiles <= MAX_TILE_TASKS else t, on).select(*keys, id_col, label_col, feats, "_need", *names, "_a", "_b", F.lit(role).alias("_role"))
-    alone = (F.col("_la") == F.col("_lb")) & (F.col("_ba") == F.col("_bb"))
-    both = side(0, "_la", "_ba", F.lit(True)).unionByName(side(1, "_lb", "_bb", ~alone))
-    kinds = dict(pts.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in (*keys, id_col, label_col)] + [f"_olab {kinds[label_col]}", "_s double", "_c bigint"])
+        return blocks.select("_bid", "_n", "_x").join(F.broadcast(t) if n_tiles <= MAX_TILE_TASKS else t, "_bid")
+    both = side(0, "_x0", "_lb", "_a", F.lit(True)).unionByName(side(1, "_x1", "_la", "_b", F.col("_x0") != F.col("_x1")))
     # Tiles are CPU work on few bytes: spread them over the cores instead of letting
     # AQE coalesce them by size (the groupBy reuses this partitioning).
-    both = both.repartition(max(1, min(n_tiles, MAX_TILE_TASKS)), *keys, *names)
-    sums = both.groupBy(*keys, *names).applyInPandas(_tile_sums(keys, id_col, label_col, feats), schema)
-    per = sums.groupBy(*keys, id_col, label_col, "_olab").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
-    own = F.col("_olab") == F.col(label_col)
-    res = per.groupBy(*keys, id_col, label_col).agg(
-        F.max(F.when(own, F.col("_c"))).alias("_n_own"),
-        F.max(F.when(own, F.try_divide(F.col("_s"), (F.col("_c") - 1).cast("double")))).alias("a"),
-        F.min(F.when(~own, F.col("_s") / F.col("_c"))).alias("b"))
+    both = both.repartition(max(1, min(n_tiles, MAX_TILE_TASKS)), "_t")
+    kind = dict(pts.dtypes)[label_col]
+    sums = both.groupBy("_t").applyInPandas(_tile_sums, f"_bid bigint, _own boolean, _olab {kind}, _s array<double>, _c bigint")
+    all_sums = blocks.select("_bid", "_new").unionByName(sums, allowMissingColumns=True)
+    means = all_sums.groupBy("_bid").applyInPandas(_block_means, "_bid bigint, _lone boolean, _size array<bigint>, _a array<double>, _b array<double>")
+    ids = F.filter("_ids", lambda v, k: F.get("_new", k)).alias("_ids")
+    res = blocks.select(*keys, label_col, "_bid", ids).join(means, "_bid")
+    res = res.select(*keys, label_col, "_lone", F.explode(F.arrays_zip("_ids", "_size", "_a", "_b")).alias("_r"))
+    res = res.select(*keys, F.col("_r._ids").alias(id_col), label_col, F.col("_r._size").alias("_n_own"),
+                     F.when(F.col("_r._size") > 1, F.col("_r._a")).alias("a"), F.when(~F.col("_lone"), F.col("_r._b")).alias("b"))
     sil = F.when(F.col("_n_own") <= 1, F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return res.withColumn("silhouette", sil).drop("_n_own")
