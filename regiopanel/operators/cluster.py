@@ -28,6 +28,8 @@ from regiopanel.operators.geometry import silhouette_samples, silhouette_squared
 
 #: Lloyd rounds at most.
 ROUNDS = 50
+#: From so many rows on, the rows of a fit are dealt evenly to all cores, in parts of at most the second number.
+DEALT_ROWS, PART_ROWS = 16_384, 1 << 20
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -334,7 +336,8 @@ def _lloyd(models: dict, names: list[str], centres: dict):
                 n, sums, cost = total[key]
                 n += np.bincount(label, minlength=len(n))
                 cost += np.bincount(label, weights=d2[np.arange(len(rows)), label], minlength=len(n))
-                np.add.at(sums, label, x[rows])
+                for j, v in enumerate(x[rows].T):
+                    sums[:, j] += np.bincount(label, weights=v, minlength=len(n))
         out = [(str(key), c, j, n[c], sums[c, j], cost[c]) for key, (n, sums, cost) in total.items()
                for c in np.flatnonzero(n) for j in range(sums.shape[1])]
         yield pd.DataFrame(out, columns=["model", "c", "j", "n", "s", "cost"])
@@ -359,6 +362,13 @@ def kmeans_sweep(df: DataFrame, id_col: str | None, models: Sequence[SweepModel]
     values = [F.col(c).cast("double").alias(c) for c in base]
     ident = F.col(id_col) if id_col else F.lit(0)
     data = df.select(ident.alias("_id"), *values).persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = data.count()
+    if n_rows >= DEALT_ROWS:
+        # A round is CPU work on few bytes; partitions formed by size leave most cores idle.
+        given, parts = data, max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // PART_ROWS))
+        data = given.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+        data.count()
+        given.unpersist()
     kind = data.schema["_id"].dataType.simpleString()
     centres = {m.key: np.zeros((0, m.dim)) for m in models}
     try:

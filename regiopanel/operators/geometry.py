@@ -11,8 +11,10 @@ Scale notes
   distance to the cluster on both sides, so clusters that cannot be nearest
   are left out. Pairs are never emitted as rows: clusters are hashed into
   blocks of bounded rows and values, each packed into one row; a pair of
-  blocks (tile) is one pandas group, its distances come from matrix products
-  in chunks that stay in the cache, and it emits only sums per row.
+  blocks (tile) is one pandas group and emits only sums per row. Its distances
+  come from matrix products in chunks that stay in the cache; in one and two
+  dimensions large tiles take their sums from trees of boxes
+  (:mod:`farfield`), whose work grows with the rows instead of the pairs.
   ``silhouette_squared`` is the linear-cost metric for very large n.
 """
 
@@ -27,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiopanel.operators.balltree import PART_VALUES, nearest_centre
+from regiopanel.operators.farfield import MOST_NODES, box_sums
 from regiopanel.operators.ranking import group_rank
 from regiopanel.session import materialize
 
 MAX_TILE_TASKS = 20_000  # beyond it a task takes several tiles, one after the other
-BLOCK_ROWS = 16_384  # rows of a block at most ...
+BLOCK_ROWS, BOX_BLOCK_ROWS = 16_384, 131_072  # rows of a block at most; the second where tiles take trees of boxes ...
 BLOCK_VALUES = 1 << 20  # ... and its values, 8 MB
+BOX_PAIRS = 1 << 26  # pairs of a tile from which trees of boxes are cheaper
 CHUNK_ROWS, CHUNK_VALUES = 256, 4_000_000  # pairs are taken by squares of so many rows; values of a step at most
 CANCELS = 1e-6  # squared distances below this share of the rows' squares are taken from differences
 
@@ -168,12 +172,17 @@ def _clusters(pts: DataFrame, keys: list[str], label: str, feats: str) -> DataFr
     return s.select(*keys, label, n.alias("n"), vector_to_array("s.mean").alias("m"), (total * (n - 1) / n).alias("v"))
 
 
-def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size: int) -> DataFrame:
+def _block_rows(dim: int, block_size: int | None) -> int:
+    most = block_size or (BOX_BLOCK_ROWS if dim in MOST_NODES else BLOCK_ROWS)
+    return max(1, min(most, BLOCK_VALUES // max(1, dim)))
+
+
+def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size: int | None) -> DataFrame:
     """``pts`` with ``_m`` and ``_need`` (see :func:`_cluster_bounds`). Clusters reach the rows in bounded parts."""
     spark = pts.sparkSession
     first = pts.select(F.size(feats).alias("d")).first()
     dim = max(1, (first["d"] if first else 1) or 1)
-    most, block_size = max(1, PART_VALUES // dim), max(1, min(block_size, BLOCK_VALUES // dim))
+    most = max(1, PART_VALUES // dim)
     clusters = _clusters(pts, keys, label, feats)
     listed = clusters.limit(most + 1).toPandas()
     if len(listed) <= most:
@@ -188,8 +197,9 @@ def _needed(pts: DataFrame, keys: list[str], label: str, feats: str, block_size:
         table: dict[tuple, tuple] = {}
         for g, rows in _by_keys(own, keys).items():
             t = own.iloc[rows]
-            table[g] = (t[label].to_numpy(), np.stack(t["m"].to_numpy()).astype(np.float64), t["v"].to_numpy(np.float64),
-                        -(-t["n"].to_numpy(np.int64) // block_size))
+            middle = np.stack(t["m"].to_numpy()).astype(np.float64)
+            table[g] = (t[label].to_numpy(), middle, t["v"].to_numpy(np.float64),
+                        -(-t["n"].to_numpy(np.int64) // _block_rows(middle.shape[1], block_size)))
         shared.append(spark.sparkContext.broadcast(table))
     kind = f"array<struct<l:{pts.schema[label].dataType.simpleString()},m:bigint>>"
     state = pts.withColumn("_l", F.col(label)).withColumn("_u", F.lit(math.inf)).withColumn("_m", F.lit(0).cast("bigint"))
@@ -246,7 +256,7 @@ def distance_sums(x: np.ndarray, y: np.ndarray | None = None) -> tuple[np.ndarra
 
     Squares come from a matrix product, ``|x|^2 + |y|^2 - 2 x . y`` around the middle of the rows. Where they are
     small beside ``|x|^2 + |y|^2``, so that digits would cancel, they are taken again from the difference, as are
-    rows whose squares are not finite.
+    rows whose squares are not finite. Many pairs of one or two dimensions go to :func:`box_sums`.
     """
     alone = y is None
     y = x if alone else y
@@ -262,6 +272,11 @@ def distance_sums(x: np.ndarray, y: np.ndarray | None = None) -> tuple[np.ndarra
         if len(odd_x) or len(odd_y):
             to_x[odd_x], to_y[odd_y] = _direct(x[odd_x], y)[0], _direct(x, y[odd_y])[1]
             to_x[ox], to_y[oy] = _direct(x[ox], y[odd_y])[0], _direct(x[odd_x], y[oy])[1]
+    if x.shape[1] in MOST_NODES and len(ox) * len(oy) >= BOX_PAIRS:
+        by_x, by_y = box_sums(x[ox], None if alone else y[oy])
+        to_x[ox] += by_x
+        to_y[oy] += 0.0 if alone else by_y
+        return to_x, to_x if alone else to_y
     u, v, uu, vv = u[ox], v[oy], uu[ox], vv[oy]
     left = np.column_stack([u * -2.0, uu, np.ones(len(u))])
     right = np.ascontiguousarray(np.column_stack([v, np.ones(len(v)), vv]).T)
@@ -319,14 +334,15 @@ def _block_means(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def silhouette_samples(df: DataFrame, id_col: str, label_col: str, feats: str,
-                       group_cols: Sequence[str] = (), block_size: int = BLOCK_ROWS) -> DataFrame:
+                       group_cols: Sequence[str] = (), block_size: int | None = None) -> DataFrame:
     """Exact Euclidean silhouette per row (sklearn semantics; singleton cluster -> 0).
 
     ``feats`` is an array<double> column, ids are unique within a group.
     ``group_cols`` runs independent silhouettes side by side (e.g. one per
     variable) in the same job. Distances are taken to the own cluster and to
     those that may be nearest (:func:`silhouette_tiles`); clusters are cut into
-    blocks of about ``block_size`` rows, so a large one is many tiles. A block
+    blocks of about ``block_size`` rows (by default ``BLOCK_ROWS``, in one and
+    two dimensions ``BOX_BLOCK_ROWS``), so a large one is many tiles. A block
     travels as one row, so the rows move once per block that they meet, and a
     tile gives back one sum per row.
     """
